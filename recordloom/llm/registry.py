@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import bpe
+from recordloom.llm import bpe, chat, secrets, simhash, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": bpe.op2_bpe}
+    return {
+        "op2_bpe": bpe.op2_bpe,
+        "op5_winnowing": winnow.op5_winnowing,
+        "op7_simhash": simhash.op7_simhash,
+        "op8_secrets": secrets.op8_secrets,
+        "op9_chat": chat.op9_chat,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_winnowing": winnow.ORACLE, "op9_chat": chat.ORACLE}
