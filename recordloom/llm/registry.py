@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import bpe, chat, secrets, simhash, winnow
+from recordloom.llm import bpe, chat, chunks, secrets, simhash, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": chunks.op1_substring_dedup,
         "op2_bpe": bpe.op2_bpe,
         "op5_winnowing": winnow.op5_winnowing,
         "op7_simhash": simhash.op7_simhash,
