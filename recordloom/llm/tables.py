@@ -17,17 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_texts(
     docs: DataFrame,
-    make: Callable[[], Callable[[str | None], tuple]],
+    make: Callable[[], Callable],
     fields: list[tuple[str, T.DataType]],
     keep: tuple[str, ...] = ("doc_id",),
     text: str = "text",
     batch_rows: int = 500,
+    batched: bool = False,
 ) -> DataFrame:
     """Columns ``keep`` of every row beside what a function makes of its text.
 
     ``make`` runs once a task and returns the function from a text (or None)
-    to a tuple of ``fields``. Rows are neither dropped nor moved: there is no
-    shuffle, and a task holds one Arrow batch at a time.
+    to a tuple of ``fields`` (``batched``: from a list of texts to a list of
+    such tuples). Rows are neither dropped nor moved: there is no shuffle, and
+    a task holds one Arrow batch at a time.
     """
     source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(n, t) for n, t in fields)])
@@ -38,7 +40,8 @@ def map_texts(
         for whole in batches:
             for at in range(0, whole.num_rows, batch_rows):
                 batch = whole.slice(at, batch_rows)
-                rows = [each(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+                texts = batch.column(batch.num_columns - 1)
+                rows = each(texts.to_pylist()) if batched else [each(t.as_py()) for t in texts]
                 made = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)] if rows else [pa.array([], f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=schema.names)
 
