@@ -1,22 +1,77 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""Corpus pipeline: stages over documents, each written as Parquet and read again.
+
+Toxicity, SimHash near-dedup and benchmark decontamination drop documents,
+secret scans redact texts, and the last stage encodes what is left. A stage
+works on all its predecessor kept. Decisions are joined to the documents by
+doc_id, which names a document here; documents with no doc_id can't be told
+apart by the later stages and end at the second.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recordloom.llm import bpe, secrets, simhash, toxicity, winnow
+from recordloom.plans.lineage import checkpoint_folder
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; scored where they stand, with no shuffle."""
+    return toxicity.scored(docs, toxicity.model_of(spark, sf_dir), keep=(*COLUMNS,)).filter("score < 0.5").select(*COLUMNS)
 
-from recordloom.llm import bpe
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group; of rows that share it, one."""
+    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    left = docs.join(kept, "doc_id")
+    once = left.filter("rows = 1").select(*COLUMNS)
+    return once.unionByName(left.filter("rows > 1").select(*COLUMNS).dropDuplicates(["doc_id"]))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    bad = winnow.hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").filter("item_id is not null"))
+    return docs.join(bad.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with the secrets found in its text replaced by a mark."""
+    found = secrets.scan(docs, keep=COLUMNS)
+    text = secrets.redact(F.col("text"), F.col("spans"))
+    return found.withColumn("text", F.when(F.col("text").isNotNull(), text)).withColumn("n_chars", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token count, and the digests of its ids and of what they decode to."""
     return bpe.digests(docs)
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("bpe", encode),
+]
+
+#: Trees that are fitted on the spot have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for documents; what lies between is written to the shared folder."""
+    checkpoint_folder(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (name, stage) in enumerate(STAGES):
+        made = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return made
+        made.write.parquet(at := f"{folder}/{k}-{name}")
+        docs = spark.read.parquet(at)
     return docs

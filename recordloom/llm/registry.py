@@ -6,19 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import bpe, chat, chunks, secrets, simhash, winnow
+from recordloom.llm import bpe, chat, chunks, langid, lattice, quality, secrets, simhash, toxicity, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": chunks.op1_substring_dedup,
         "op2_bpe": bpe.op2_bpe,
+        "op3_lattice": lattice.op3_lattice,
+        "op4_langid": langid.op4_langid,
         "op5_winnowing": winnow.op5_winnowing,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_simhash": simhash.op7_simhash,
         "op8_secrets": secrets.op8_secrets,
         "op9_chat": chat.op9_chat,
+        "op10_quality": quality.op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_winnowing": winnow.ORACLE, "op9_chat": chat.ORACLE}
+    return {"op3_lattice": lattice.ORACLE, "op5_winnowing": winnow.ORACLE, "op9_chat": chat.ORACLE}

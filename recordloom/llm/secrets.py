@@ -128,8 +128,8 @@ def _battery(tokens: Column) -> Column:
     return F.transform(F.transform(enough, measure), values)
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """For every row: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
+def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """For every row: ``keep``, n_assign, n_access, n_hex, base_sha256, spans.
 
     ``spans`` holds kind:start:end of the fixed forms' matches and of the
     battery's discoveries, by start and then kind, comma-joined; offsets are
@@ -141,13 +141,13 @@ def scan(docs: DataFrame) -> DataFrame:
     long_enough = lambda x: F.length(F.regexp_extract(x["said"], ASSIGN, 1)) >= LEAST_SECRET
     mixed = lambda x: x["said"].rlike("[0-9]") & x["said"].rlike("[A-Za-z]")
     found = docs.select(
-        "doc_id",
+        *keep,
         _spans(text, ASSIGN, 0, long_enough).alias("assign"),
         _spans(text, ACCESS, 1).alias("access"),
         _spans(text, HEX, 2).alias("hex"),
         _spans(text, TOKEN, 3, mixed).alias("tokens"),
     )
-    tested = found.select("doc_id", "assign", "access", "hex", F.concat("assign", "access", "hex").alias("base"), _battery(F.col("tokens")).alias("tests"))
+    tested = found.select(*keep, "assign", "access", "hex", F.concat("assign", "access", "hex").alias("base"), _battery(F.col("tokens")).alias("tests"))
     # Benjamini-Hochberg: the largest rank j whose p-value is at most LEVEL * j / m.
     many = F.size("tests").cast("double")
     level = F.array_max(F.transform(F.array_sort(F.transform("tests", lambda x: x["p"])), lambda p, j: F.when(p <= LEVEL * (j + 1) / many, LEVEL * (j + 1) / many).otherwise(-1.0)))
@@ -157,7 +157,7 @@ def scan(docs: DataFrame) -> DataFrame:
     said = lambda a: F.array_join(F.transform(F.array_sort(a), lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["rank"] + 1), x["start"], x["end"])), ",")
     base = short(F.col("base"))
     return ranked.select(
-        "doc_id",
+        *keep,
         *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]),
         F.sha2(said(base), 256).alias("base_sha256"),
         said(F.concat(base, short(new))).alias("spans"),
