@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 #: Words that say nothing about a title's topic, and about an abstract's.
@@ -24,29 +25,29 @@ TITLE_STOP_WORDS = (
 ABSTRACT_STOP_WORDS = "a an the of in on for to and or with from by study analysis effect impact association using based results methods randomized trial review meta cohort prospective retrospective validation safety data".split()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_entities(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _folded(s: pd.Series) -> pd.Series:
     """NFKC, then case folding."""
     return s.map(lambda v: unicodedata.normalize("NFKC", v).casefold(), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _split_folded(s: pd.Series) -> pd.Series:
     """NFKD, then case folding; marks stay as characters of their own."""
     return s.map(lambda v: unicodedata.normalize("NFKD", v).casefold(), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ascii(s: pd.Series) -> pd.Series:
     return s.map(lambda v: unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode(), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def idna_host(s: pd.Series) -> pd.Series:
     def one(host: str) -> str | None:
         try:

@@ -80,7 +80,7 @@ def europe_pmc_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
     """Articles of landed PubMed XML, one element a row, with the abstract's labelled sections joined by blank lines."""
-    whole = spark.read.format("binaryFile").load(path).select(F.decode("content", F.lit("UTF-8")).alias("xml"))
+    whole = spark.read.format("binaryFile").load(path).select(F.decode("content", "UTF-8").alias("xml"))
     one = whole.select(F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)<PubmedArticle[ >].*?</PubmedArticle>"), F.lit(0))).alias("x"))
     at = lambda p: F.try_element_at(F.xpath("x", F.lit(p)), F.lit(1))
     pmid, year = at("//MedlineCitation/PMID/text()"), at("//JournalIssue/PubDate/Year/text()")
