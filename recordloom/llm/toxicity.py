@@ -23,6 +23,8 @@ from recordloom.llm.tables import map_texts, table
 
 #: Labelled documents that lexicon and model are fitted on, at most about; lexicon entries at most.
 SAMPLE, ENTRIES = 12_000, 400
+#: Toxic texts, likelihood ratio and log-odds that an entry needs.
+LEAST_TEXTS, LEAST_RATIO, LEAST_ODDS = 4, 20.0, 2.0
 TREES, DEPTH, RATE, BINS, LEAST = 80, 3, 0.2, 64, 8
 #: Insults known from public word lists.
 SEED_WORDS = frozenset("idiot moron stupid loser scum trash clown pathetic worthless disgusting imbecile dumb jerk".split())
@@ -50,7 +52,7 @@ def learn_lexicon(sample: DataFrame, most: int = ENTRIES) -> dict[str, float]:
 
     Each task counts the texts that hold an entry; the counts are summed by
     entry, and at most ``most`` entries reach the driver, strongest first (by
-    log-odds with its error taken off, then toxic texts, then name).
+    likelihood ratio, then name), none that chance would put among thousands.
     """
     once = sample.groupBy(F.xxhash64("text").alias("t"), "y").agg(F.first("text").alias("text"))
     total = {r["y"]: r["n"] for r in once.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -79,10 +81,12 @@ def learn_lexicon(sample: DataFrame, most: int = ENTRIES) -> dict[str, float]:
         yield out()
 
     sums = once.select("text", "y").mapInArrow(count, "entry string, k0 long, k1 long").groupBy("entry").agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"))
-    odds = F.log((F.col("k1") + 0.5) / (n1 - F.col("k1") + 0.5)) - F.log((F.col("k0") + 0.5) / (n0 - F.col("k0") + 0.5))
-    error = F.sqrt(1 / (F.col("k1") + 0.5) + 1 / (F.col("k0") + 0.5))
-    best = sums.filter("k1 >= 3").select("entry", "k1", odds.alias("odds"), (odds - 1.3 * error).alias("sure")).filter("sure > 0.5")
-    rows = best.orderBy(F.desc("sure"), F.desc("k1"), "entry").limit(most).collect()
+    k0, k1, rate = F.col("k0"), F.col("k1"), n1 / (n0 + n1)
+    odds = F.log((k1 + 0.5) / (n1 - k1 + 0.5)) - F.log((k0 + 0.5) / (n0 - k0 + 0.5))
+    part = lambda k, share: F.when(k > 0, k * F.log(k / ((k0 + k1) * share))).otherwise(0.0)
+    ratio = 2 * (part(k1, rate) + part(k0, 1 - rate))
+    best = sums.select("entry", "k1", odds.alias("odds"), ratio.alias("ratio")).filter((F.col("k1") >= LEAST_TEXTS) & (F.col("ratio") >= LEAST_RATIO) & (F.col("odds") >= LEAST_ODDS))
+    rows = best.orderBy(F.desc("ratio"), "entry").limit(most).collect()
     return {r["entry"]: r["odds"] for r in rows}
 
 
