@@ -225,4 +225,4 @@ def first_shortlist(rows: DataFrame, target: int = 48, journal_caps: tuple = (4,
         return pd.DataFrame(out, columns=["record_key", "ordinal"])
 
     bounded = rows.orderBy("place").limit(most).select("record_key", "journal_slug", "processing_mode", "primary_path", "tokens", "place")
-    return bounded.groupBy(F.lit(1)).applyInPandas(play, "record_key string, ordinal int")
+    return bounded.withColumn("__one", F.lit(1)).groupBy("__one").applyInPandas(play, "record_key string, ordinal int")
