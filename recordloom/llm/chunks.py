@@ -72,8 +72,8 @@ def _word_starts(data: np.ndarray) -> np.ndarray:
 
 
 def chunk_rows(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rows (doc_id, start, end, words, digest) of each text's chunks, in bytes; null and empty texts have none."""
-    source = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("length(text) > 0")
+    """Rows (doc_id, start, end, words, digest) of each text's chunks, in bytes; null and empty texts, and texts without a doc_id, have none."""
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("doc_id IS NOT NULL AND length(text) > 0")
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
