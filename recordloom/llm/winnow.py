@@ -22,8 +22,8 @@ from recordloom.plans.lineage import cut
 
 WINDOW, GRAM = 10, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The benchmark is broadcast up to so many windows; beyond, both sides are shuffled.
-MAX_BROADCAST = 200_000
+#: Windows with their words are broadcast up to so many, fingerprints alone (16 bytes each) up to so many; beyond, both sides are shuffled.
+MAX_BROADCAST, MAX_PRINTS = 200_000, 2_000_000
 SALTS = 16
 
 
@@ -80,13 +80,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     for size in sorted(sizes):
         there = wanted.filter(F.col("size") == size)
         at = _windows(words, size, "doc_id", "t")
+        if sizes[size] <= MAX_PRINTS:
+            at = at.join(F.broadcast(there.select("f").distinct()), "f", "left_semi")
         if small:
-            prints = there.select("f").distinct()
             whole = there.select(F.col("key").alias("key2"), "said", "items")
-            near = at.join(F.broadcast(prints), "f", "left_semi").withColumn("key", _key(F.col("i"), size))
+            near = at.withColumn("key", _key(F.col("i"), size))
             same = near.join(F.broadcast(whole), (F.col("key") == F.col("key2")) & (_said(size) == F.col("said")))
         else:
-            # Neither side is small: 128 further hash bits stand for the words, and a frequent fingerprint is spread over SALTS tasks.
+            # 128 further hash bits stand for the words, and a frequent window is spread over SALTS tasks.
             near = at.select("doc_id", "t", "i", "f", _key(F.col("i"), size).alias("key"), F.pmod(F.xxhash64("doc_id", "i"), F.lit(SALTS)).alias("salt"), F.xxhash64(F.lit(7), _said(size)).alias("k3"))
             whole = there.select("f", "key", F.xxhash64(F.lit(7), "said").alias("k3"), "items", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
             same = near.join(whole, ["f", "key", "k3", "salt"])

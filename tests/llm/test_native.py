@@ -48,9 +48,10 @@ def brute_hits(docs, items):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("most", [winnow.MAX_BROADCAST, 0])
-def test_winnowing_is_brute_force(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "prints"), [(winnow.MAX_BROADCAST, winnow.MAX_PRINTS), (0, winnow.MAX_PRINTS), (0, 0)])
+def test_winnowing_is_brute_force(spark, monkeypatch, most, prints):
     monkeypatch.setattr(winnow, "MAX_BROADCAST", most)
+    monkeypatch.setattr(winnow, "MAX_PRINTS", prints)
     items = [(1, cases.PROSE), (2, "word3x3 word4x4 WORD5x5"), (10, "x"), (3, None), (4, ""), (None, "x"), (5, cases.PROSE * 2), (6, "no such words stand anywhere in these texts at all today")]
     got = winnow.decontaminate(cases.documents(spark), spark.createDataFrame([(*r, "z") for r in items], "item_id long, text string, doc_id string"))
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_hits([(r[0], r[1]) for r in cases.rows()], items)
