@@ -22,21 +22,28 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], cap: int
     return ranked.filter(F.col(rank) <= cap)
 
 
-def soft_cap(records: DataFrame, group: str, order: list[Column], cap: Column, score: str = "score", routed: str = "route", bypass: int = 92, candidate: str = "FETCH_CANDIDATE", demoted: str = "RESERVE") -> DataFrame:
+def soft_cap(
+    records: DataFrame, group: str, order: list[Column], cap: Column, key: list[str], most: int,
+    score: str = "score", routed: str = "route", bypass: int = 92, candidate: str = "FETCH_CANDIDATE", demoted: str = "RESERVE",
+) -> DataFrame:
     """Demotes candidates beyond their group's cap.
 
     Candidates of ``bypass`` or more always stay and use up the cap; the
     others stay while their rank fits what is left. Adds ``demoted``.
+
+    ``key`` names a record and ``most`` is the largest cap. Only the first
+    ``most`` regular candidates of a group leave their task to be ranked, and
+    the exceptional ones are counted where they are, so a group of any size
+    costs one short list; the records themselves are joined to the lists.
     """
     is_candidate = F.col(routed) == candidate
-    exceptional = is_candidate & (F.col(score) >= bypass)
-    regular = is_candidate & ~exceptional
-    by_group = Window.partitionBy(group)
-    place = F.row_number().over(Window.partitionBy(group, regular).orderBy(*order))
-    left = F.greatest(F.lit(0), cap - F.sum(exceptional.cast("int")).over(by_group))
-    marked = records.withColumn("__place", place).withColumn("__left", left)
-    out = marked.withColumn("demoted", regular & (F.col("__place") > F.col("__left")))
-    return out.withColumn(routed, F.when(F.col("demoted"), demoted).otherwise(F.col(routed))).drop("__place", "__left")
+    regular = is_candidate & (F.col(score) < bypass)
+    above = records.filter(is_candidate & (F.col(score) >= bypass)).groupBy(group).agg(F.count(F.lit(1)).alias("__above")).withColumnRenamed(group, "__g")
+    first = top_per_group(records.filter(regular).withColumn("__cap", cap), [group], order, most, rank="__place")
+    room = F.greatest(F.lit(0), F.col("__cap") - F.coalesce("__above", F.lit(0)))
+    stay = first.join(above, F.col(group) == F.col("__g"), "left").filter(F.col("__place") <= room).select(*key, F.lit(True).alias("__stays"))
+    marked = records.join(stay, key, "left").withColumn("demoted", regular & F.col("__stays").isNull())
+    return marked.withColumn(routed, F.when(F.col("demoted"), demoted).otherwise(F.col(routed))).drop("__stays")
 
 
 def triage_caps(records: DataFrame, policy: TriagePolicy | None = None) -> DataFrame:
@@ -44,7 +51,7 @@ def triage_caps(records: DataFrame, policy: TriagePolicy | None = None) -> DataF
     p = policy or TriagePolicy()
     order = [F.desc("score"), F.desc("publication_date"), F.lower("title_original"), F.col("canonical_id")]
     cap = F.coalesce(F.try_element_at(weights(p.soft_caps), F.col("processing_mode")), F.lit(0))
-    return soft_cap(records, "journal_slug", order, cap, bypass=p.bypass)
+    return soft_cap(records, "journal_slug", order, cap, ["journal_slug", "canonical_id"], max(p.soft_caps.values()), bypass=p.bypass)
 
 
 def reserve_index(records: DataFrame, policy: TriagePolicy | None = None) -> DataFrame:

@@ -68,7 +68,7 @@ def triage_topk(t) -> DataFrame:
     p = EVENT_POLICY
     s = classify.saturate(_event_records(t), "user_id", "paths", "event_type", policy=p)
     routed = s.withColumn("route", F.when(F.col("score") >= 66, "FETCH_CANDIDATE").when(F.col("score") >= 50, "RESERVE").otherwise("CATALOG_ONLY"))
-    capped = caps.soft_cap(routed, "user_id", [F.desc("score"), F.col("event_id")], F.lit(20), bypass=84)
+    capped = caps.soft_cap(routed, "user_id", [F.desc("score"), F.col("event_id")], F.lit(20), ["event_id"], 20, bypass=84)
     return capped.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total"), *(F.count_if(F.col("route") == r).alias(r.lower()) for r in ("FETCH_CANDIDATE", "RESERVE", "CATALOG_ONLY")),
         F.count_if("demoted").alias("demoted"), F.count_if("saturated").alias("saturated"),
@@ -132,8 +132,8 @@ y AS (SELECT *, route0 = 'FETCH_CANDIDATE' AND score < 49 AS regular, row_number
 SELECT l_suppkey, route, demoted, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM (SELECT *, regular AND place > room AS demoted, CASE WHEN regular AND place > room THEN 'RESERVE' ELSE route0 END AS route FROM y) GROUP BY ALL""")
 def soft_cap_bypass(t) -> DataFrame:
     q = F.col("l_quantity")
-    r = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", q.cast("int").alias("score"), F.when(q >= 40, "FETCH_CANDIDATE").when(q >= 20, "RESERVE").otherwise("CATALOG_ONLY").alias("route"))
-    capped = caps.soft_cap(r, "l_suppkey", [F.desc("score"), F.col("l_orderkey"), F.col("l_linenumber")], F.lit(30), bypass=49)
+    r = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", q.cast("int").alias("score"), F.when(q >= 40, "FETCH_CANDIDATE").when(q >= 20, "RESERVE").otherwise("CATALOG_ONLY").alias("route"))
+    capped = caps.soft_cap(r, "l_suppkey", [F.desc("score"), F.col("l_orderkey"), F.col("l_linenumber")], F.lit(30), ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"], 30, bypass=49)
     return capped.groupBy("l_suppkey", "route", "demoted").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
 
 
