@@ -88,6 +88,6 @@ def featured(rows: DataFrame, group: str, turn: list[Column], cap: int | Column,
 
 def volume_projection(rows: DataFrame, group: list[str], order: list[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group, with the group's total and how many were left out."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*group))
-    kept = rows.withColumn("total", n).withColumn("position", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    return kept.filter(F.col("position") <= limit).withColumn("omitted", F.greatest(F.lit(0).cast("long"), F.col("total") - limit))
+    n = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("total"))
+    kept = top_per_group(rows, group, order, limit, rank="position").join(n, group)
+    return kept.withColumn("omitted", F.greatest(F.lit(0).cast("long"), F.col("total") - limit))

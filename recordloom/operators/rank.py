@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordloom.operators.caps import top_per_group
+
 
 def latest(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """The newest row of each group, with how many it had."""
-    w = Window.partitionBy(*group)
-    return df.withColumn("revision_count", F.count(F.lit(1)).over(w)).withColumn("__rn", F.row_number().over(w.orderBy(*order))).filter("__rn = 1").drop("__rn")
+    """The newest row of each group, with how many it had; rows with a null group aren't in any.
+
+    Each task gives one row a group to the shuffle, and counts are partial.
+    """
+    n = df.groupBy(*group).agg(F.count(F.lit(1)).alias("revision_count"))
+    return top_per_group(df, group, order, 1, rank="__rn").drop("__rn").join(n, group)
 
 
 def mark_latest(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
