@@ -310,3 +310,62 @@ def first_shortlist(t) -> DataFrame:
 
     best = _by_source(t).orderBy(F.desc("n_chars"), "doc_id").limit(5000)  # the operator's own bound
     return select.first_shortlist(best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n_chars"), "doc_id"))))
+
+
+@query("""
+SELECT o_orderkey, o_orderkey & 1 > 0 AS methods, o_orderkey & 2 > 0 AS results, o_orderkey & 4 > 0 AS limitations, o_orderkey & 8 > 0 AS funding, CAST(o_orderkey % 4 AS INT) AS refs, CAST(o_orderkey % 3 AS INT) AS figures FROM orders""")
+def xml_structure(t) -> DataFrame:
+    """Section flags and counts, read by local names from a text with a namespace."""
+    k = F.col("o_orderkey")
+    part = lambda bit, title: F.when(k.bitwiseAND(bit) > 0, F.lit(f"<sec><title>{title}</title><p>x</p></sec>")).otherwise("")
+    many = lambda tag, n: F.array_join(F.transform(F.when(n > 0, F.sequence(F.lit(1).cast("long"), n)).otherwise(F.array().cast("array<long>")), lambda i: F.concat(F.lit(f"<{tag} id='"), i.cast("string"), F.lit("'/>"))), "")
+    xml = F.concat(F.lit("<article xmlns='urn:x'><body>"), part(1, "Materials and <i>methods</i>"), part(2, "Results"), part(4, "Limitations"), part(8, "Funding"), many("fig", k % 3), F.lit("</body><back>"), many("ref", k % 4), F.lit("</back></article>"))
+    a = signals.structural_audit(F.col("xml"))
+    return t("orders").select("o_orderkey", xml.alias("xml")).select("o_orderkey", a["METHODS_SECTION"].alias("methods"), a["RESULTS_SECTION"].alias("results"), a["LIMITATIONS"].alias("limitations"), a["FUNDING"].alias("funding"), a["ref_count"].alias("refs"), a["fig_count"].alias("figures"))
+
+
+@query("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'a ' || c_name || ' b' WHEN 1 THEN c_name || ' c' ELSE 'none' END AS said FROM customer""")
+def machine_text(t) -> DataFrame:
+    k = F.col("c_custkey")
+    payload = F.when(k % 4 == 0, F.concat(F.lit("<a>a</a>\n<b>"), F.col("c_name"), F.lit("</b> b"))).otherwise(F.concat(F.col("c_name"), F.lit("  \n c ")))
+    kind = _pick(["application/xml", "text/plain", "application/pdf", "image/png"], k)
+    return t("customer").select("c_custkey", F.coalesce(signals.machine_text(payload, kind), F.lit("none")).alias("said"))
+
+
+@query("SELECT c_custkey, c_custkey % 4 < 2 AS open FROM customer")
+def open_licences(t) -> DataFrame:
+    link = F.concat(_pick(["https://creativecommons.org/by/", "http://api.CreativeCommons.org:80/", "https://notcreativecommons.org/", "https://creativecommons.org.example/"], F.col("c_custkey")), F.col("c_custkey").cast("string"))
+    return t("customer").select("c_custkey", text.open_licence_host(link).alias("open"))
+
+
+@query("""SELECT c_custkey, CAST(CASE WHEN c_custkey % 11 = 0 THEN 0.75 WHEN c_custkey % 101 >= 90 THEN 1.0 WHEN c_custkey % 101 >= 75 THEN 0.9 WHEN c_custkey % 101 >= 50 THEN 0.8 ELSE 0.7 END AS DOUBLE) AS rate FROM customer""")
+def capture_bands(t) -> DataFrame:
+    from recordloom.plans.policy import ShortlistPolicy
+
+    k = F.col("c_custkey")
+    return t("customer").select("c_custkey", select.capture((k % 101).cast("double"), k % 11 == 0, ShortlistPolicy()).cast("double").alias("rate"))
+
+
+@query("""SELECT c_custkey, c_name FROM customer WHERE c_nationkey % 2 = 0 AND c_mktsegment = 'BUILDING' AND c_acctbal > 0""")
+def registry_filter(t) -> DataFrame:
+    from recordloom.sources.landed import registry_filter as chosen
+
+    j = t("customer").select(
+        "c_custkey", "c_name", F.col("c_name").alias("journal"), F.col("c_custkey").alias("slug"), F.when(F.col("c_nationkey") % 2 == 0, "ACTIVE").otherwise("PAUSED").alias("status"),
+        F.array("c_mktsegment").alias("categories"), F.lit("X").alias("publisher"), (F.col("c_acctbal") > 0).alias("enabled"), F.lit("FULL").alias("processing_mode"),
+    )
+    return chosen(j, status="ACTIVE", category="BUILDING", publisher="x", mode="FULL").select("c_custkey", "c_name")
+
+
+@query("""SELECT c_custkey, CAST(least(c_custkey % 900, CASE c_custkey % 4 WHEN 3 THEN 0 ELSE 500 END) AS INT) AS budget, CASE WHEN c_custkey % 4 = 3 THEN 'NONE' WHEN c_custkey % 900 > 250 THEN 'LIMITED' ELSE 'INLINE_ALL' END AS projection, c_custkey % 4 = 3 AS suspended FROM customer""")
+def source_budget(t) -> DataFrame:
+    from recordloom.functions.rules import weights
+    from recordloom.plans.policy import MODES, ProcessingPolicy
+
+    k = F.col("c_custkey")
+    mode = _pick(list(MODES), k)
+    n = (k % 900).cast("int")
+    limit = F.try_element_at(weights(ProcessingPolicy().source_limits_by_mode), mode)
+    shown = F.when(mode == "SUSPENDED", "NONE").when(n > 250, "LIMITED").otherwise("INLINE_ALL")
+    return t("customer").select("c_custkey", F.least(n, limit).alias("budget"), shown.alias("projection"), (mode == "SUSPENDED").alias("suspended"))
