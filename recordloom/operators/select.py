@@ -157,7 +157,8 @@ def final_blocks(records: DataFrame, selected: DataFrame, context: DataFrame, po
         for r in pdf[pdf["ordinal"].notna()].sort_values("ordinal").itertuples():
             state.take(r)
         left = pdf[pdf["ordinal"].isna()]
-        return pd.DataFrame({"record_key": left["record_key"], "block": [state.block(r, p.topic_hard_caps[mode], True) or "GLOBAL_MONTHLY_SOFT_CEILING" for r in left.itertuples()]})
+        out = [(r.record_key, state.block(r, p.topic_hard_caps[mode], True) or "GLOBAL_MONTHLY_SOFT_CEILING") for r in left.itertuples()]
+        return pd.DataFrame(out, columns=["record_key", "block"], dtype=object)
 
     return marked.groupBy("journal_slug").applyInPandas(journal, "record_key string, block string")
 
@@ -186,7 +187,8 @@ def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> Dat
             else:
                 titles.append(t)
                 why.append("ABSTRACT_STRUCTURAL_REVIEW")
-        return pdf[["journal_slug", "record_key", "round", "top_score", "top_percentile"]].assign(reason=why)
+        out = [(r.journal_slug, r.record_key, r.round, r.top_score, r.top_percentile, w) for r, w in zip(pdf.itertuples(), why, strict=True)]
+        return pd.DataFrame(out, columns=["journal_slug", "record_key", "round", "top_score", "top_percentile", "reason"])
 
     marked = ranked.select("journal_slug", "record_key", "processing_mode", "round", "top_score", "top_percentile", "tokens").groupBy("journal_slug").applyInPandas(journal, "journal_slug string, record_key string, round int, top_score double, top_percentile double, reason string")
     order = Window.orderBy("round", F.desc("top_score"), F.desc("top_percentile"), "journal_slug")
