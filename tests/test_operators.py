@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.operators import caps, checks, classify, identity, joins, merge, publish, rank, select, signals
+from recordloom.operators import caps, checks, classify, graph, identity, joins, merge, publish, rank, select, signals
 from recordloom.operators.graph import connected_components
 from recordloom.plans.policy import EvaluationPolicy, PolicyError, ReviewPolicy, ShortlistPolicy, TriagePolicy
 
@@ -35,7 +35,9 @@ def test_transitive_chain_and_dates(spark):
     assert r[0]["publication_date"] == dt.date(2026, 8, 13) and r[0]["publication_date_precision"] == "DAY"
 
 
-def test_components_are_union_finds(spark):
+@pytest.mark.parametrize("least", [graph.LEAST_HUB, 2])
+def test_components_are_union_finds(spark, monkeypatch, least):
+    monkeypatch.setattr(graph, "LEAST_HUB", least)
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(3, 3), (None, 4)]
     parent = {}
