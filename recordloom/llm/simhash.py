@@ -106,7 +106,8 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, words: int = WORDS, seed:
     parts = cut(connected_components(links(posted, _linker(bits))))
     named = parts.join(classes, parts["node"] == classes["fp"]).select("component", "first")
     lowest = parts.join(named.groupBy("component").agg(F.min("first").alias("low")), "component").select(F.col("node").alias("fp"), "low")
-    of = classes.join(lowest, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
+    # Written, so that the join deals both sides anew and Spark can split the tasks of a fingerprint that a third of the rows hold.
+    of = cut(classes.join(lowest, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")))
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
