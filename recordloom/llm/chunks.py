@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.tables import table
+from recordloom.plans.lineage import cut
 
 RADIUS, LONGEST, WORDS = 16, 2048, 24
 _GEAR = np.random.default_rng(20_240_229).integers(0, 2**32, 256, dtype=np.uint32)
@@ -115,7 +116,8 @@ def repeated_spans(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) ->
     under one doc_id count as one document; null and empty texts have no spans.
     """
     chunks = chunk_rows(docs, radius)
-    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first")
+    # Written, so that the join deals both sides anew and Spark can split the tasks of a digest that a third of the rows hold.
+    shared = cut(chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first"))
     hit = chunks.join(shared, "digest").select("doc_id", "start", "end", "words", "first").distinct()
     order = Window.partitionBy("doc_id").orderBy("start", "end")
     marked = hit.withColumn("fresh", F.coalesce((F.lag("end").over(order) < F.col("start")).cast("int"), F.lit(1)))
