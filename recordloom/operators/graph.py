@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from recordloom.plans.lineage import cut
 
 MAX_ROUNDS, HUBS, LEAST_HUB = 60, 50_000, 1000
+LEAST_FILES, EDGES_A_FILE = 8, 200_000
 
 
 def _with_lowest(ends: DataFrame, edges: int) -> DataFrame:
@@ -33,10 +34,12 @@ def _large_star(edges: DataFrame, n: int) -> DataFrame:
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame, n: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
+    # A node's smaller neighbours are few after a large-star step: no hubs here.
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    moved = _with_lowest(down, n)
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(moved.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -51,8 +54,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     for _ in range(MAX_ROUNDS):
         if mark[0] == 0:
             break
-        # A round never adds edges, so the count before it bounds every step's.
-        e = cut(_small_star(_large_star(e, mark[0]), mark[0]))
+        # A round never adds edges, so the count before it bounds every step's, and says how many files they need.
+        e = cut(_small_star(_large_star(e, mark[0])).coalesce(max(LEAST_FILES, mark[0] // EDGES_A_FILE)))
         now = measure(e)
         if now == mark:
             break
