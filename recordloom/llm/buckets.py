@@ -30,10 +30,11 @@ def spread(ids: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> tu
     """Links that span the parts of a bucket.
 
     ``near(i, others)`` says which positions ``others`` link with position i.
-    Members that a part has claimed aren't compared with each other, so a
-    bucket of near copies takes about one pass.
+    A part's links all lead to its smallest id. Members that a part has claimed
+    aren't compared with each other, so a bucket of near copies takes about one
+    pass.
     """
-    left, a, b = np.arange(len(ids)), [], []
+    left, a, b = np.argsort(ids, kind="stable"), [], []
     while len(left) > 1:
         start, left = left[0], left[1:]
         wait = [start]
