@@ -35,7 +35,7 @@ def _large_star(edges: DataFrame, n: int) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    # A node's smaller neighbours are few after a large-star step: no hubs here.
+    # Links that lead to a part's smallest node leave no node with many smaller neighbours here.
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
