@@ -299,7 +299,7 @@ def _by_source(t) -> DataFrame:
 
 @query()
 def review_selection(t) -> DataFrame:
-    """W09-like turns over sources; tests hold it against a sequential model."""
+    """Turns over sources, best first; a unit test pins a small case."""
     return select.review_selection(_by_source(t), ReviewPolicy()).withColumn("ordinal", F.coalesce("ordinal", F.lit(0)))
 
 
