@@ -1,15 +1,15 @@
-"""Substring dedup by content-defined chunks of a gear rolling hash.
-
-The gear hash at a byte depends on that byte and the 15 before it alone. A cut
-falls where the hash is the smallest within ``RADIUS`` bytes to either side, so
-every boundary depends on nearby bytes only: chunks of ``RADIUS`` to about
-four times as many bytes, the same wherever the same passage stands, whatever was
-inserted before it. Chunks are deduplicated by digest, and a run of adjacent
-chunks that stand in other documents too is a repeated passage.
-
-Up to 80 bytes at the ends of a passage can belong to chunks that reach
-beyond it, so a run of ``WORDS`` words in whole chunks stands for a passage of
-more than 50 words.
+"""Substring dedup by content-defined seeds, held against each other window by window.
+
+A repeated passage is ``WORDS`` words or more that stand byte by byte in another
+document too. Each window of so many words takes as its seed the smallest hash
+of the word grams within it, the last of equal ones. What a window takes depends
+on its own bytes alone, so a window that two documents share has the same seed
+in both, whatever stands around it and however periodic it is: no passage is
+missed. Windows in a row that take one seed are a unit.
+
+Seeds that only one document holds drop out. Where all holders of a seed hold
+the same unit, its windows are shared; else the windows of the differing units
+are compared by digest, once a unit, so that a passage ends where it truly does.
 """
 
 from __future__ import annotations
@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from recordloom.llm.tables import table
 from recordloom.plans.lineage import cut
 
-RADIUS, LONGEST, WORDS = 16, 2048, 24
+RADIUS, LONGEST, WORDS = 16, 2048, 51
 _GEAR = np.random.default_rng(20_240_229).integers(0, 2**32, 256, dtype=np.uint32)
+_MIX = np.random.default_rng(20_240_301).integers(0, 2**64, 256, dtype=np.uint64)
+_BASE = 0xD6E8FEB86659FD93
+_POWERS = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -65,68 +68,162 @@ def cuts(data: np.ndarray, radius: int = RADIUS, longest: int = LONGEST) -> np.n
     return ends.astype(np.int64)
 
 
-def _word_starts(data: np.ndarray) -> np.ndarray:
+def gram(words: int) -> int:
+    """The length of a seed in words: a third of the passage's, so that few seeds are taken and few of them meet by chance."""
+    return max(1, words // 3)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hash's base and of its inverse."""
+    global _POWERS
+    if len(_POWERS[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        inverse = pow(_BASE, -1, 2**64)
+        _POWERS = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, v, np.uint64))]) for v in (_BASE, inverse))
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def units(data: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, seed, starts, stops): runs of windows that take the same seed.
+
+    Window i holds the words i to i + words - 1; ``starts`` and ``stops`` are the
+    words' bounds in bytes. Unit j is the windows first[j] to last[j].
+    """
     space = (data == 32) | ((data >= 9) & (data <= 13))
-    start = ~space
-    start[1:] &= space[:-1]
-    return np.concatenate([[0], np.cumsum(start)])
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    n = len(starts) - words + 1
+    if n < 1:
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, np.uint64), starts, stops
+    up, down = _powers(len(data))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_MIX[data] * up)])
+    k = gram(words)
+    g = (sums[stops[k - 1:]] - sums[starts[:len(starts) - k + 1]]) * down[starts[:len(starts) - k + 1]]
+    g = (g ^ (g >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    g ^= g >> np.uint64(32)
+    # The smallest of the words - k + 1 hashes from each on, the last of equal ones.
+    low, at, width = g, np.arange(len(g)), 1
+    while width < words - k + 1:
+        step = min(width, words - k + 1 - width)
+        later = low[step:] <= low[:-step]
+        low, at = np.where(later, low[step:], low[:-step]), np.where(later, at[step:], at[:-step])
+        width += step
+    fresh = np.flatnonzero(at[1:] != at[:-1]) + 1
+    first, last = np.concatenate([[0], fresh]), np.concatenate([fresh, [n]]) - 1
+    return first, last, g[at[first]], starts, stops
 
 
-def chunk_rows(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rows (doc_id, start, end, words, digest) of each text's chunks, in bytes; null and empty texts, and texts without a doc_id, have none."""
-    source = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("doc_id IS NOT NULL AND length(text) > 0")
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("doc_id IS NOT NULL AND length(text) > 0")
+
+
+def unit_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """Rows (doc_id, start, end, word, n, seed, digest) of each text's units: bytes, first word and number of words."""
+    source = _texts(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            ids, starts, ends, words, digests = [], [], [], [], []
-            held = 0
+            made, held = [], 0
             for i, text in enumerate(batch.column(1)):
                 raw = text.as_buffer()
-                data = np.frombuffer(raw, np.uint8)
-                e = cuts(data, radius)
-                s = np.concatenate([[0], e[:-1]])
-                w = _word_starts(data)
-                view = memoryview(raw)
-                hashed = xxhash.xxh3_64_intdigest
-                digests.append(np.array([hashed(view[a:b]) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.uint64))
-                ids.append(np.full(len(e), i))
-                starts.append(s)
-                ends.append(e)
-                words.append(w[e] - w[s])
-                held += len(e)
+                first, last, seed, starts, stops = units(np.frombuffer(raw, np.uint8), words)
+                s, e = starts[first], stops[last + words - 1]
+                view, hashed = memoryview(raw), xxhash.xxh3_64_intdigest
+                digest = np.fromiter((hashed(view[a:b]) for a, b in zip(s.tolist(), e.tolist(), strict=True)), np.uint64, len(s))
+                made.append((np.full(len(s), i), s, e, first, last - first + words, seed, digest))
+                held += len(s)
                 if held > 100_000 or i == batch.num_rows - 1:
+                    ids, *spans, seeds, digests = (np.concatenate(c) for c in zip(*made, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(words), pa.int32()), pa.array(np.concatenate(digests).view(np.int64))],
-                        names=["doc_id", "start", "end", "words", "digest"],
+                        [batch.column(0).take(pa.array(ids)), *(pa.array(c, pa.int32()) for c in spans), pa.array(seeds.view(np.int64)), pa.array(digests.view(np.int64))],
+                        names=["doc_id", "start", "end", "word", "n", "seed", "digest"],
                     )
-                    ids, starts, ends, words, digests, held = [], [], [], [], [], 0
+                    made, held = [], 0
+
+    return source.mapInArrow(run, f"doc_id {kind}, start int, end int, word int, n int, seed long, digest long")
+
+
+def window_rows(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
+    """Rows (digest, first, last, start, end, word, window) of the windows of the units that ``wanted`` (doc_id, units) names.
+
+    ``units`` holds (digest, last) of units that the document is the first to
+    hold; start, end and word count from the unit's start.
+    """
+    source = _texts(docs).join(wanted, "doc_id").select("doc_id", "text", F.col("units.digest").alias("digests"), F.col("units.last").alias("lasts"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for whole in batches:
+            for batch in (whole.slice(at, 100) for at in range(0, whole.num_rows, 100)):
+                from_row, lasts, made = [], [], []
+                offset = 0
+                for i in range(batch.num_rows):
+                    raw = batch.column(1)[i].as_buffer()
+                    digests = batch.column(2)[i].as_py()
+                    place = {d: offset + j for j, d in enumerate(digests)}
+                    offset += len(digests)
+                    lasts.append(batch.column(3)[i].values)
+                    first, last, _, starts, stops = units(np.frombuffer(raw, np.uint8), words)
+                    view, hashed = memoryview(raw), xxhash.xxh3_64_intdigest
+                    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+                        s = int(starts[a])
+                        digest = _signed(hashed(view[s:int(stops[b + words - 1])]))
+                        where = place.pop(digest, None)
+                        if where is None:
+                            continue
+                        for w in range(a, b + 1):
+                            x, y = int(starts[w]), int(stops[w + words - 1])
+                            from_row.append((i, where))
+                            made.append((digest, x - s, y - s, w - a, _signed(hashed(view[x:y]))))
+                if made:
+                    digest, start, end, word, window = zip(*made, strict=True)
+                    row, where = zip(*from_row, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(digest, pa.int64()), batch.column(0).take(pa.array(row)), pa.concat_arrays(lasts).take(pa.array(where)), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(word, pa.int32()), pa.array(window, pa.int64())],
+                        names=["digest", "first", "last", "start", "end", "word", "window"],
+                    )
+
+    return source.mapInArrow(run, f"digest long, first {kind}, last {kind}, start int, end int, word int, window long")
+
 
-    return source.mapInArrow(run, f"doc_id {kind}, start int, end int, words int, digest long")
+def _signed(h: int) -> int:
+    return h - 2**64 if h >= 2**63 else h
 
 
-def repeated_spans(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+def repeated_spans(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Rows (doc_id, start, end, words, first_doc_id, kept) of passages that repeat across documents.
 
-    A span is a longest run of adjacent chunks each of which stands in another
-    document too, with ``words`` words or more; offsets are UTF-8 bytes.
-    first_doc_id is the smallest doc_id that holds one of its chunks, and
-    ``kept`` says that this document is the first for all of them, so that
-    dropping the other spans leaves one copy of everything. Texts repeated
-    under one doc_id count as one document; null and empty texts have no spans.
+    A span is a longest run of overlapping windows of ``words`` words each of
+    which stands in another document too, so it begins and ends with the first
+    and last whole word that do; offsets are UTF-8 bytes. first_doc_id is the
+    smallest doc_id that holds one of its windows, and ``kept`` says that this
+    document is the first for all of them. Texts repeated under one doc_id
+    count as one document; null and empty texts have no spans.
     """
-    chunks = chunk_rows(docs, radius)
-    # Written, so that the join deals both sides anew and Spark can split the tasks of a digest that a third of the rows hold.
-    shared = cut(chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first"))
-    hit = chunks.join(shared, "digest").select("doc_id", "start", "end", "words", "first").distinct()
+    # Nothing below counts rows, so what texts under one doc_id repeat needs no distinct.
+    every = unit_rows(docs, words)
+    seeds = cut(every.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), (F.min("digest") < F.max("digest")).alias("several")).filter("lo < hi").select("seed", "lo", "several"))
+    hit = cut(every.join(seeds, "seed").select("doc_id", "start", "end", "word", "n", "digest", "lo", "several"))
+    # All that hold the seed hold it in the same unit: every window of it is shared.
+    whole = hit.filter("not several").select("doc_id", "start", "end", "word", "n", F.col("lo").alias("first"))
+    # Else the first holder of each unit shows its windows, to be compared with those of other units.
+    holders = hit.filter("several").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    windows = cut(window_rows(docs, holders.groupBy("doc_id").agg(F.collect_list(F.struct("digest", "last")).alias("units")), words))
+    shared = cut(windows.groupBy("window").agg(F.min("first").alias("lo"), F.max("last").alias("hi")).filter("lo < hi").select("window", "lo"))
+    # A unit's windows all hold its seed and so overlap: those that are shared make one stretch.
+    part = cut(windows.join(shared, "window").groupBy("digest").agg(F.min("start").alias("from"), F.max("end").alias("to"), F.min("word").alias("skip"), (F.max("word") + words).alias("until"), F.min("lo").alias("first")))
+    parts = hit.filter("several").join(part, "digest").select("doc_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"), (F.col("word") + F.col("skip")).alias("word"), (F.col("until") - F.col("skip")).alias("n"), "first")
     order = Window.partitionBy("doc_id").orderBy("start", "end")
-    marked = hit.withColumn("fresh", F.coalesce((F.lag("end").over(order) < F.col("start")).cast("int"), F.lit(1)))
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = whole.unionByName(parts).withColumn("fresh", F.coalesce((before < F.col("start")).cast("int"), F.lit(1)))
     runs = marked.withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max(F.col("word") + F.col("n")) - F.min("word")).alias("words"),
         F.min("first").alias("first_doc_id"), F.min(F.col("first") == F.col("doc_id")).alias("kept"),
     )
-    return spans.filter(F.col("words") >= words).select("doc_id", "start", "end", "words", "first_doc_id", "kept")
+    return spans.select("doc_id", "start", "end", F.col("words").cast("long").alias("words"), "first_doc_id", "kept")
 
 
 def by_document(spans: DataFrame) -> DataFrame:
@@ -139,13 +236,13 @@ def by_document(spans: DataFrame) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+def deduplicate(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` with every repeated passage cut from all texts but the first that holds it.
 
     Columns stay as they are; other rows' texts are untouched. A cut inside
     a character keeps no part of it.
     """
-    drop = repeated_spans(docs, words, radius).filter("not kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__drop"))
+    drop = repeated_spans(docs, words).filter("not kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__drop"))
 
     @F.pandas_udf("string")
     def without(text, spans):

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 
@@ -66,3 +67,47 @@ def test_deduplicated_texts_keep_one_copy(spark):
     before = dict(docs)
     assert all(out[i]["text"] == before[i] for i in before if not 20 <= i < 40)
     assert all(len(out[i]["text"]) < len(before[i]) - 150 for i in range(20, 40))
+
+
+def windows_by_brute_force(docs, words):
+    """Spans of words whose windows of so many words another document holds, and their first holder."""
+    own, held = {}, {}
+    for d, t in docs:
+        raw = (t or "").encode()
+        at = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t-\r]+", raw)]
+        own[d] = [(at[i][0], at[i + words - 1][1]) for i in range(len(at) - words + 1)]
+        for a, b in own[d]:
+            held.setdefault(raw[a:b], set()).add(d)
+    found = set()
+    for d, t in docs:
+        spans = []
+        for a, b in own[d]:
+            who = held[(t or "").encode()[a:b]]
+            if len(who) > 1:
+                if spans and a <= spans[-1][1]:
+                    spans[-1] = (spans[-1][0], b, min(spans[-1][2], min(who)))
+                else:
+                    spans.append((a, b, min(who)))
+        found |= {(d, a, b, len((t or "").encode()[a:b].split()), f, f == d) for a, b, f in spans}
+    return found
+
+
+def edges():
+    """Passages of 50 and of 51 words, short words, periods, overlaps, and one within larger ones."""
+    rng = random.Random(11)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    tiny = " ".join(rng.choice("abcdefgh") for _ in range(51))
+    p, q, r = fresh(51), fresh(50), fresh(140)
+    w = r.split()
+    texts = [f"{fresh(9)} {x} {fresh(30)}" for x in (tiny, tiny, p, p, q, q, "the " * 60 + "end", "the " * 75 + "end", "Dieerauchbe " * 300, "Dieerauchbe " * 400)]
+    texts += [r, f"{fresh(5)} {' '.join(w[:60])} {fresh(70)} {' '.join(w[60:])}", f"{fresh(3)} {' '.join(w[20:75])}", f"{' '.join(w[70:130])}\n{fresh(4)}", f"{' '.join(w[:40])} {fresh(2)} {' '.join(w[40:80])}", "ä ö ü " * 30, "x ä ö ü " + "ä ö ü " * 30, "\n" + p + "\t", None, " "]
+    return list(enumerate(texts))
+
+
+def test_spans_reach_the_true_ends(spark):
+    docs = edges()
+    for words in (51, 7, 1):
+        found = {tuple(x) for x in chunks.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string"), words).select("doc_id", "start", "end", "words", "first_doc_id", "kept").collect()}
+        assert found == windows_by_brute_force(docs, words)
+    ids = {r["doc_id"] for r in chunks.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {0, 1, 2, 3, 6, 7, 8, 9} <= ids and not {4, 5} & ids
