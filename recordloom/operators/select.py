@@ -198,33 +198,50 @@ def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> Dat
     return counted.withColumn("ordinal", F.when(~late & (taken == 1), F.col("before") + 1)).withColumn("reason", F.when(late, "FULLTEXT_GLOBAL_TARGET_OR_RELATIVE_PRIORITY").otherwise(F.col("reason"))).select("journal_slug", "record_key", "ordinal", "reason")
 
 
-def first_shortlist(rows: DataFrame, target: int = 48, journal_caps: tuple = (4, 8, 2, 0), path_cap: int = 12, near: float = 0.72, most: int = 5000) -> DataFrame:
-    """The older selection, whose path caps join journals: one pass in order over a bounded candidate set.
+def first_shortlist(rows: DataFrame, target: int = 48, journal_caps: tuple = (4, 8, 2, 0), path_cap: int = 12, near: float = 0.72, batch: int = 100) -> DataFrame:
+    """One greedy pass in order of place over all rows, under journal caps, path caps and near-duplicate titles.
 
-    Rows (record_key, journal_slug, processing_mode, primary_path, tokens, place); the best ``most`` by place
-    are played in one task, which its caps make far more than it can use. Adds ordinal.
+    Rows (record_key, journal_slug, processing_mode, primary_path, tokens, place); ``place`` is anything that
+    can be ordered. Gives record_key and ordinal. A row that is blocked once stays so, as caps only fill and
+    titles are only added: so the ``batch`` best rows that what is taken doesn't block are played on the driver,
+    then the next best of all others, until the target is met or no row is left.
+
+    Part of the reference's selection alone: category and path floors, topic caps, soft and hard passes,
+    round robin and reserve backfill aren't built.
     """
+    from recordloom.plans.lineage import cut
     from recordloom.plans.policy import MODES
 
     caps = dict(zip(MODES, journal_caps, strict=True))
-
-    def play(pdf: pd.DataFrame) -> pd.DataFrame:
-        by_journal: Counter = Counter()
-        by_path: Counter = Counter()
-        titles: dict[str, list] = {}
-        out = []
-        for r in pdf.sort_values("place").itertuples():
-            t = frozenset(r.tokens)
-            held = titles.setdefault(r.journal_slug, [])
-            if len(out) >= target:
-                break
-            if by_journal[r.journal_slug] >= caps.get(r.processing_mode, 0) or by_path[r.primary_path] >= path_cap or any(_similar(t, x) >= near for x in held):
-                continue
-            by_journal[r.journal_slug] += 1
-            by_path[r.primary_path] += 1
-            held.append(t)
-            out.append((r.record_key, len(out) + 1))
-        return pd.DataFrame(out, columns=["record_key", "ordinal"])
-
-    bounded = rows.orderBy("place").limit(most).select("record_key", "journal_slug", "processing_mode", "primary_path", "tokens", "place")
-    return bounded.withColumn("__one", F.lit(1)).groupBy("__one").applyInPandas(play, "record_key string, ordinal int")
+    by_journal: Counter = Counter()
+    by_path: Counter = Counter()
+    titles: dict = {}
+    taken: dict = {}
+
+    def blocked(row, journal, mode, path, tokens) -> bool:
+        t = frozenset(() if tokens is None else tokens)
+        return row in taken or by_journal[journal] >= caps.get(mode, 0) or by_path[path] >= path_cap or any(_similar(t, x) >= near for x in titles.get(journal, ()))
+
+    def free():
+        # Made anew each round: a function is pickled once, with what was taken by then.
+        @F.pandas_udf("boolean")
+        def one(row: pd.Series, journal: pd.Series, mode: pd.Series, path: pd.Series, tokens: pd.Series) -> pd.Series:
+            return pd.Series([not blocked(*r) for r in zip(row, journal, mode, path, tokens, strict=True)], dtype=bool)
+
+        return one
+
+    seen = ("__row", "journal_slug", "processing_mode", "primary_path", "tokens")
+    # Written, so that each round finds the same rows under the same numbers.
+    held = cut(rows.select("record_key", *seen[1:], "place").withColumn("__row", F.monotonically_increasing_id()))
+    while len(taken) < target:
+        best = held.filter(free()(*seen)).orderBy("place", "__row").limit(batch).select("record_key", *seen).collect()
+        for r in best:
+            if len(taken) < target and not blocked(*(r[c] for c in seen)):
+                by_journal[r["journal_slug"]] += 1
+                by_path[r["primary_path"]] += 1
+                titles.setdefault(r["journal_slug"], []).append(frozenset(r["tokens"] or ()))
+                taken[r["__row"]] = r["record_key"]
+        if len(best) < batch:
+            break
+    kind = held.schema["record_key"].dataType.simpleString()
+    return rows.sparkSession.createDataFrame([(k, i) for i, k in enumerate(taken.values(), 1)], f"record_key {kind}, ordinal int")

@@ -305,11 +305,9 @@ def review_selection(t) -> DataFrame:
 
 @query()
 def first_shortlist(t) -> DataFrame:
-    """The older selection over the best candidates by length."""
-    from pyspark.sql import Window
-
-    best = _by_source(t).orderBy(F.desc("n_chars"), "doc_id").limit(5000)  # the operator's own bound
-    return select.first_shortlist(best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n_chars"), "doc_id"))))
+    """The older selection over all documents, the longest first."""
+    place = F.struct(F.col("n_chars").isNull().alias("unknown"), (-F.col("n_chars")).alias("chars"), "doc_id")
+    return select.first_shortlist(_by_source(t).withColumn("place", place))
 
 
 @query("""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import caps, checks, classify, graph, identity, joins, merge, publish, rank, select, signals
 from recordloom.operators.graph import connected_components
-from recordloom.plans.policy import EvaluationPolicy, PolicyError, ReviewPolicy, ShortlistPolicy, TriagePolicy
+from recordloom.plans.policy import MODES, EvaluationPolicy, PolicyError, ReviewPolicy, ShortlistPolicy, TriagePolicy
 
 ARTICLE = (
     "idx int, title string, journal string, publication_date date, publication_date_precision string, doi string, pmid string, pmcid string, issns array<string>, authors array<string>, "
@@ -259,3 +259,23 @@ def test_policies():
     for bad in (lambda: TriagePolicy(fetch=60).check(), lambda: ShortlistPolicy(bands=((50.0, 1.0),)).check(), lambda: ReviewPolicy(journal_caps={"FULL": 1}).check(), lambda: EvaluationPolicy(target=-1).check()):
         with pytest.raises(PolicyError):
             bad()
+
+
+@pytest.mark.parametrize("batch", [1, 7, 1000])
+def test_first_shortlist_reaches_rows_behind_a_hot_journal(spark, batch):
+    rng = random.Random(4)
+    hot = 5200 if batch == 1000 else 60
+    rows = [(str(i), "hot", "FULL", "hot", [f"h{i}", f"g{i}"], i) for i in range(hot)]
+    rows += [(str(hot + i), rng.choice("abcdef"), rng.choice(["FULL", "SELECTIVE", "SUSPENDED", None]), rng.choice(["x", "y", "z", None]), rng.sample("pqrstu", 3) if i % 9 else None, hot + i) for i in range(80)]
+    modes = dict(zip(MODES, (4, 8, 2, 0), strict=True))
+    want, journals, paths, titles = [], {}, {}, {}
+    for key, j, m, p, t, _ in rows:
+        t = set(t or ())
+        near = any(t and x and len(t & x) / len(t | x) >= 0.72 for x in titles.get(j, []))
+        if len(want) < 20 and journals.get(j, 0) < modes.get(m, 0) and paths.get(p, 0) < 12 and not near:
+            want.append(key)
+            journals[j], paths[p] = journals.get(j, 0) + 1, paths.get(p, 0) + 1
+            titles.setdefault(j, []).append(t)
+    df = spark.createDataFrame(rows, "record_key string, journal_slug string, processing_mode string, primary_path string, tokens array<string>, place long")
+    got = [r["record_key"] for r in select.first_shortlist(df, target=20, batch=batch).orderBy("ordinal").collect()]
+    assert got == want and len(want) > 5
