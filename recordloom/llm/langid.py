@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from recordloom.llm.sampling import _STEPS, fold
 from recordloom.llm.tables import map_texts, table
 
-#: Hashed bins; training texts taken for a language; languages at most (the most frequent, then by name); centroids for each.
-BINS, SAMPLE, LANGUAGES, CENTROIDS = 4096, 400, 64, 3
+#: Hashed bins; training texts taken for a language; centroids for each.
+BINS, SAMPLE, CENTROIDS = 4096, 400, 3
 #: Share of a language's training texts that lie beyond its limit of distance.
 REJECTED = 0.005
 #: Bytes counted at a time.
@@ -52,24 +52,30 @@ def _unit(x: np.ndarray) -> np.ndarray:
 class Model:
     """Centroids (rows), the language of each, IDF weights, and each language's least cosine."""
 
-    def __init__(self, tf: np.ndarray, langs: list[str]) -> None:
+    def __init__(self, texts: list[tuple[np.ndarray, np.ndarray]], langs: list[str]) -> None:
+        """From each text's non-empty bins and their counts; only one language's texts are dense at a time."""
         self.languages = sorted(set(langs))
-        of = np.array([self.languages.index(x) for x in langs])
-        self.idf = np.log((1 + len(tf)) / (1 + (tf > 0).sum(0))) + 1
-        x = self.vectors(tf)
+        of: dict[str, list] = {k: [] for k in self.languages}
+        seen = np.zeros(BINS, np.int64)
+        for text, lang in zip(texts, langs, strict=True):
+            of[lang].append(text)
+            seen[text[0]] += 1
+        self.idf = np.log((1 + len(texts)) / (1 + seen)) + 1
         rng = np.random.default_rng(4)
-        rows, owner = [], []
-        for k in range(len(self.languages)):
-            own = x[of == k]
+        rows, owner, least = [], [], []
+        for k, lang in enumerate(self.languages):
+            tf = np.zeros((len(of[lang]), BINS), np.float32)
+            for i, (bins, n) in enumerate(of[lang]):
+                tf[i, bins] = n
+            own = self.vectors(tf)
             c = own[rng.permutation(len(own))[:CENTROIDS]]
             for _ in range(12):
                 near = (own @ c.T).argmax(1)
                 c = _unit(np.stack([own[near == j].sum(0) if (near == j).any() else c[j] for j in range(len(c))]))
             rows.append(c)
             owner += [k] * len(c)
-        self.centroids, self.owner = np.concatenate(rows), np.array(owner)
-        best = self.cosines(x)[np.arange(len(x)), of]
-        self.least = np.array([np.quantile(best[of == k], REJECTED) for k in range(len(self.languages))])
+            least.append(np.quantile((own @ c.T).max(1), REJECTED))
+        self.centroids, self.owner, self.least = np.concatenate(rows), np.array(owner), np.array(least)
 
     def vectors(self, tf: np.ndarray) -> np.ndarray:
         return _unit(np.log1p(tf) * self.idf)
@@ -89,15 +95,15 @@ class Model:
         return self.languages[k], float(1 / share.sum()), bool(cos[k] < self.least[k])
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model | None:
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from documents with a language; None where there are none.
 
-    For each language at most about ``sample`` texts are taken, by a hash of
-    doc_id, and their counts alone reach the driver: at most
+    Every language that occurs is fitted. Of each at most about ``sample`` texts
+    are taken, by a hash of doc_id, and their counts alone reach the driver:
     sample x languages rows of non-empty bins.
     """
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    n = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    n = known.groupBy("lang").count().collect()
     if not n:
         return None
     limits = F.create_map(*(x for r in n for x in (F.lit(r["lang"]), F.lit(int(_STEPS * min(1.0, sample / r["count"]))))))
@@ -115,10 +121,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Mo
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["bins"], r["n"]))
-    tf = np.zeros((len(rows), BINS), np.float32)
-    for i, r in enumerate(rows):
-        tf[i, r["bins"]] = r["n"]
-    return Model(tf, [r["lang"] for r in rows])
+    return Model([(np.array(r["bins"], np.int32), np.array(r["n"], np.int64)) for r in rows], [r["lang"] for r in rows])
 
 
 def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -88,3 +88,14 @@ def test_cases(spark, learned):
     assert all(lang[i]["lang_pred"] == "und" for i in (0, 1, 2)) and (lang[4]["lang_pred"] == "en") is learned
     for empty in (quality.scored(cases.nothing(spark), quality.Gam(np.zeros((1, len(quality.FEATURES))), np.array([]))), langid.predict(cases.nothing(spark), None)):
         assert empty.count() == 0
+
+
+def test_every_language_is_fitted(spark):
+    rng = np.random.default_rng(6)
+    words = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for k in range(70)}
+    rows = [(i, " ".join(rng.choice(words[lang], 60)), lang) for i, lang in enumerate(x for x in words for _ in range(4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == sorted(words)
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()}
+    assert all(found[i] == lang for i, _, lang in rows)
