@@ -3,8 +3,8 @@
 Toxicity, SimHash near-dedup and benchmark decontamination drop documents,
 secret scans redact texts, and the last stage encodes what is left. A stage
 works on all its predecessor kept. Decisions are joined to the documents by
-doc_id, which names a document here; documents with no doc_id can't be told
-apart by the later stages and end at the second.
+doc_id and a hash of the text, null-safe, so that documents with no doc_id and
+different texts under one are documents of their own.
 """
 
 from __future__ import annotations
@@ -26,17 +26,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; of rows that share it, one."""
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    left = docs.join(kept, "doc_id")
+    """One document of each group: the smallest doc_id, none last, and of its texts the smallest hash."""
+    kind = docs.schema["doc_id"].dataType
+    name = F.struct(F.col("doc_id").isNull().alias("unknown"), F.coalesce("doc_id", F.lit("0").cast(kind)).alias("id"), F.xxhash64("text").alias("text"))
+    kept = simhash.near_duplicates(docs.select(name.alias("doc_id"), "text")).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    left = docs.withColumn("name", name).join(kept, "name")
     once = left.filter("rows = 1").select(*COLUMNS)
-    return once.unionByName(left.filter("rows > 1").select(*COLUMNS).dropDuplicates(["doc_id"]))
+    return once.unionByName(left.filter("rows > 1").dropDuplicates(["name"]).select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     bad = winnow.hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").filter("item_id is not null"))
-    return docs.join(bad.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    bad = bad.select(F.col("doc_id").alias("d"), "t").distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

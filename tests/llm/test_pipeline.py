@@ -38,3 +38,16 @@ def test_stages_stand_odd_rows(spark):
     assert len(ids) == len(set(ids)) and set(ids) == {0, 3, 4, 6, 7, 8, 9} | (set(ids) & {9})
     assert pipeline.redact_secrets(spark, docs, SF).count() == docs.count()
     assert pipeline.drop_contaminated(spark, docs, SF).count() == docs.count()
+
+
+def test_null_and_shared_ids_lose_no_clean_document(spark):
+    prose = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    planted = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 100").orderBy("item_id").first()["text"]
+    rows = [(None, prose(1)), (None, prose(2)), (7, prose(3)), (7, prose(4)), (1, prose(4)), (8, prose(5)), (8, prose(5)), (None, prose(6)), (None, prose(6)), (None, planted), (9, planted[::-1]), (9, planted + " ")]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    near = pipeline.drop_near_duplicates(spark, docs, SF)
+    got = [(r["doc_id"], r["text"]) for r in near.collect()]
+    clean = {(None, prose(1)), (None, prose(2)), (7, prose(3)), (1, prose(4)), (8, prose(5)), (None, prose(6)), (9, planted[::-1])}
+    assert len(got) == 8 and set(got) == clean | {(9, planted + " ")}
+    left = pipeline.drop_contaminated(spark, docs, SF).collect()
+    assert {r["text"] for r in left} == {prose(k) for k in range(1, 7)} | {planted[::-1]} and len(left) == 10
