@@ -1,13 +1,16 @@
-"""Benchmark decontamination by winnowing, in DataFrame operations alone.
-
-A window of ``WINDOW`` words holds ``WINDOW - GRAM + 1`` word k-grams; its
-fingerprint is the smallest of their hashes. Equal windows have equal
-fingerprints, so every shared span of a window or more meets in the join of
-training and test fingerprints. A hit is then extended to its whole window and
-compared word by word, and the words that hits cover are counted.
-
-Documents are read once for the join and once for their word counts; only hits
-are shuffled, and a document's hits are combined before that.
+r"""Benchmark decontamination by winnowing, in DataFrame operations alone.
+
+A window of ``WINDOW`` words holds ``WINDOW - GRAM + 1`` word k-grams and keeps
+the smallest of their hashes, the last of equal ones, as its fingerprint.
+Neighbouring windows mostly keep the same gram, so a text selects one
+fingerprint where the kept gram changes, about two for seven words. Equal
+windows keep equal grams, so every shared span of a window or more meets in the
+join of training and test fingerprints. A hit is extended to each window that
+can keep its gram, and those are compared word by word; the words that equal
+windows cover are counted.
+
+Documents are read and cut into words once. What leaves that pass is a row with
+a document's word count and its hits, and both are combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -21,81 +24,154 @@ from recordloom.llm.tables import table
 from recordloom.plans.lineage import cut
 
 WINDOW, GRAM = 10, 5
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Windows with their words are broadcast up to so many, fingerprints alone (16 bytes each) up to so many; beyond, both sides are shuffled.
-MAX_BROADCAST, MAX_PRINTS = 200_000, 2_000_000
+#: What parts words. Splitting is far cheaper in Spark than extracting every match of the words' own class.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Benchmark windows and their item lists are broadcast up to so many bytes; beyond, documents' hits are shuffled to them.
+MAX_BROADCAST = 64 << 20
+#: Fingerprints (8 bytes each) are broadcast up to so many.
+MAX_PRINTS = 2_000_000
 SALTS = 16
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD), F.lit(0))
+    """Words of a text: runs of a-z, 0-9 and what isn't ASCII, A-Z lowered."""
+    parts = F.split(F.coalesce(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit("")), GAP, -1)
+    lead, trail = ((F.get(parts, i) == "").cast("int") for i in (F.lit(0), F.size(parts) - 1))
+    return F.slice(parts, 1 + lead, F.greatest(F.size(parts) - lead - trail, F.lit(0)))
+
+
+def _hashed(df: DataFrame, *keep: Column | str) -> DataFrame:
+    return df.select(*keep, _words(F.col("text")).alias("w")).withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
 
 
-def _key(i: Column, size: int) -> Column:
-    return F.xxhash64(*(F.get("h", i + j) for j in range(size)))
+def _gram(at: Column, size: int) -> Column:
+    """The hash of ``size`` words from ``at`` on: their hashes, each turned by another number of bits."""
+    out = F.get("h", at)
+    for k in range(1, size):
+        x, bits = F.get("h", at + k), 13 * k % 64
+        out = out.bitwiseXOR(F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)))
+    return out
 
 
-def _print(size: int) -> Column:
+def _kept(size: int) -> Column:
     """The fingerprint of the window of ``size`` words at word ``i``."""
     gram = min(GRAM, size)
-    grams = [_key(F.col("i") + j, gram) for j in range(size - gram + 1)]
-    return F.least(*grams) if len(grams) > 1 else grams[0]
+    grams = [_gram(F.col("i") + j, gram) for j in range(size - gram + 1)]
+    return _not_zero(F.least(*grams) if len(grams) > 1 else grams[0])
 
 
-def _windows(words: DataFrame, size: int, *keep: str) -> DataFrame:
-    """Rows (keep, w, h, i, f) for each window of ``size`` words."""
-    at = words.filter(F.size("w") >= size).select(*keep, "w", "h", F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("i"))
-    return at.withColumn("f", _print(size))
+def _not_zero(x: Column) -> Column:
+    """0 marks what isn't selected, so it isn't a fingerprint."""
+    return F.when(x == 0, F.lit(1).cast("long")).otherwise(x)
 
 
-def _said(size: int) -> Column:
-    return F.array_join(F.slice("w", F.col("i") + 1, size), " ")
+def _selected(size: int) -> Column:
+    """The window's fingerprint where it keeps another gram than the window before it; else, and beyond the text, 0."""
+    i, gram = F.col("i"), min(GRAM, size)
+    inside = (i >= 0) & (i <= F.size("w") - size)
+    count = size - gram + 1
+    if count == 1:
+        return F.coalesce(F.when(inside, _not_zero(_gram(i, gram))), F.lit(0).cast("long"))
+    both = [_gram(i + j, gram) for j in range(count - 1)]
+    middle = F.least(*both) if len(both) > 1 else both[0]
+    old, new = _gram(i - 1, gram), _gram(i + count - 1, gram)
+    changed = (i == 0) | (new <= F.least(old, middle)) | (old < middle)
+    return F.coalesce(F.when(inside & changed, _not_zero(F.least(middle, new))), F.lit(0).cast("long"))
 
 
-def _hashed(df: DataFrame, *keep: Column | str) -> DataFrame:
-    with_words = df.select(*keep, _words(F.col("text")).alias("w"))
-    return with_words.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+def _said(size: int, at: Column | None = None) -> Column:
+    return F.array_join(F.slice("w", (F.col("i") if at is None else at) + 1, size), " ")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (size, f, key, said, items): each distinct window with the items that hold it."""
+    """Rows (size, f, said, items): each distinct window with its fingerprint and the items that hold it."""
     words = _hashed(benchmark, F.col("item_id").cast("string").alias("item"))
-    parts = [_windows(words, window, "item").select(F.lit(window).alias("size"), "f", _key(F.col("i"), window).alias("key"), _said(window).alias("said"), "item")]
-    for size in range(1, window):
-        short = words.filter(F.size("w") == size)
-        parts.append(_windows(short, size, "item").select(F.lit(size).alias("size"), "f", _key(F.col("i"), size).alias("key"), _said(size).alias("said"), "item"))
+    parts = []
+    for size in range(1, window + 1):
+        held = words.filter(F.size("w") >= size if size == window else F.size("w") == size)
+        at = held.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("w") - size)))
+        parts.append(at.select(F.lit(size).alias("size"), _kept(size).alias("f"), _said(size).alias("said"), "item"))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    return every.groupBy("size", "f", "key", "said").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return every.groupBy("size", "f", "said").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def selections(docs: DataFrame, sizes: list[int], *keep: Column | str) -> DataFrame:
+    """Rows (keep, w, i, f<size>...) of every word position; a row with i = -1 stands for the text itself."""
+    last = F.size("w") - min(sizes, default=1)
+    at = _hashed(docs, *keep).withColumn("i", F.explode(F.sequence(F.lit(-1), F.greatest(last, F.lit(-1)))))
+    return at.select(*(c for c in at.columns if c != "h"), *(_selected(s).alias(f"f{s}") for s in sizes))
+
+
+def _reach(size: int) -> int:
+    """How many windows after the one that selects a gram can keep it too."""
+    return size - min(GRAM, size)
+
+
+def _tally(rows: DataFrame) -> DataFrame:
+    """One row per (doc_id, t): how many rows the document has, its words, the spans that were hit and the items."""
+    return rows.groupBy("doc_id", "t").agg(
+        F.sum("rows").alias("rows"), F.max("n_words").alias("n_words"), F.collect_set("span").alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    )
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (doc_id, t, spans, items) for documents with hits; t is a hash of the text."""
+    """Rows (doc_id, t, spans, items), one for each doc_id and text that holds a window; t is a hash of the text."""
+    return tallies(docs, benchmark, window).filter(F.size("spans") > 0).select("doc_id", "t", "spans", "items")
+
+
+def tallies(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows (doc_id, t, rows, n_words, spans, items), one for each doc_id and text, hit or not."""
     wanted = cut(benchmark_windows(benchmark, window))
-    sizes = {r["size"]: r["n"] for r in wanted.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = sum(sizes.values()) <= MAX_BROADCAST
-    words = _hashed(docs, "doc_id", F.xxhash64("text").alias("t"))
-    found = None
-    for size in sorted(sizes):
-        there = wanted.filter(F.col("size") == size)
-        at = _windows(words, size, "doc_id", "t")
-        if sizes[size] <= MAX_PRINTS:
-            at = at.join(F.broadcast(there.select("f").distinct()), "f", "left_semi")
-        if small:
-            whole = there.select(F.col("key").alias("key2"), "said", "items")
-            near = at.withColumn("key", _key(F.col("i"), size))
-            same = near.join(F.broadcast(whole), (F.col("key") == F.col("key2")) & (_said(size) == F.col("said")))
+    cost = F.octet_length("said") + F.aggregate("items", F.lit(0), lambda acc, x: acc + F.octet_length(x))
+    found = {r["size"]: (r["n"], r["bytes"]) for r in wanted.groupBy("size").agg(F.count(F.lit(1)).alias("n"), F.sum(cost).alias("bytes")).collect()}
+    sizes = sorted(found)
+    light = sum(b + 64 * n for n, b in found.values()) <= MAX_BROADCAST
+    small = light and sum(n for n, _ in found.values()) <= MAX_PRINTS
+    at = selections(docs, sizes, "doc_id", F.xxhash64("text").alias("t"))
+    prints = {s: wanted.filter(F.col("size") == s).select(F.col("f").alias(f"p{s}")).distinct() for s in sizes}
+    if small:
+        for s in sizes:
+            at = at.join(F.broadcast(prints[s]), F.col(f"f{s}") == F.col(f"p{s}"), "left")
+        touched = {s: F.col(f"p{s}").isNotNull() for s in sizes}
+        far, wide = max(map(_reach, sizes), default=0), max((s + _reach(s) for s in sizes), default=0)
+        text_row = F.col("i") < 0
+        some = text_row
+        for hit in touched.values():
+            some = some | hit
+        # Only the words that a hit can reach leave the stage that reads a text, never the text with each of them.
+        near = at.filter(some).select("doc_id", "t", "i", F.size("w").alias("n_words"), *(f"p{s}" for s in sizes), F.slice("w", F.greatest(F.col("i"), F.lit(0)) + 1, wide).alias("w"))
+        near = near.withColumn("o", F.explode(F.sequence(F.lit(0), F.when(text_row, 0).otherwise(far)))).withColumn("n", F.explode(F.array(*map(F.lit, [0, *sizes]))))
+        fits = text_row & (F.col("n") == 0)
+        for s, hit in touched.items():
+            fits = fits | ((F.col("n") == s) & hit & (F.col("o") <= _reach(s)) & (F.col("i") + F.col("o") + s <= F.col("n_words")))
+        said = near.filter(fits).select(
+            "doc_id", "t", F.when(text_row, F.col("n_words")).cast("long").alias("n_words"),
+            F.when(F.col("n") > 0, F.struct((F.col("i") + F.col("o")).alias("i"), "n")).alias("span"), F.when(F.col("n") > 0, F.array_join(F.slice("w", F.col("o") + 1, F.col("n")), " ")).alias("words"),
+        )
+        same = said.join(F.broadcast(wanted.select("said", "items")), F.col("words") == F.col("said"), "left").filter("span is null or items is not null")
+        return _tally(same.select("doc_id", "t", F.col("span").isNull().cast("long").alias("rows"), "n_words", "span", "items"))
+    every = docs.select(
+        "doc_id", F.xxhash64("text").alias("t"), F.lit(1).cast("long").alias("rows"), F.size(_words(F.col("text"))).cast("long").alias("n_words"),
+        F.lit(None).cast("struct<i:int,n:int>").alias("span"), F.lit(None).cast("array<string>").alias("items"),
+    )
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    for s in sizes:
+        # Selected fingerprints alone meet first: by broadcast where they are few, else spread over SALTS tasks each.
+        one = at.filter(F.col(f"f{s}") != 0).select("doc_id", "t", "i", F.col(f"f{s}").alias("f"), F.slice("w", F.col("i") + 1, s + _reach(s)).alias("w"))
+        if found[s][0] <= MAX_PRINTS:
+            near = one.join(F.broadcast(prints[s]), F.col("f") == F.col(f"p{s}"), "left_semi")
         else:
-            # 128 further hash bits stand for the words, and a frequent window is spread over SALTS tasks.
-            near = at.select("doc_id", "t", "i", "f", _key(F.col("i"), size).alias("key"), F.pmod(F.xxhash64("doc_id", "i"), F.lit(SALTS)).alias("salt"), F.xxhash64(F.lit(7), _said(size)).alias("k3"))
-            whole = there.select("f", "key", F.xxhash64(F.lit(7), "said").alias("k3"), "items", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-            same = near.join(whole, ["f", "key", "k3", "salt"])
-        got = same.select("doc_id", "t", F.struct("i", F.lit(size).alias("n")).alias("span"), "items")
-        found = got if found is None else found.unionByName(got)
-    if found is None:
-        found = docs.limit(0).select("doc_id", F.lit(0).cast("long").alias("t"), F.struct(F.lit(0).alias("i"), F.lit(0).alias("n")).alias("span"), F.array(F.lit("")).alias("items"))
-    return found.groupBy("doc_id", "t").agg(F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+            near = one.withColumn("salt", F.pmod(F.xxhash64("doc_id", "i"), F.lit(SALTS))).join(prints[s].select(F.col(f"p{s}").alias("f"), salts), ["f", "salt"], "left_semi")
+        starts = F.explode(F.sequence(F.lit(0), F.least(F.lit(_reach(s)), F.size("w") - s)))
+        spans = near.select("doc_id", "t", F.col("i").alias("from"), "w", starts.alias("i"))
+        said = spans.select("doc_id", "t", F.struct((F.col("from") + F.col("i")).alias("i"), F.lit(s).alias("n")).alias("span"), _said(s).alias("said"), F.pmod(F.xxhash64("doc_id", "from"), F.lit(SALTS)).alias("salt"))
+        there = wanted.filter(F.col("size") == s).select("said", "items", salts)
+        same = said.join(there, ["said", "salt"])
+        every = every.unionByName(same.select("doc_id", "t", F.lit(0).cast("long").alias("rows"), F.lit(None).cast("long").alias("n_words"), "span", "items"))
+    return _tally(every)
 
 
 def _covered(spans: Column) -> Column:
@@ -120,16 +196,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     rows that share a doc_id but not a text are kept apart. Extra columns are
     ignored, and a null item_id can't be named, so such items are skipped.
     """
-    found = hits(docs.select("doc_id", "text"), benchmark.select("item_id", "text").filter("item_id is not null"), window).withColumnRenamed("doc_id", "d").withColumnRenamed("t", "u")
-    every = docs.select("doc_id", F.xxhash64("text").alias("t"), F.coalesce(F.regexp_count(F.translate("text", string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
-    both = every.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("u")), "left")
-    n_hit = F.coalesce(_covered(F.col("spans")), F.lit(0).cast("long"))
-    return both.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"),
+    found = tallies(docs.select("doc_id", "text"), benchmark.select("item_id", "text").filter("item_id is not null"), window)
+    n_hit = _covered(F.col("spans"))
+    each = found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "rows",
     )
+    return each.withColumn("rows", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).drop("rows")
 
 
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,6 +57,23 @@ def test_winnowing_is_brute_force(spark, monkeypatch, most, prints):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_hits([(r[0], r[1]) for r in cases.rows()], items)
 
 
+def test_texts_select_few_fingerprints_and_every_shared_window_meets_one(spark):
+    import random
+
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    texts = [passage] + [[rng.choice(vocabulary) for _ in range(rng.randint(0, 30))] + passage[a:a + 10] + [rng.choice(vocabulary) for _ in range(rng.randint(0, 30))] for a in range(51)]
+    texts += [["the"] * 40 + passage[:10], ["a", "b"] * 30]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    taken = winnow.selections(df, [10], "doc_id").filter("f10 <> 0").groupBy("doc_id").agg(F.collect_set("f10").alias("f"), F.count(F.lit(1)).alias("n")).collect()
+    by = {r["doc_id"]: r for r in taken}
+    assert by[0]["n"] < 0.5 * len(passage)  # 2 / 7 of them are expected
+    assert all(set(by[0]["f"]) & set(by[i]["f"]) for i in range(1, 53))
+    got = {r["doc_id"]: r["n_hit"] for r in winnow.decontaminate(df, df.filter("doc_id = 0").select(F.lit("p").alias("item_id"), "text")).collect()}
+    assert all(got[i] >= 10 for i in range(53)) and got[53] == 0
+
+
 def test_winnowing_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["contaminated"] for r in winnow.decontaminate(cases.documents(spark), none).collect()} == {False}
