@@ -14,6 +14,20 @@ def small(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def hot_join(left: DataFrame, right: DataFrame, on: str, weight: str, most: int = 10_000, least: int = 200) -> DataFrame:
+    """Inner join to a right side of one row a key, whose ``weight`` says how many left rows hold the key.
+
+    A key of more than 1/most of all left rows, of which there can be no more
+    than ``most``, is joined by broadcast, so its rows stay where they are and
+    no task gathers them; all others are shuffled.
+    """
+    total = right.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    is_hot = F.col(weight) > max(least, total // most)
+    hot = F.broadcast(right.filter(is_hot))
+    rest = left.join(hot.select(on), on, "left_anti").join(right.filter(~is_hot), on)
+    return left.join(hot, on).unionByName(rest)
+
+
 def lookup(left: DataFrame, right: DataFrame, on: list[str], keep: str = "last", order: Column | None = None) -> DataFrame:
     """Left join to the first or last right row of a key, in ``order``."""
     if order is None:
