@@ -1,11 +1,14 @@
 """Spanning links inside buckets that are streamed in sorted order.
 
-Rows that share a key form a bucket. A task reads its buckets one after the
-other and gives, for each bucket, only links that span its connected parts: a
-bucket of g members yields fewer than g links, never its pairs. A bucket beyond
-``CAP`` members isn't gathered: its rows pass through unseen and a second round
-compares them block by block, each pair of blocks a bucket of its own, so the
-whole bucket is compared, by as many tasks as it has pairs of blocks.
+Rows that share a key form a bucket. Rows are dealt by ranges of key and id, so
+that a bucket of any size is spread over tasks. A task reads its buckets one
+after the other and gives, for each bucket, only links that span its connected
+parts: a bucket of g members yields fewer than g links, never its pairs. A
+bucket beyond ``CAP`` members isn't gathered: its rows pass through unseen, and
+so do those of a range's first and last bucket, which another range may go on
+with. A second round compares them block by block, each pair of blocks a bucket
+of its own, so the whole bucket is compared, by as many tasks as it has pairs
+of blocks.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.operators.joins import small
 from recordloom.plans.lineage import cut
 
 #: Members that a task holds at a time.
@@ -50,7 +54,8 @@ def spread(ids: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> tu
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def _stream(linker: Linker, cap: float, payload: bool):
+def _stream(linker: Linker, cap: float, payload: bool, ranged: bool = False):
+    """Reads buckets in order; ``ranged`` passes on the first and the last one, which may be parts of larger ones."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), *([("payload", pa.binary())] if payload else [])])
 
     def out(a, b=None, key=None, load=None) -> pa.RecordBatch:
@@ -65,7 +70,7 @@ def _stream(linker: Linker, cap: float, payload: bool):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # of the bucket that the last batch ended in
-        hot = None
+        hot, begun = None, not ranged
         for batch in _and_end(batches):
             if batch is None:
                 keys, ids, load = np.empty(0, np.int64), np.empty(0, np.int64), None
@@ -74,6 +79,8 @@ def _stream(linker: Linker, cap: float, payload: bool):
                 load = _flat(batch.column(2)) if payload else None
                 if not len(keys):
                     continue
+            if not begun and len(keys):
+                hot, begun = int(keys[0]), True
             if hot is not None and len(keys):
                 n = int(np.searchsorted(keys, hot, "right"))
                 if n:
@@ -98,6 +105,9 @@ def _stream(linker: Linker, cap: float, payload: bool):
                     yield out(ids[last], key=keys[last], load=pick(load, last))
                 else:
                     held = keys[last], ids[last], pick(load, last)
+            elif ranged:
+                yield out(ids, key=keys, load=load)
+                break
             a, b = [], []
             for s, e in zip(*((x[ends - starts > 1]).tolist() for x in (starts, ends)), strict=True):
                 if e - s > cap:
@@ -131,18 +141,18 @@ def links(members: DataFrame, linker: Linker, cap: int = CAP) -> DataFrame:
     payload = "payload" in members.columns
     names = ["key", "id", *(["payload"] if payload else [])]
     schema = "a long, b long, key long" + ", payload binary" * payload
-    dealt = lambda m: m.select(*names).repartition("key").sortWithinPartitions("key")
-    first = cut(dealt(members).mapInArrow(_stream(linker, cap, payload), schema))
-    hot = first.filter("key is not null")
+    near = lambda m: m.select(*names).sortWithinPartitions("key")
+    first = cut(near(members.repartitionByRange("key", "id")).mapInArrow(_stream(linker, cap, payload, True), schema))
     found = first.filter("key is null").select("a", "b")
-    if hot.isEmpty():
+    hot = first.filter("key is not null")
+    many = cut(hot.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.ceil(F.col("n") * 2 / cap).cast("long").alias("blocks")))
+    if many.isEmpty():
         return found
-    many = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 2 / cap).cast("long").alias("blocks"))
-    mine = hot.join(many, "key").withColumn("i", F.pmod(F.xxhash64("a"), "blocks"))
+    mine = hot.join(small(many), "key").withColumn("i", F.pmod(F.xxhash64("a"), "blocks"))
     pairs = mine.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     again = pairs.select(
         F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"),
         F.col("a").alias("id"), *(["payload"] if payload else []),
     )
-    rest = dealt(again).mapInArrow(_stream(linker, float("inf"), payload), schema)
+    rest = near(again.repartition("key")).mapInArrow(_stream(linker, float("inf"), payload), schema)
     return found.unionByName(cut(rest.select("a", "b")))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from recordloom.llm.buckets import links, spread
 from recordloom.llm.tables import table
 from recordloom.operators.graph import connected_components
+from recordloom.operators.joins import hot_join
 from recordloom.plans.lineage import cut
 
 COSINE, TABLES, BLOCKS, SCALE, SEED = 0.98, 12, 2, 1.2, 8
@@ -99,8 +100,9 @@ def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted (key, id) rows, those whose key another row has."""
-    last: tuple[int, int, bool] | None = None
+    """Of sorted (key, id) rows, those whose key another row has; the first and last row may have theirs in another range and stay."""
+    last: tuple[int, int] | None = None
+    match = True
     for batch in batches:
         keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(keys):
@@ -108,11 +110,11 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None:
             keys, ids = np.concatenate([[last[0]], keys]), np.concatenate([[last[1]], ids])
         same = keys[1:] == keys[:-1]
-        keep = np.concatenate([[last is not None and last[2]], same]) | np.concatenate([same, [False]])
+        keep = np.concatenate([[match], same]) | np.concatenate([same, [False]])
         # The last row waits for what follows it; that it has been matched already is remembered.
         yield pa.RecordBatch.from_arrays([pa.array(keys[:-1][keep[:-1]]), pa.array(ids[:-1][keep[:-1]])], names=["key", "id"])
-        last = int(keys[-1]), int(ids[-1]), bool(keep[-1])
-    if last is not None and last[2]:
+        last, match = (int(keys[-1]), int(ids[-1])), bool(keep[-1])
+    if last is not None:
         yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int64())], names=["key", "id"])
 
 
@@ -186,18 +188,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, label: str = "la
 
     classes = cut(kinds.withColumn("payload", packed("e")).drop("e"))
     keyed = classes.select("id", "label", "payload").mapInArrow(_keyed, "key long, id long")
-    shared = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, id long")
+    shared = keyed.repartitionByRange("key", "id").sortWithinPartitions("key").mapInArrow(_shared, "key long, id long")
     members = shared.join(classes.select("id", "payload"), "id").select("key", "id", "payload")
     parts = cut(connected_components(links(members, _linker(cosine))).withColumnRenamed("node", "id"))
-    sizes = parts.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("long").alias("blocks"))
-    inside = parts.join(sizes, "component").join(classes.select("id", "n", "first", "payload"), "id").withColumn("i", F.pmod(F.xxhash64("id"), "blocks"))
+    whole = cut(parts.join(classes.select("id", "first"), "id").groupBy("component").agg(F.min("first").alias("low"), F.count(F.lit(1)).alias("size")))
+    named = hot_join(parts, whole.withColumn("blocks", F.ceil(F.col("size") / SIDE).cast("long")), "component", "size")
+    inside = named.join(classes.select("id", "n", "payload"), "id").withColumn("i", F.pmod(F.xxhash64("id"), "blocks"))
     against = inside.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pairs = against.select(F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("key"), F.col("i").alias("side"), "id", F.col("n").alias("weight"), "payload")
     counted = pairs.repartition("key").sortWithinPartitions("key").mapInArrow(_counter(cosine), "id long, n long").groupBy("id").agg(F.sum("n").alias("links"))
-    low = parts.join(classes.select("id", "first"), "id").groupBy("component").agg(F.min("first").alias("low"))
-    linked = parts.join(low, "component").join(counted, "id", "left").select("id", "low", "links")
-    of = classes.join(linked, "id", "left").select("id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("component_id"))
-    joined = marked.filter("id is not null").select("vec_id", "id").join(of, "id").select("vec_id", "n_links", "component_id")
+    linked = named.select("id", "low").join(counted, "id", "left")
+    of = cut(classes.join(linked, "id", "left").select("id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("component_id"), "n"))
+    joined = hot_join(marked.filter("id is not null").select("vec_id", "id"), of, "id", "n").select("vec_id", "n_links", "component_id")
     alone = marked.filter("id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return joined.unionByName(alone).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 

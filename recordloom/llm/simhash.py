@@ -1,12 +1,14 @@
 """SimHash near-duplicates through a byte-position inverted index.
 
 A fingerprint has eight bytes. Two that differ in at most four bits agree in at
-least four of the eight byte positions, so count filtering asks for four shared
-positional bytes. The index posts each distinct fingerprint under all 70
-combinations of four (position, byte) entries: a pair that shares a posting has
-reached the guaranteed minimum, a pair that shares none can't, and a posting of
-32 bits stays short where one byte's posting would hold 1/256 of the corpus.
-Pairs that share a posting are verified by their differing bits.
+least four of the eight byte positions: the guaranteed minimum. A list of one
+positional byte would hold 1/256 of all fingerprints, so its pairs grow with the
+square of the corpus. The index is therefore posted by the lists' intersections:
+each distinct fingerprint stands under all 70 choices of four (position, byte)
+entries, and a list of 32 bits stays short. Within a list the positional bytes
+that a pair shares are tallied, pairs that reach the minimum are retained, and
+those are verified by their differing bits. No pair below the minimum meets, and
+none that reaches it is missed.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 from recordloom.llm.buckets import links, spread
 from recordloom.llm.tables import map_texts, table
 from recordloom.operators.graph import connected_components
+from recordloom.operators.joins import hot_join
 from recordloom.plans.lineage import cut
 
 WORDS, BITS, SEED = 4, 4, 42
@@ -80,12 +83,24 @@ def _postings(bits: int):
     return run
 
 
+def shared_bytes(one: np.uint64, others: np.ndarray) -> np.ndarray:
+    """The tally: in how many of the eight positions each of ``others`` has the same byte as ``one``."""
+    return (np.ascontiguousarray(one ^ others).view(np.uint8).reshape(-1, 8) == 0).sum(1)
+
+
 def _linker(bits: int):
     def link(ids: np.ndarray, _) -> tuple[np.ndarray, np.ndarray]:
         f = ids.view(np.uint64)
         if len(f) == 2:
+            # The most frequent list by far; more than ``bits`` differing bytes are more than ``bits`` differing bits.
             return (ids[:1], ids[1:]) if int(f[0] ^ f[1]).bit_count() <= bits else (ids[:0], ids[:0])
-        return spread(ids, lambda i, others: np.bitwise_count(f[others] ^ f[i]) <= bits)
+
+        def near(i: int, others: np.ndarray) -> np.ndarray:
+            retained = shared_bytes(f[i], f[others]) >= 8 - bits
+            retained[retained] = np.bitwise_count(f[others[retained]] ^ f[i]) <= bits
+            return retained
+
+        return spread(ids, near)
 
     return link
 
@@ -101,14 +116,15 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, words: int = WORDS, seed:
     null. Extra columns are ignored.
     """
     fps = cut(fingerprints(docs, words, seed))
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     posted = classes.select("fp").mapInArrow(_postings(bits), "key long, id long")
     parts = cut(connected_components(links(posted, _linker(bits))))
     named = parts.join(classes, parts["node"] == classes["fp"]).select("component", "first")
-    lowest = parts.join(named.groupBy("component").agg(F.min("first").alias("low")), "component").select(F.col("node").alias("fp"), "low")
-    # Written, so that the join deals both sides anew and Spark can split the tasks of a fingerprint that a third of the rows hold.
-    of = cut(classes.join(lowest, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")))
-    return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    low = cut(named.groupBy("component").agg(F.min("first").alias("low"), F.count(F.lit(1)).alias("size")))
+    lowest = hot_join(parts, low, "component", "size").select(F.col("node").alias("fp"), "low")
+    of = cut(classes.join(lowest, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"), "n"))
+    # Fingerprints that many rows hold, and components of many, are joined where they stand.
+    return hot_join(fps, of, "fp", "n").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
