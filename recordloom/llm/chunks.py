@@ -1,15 +1,19 @@
-"""Substring dedup by content-defined seeds, held against each other window by window.
+"""Substring dedup by content-defined chunks of a gear rolling hash, held against each other window by window.
 
 A repeated passage is ``WORDS`` words or more that stand byte by byte in another
-document too. Each window of so many words takes as its seed the smallest hash
-of the word grams within it, the last of equal ones. What a window takes depends
-on its own bytes alone, so a window that two documents share has the same seed
-in both, whatever stands around it and however periodic it is: no passage is
-missed. Windows in a row that take one seed are a unit.
-
-Seeds that only one document holds drop out. Where all holders of a seed hold
-the same unit, its windows are shared; else the windows of the differing units
-are compared by digest, once a unit, so that a passage ends where it truly does.
+document too. A gear hash rolls over the words: each step shifts it and adds the
+next word's number, so that it depends on the last words alone. Each window of
+so many words takes as its seed the smallest gear value within it, the last of
+equal ones, and windows in a row that take one seed are a chunk: chunks vary in
+length, begin and end where the content says, and an insertion shifts none but
+those around it. What a window takes depends on its own bytes alone, so a window
+that two documents share lies in chunks of one seed in both, whatever stands
+around it and however periodic it is: no passage is missed.
+
+Chunks are deduplicated by seed and digest, 128 bits together. Seeds that only
+one document holds drop out. Where all holders of a seed hold the same chunk,
+its windows are shared; else the windows of the differing chunks are compared by
+digest, once a chunk, so that a passage ends where it truly does.
 """
 
 from __future__ import annotations
@@ -23,54 +27,26 @@ from pyspark.sql import functions as F
 from recordloom.llm.tables import table
 from recordloom.plans.lineage import cut
 
-RADIUS, LONGEST, WORDS = 16, 2048, 51
-_GEAR = np.random.default_rng(20_240_229).integers(0, 2**32, 256, dtype=np.uint32)
+WORDS = 51
 _MIX = np.random.default_rng(20_240_301).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0xD6E8FEB86659FD93
 _POWERS = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
-def gear(data: np.ndarray) -> np.ndarray:
-    """The rolling hash at each byte: two bits further left with every byte that follows, so 16 bytes long."""
-    h = _GEAR[data]
-    for step in (1, 2, 4, 8):
-        older = h[:-step] << np.uint32(2 * step)
+def gear(symbols: np.ndarray, reach: int) -> np.ndarray:
+    """The rolling hash at each word: every step shifts it by 64 / ``reach`` bits, so it holds the last ``reach`` words (a power of two)."""
+    h, step = symbols, 1
+    while step < reach:
+        older = h[:-step] << np.uint64(64 // reach * step)
         h = h.copy()
         h[step:] += older
+        step *= 2
     return h
 
 
-def cuts(data: np.ndarray, radius: int = RADIUS, longest: int = LONGEST) -> np.ndarray:
-    """Where chunks end, in bytes; the last is the end of the data.
-
-    Where equal hashes tie (periodic text) there may be no smallest one for
-    long; such stretches are cut every ``longest`` bytes from the last cut.
-    """
-    n = len(data)
-    if n <= 2 * radius + 16:
-        return np.array([n] if n else [], np.int64)
-    h = gear(data)
-    far = np.full(radius, 0xFFFFFFFF, np.uint32)
-    low = np.concatenate([far, h, far])  # smallest of the radius hashes from here on
-    width = 1
-    while width < radius:
-        step = min(width, radius - width)
-        low = np.minimum(low[:-step], low[step:])
-        width += step
-    before, after = low[:n], low[radius + 1:radius + 1 + n]
-    # The first 15 hashes lack bytes before them.
-    at = np.flatnonzero((h[:-1] < before[:n - 1]) & (h[:-1] < after[:n - 1])) + 1
-    ends = np.concatenate([at[at >= 16], [n]])
-    sizes = np.diff(ends, prepend=0)
-    if (sizes > longest).any():
-        starts = ends - sizes
-        ends = np.concatenate([np.append(np.arange(s + longest, e, longest), e) if e - s > longest else [e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
-    return ends.astype(np.int64)
-
-
 def gram(words: int) -> int:
-    """The length of a seed in words: a third of the passage's, so that few seeds are taken and few of them meet by chance."""
-    return max(1, words // 3)
+    """The length of a seed in words: at most a third of the passage's, so that few seeds are taken and few of them meet by chance."""
+    return 1 << max(1, words // 3).bit_length() - 1
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,10 +75,12 @@ def units(data: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray,
     up, down = _powers(len(data))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_MIX[data] * up)])
     k = gram(words)
-    g = (sums[stops[k - 1:]] - sums[starts[:len(starts) - k + 1]]) * down[starts[:len(starts) - k + 1]]
+    word = (sums[stops] - sums[starts]) * down[starts]
+    word = (word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    g = gear(word ^ (word >> np.uint64(32)), k)[k - 1:]
     g = (g ^ (g >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     g ^= g >> np.uint64(32)
-    # The smallest of the words - k + 1 hashes from each on, the last of equal ones.
+    # The smallest of the words - k + 1 values from each on, the last of equal ones.
     low, at, width = g, np.arange(len(g)), 1
     while width < words - k + 1:
         step = min(width, words - k + 1 - width)
@@ -146,12 +124,12 @@ def unit_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def window_rows(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows (digest, first, last, start, end, word, window) of the windows of the units that ``wanted`` (doc_id, units) names.
+    """Rows (seed, digest, first, last, start, end, word, window) of the windows of the chunks that ``wanted`` (doc_id, units) names.
 
-    ``units`` holds (digest, last) of units that the document is the first to
-    hold; start, end and word count from the unit's start.
+    ``units`` holds (seed, digest, last) of chunks that the document is the first
+    to hold; start, end and word count from the chunk's start.
     """
-    source = _texts(docs).join(wanted, "doc_id").select("doc_id", "text", F.col("units.digest").alias("digests"), F.col("units.last").alias("lasts"))
+    source = _texts(docs).join(wanted, "doc_id").select("doc_id", "text", F.col("units.seed").alias("seeds"), F.col("units.digest").alias("digests"), F.col("units.last").alias("lasts"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -161,31 +139,31 @@ def window_rows(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataF
                 offset = 0
                 for i in range(batch.num_rows):
                     raw = batch.column(1)[i].as_buffer()
-                    digests = batch.column(2)[i].as_py()
-                    place = {d: offset + j for j, d in enumerate(digests)}
-                    offset += len(digests)
-                    lasts.append(batch.column(3)[i].values)
-                    first, last, _, starts, stops = units(np.frombuffer(raw, np.uint8), words)
+                    names = list(zip(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), strict=True))
+                    place = {d: offset + j for j, d in enumerate(names)}
+                    offset += len(names)
+                    lasts.append(batch.column(4)[i].values)
+                    first, last, seed, starts, stops = units(np.frombuffer(raw, np.uint8), words)
                     view, hashed = memoryview(raw), xxhash.xxh3_64_intdigest
-                    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+                    for a, b, sown in zip(first.tolist(), last.tolist(), seed.view(np.int64).tolist(), strict=True):
                         s = int(starts[a])
                         digest = _signed(hashed(view[s:int(stops[b + words - 1])]))
-                        where = place.pop(digest, None)
+                        where = place.pop((sown, digest), None)
                         if where is None:
                             continue
                         for w in range(a, b + 1):
                             x, y = int(starts[w]), int(stops[w + words - 1])
                             from_row.append((i, where))
-                            made.append((digest, x - s, y - s, w - a, _signed(hashed(view[x:y]))))
+                            made.append((sown, digest, x - s, y - s, w - a, _signed(hashed(view[x:y]))))
                 if made:
-                    digest, start, end, word, window = zip(*made, strict=True)
+                    sown, digest, start, end, word, window = zip(*made, strict=True)
                     row, where = zip(*from_row, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(digest, pa.int64()), batch.column(0).take(pa.array(row)), pa.concat_arrays(lasts).take(pa.array(where)), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(word, pa.int32()), pa.array(window, pa.int64())],
-                        names=["digest", "first", "last", "start", "end", "word", "window"],
+                        [pa.array(sown, pa.int64()), pa.array(digest, pa.int64()), batch.column(0).take(pa.array(row)), pa.concat_arrays(lasts).take(pa.array(where)), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(word, pa.int32()), pa.array(window, pa.int64())],
+                        names=["seed", "digest", "first", "last", "start", "end", "word", "window"],
                     )
 
-    return source.mapInArrow(run, f"digest long, first {kind}, last {kind}, start int, end int, word int, window long")
+    return source.mapInArrow(run, f"seed long, digest long, first {kind}, last {kind}, start int, end int, word int, window long")
 
 
 def _signed(h: int) -> int:
@@ -193,44 +171,54 @@ def _signed(h: int) -> int:
 
 
 def repeated_spans(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows (doc_id, start, end, words, first_doc_id, kept) of passages that repeat across documents.
+    """Rows (doc_id, start, end, words, first_doc_id, kept, drop) of passages that repeat across documents.
 
     A span is a longest run of overlapping windows of ``words`` words each of
     which stands in another document too, so it begins and ends with the first
     and last whole word that do; offsets are UTF-8 bytes. first_doc_id is the
-    smallest doc_id that holds one of its windows, and ``kept`` says that this
-    document is the first for all of them. Texts repeated under one doc_id
-    count as one document; null and empty texts have no spans.
+    smallest doc_id that holds one of its windows. ``drop`` (an array of start
+    and end) is what windows cover that a smaller doc_id holds; ``kept`` says
+    that there is none. Of every word of a passage one copy stays: what a
+    document drops stands in a smaller one, and the smallest drops nothing.
+
+    Texts repeated under one doc_id count as one document, and rows without a
+    doc_id, which no other can name, have no spans; nor have null and empty
+    texts, texts of fewer words, and an empty table. Texts are read whole,
+    however long. Extra columns are ignored.
     """
     # Nothing below counts rows, so what texts under one doc_id repeat needs no distinct.
     every = unit_rows(docs, words)
     seeds = cut(every.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), (F.min("digest") < F.max("digest")).alias("several")).filter("lo < hi").select("seed", "lo", "several"))
-    hit = cut(every.join(seeds, "seed").select("doc_id", "start", "end", "word", "n", "digest", "lo", "several"))
-    # All that hold the seed hold it in the same unit: every window of it is shared.
+    hit = cut(every.join(seeds, "seed").select("doc_id", "start", "end", "word", "n", "seed", "digest", "lo", "several"))
+    # All that hold the seed hold it in the same chunk: every window of it is shared.
     whole = hit.filter("not several").select("doc_id", "start", "end", "word", "n", F.col("lo").alias("first"))
-    # Else the first holder of each unit shows its windows, to be compared with those of other units.
-    holders = hit.filter("several").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-    windows = cut(window_rows(docs, holders.groupBy("doc_id").agg(F.collect_list(F.struct("digest", "last")).alias("units")), words))
-    shared = cut(windows.groupBy("window").agg(F.min("first").alias("lo"), F.max("last").alias("hi")).filter("lo < hi").select("window", "lo"))
-    # A unit's windows all hold its seed and so overlap: those that are shared make one stretch.
-    part = cut(windows.join(shared, "window").groupBy("digest").agg(F.min("start").alias("from"), F.max("end").alias("to"), F.min("word").alias("skip"), (F.max("word") + words).alias("until"), F.min("lo").alias("first")))
-    parts = hit.filter("several").join(part, "digest").select("doc_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"), (F.col("word") + F.col("skip")).alias("word"), (F.col("until") - F.col("skip")).alias("n"), "first")
+    # Else the first holder of each chunk shows its windows, to be compared with those of other chunks.
+    holders = hit.filter("several").groupBy("seed", "digest").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    windows = cut(window_rows(docs, holders.groupBy("doc_id").agg(F.collect_list(F.struct("seed", "digest", "last")).alias("units")), words))
+    shared = cut(windows.groupBy("seed", "window").agg(F.min("first").alias("lo"), F.max("last").alias("hi")).filter("lo < hi").select("seed", "window", "lo"))
+    # A chunk's windows all hold its seed and so overlap: those of one first holder make one stretch.
+    part = cut(windows.join(shared, ["seed", "window"]).groupBy("seed", "digest", F.col("lo").alias("first")).agg(F.min("start").alias("from"), F.max("end").alias("to"), F.min("word").alias("skip"), (F.max("word") + words).alias("until")))
+    parts = hit.filter("several").join(part, ["seed", "digest"]).select("doc_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"), (F.col("word") + F.col("skip")).alias("word"), (F.col("until") - F.col("skip")).alias("n"), "first")
     order = Window.partitionBy("doc_id").orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = whole.unionByName(parts).withColumn("fresh", F.coalesce((before < F.col("start")).cast("int"), F.lit(1)))
-    runs = marked.withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), (F.max(F.col("word") + F.col("n")) - F.min("word")).alias("words"),
-        F.min("first").alias("first_doc_id"), F.min(F.col("first") == F.col("doc_id")).alias("kept"),
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    other = F.col("first") != F.col("doc_id")
+    marked = whole.unionByName(parts).withColumn("other", other)
+    marked = marked.withColumn("fresh", F.coalesce((F.max("end").over(before) < F.col("start")).cast("int"), F.lit(1)))
+    marked = marked.withColumn("cut", F.when(F.col("other"), F.coalesce((F.max(F.when(F.col("other"), F.col("end"))).over(before) < F.col("start")).cast("int"), F.lit(1))).otherwise(0))
+    runs = marked.withColumn("run", F.sum("fresh").over(upto)).withColumn("piece", F.sum("cut").over(upto))
+    pieces = runs.groupBy("doc_id", "run", "piece", "other").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"), F.max(F.col("word") + F.col("n")).alias("until"), F.min("first").alias("first"))
+    spans = pieces.groupBy("doc_id", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("until") - F.min("word")).cast("long").alias("words"), F.min("first").alias("first_doc_id"),
+        F.array_sort(F.collect_list(F.when(F.col("other"), F.struct("start", "end")))).alias("drop"),
     )
-    return spans.select("doc_id", "start", "end", F.col("words").cast("long").alias("words"), "first_doc_id", "kept")
+    return spans.select("doc_id", "start", "end", "words", "first_doc_id", (F.size("drop") == 0).alias("kept"), "drop")
 
 
 def by_document(spans: DataFrame) -> DataFrame:
     """One row per document with spans: their number, words and bytes, the spans to drop, and the documents that came first."""
     return spans.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_spans"), F.sum("words").alias("n_words"), F.sum(F.col("end") - F.col("start")).cast("long").alias("n_bytes"),
-        F.sum(F.when(F.col("kept"), 0).otherwise(F.col("end") - F.col("start"))).cast("long").alias("n_bytes_dropped"),
+        F.sum(F.aggregate("drop", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])).alias("n_bytes_dropped"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"),
         F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"),
     )
@@ -239,10 +227,10 @@ def by_document(spans: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` with every repeated passage cut from all texts but the first that holds it.
 
-    Columns stay as they are; other rows' texts are untouched. A cut inside
-    a character keeps no part of it.
+    Columns stay as they are; other rows' texts are untouched. A document's own
+    part of a passage stays where only the rest came first elsewhere.
     """
-    drop = repeated_spans(docs, words).filter("not kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__drop"))
+    drop = repeated_spans(docs, words).filter("not kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.flatten(F.collect_list("drop"))).alias("__drop"))
 
     @F.pandas_udf("string")
     def without(text, spans):

@@ -7,25 +7,32 @@ from recordloom.llm import chunks
 from tests.llm import cases
 
 
-def test_cuts_are_where_the_rule_says():
-    data = np.random.default_rng(1).integers(97, 123, 5000).astype(np.uint8)
-    h = [sum(int(chunks._GEAR[data[i - k]]) << 2 * k for k in range(min(16, i + 1))) % 2**32 for i in range(len(data))]
-    r = chunks.RADIUS
-    wanted = [i + 1 for i in range(15, len(data) - 1) if all(h[i] < h[j] for j in range(max(0, i - r), min(len(data), i + r + 1)) if j != i)]
-    assert chunks.cuts(data).tolist() == [*wanted, len(data)]
+def seeds_of(text, words=51):
+    return chunks.units(np.frombuffer(text.encode(), np.uint8), words)
 
 
-def test_insertions_shift_no_distant_cut():
-    rng = random.Random(3)
-    text = "".join(rng.choice("abcdefghij ") for _ in range(4000)).encode()
-    a, b = (np.frombuffer(t, np.uint8) for t in (text, b"inserted " + text))
-    shifted = {c - 9 for c in chunks.cuts(b).tolist()}
-    assert {c for c in chunks.cuts(a).tolist() if c > 60} <= shifted
+def test_the_gear_hash_holds_the_last_words_alone():
+    x = np.random.default_rng(1).integers(0, 2**63, 200).astype(np.uint64)
+    h = chunks.gear(x, 16)
+    assert h.tolist() == [sum(int(x[i - k]) << 4 * k for k in range(min(16, i + 1))) % 2**64 for i in range(len(x))]
+
 
+def test_chunks_are_runs_of_windows_with_one_seed():
+    rng = random.Random(4)
+    text = " ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(900))
+    first, last, seed, starts, stops = seeds_of(text, 20)
+    assert first[0] == 0 and (first[1:] == last[:-1] + 1).all() and last[-1] == 900 - 20
+    alone = [seeds_of(text[starts[i]:stops[i + 19]], 20)[2] for i in range(900 - 20 + 1)]
+    assert all(len(s) == 1 for s in alone)  # a window takes the same seed wherever it stands
+    assert [int(s[0]) for s in alone] == [int(seed[np.searchsorted(last, i)]) for i in range(900 - 20 + 1)]
 
-def test_periodic_text_is_bounded():
-    assert np.diff(chunks.cuts(np.full(100_000, 97, np.uint8)), prepend=0).max() <= chunks.LONGEST
-    assert chunks.cuts(np.empty(0, np.uint8)).tolist() == []
+
+def test_insertions_shift_no_distant_chunk():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 8))) for _ in range(600)]
+    a, b = (set(seeds_of(" ".join(w))[2].tolist()) for w in (words, [*words[:300], "inserted", *words[300:]]))
+    assert len(a & b) > 0.8 * len(a)
+    assert len(seeds_of("")[2]) == 0 and len(seeds_of("the " * 1000)[2]) > 0
 
 
 def planted():
@@ -45,20 +52,34 @@ def test_planted_passages_and_nothing_else(spark):
     assert all((found[i]["n_bytes_dropped"] == 0) == (i < 20) for i in range(40))
 
 
-def test_spark_is_brute_force(spark):
+def test_odd_rows_are_brute_force(spark):
     docs = [(r[0], r[1]) for r in cases.rows() if r[0] is not None]
-    own = {}
-    for d, t in docs:
-        data = np.frombuffer((t or "").encode(), np.uint8)
-        e = chunks.cuts(data).tolist()
-        for a, b in zip([0, *e[:-1]] if e else [], e, strict=True):
-            own.setdefault(data[a:b].tobytes(), set()).add(d)
-    shared = {d for ds in own.values() if len(ds) > 1 for d in ds}
-    found = {r["doc_id"] for r in chunks.repeated_spans(cases.documents(spark), words=1).collect()}
-    assert found <= shared and {4, 5, 9} <= found
+    for words in (1, 4, 51):
+        found = {tuple(r) for r in chunks.repeated_spans(cases.documents(spark), words).select("doc_id", "start", "end", "words", "first_doc_id", "kept").collect()}
+        assert found == windows_by_brute_force(list({d: (d, t) for d, t in docs}.values()), words)
     assert chunks.repeated_spans(cases.nothing(spark)).count() == 0
 
 
+def test_every_dropped_word_stands_in_a_smaller_document(spark):
+    """Documents of overlapping passages: P1; P1 P2; P1 P2; P2; and random mixtures of them."""
+    rng = random.Random(21)
+    fresh = lambda n: [f"{rng.choice('abcdefgh')}{rng.randint(0, 10**6)}" for _ in range(n)]
+    p = [fresh(70) for _ in range(8)]
+    docs = [(1, fresh(5) + p[0]), (2, fresh(5) + p[0] + p[1] + fresh(5)), (3, p[0] + p[1]), (4, fresh(9) + p[1])]
+    for i in range(5, 40):
+        mix = [x for _ in range(rng.randint(1, 4)) for x in (lambda q: q[rng.randint(0, 20):rng.randint(50, 70)])(rng.choice(p)) + (fresh(3) if rng.random() < 0.5 else [])]
+        docs.append((i, mix))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"].split() for r in chunks.deduplicate(df).collect()}
+    seen = set()
+    for i, w in docs:
+        assert set(out[i]) >= {x for x in w if x not in seen}, i
+        seen |= set(w)
+    assert {x for w in out.values() for x in w} == seen and sum(map(len, out.values())) < 0.7 * sum(len(w) for _, w in docs)
+    found = {r["doc_id"]: r for r in chunks.repeated_spans(df).filter("doc_id < 5").collect()}
+    assert [found[i]["kept"] for i in (1, 2, 3, 4)] == [True, False, False, False] and " ".join(p[1]) in " ".join(out[2])
+
+
 def test_deduplicated_texts_keep_one_copy(spark):
     docs = planted()
     df = spark.createDataFrame([(d, t, "keep") for d, t in docs], "doc_id long, text string, words string")
@@ -88,7 +109,8 @@ def windows_by_brute_force(docs, words):
                     spans[-1] = (spans[-1][0], b, min(spans[-1][2], min(who)))
                 else:
                     spans.append((a, b, min(who)))
-        found |= {(d, a, b, len((t or "").encode()[a:b].split()), f, f == d) for a, b, f in spans}
+        # A window that came first elsewhere is dropped, so a span is kept if none of its windows did.
+        found |= {(d, a, b, len((t or "").encode()[a:b].split()), f, f == d and all(min(held[(t or "").encode()[x:y]]) == d for x, y in own[d] if a <= x and y <= b)) for a, b, f in spans}
     return found
 
 
