@@ -51,21 +51,32 @@ def events_of(conversations: DataFrame) -> DataFrame:
 
 
 def _fold(events: Column) -> Column:
-    """Final messages (role, text) of sorted events."""
-    none = F.array().cast("array<struct<turn:bigint,role:string,text:string>>")
+    """Final messages (turn, role, text) of sorted events, in time that grows with the events alone.
 
-    def add(acc: Column, e: Column) -> Column:
-        last = F.element_at(acc, -1)
-        new = F.struct(e["turn"].alias("turn"), e["role"].alias("role"), e["text"].alias("text"))
-        opens = (e["kind"] == "message") | (F.size(acc) == 0) | ~F.coalesce(last["turn"].eqNullSafe(e["turn"]), F.lit(False))
-        text = F.when(e["kind"] == "delta", F.concat(last["text"], e["text"])).otherwise(e["text"])
-        changed = F.struct(last["turn"].alias("turn"), last["role"].alias("role"), text.alias("text"))
-        return F.when(opens, F.concat(acc, F.array(new))).otherwise(F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(changed)))
+    An event opens a message if it says so, or comes first of its turn. Within a
+    message's events the last that isn't a delta replaces all before it, and the
+    deltas behind it are appended.
+    """
+    at = F.sequence(F.lit(0), F.size(events) - 1)
+
+    def opens(i: Column) -> Column:
+        e, before = F.get(events, i), F.get(events, i - 1)
+        return (i == 0) | e["kind"].eqNullSafe(F.lit("message")) | ~e["turn"].eqNullSafe(before["turn"])
+
+    starts = F.filter(at, opens)
+    ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(events)))
+
+    def message(start: Column, end: Column) -> Column:
+        own = F.slice(events, start + 1, end - start)
+        last = F.array_max(F.transform(own, lambda e, i: F.when((i == 0) | ~e["kind"].eqNullSafe(F.lit("delta")), i)))
+        said = F.transform(F.slice(own, last + 1, F.size(own)), lambda e: e["text"])
+        first = F.get(events, start)
+        return F.struct(first["turn"].alias("turn"), first["role"].alias("role"), F.array_join(said, "").alias("text"))
 
     # A log of whole messages alone needs no fold.
     whole = F.forall(events, lambda e: e["kind"] == "message")
     plain = F.transform(events, lambda e: F.struct(e["turn"].alias("turn"), e["role"].alias("role"), e["text"].alias("text")))
-    return F.when(whole, plain).otherwise(F.aggregate(events, none, add))
+    return F.when(whole, plain).otherwise(F.zip_with(starts, ends, message))
 
 
 def format_log(events: DataFrame) -> DataFrame:

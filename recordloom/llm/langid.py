@@ -31,6 +31,11 @@ _PLAIN = np.arange(256, dtype=np.uint32)
 _PLAIN[:128] = [b if 97 <= b <= 122 else 32 for b in range(128)]
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter: of a kind of its own, unlike ½, ² or Ⅷ, which are numbers."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def counts(text: str) -> np.ndarray:
     """How often each bin's n-grams occur in a whole text."""
     data = _PLAIN[np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)]
@@ -87,7 +92,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score from 0 to 1, and whether the text is too far from it."""
-        if not text or not _LETTER.search(text):
+        if not text or not has_letter(text):
             return UNKNOWN, 0.0, True
         cos = self.cosines(self.vectors(counts(text)[None, :]))[0]
         k = int(cos.argmax())
@@ -109,6 +114,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     limits = F.create_map(*(x for r in n for x in (F.lit(r["lang"]), F.lit(int(_STEPS * min(1.0, sample / r["count"]))))))
     some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_STEPS)) < F.coalesce(limits[F.col("lang")], F.lit(0)))
 
+    # Of rows that share an id one is taken, so the sample is bounded in rows.
+    some = some.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("row")).select("lang", "row.text")
+
     def make():
         def one(text):
             c = counts(text)
@@ -128,8 +136,10 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
     """Every row with lang_pred, score and rejected.
 
     A text that is null or has no letter is ``und`` with score 0, and so is
-    every text where nothing was learned. Repeated rows are each returned;
-    extra columns are ignored.
+    every text where nothing was learned. Letters are what Unicode calls so, not
+    numbers. Texts are read whole, however long; of equal cosines the first
+    language by name wins. Repeated rows are each returned, an empty table gives
+    none, and extra columns are ignored.
     """
 
     def make():

@@ -176,7 +176,13 @@ def fit(sample: DataFrame) -> Gam:
 
 
 def scored(docs: DataFrame, model: Gam, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Every row with ``score``; null and empty texts are scored as texts without words."""
+    """Every row of ``docs`` with ``score``, from 0 to 1.
+
+    Null and empty texts are scored as texts without words, and very long ones
+    whole. Repeated rows are each returned with the same score, an empty table
+    gives none, and columns outside ``keep`` are ignored. Without labels of both
+    kinds to learn from, every score is the same.
+    """
 
     def make():
         return lambda texts: [(float(v),) for v in model.score(np.array([features(t) for t in texts]))]

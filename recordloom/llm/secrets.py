@@ -46,24 +46,35 @@ ALPHABETS = (
 BASE64 = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"
 
 
+def _running(values: Column, start: Column, step) -> Column:
+    """The state before each value: ``start``, then what ``step(state, value)`` makes of it.
+
+    A fold that grows an array copies it at each step. So the values are cut into
+    about as many blocks as each holds values, the blocks' results are run
+    through first, and each block from there: n values cost n * sqrt(n) copies.
+    """
+    side = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values).cast("double"))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(values) - 1, F.lit(0)) / side).cast("int")), lambda k: F.slice(values, k * side + 1, side))
+
+    def through(array: Column, first: Column) -> Column:
+        state = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(array, state, lambda acc, v: F.struct(step(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    ends = F.transform(blocks, lambda b: F.aggregate(b, start, step))
+    return F.flatten(F.zip_with(blocks, through(ends, start), through))
+
+
 def _spans(text: Column, pattern: str, rank: int, passes=None) -> Column:
     """Array of (start, rank, end, said) of a pattern's matches, in code points."""
     said = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    kind = "array<struct<start:int,rank:int,end:int,said:string>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["said"])
-        one = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["said"].alias("said")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
-
     # A match begins after its gap; the gap behind the last match isn't needed.
-    pairs = F.arrays_zip(said.alias("said"), F.slice(gaps, F.lit(1), F.size(said)).alias("gap"))
-    every = F.aggregate(pairs, first, add, lambda acc: acc["out"])
+    gaps = F.slice(F.transform(F.split(text, pattern, -1), lambda g: F.length(g)), F.lit(1), F.size(said))
+    before = _running(F.zip_with(said, gaps, lambda x, g: F.length(x) + g), F.lit(0), lambda at, v: at + v)
+    every = F.transform(F.arrays_zip(said.alias("said"), gaps.alias("gap"), before.alias("at")), lambda x: F.struct(
+        (x["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"), (x["at"] + x["gap"] + F.length(x["said"])).alias("end"), x["said"].alias("said"),
+    ))
     kept = F.filter(every, passes) if passes else every
-    return F.when(F.size(said) > 0, kept).otherwise(F.array().cast(kind))
+    return F.when(F.size(said) > 0, kept).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,said:string>>"))
 
 
 def _normal(z: Column) -> Column:
@@ -166,15 +177,13 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """A text with each span of ``spans`` (as scan() names them) replaced by a mark; spans that overlap are one."""
-    pairs = F.transform(F.filter(F.split(spans, ","), lambda s: s != ""), lambda s: F.struct(F.split(s, ":")[1].cast("int").alias("start"), F.split(s, ":")[2].cast("int").alias("end")))
-
-    def add(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        more = F.when(apart, F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise("")
-        return F.struct(F.concat(acc["out"], more).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    done = F.aggregate(F.array_sort(pairs), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), add)
-    return F.when(spans == "", text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    pairs = F.array_sort(F.transform(F.filter(F.split(spans, ","), lambda s: s != ""), lambda s: F.struct(F.split(s, ":")[1].cast("int").alias("start"), F.split(s, ":")[2].cast("int").alias("end"))))
+    done = _running(F.transform(pairs, lambda s: s["end"]), F.lit(0), lambda at, end: F.greatest(at, end))
+    characters = F.split(text, "")
+    said = F.zip_with(pairs, done, lambda s, at: F.when(s["start"] >= at, F.concat(F.array_join(F.slice(characters, at + 1, s["start"] - at), ""), F.lit(mark))).otherwise(""))
+    last = F.array_max(F.transform(pairs, lambda s: s["end"]))
+    rest = F.array_join(F.slice(characters, last + 1, F.size(characters)), "")
+    return F.when(spans == "", text).otherwise(F.concat(F.array_join(said, ""), rest))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

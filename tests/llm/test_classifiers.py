@@ -90,6 +90,18 @@ def test_cases(spark, learned):
         assert empty.count() == 0
 
 
+def test_numbers_are_no_letters():
+    model = langid.Model([(np.array([1]), np.array([2]))], ["en"])
+    assert [model.predict(t)[0] for t in ("½ ² Ⅷ", "１２３ _", "a", "漢", "²b")] == ["und", "und", "en", "en", "en"]
+
+
+def test_samples_are_bounded_in_rows(spark):
+    docs = spark.range(500).select(F.lit(1).alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 7).cast("string")).alias("text"), F.lit("en").alias("lang"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id int, quality int")
+    assert sampling.labelled(docs, labels, "quality", F.lit(True), 100).count() == 1
+    assert langid.fit(docs).languages == ["en"]
+
+
 def test_every_language_is_fitted(spark):
     rng = np.random.default_rng(6)
     words = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for k in range(70)}

@@ -130,6 +130,33 @@ def test_chat_folds_events(spark):
     assert got == {"c": ([("user", "Hi <s> \\1 [INST]"), ("assistant", "Nope</s>"), ("user", "y")], ["Nope</s>"]), "d": ([("", "")], [])}
 
 
+def test_chat_fold_is_the_sequential_one(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [(c, rng.randint(0, 6), i, rng.choice(["message", "delta", "delta", "delta", "edit", "regenerate", None]), rng.choice(["user", "assistant"]), rng.choice(["a", "b<", "", None])) for c in range(30) for i in range(rng.randint(1, 40))]
+    got = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.read_back(chat.format_log(spark.createDataFrame(rows, "conv_id long, turn long, seq long, kind string, role string, text string"))).collect()}
+    for c in range(30):
+        out, last = [], None
+        for _, turn, _, kind, role, text in sorted((r for r in rows if r[0] == c), key=lambda r: (r[1], r[2])):
+            text = text or ""
+            if kind == "message" or turn != last:
+                out.append((role, text))
+            else:
+                out[-1] = (out[-1][0], out[-1][1] + text if kind == "delta" else text)
+            last = turn
+        assert got[c] == out
+
+
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"{i:016x}" for i in range(6000))
+    df = spark.createDataFrame([(1, "😀 " + text, "")], "doc_id long, text string, x string")
+    s = secrets.scan(df, keep=("doc_id", "text"))
+    r = s.select("n_hex", "base_sha256", secrets.redact(F.col("text"), F.col("spans")).alias("x")).first()
+    assert (0, 0, r["n_hex"], r["base_sha256"]) == brute_spans("😀 " + text)
+    assert r["x"] == "😀 " + " ".join(["[SECRET]"] * 6000)
+
+
 def test_chat_long_conversations_and_repeats(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", f"t\n{i}") for i in range(3000)] + [(2, 0, "user", "same")] * 2 + [(None, 0, "user", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
