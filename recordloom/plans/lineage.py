@@ -11,13 +11,16 @@ def checkpoint_folder(spark: SparkSession) -> None:
     """Make sure that checkpoint() has a folder.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; it is used as
-    it is. Only where neither that setting nor a folder is there (tests on one
-    machine) does the session get a temporary one.
+    it is. Only where neither that setting nor a folder is there, and Spark runs
+    on one machine, does the session get a temporary one: executors elsewhere
+    couldn't read it.
     """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     named = context.getConf().get("spark.checkpoint.dir")
+    if not named and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="recordloom-"))
 
 
