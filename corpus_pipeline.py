@@ -15,42 +15,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, secrets, simhash, toxicity, winnow
-from recordloom.plans.lineage import checkpoint_folder
+from recordloom.operators.joins import small
+from recordloom.plans.lineage import checkpoint_folder, cut
 
+#: Names of documents that go (40 bytes each) are broadcast up to so many; beyond, both sides are shuffled.
+MAX_NAMES = 500_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half; scored where they stand, with no shuffle."""
+    """Documents that score below one half; scored where they stand, with no shuffle.
+
+    Null and empty texts have no toxic words and stay with what the model gives
+    them; repeated rows share their fate; an empty table gives an empty one.
+    Very long texts are read whole.
+    """
     return toxicity.scored(docs, toxicity.model_of(spark, sf_dir), keep=(*COLUMNS,)).filter("score < 0.5").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the smallest doc_id, none last, and of its texts the smallest hash."""
+    """One document of each group: the smallest doc_id, none last, and of its texts the smallest hash.
+
+    Null and wordless texts have fingerprint zero and are one group. Of rows
+    that repeat a doc_id and a text one stays. What goes is looked up, not what
+    stays: while those names are few they are broadcast and no text is shuffled.
+    """
     kind = docs.schema["doc_id"].dataType
     name = F.struct(F.col("doc_id").isNull().alias("unknown"), F.coalesce("doc_id", F.lit("0").cast(kind)).alias("id"), F.xxhash64("text").alias("text"))
-    kept = simhash.near_duplicates(docs.select(name.alias("doc_id"), "text")).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
-    left = docs.withColumn("name", name).join(kept, "name")
-    once = left.filter("rows = 1").select(*COLUMNS)
-    return once.unionByName(left.filter("rows > 1").dropDuplicates(["name"]).select(*COLUMNS))
+    found = simhash.near_duplicates(docs.select(name.alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("name")).agg(F.min(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    odd = cut(found.filter("not stays or rows > 1"))
+    named = docs.withColumn("name", name)
+    once = named.join(small(odd.select("name"), MAX_NAMES), "name", "left_anti")
+    repeated = named.join(small(odd.filter("stays").select("name"), MAX_NAMES), "name", "left_semi").dropDuplicates(["name"])
+    return once.unionByName(repeated).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item.
+
+    Null and empty texts hold none; repeated rows share their fate. The names
+    of those that do are broadcast while they are few, so no text is shuffled.
+    """
     bad = winnow.hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").filter("item_id is not null"))
-    bad = bad.select(F.col("doc_id").alias("d"), "t").distinct()
+    bad = small(cut(bad.select(F.col("doc_id").alias("d"), "t")), MAX_NAMES)
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with the secrets found in its text replaced by a mark."""
+    """Every document, with the secrets found in its text replaced by a mark; a null text stays null, and n_chars follows the text."""
     found = secrets.scan(docs, keep=COLUMNS)
     text = secrets.redact(F.col("text"), F.col("spans"))
     return found.withColumn("text", F.when(F.col("text").isNotNull(), text)).withColumn("n_chars", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token count, and the digests of its ids and of what they decode to."""
+    """Every document's token count, and the digests of its ids and of what they decode to; a null text counts as empty."""
     return bpe.digests(docs)
 
 
@@ -66,15 +85,26 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for documents; what lies between is written to the shared folder."""
+    """The last stage's rows for documents.
+
+    What lies between is written to the shared folder, and deleted once the next
+    stage is written; what the last stage reads stays for its reader.
+    """
     checkpoint_folder(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         made = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
             return made
         made.write.parquet(at := f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(at)
+        if before:
+            _delete(spark, before)
+        docs, before = spark.read.parquet(at), at
     return docs
