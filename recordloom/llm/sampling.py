@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.plans.lineage import cut
+
 _STEPS = 1 << 30
 
 
@@ -21,12 +23,12 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, most
     spread over the whole table and the same in every run. Labels other than 0
     and 1 are skipped, and of several labels of a document the largest holds.
     Of rows that share an id the one of the smallest text hash is taken, so the
-    sample is bounded in rows. It is broadcast to the documents, which aren't
-    shuffled; only its own rows are.
+    sample is bounded in rows. Its ids are broadcast to the documents, which
+    aren't shuffled; its rows are written, so fitting reads the documents once.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).filter(train).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     n = known.count()
     some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_STEPS)) < int(_STEPS * min(1.0, most / max(1, n))))
     found = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "y")).alias("row"))
-    return one.select("doc_id", "row.text", "row.y")
+    return cut(one.select("doc_id", "row.text", "row.y"))

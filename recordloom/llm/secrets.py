@@ -64,17 +64,14 @@ def _running(values: Column, start: Column, step) -> Column:
     return F.flatten(F.zip_with(blocks, through(ends, start), through))
 
 
-def _spans(text: Column, pattern: str, rank: int, passes=None) -> Column:
-    """Array of (start, rank, end, said) of a pattern's matches, in code points."""
-    said = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _places(text: Column, said: Column, pattern: str, rank: int) -> Column:
+    """Array of (start, rank, end, said) of a pattern's matches ``said``, in code points."""
+    none = F.array().cast("array<struct<start:int,rank:int,end:int,said:string>>")
     # A match begins after its gap; the gap behind the last match isn't needed.
-    gaps = F.slice(F.transform(F.split(text, pattern, -1), lambda g: F.length(g)), F.lit(1), F.size(said))
-    before = _running(F.zip_with(said, gaps, lambda x, g: F.length(x) + g), F.lit(0), lambda at, v: at + v)
-    every = F.transform(F.arrays_zip(said.alias("said"), gaps.alias("gap"), before.alias("at")), lambda x: F.struct(
-        (x["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"), (x["at"] + x["gap"] + F.length(x["said"])).alias("end"), x["said"].alias("said"),
-    ))
-    kept = F.filter(every, passes) if passes else every
-    return F.when(F.size(said) > 0, kept).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,said:string>>"))
+    both = F.zip_with(said, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(said)), lambda x, g: F.struct(x.alias("said"), F.length(g).alias("gap")))
+    before = _running(F.transform(both, lambda x: F.length(x["said"]) + x["gap"]), F.lit(0), lambda at, v: at + v)
+    every = F.zip_with(both, before, lambda x, at: F.struct((at + x["gap"]).alias("start"), F.lit(rank).alias("rank"), (at + x["gap"] + F.length(x["said"])).alias("end"), x["said"].alias("said")))
+    return F.when(F.size(said) > 0, every).otherwise(none)
 
 
 def _normal(z: Column) -> Column:
@@ -151,13 +148,11 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     long_enough = lambda x: F.length(F.regexp_extract(x["said"], ASSIGN, 1)) >= LEAST_SECRET
     mixed = lambda x: x["said"].rlike("[0-9]") & x["said"].rlike("[A-Za-z]")
-    found = docs.select(
-        *keep,
-        _spans(text, ASSIGN, 0, long_enough).alias("assign"),
-        _spans(text, ACCESS, 1).alias("access"),
-        _spans(text, HEX, 2).alias("hex"),
-        _spans(text, TOKEN, 3, mixed).alias("tokens"),
-    )
+    # Matches are found once, in a projection of their own; a text is split at them only where it has some.
+    forms = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "tokens": TOKEN}
+    matched = docs.select(*keep, text.alias("__text"), *(F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"__{name}") for name, p in forms.items()))
+    place = {name: _places(F.col("__text"), F.col(f"__{name}"), p, k) for k, (name, p) in enumerate(forms.items())}
+    found = matched.select(*keep, F.filter(place["assign"], long_enough).alias("assign"), place["access"].alias("access"), place["hex"].alias("hex"), F.filter(place["tokens"], mixed).alias("tokens"))
     tested = found.select(*keep, "assign", "access", "hex", F.concat("assign", "access", "hex").alias("base"), _battery(F.col("tokens")).alias("tests"))
     # Benjamini-Hochberg: the largest rank j whose p-value is at most LEVEL * j / m.
     many = F.size("tests").cast("double")
