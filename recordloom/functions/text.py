@@ -174,6 +174,13 @@ def safe_url(c: Column, idna: bool = True) -> Column:
     return F.when(ok, said)
 
 
+def publisher_url(c: Column, idna: bool = True) -> Column:
+    """A publisher's safe link; a redirect of Elsevier's by PII becomes the article's own page."""
+    link = safe_url(c, idna)
+    pii = F.regexp_replace(F.regexp_extract(link, r"^https?://linkinghub\.elsevier\.com/retrieve/pii/([^?#]*)", 1), "^/+|/+$", "")
+    return F.when(F.replace(pii, F.lit("-"), F.lit("")).rlike(r"^[A-Za-z0-9]+$"), F.concat(F.lit("https://www.sciencedirect.com/science/article/pii/"), pii)).otherwise(link)
+
+
 def open_licence_host(c: Column, hosts: tuple[str, ...] = ("creativecommons.org",)) -> Column:
     """Whether a link's host is one of ``hosts`` or below one."""
     host = F.lower(F.regexp_extract(c, r"^\s*https?://(?:[^/?#@]*@)?([^/?#:]+)", 1))

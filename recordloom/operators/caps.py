@@ -70,20 +70,48 @@ def volume_guard(mode: Column, total: Column, policy: ProcessingPolicy | None =
     return F.when(over, "TRIAGE").otherwise(mode), F.when(over, F.least(limit, reduced)).otherwise(limit)
 
 
-def featured(rows: DataFrame, group: str, turn: list[Column], cap: int | Column, target: int) -> DataFrame:
+def load_allowed(mode: Column, override: bool = False) -> tuple[Column, Column]:
+    """(allowed, effective mode): suspended journals aren't loaded, but by an override, which treats them as FULL."""
+    suspended = mode == "SUSPENDED"
+    return ~suspended | F.lit(override), F.when(suspended & F.lit(override), "FULL").otherwise(mode)
+
+
+def source_budget(requested: Column, mode: Column, policy: ProcessingPolicy | None = None, override: bool = False) -> Column:
+    """How many records each source is asked for: what is requested, within the mode's limit unless overridden."""
+    p = policy or ProcessingPolicy()
+    return requested if override else F.least(requested, F.try_element_at(weights(p.source_limits_by_mode), mode))
+
+
+def projection(articles: Column, limit: Column) -> tuple[Column, Column, Column]:
+    """(NONE, LIMITED or INLINE_ALL; shown; omitted) of so many articles under a page limit."""
+    shown = F.least(articles, F.greatest(F.lit(0), limit).cast("long"))
+    return F.when(limit <= 0, "NONE").when(articles > limit, "LIMITED").otherwise("INLINE_ALL"), shown, articles - shown
+
+
+#: Levels that a run states about itself: metadata only, nothing fetched or judged.
+PROVENANCE = ("full_text_requested", "full_text_fetched", "evidence_evaluated")
+
+
+def with_provenance(df: DataFrame) -> DataFrame:
+    """Adds the constant flags of what was not done."""
+    return df.withColumns({"acquisition_level": F.lit("BIBLIOGRAPHIC_METADATA"), **{c: F.lit(False) for c in PROVENANCE}})
+
+
+def featured(rows: DataFrame, group: str, turn: list[Column], cap: int | Column, target: int, key: list[str], most: int | None = None) -> DataFrame:
     """Rows in turn, until a group's cap and then the global target is reached.
 
-    Adds ordinal (null for those not featured) and reason. Groups are capped
-    first, in parallel; only rows within their cap meet in one global rank,
-    at most groups x cap of them, and the target bounds what is kept.
+    Adds ordinal (null for those not featured) and reason. Groups are cut to
+    their cap in each task before the shuffle (``most`` is the largest cap where
+    it differs by row), the target is a top-k of what is left, and the rows are
+    joined to both by ``key``: none of them meets all others in one task.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*turn))
-    marked = rows.withColumn("__place", place).withColumn("__in", F.col("__place") <= cap)
-    ordinal = F.row_number().over(Window.partitionBy("__in").orderBy(*turn))
-    ranked = marked.withColumn("__n", F.when(F.col("__in"), ordinal))
-    chosen = F.col("__in") & (F.col("__n") <= target)
-    reason = F.when(chosen, "SELECTED").when(~F.col("__in"), "GROUP_CAP").otherwise("GLOBAL_TARGET")
-    return ranked.withColumn("ordinal", F.when(chosen, F.col("__n"))).withColumn("reason", reason).drop("__place", "__in", "__n")
+    capped = rows.filter(F.coalesce(cap, F.lit(0)) > 0) if isinstance(cap, Column) else rows
+    within = top_per_group(capped, [group], turn, cap, most, rank="__place").drop("__place")
+    top = within.orderBy(*turn).limit(target)
+    chosen = top.select(*key, F.row_number().over(Window.orderBy(*turn)).alias("ordinal"))  # of the target's rows alone
+    marked = rows.join(within.select(*key, F.lit(True).alias("__in")), key, "left").join(F.broadcast(chosen), key, "left")
+    reason = F.when(F.col("ordinal").isNotNull(), "SELECTED").when(F.col("__in").isNull(), "GROUP_CAP").otherwise("GLOBAL_TARGET")
+    return marked.withColumn("reason", reason).drop("__in")
 
 
 def volume_projection(rows: DataFrame, group: list[str], order: list[Column], limit: int) -> DataFrame:

@@ -6,24 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.period import interval
-from recordloom.functions.text import blank_to_null, normalize_doi, normalize_name, normalize_title_key, sha256_text
+from recordloom.functions.text import blank_to_null, normalize_doi, normalize_name, normalize_title_key
 from recordloom.operators.graph import connected_components
 
+#: The source whose ids are OpenReview's.
+SNAPSHOT = "tmlr_official_snapshot"
 PRECISIONS = {"YEAR": 1, "MONTH": 2, "DAY": 3}
 #: Scalars that a survivor takes from the first member that has one.
 FIRST_SCALARS = ("doi", "pmid", "pmcid", "article_type", "title_zh_tw", "summary_zh_tw", "translation_basis", "translation_source_url")
 
 
 def canonical_id(candidates: dict[str, Column], fallback: Column) -> Column:
-    """``name:value`` of the first candidate that isn't empty, else a fingerprint of ``fallback``."""
+    """``name:value`` of the first candidate that isn't empty, else ``fingerprint:`` and ``fallback`` as it is."""
     tried = [F.when(blank_to_null(c).isNotNull(), F.concat(F.lit(f"{name}:"), c)) for name, c in candidates.items()]
-    return F.coalesce(*tried, F.concat(F.lit("fingerprint:"), sha256_text(fallback)))
+    return F.coalesce(*tried, F.concat(F.lit("fingerprint:"), F.coalesce(fallback, F.lit(""))))
 
 
 def article_id(ascii_only: bool = False) -> Column:
-    """Of an article row: DOI, PMID, PMCID, or a fingerprint of title and date."""
+    """Of an article row: DOI, PMID, PMCID, the OpenReview id of a snapshot record, or title key and date.
+
+    A PMID or PMCID counts if it isn't empty, and is trimmed then.
+    """
+    snapshot = F.filter(F.transform("source_records", lambda r: F.when(r["source"] == SNAPSHOT, F.trim(F.coalesce(r["source_id"], F.lit(""))))), lambda v: v.rlike("^[A-Za-z0-9_-]+$"))
+    review = F.try_element_at(snapshot, F.lit(1))
     key = F.concat_ws("|", normalize_title_key(F.col("title"), ascii_only), F.date_format("publication_date", "yyyy-MM-dd"))
-    return canonical_id({"doi": normalize_doi(F.col("doi")), "pmid": F.trim("pmid"), "pmcid": F.upper(F.trim("pmcid"))}, key)
+    given = lambda c, value: F.when(blank_to_null(F.col(c)).isNotNull(), F.concat(F.lit(f"{c}:"), value))
+    return F.coalesce(
+        F.concat(F.lit("doi:"), blank_to_null(normalize_doi(F.col("doi")))), given("pmid", F.trim("pmid")), given("pmcid", F.upper(F.trim("pmcid"))),
+        F.concat(F.lit("openreview:"), review), F.concat(F.lit("fingerprint:"), key),
+    )
 
 
 def record_key(slug: Column, period: Column, revision: Column, canonical: Column) -> Column:
@@ -122,3 +133,15 @@ def journal_matches(name: Column, issns: Column, journal: str, issn: str | None)
         return by_name
     own = F.transform(issns, normalize_issn)
     return by_name | F.coalesce(F.array_contains(own, normalize_issn(F.lit(issn))), F.lit(False))
+
+
+def same_record(found: dict[str, Column], wanted: dict[str, Column]) -> Column:
+    """Whether a fetched text is the record asked for: its PMCID, PMID or DOI agrees, each where the record has one."""
+    pairs = (
+        (F.upper(F.trim(found["pmcid"])), F.upper(F.trim(wanted["pmcid"]))), (found["pmid"].cast("string"), wanted["pmid"].cast("string")),
+        (normalize_doi(found["doi"]), normalize_doi(wanted["doi"])),
+    )
+    ok = F.lit(False)
+    for a, b in pairs:
+        ok = ok | F.coalesce(blank_to_null(b).isNotNull() & (a == b), F.lit(False))
+    return ok

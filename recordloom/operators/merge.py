@@ -59,20 +59,37 @@ def merge_counts(merged: DataFrame, delta_rows: DataFrame) -> DataFrame:
 
 
 def backfill_violations(base: dict, delta: dict) -> list[str]:
-    """Why a delta can't extend a base: both are one-row headers (journal, start, end, revision, status as values)."""
+    """Why a delta can't extend a base: both are one-row headers (journal, start, end, revision, status as values; the base's kind).
+
+    The base is a month from its first day on, and the delta goes on the very
+    next day, within that month, as the next revision of the same journal.
+    """
     from datetime import timedelta
 
     wrong = []
     if base["journal"] != delta["journal"]:
         wrong.append("JOURNAL_DIFFERS")
+    if base.get("kind", "month") != "month":
+        wrong.append("BASE_NOT_MONTHLY")
+    if base["start"].day != 1:
+        wrong.append("BASE_NOT_FROM_FIRST_DAY")
     if delta["start"] > base["end"] + timedelta(days=1):
         wrong.append("GAP_BETWEEN_WINDOWS")
+    if delta["start"] <= base["end"]:
+        wrong.append("WINDOWS_OVERLAP")
     if (base["start"].year, base["start"].month) != (delta["end"].year, delta["end"].month):
         wrong.append("MONTH_DIFFERS")
-    if delta["end"] <= base["end"]:
-        wrong.append("NOTHING_NEW")
-    if delta["status"] not in ("COMPLETE", "NO_MATCHING_ARTICLES"):
+    if delta["status"] in ("SOURCE_ACCESS_GAP", "PARTIAL_SOURCE_COVERAGE"):
         wrong.append("DELTA_INCOMPLETE")
     if delta.get("revision", base["revision"] + 1) != base["revision"] + 1:
         wrong.append("REVISION_NOT_NEXT")
     return wrong
+
+
+def fill_missing(rows: DataFrame, known: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows with what they lack filled from what is known of their key; what they have stays."""
+    from recordloom.operators.joins import small
+
+    k = known.select(F.col(key).alias("__k"), *(F.col(c).alias(f"__k_{c}") for c in columns))
+    joined = rows.join(small(k), F.col(key) == F.col("__k"), "left")
+    return joined.select(*(F.coalesce(c, f"__k_{c}").alias(c) if c in columns else F.col(c) for c in rows.columns))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.text import blank_to_null
+from recordloom.operators.caps import top_per_group
 
 
 def facets(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
@@ -73,12 +74,36 @@ def source_order(pmcid: Column, pmid: Column, doi: Column, sources: dict[str, st
 
 def search_index(publications: DataFrame, articles: DataFrame, per_edition: int = 250) -> DataFrame:
     """Articles of the latest revisions, so many of each edition, with each edition's totals."""
-    latest = Window.partitionBy("journal_slug", "period_key").orderBy(F.desc("revision"))
-    newest = publications.withColumn("__rn", F.row_number().over(latest)).filter("__rn = 1").drop("__rn")
     keys = ["journal_slug", "period_key", "revision"]
-    rows = articles.join(newest.select(*keys), keys, "left_semi")
-    w = Window.partitionBy(*keys)
-    return rows.withColumn("total", F.count(F.lit(1)).over(w)).withColumn("__rn", F.row_number().over(w.orderBy("position"))).filter(F.col("__rn") <= per_edition).drop("__rn")
+    newest = publications.groupBy(*keys[:2]).agg(F.max("revision").alias("revision"))
+    rows = articles.join(newest, keys, "left_semi")
+    n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
+    return top_per_group(rows, keys, [F.col("position")], per_edition, rank="__rn").drop("__rn").join(n, keys)
+
+
+def catalog_counts(editions: DataFrame, journal: str = "journal", month: str = "month") -> DataFrame:
+    """One row: journals, periods and revisions, the latest month and how many journals it has."""
+    last = editions.agg(F.max(month).alias("latest_month"))
+    c = editions.agg(F.count_distinct(journal).alias("journals"), F.count_distinct(journal, month).alias("periods"), F.count(F.lit(1)).alias("revisions"))
+    newest = editions.join(F.broadcast(last), F.col(month) == F.col("latest_month")).groupBy("latest_month").agg(F.count_distinct(journal).alias("in_latest_month"))
+    return c.crossJoin(F.broadcast(newest)).select("journals", "periods", "revisions", "latest_month", "in_latest_month")  # one row beside one row
+
+
+def coverage(df: DataFrame, group: list[str], known: Column) -> DataFrame:
+    """How many rows of each group have something, how many lack it, and the share that has it."""
+    has = F.count_if(known)
+    return df.groupBy(*group).agg(has.alias("known"), (F.count(F.lit(1)) - has).alias("unknown"), F.round(has / F.count(F.lit(1)), 6).alias("fraction"))
+
+
+def provider_totals(providers: DataFrame, sums: list[str]) -> DataFrame:
+    """One row: the number of providers and the totals of their counts."""
+    return providers.agg(F.count(F.lit(1)).alias("providers"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums))
+
+
+def default_role(roles: DataFrame, group: list[str], role: str = "curation_role", many: int = 200) -> DataFrame:
+    """The role that a group's page opens with: primary where it has more than ``many`` rows and any primary one, else all."""
+    n = roles.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(role) == "primary").alias("__p"))
+    return n.select(*group, F.when((F.col("__n") > many) & (F.col("__p") > 0), "primary").otherwise("all").alias("default_role"))
 
 
 def primary_category(categories: Column, order: list[str]) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.operators.caps import top_per_group
+from recordloom.operators.joins import small
+from recordloom.operators.orders import places
 
 
 def latest(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
@@ -17,10 +19,11 @@ def latest(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     return top_per_group(df, group, order, 1, rank="__rn").drop("__rn").join(n, group)
 
 
-def mark_latest(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """Every row with is_latest and revision_count."""
-    w = Window.partitionBy(*group)
-    return df.withColumn("revision_count", F.count(F.lit(1)).over(w)).withColumn("is_latest", F.row_number().over(w.orderBy(*order)) == 1)
+def mark_latest(df: DataFrame, group: list[str], order: list[Column], key: list[str]) -> DataFrame:
+    """Every row with is_latest and revision_count; ``key`` names a row. Groups are ranked and counted in each task first."""
+    newest = latest(df, group, order).select(*key, F.lit(True).alias("is_latest"))
+    n = df.groupBy(*group).agg(F.count(F.lit(1)).alias("revision_count"))
+    return df.join(n, group).join(newest, key, "left").withColumn("is_latest", F.coalesce("is_latest", F.lit(False)))
 
 
 def latest_path(df: DataFrame, group: list[str], revision: str, path: str) -> DataFrame:
@@ -55,15 +58,17 @@ def impact_priors(metrics: DataFrame, journals: DataFrame, neutral: float = 50.0
 
 
 def interleave(df: DataFrame, group: list[str], lane: str, within: list[Column], lanes: Column, name: str = "turn") -> DataFrame:
-    """Numbers each group's rows by taking one from every lane in turn; ``lanes`` orders the lanes."""
-    ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*group, lane).orderBy(*within)))
-    return ranked.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy("__rn", lanes, lane))).drop("__rn")
+    """Numbers each group's rows by taking one from every lane in turn; ``lanes`` orders the lanes. ``within`` ends with something unique."""
+    ranked = places(df, [*group, lane], within, "__rn")
+    return places(ranked, group, ["__rn", lanes, lane], name).drop("__rn")
 
 
-def round_robin(df: DataFrame, lane: str, within: list[Column], best: Column, name: str = "turn") -> DataFrame:
+def round_robin(df: DataFrame, lane: str, within: list[Column], best: Column) -> DataFrame:
     """Sort columns of one global round-robin: the row's place in its lane, then the lane's best value, then the lane.
 
-    No global window is needed: ``orderBy(round, desc(lane_best), lane)`` gives the turns.
+    ``orderBy(round, desc(lane_best), lane)`` gives the turns, and ``orders.numbered`` their numbers.
+    Lanes are few and large: their rows are placed by ranges, their best values are partial aggregates.
     """
-    w = Window.partitionBy(lane)
-    return df.withColumn("round", F.row_number().over(w.orderBy(*within))).withColumn("lane_best", F.max(best).over(w))
+    top = df.groupBy(F.col(lane).alias("__lane")).agg(F.max(best).alias("lane_best"))
+    joined = places(df, [lane], within, "round").join(small(top), F.col(lane).eqNullSafe(F.col("__lane")))
+    return joined.drop("__lane")

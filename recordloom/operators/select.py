@@ -4,21 +4,24 @@ Whether a record is admitted depends on its own journal alone: hard cap,
 near-duplicate titles and topic caps. Journals meet only in the order of turns
 and in the global target. So each journal is played through on its own as if
 there were no target, giving one row a turn; turns of all journals are then put
-in order by what was known at the turn, and the target cuts them.
+in order by what was known at the turn, and the target cuts them: a top-k of the
+turns that took a row says where, so no task sees all turns.
 
-A journal's candidates reach its task already cut to what its caps can use; the
-rows that a task holds are a journal's, never the corpus'.
+A task holds one journal's eligible rows, never the corpus': what a near-duplicate
+or topic cap rejects isn't known before, so a journal's rows can't be cut sooner.
+Time is linear in them, as a row is compared with no more titles than the cap.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, deque
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.rules import weights
+from recordloom.plans.lineage import cut
 from recordloom.plans.policy import ReviewPolicy, ShortlistPolicy
 
 TURN = "journal_slug string, phase int, pass int, k1 double, k2 double, k3 double, record_key string, reason string, rejected array<struct<record_key:string,block:string>>"
@@ -93,13 +96,13 @@ def _play(policy: ShortlistPolicy):
         soft, hard = policy.topic_soft_caps[mode], policy.topic_hard_caps[mode]
         out: list[tuple] = []
 
-        def turns(phase: int, pool: list, reason: str, topic_cap: int, keys, until: int | None = None) -> None:
+        def turns(phase: int, pool: deque, reason: str, topic_cap: int, keys, until: int | None = None) -> None:
             k = 0
             while pool and (until is None or len(state.titles) < until):
                 k += 1
                 key, rejected, got = keys(len(state.titles), len(pool)), [], None
                 while pool and got is None:
-                    row = pool.pop(0)
+                    row = pool.popleft()
                     if row.record_key in state.keys:
                         continue
                     why = state.block(row, topic_cap, phase == 3)
@@ -110,12 +113,12 @@ def _play(policy: ShortlistPolicy):
                         got = row.record_key
                 out.append((first["journal_slug"], phase, k, *key, got, reason, rejected))
 
-        lanes = lambda rows: [r for r in rows.sort_values("turn").itertuples()]
+        lanes = lambda rows: deque(rows.sort_values("turn").itertuples())
         is_independent = pdf["route"].isin(independent)
         candidates, target, fetchable = (max(1, int(first[c])) for c in ("candidates", "target", "fetchable_count"))
         turns(1, lanes(pdf[is_independent]), "METRIC_INDEPENDENT_PREFETCH_CANDIDATE", soft, lambda held, _: (held / candidates, 0.0, 0.0))
         turns(2, lanes(pdf[pdf["route"] == "RESERVE"]), "IMPACT_ADAPTIVE_TARGET", soft, lambda held, _: (-percentile, held / target, 0.0), int(first["target"]))
-        rest = [r for r in pdf.assign(__i=~is_independent).sort_values(["__i", "place"]).itertuples() if r.record_key not in state.keys]
+        rest = deque(r for r in pdf.assign(__i=~is_independent).sort_values(["__i", "place"]).itertuples() if r.record_key not in state.keys)
         turns(3, rest, "IMPACT_GLOBAL_BUDGET_FILL", hard, lambda held, left: (-percentile, held / fetchable, -float(left)))
         return pd.DataFrame(out, columns=["journal_slug", "phase", "pass", "k1", "k2", "k3", "record_key", "reason", "rejected"])
 
@@ -134,15 +137,21 @@ def diversified(records: DataFrame, context: DataFrame, policy: ShortlistPolicy
     eligible = records.filter(F.col("route").isin(*p.eligible))
     small = context.select("journal_slug", "percentile", "hard_cap", "candidates", "target", F.col("fetchable").alias("fetchable_count"))
     turns = eligible.join(small, "journal_slug").groupBy("journal_slug").applyInPandas(_play(p), TURN)
-    # One row a turn: at most the sum of the journals' caps were accepted.
-    order = Window.orderBy("phase", "pass", "k1", "k2", "k3", "journal_slug")
-    before = F.coalesce(F.sum(F.col("record_key").isNotNull().cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    kept = turns.withColumn("before", before).filter(F.col("before") < p.target)
-    selected = kept.filter("record_key is not null").select("record_key", "journal_slug", (F.col("before") + 1).alias("ordinal"), "reason")
+    turns = cut(turns.withColumn("at", F.struct("phase", "pass", "k1", "k2", "k3", "journal_slug")))
+    taken, kept = _until(turns, "at", F.col("record_key").isNotNull(), p.target)
+    selected = taken.select("record_key", "journal_slug", "ordinal", "reason")
     blocks = kept.select(F.explode("rejected").alias("r")).select("r.record_key", "r.block").distinct()
     return selected, blocks
 
 
+def _until(rows: DataFrame, at: str, taken: Column, target: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``target`` taken rows in the order of ``at``, numbered, and all rows up to the last of them (all, where there are fewer)."""
+    first = rows.filter(taken).orderBy(at).limit(target)
+    numbered = cut(first.withColumn("ordinal", F.row_number().over(Window.orderBy(at)).cast("long")))  # of the target's rows alone
+    last = numbered.agg(F.max(at).alias("__last"), F.count(F.lit(1)).alias("__n"))
+    return numbered, rows.crossJoin(F.broadcast(last)).filter((F.col("__n") < target) | (F.col(at) <= F.col("__last"))).drop("__last", "__n")  # one row beside each
+
+
 def final_blocks(records: DataFrame, selected: DataFrame, context: DataFrame, policy: ShortlistPolicy | None = None) -> DataFrame:
     """(record_key, block) of eligible rows that weren't selected, against what was; else the global ceiling."""
     p = policy or ShortlistPolicy()
@@ -191,11 +200,11 @@ def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> Dat
         return pd.DataFrame(out, columns=["journal_slug", "record_key", "round", "top_score", "top_percentile", "reason"])
 
     marked = ranked.select("journal_slug", "record_key", "processing_mode", "round", "top_score", "top_percentile", "tokens").groupBy("journal_slug").applyInPandas(journal, "journal_slug string, record_key string, round int, top_score double, top_percentile double, reason string")
-    order = Window.orderBy("round", F.desc("top_score"), F.desc("top_percentile"), "journal_slug")
-    taken = (F.col("reason") == "ABSTRACT_STRUCTURAL_REVIEW").cast("int")
-    counted = marked.withColumn("before", F.coalesce(F.sum(taken).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    late = F.col("before") >= p.target
-    return counted.withColumn("ordinal", F.when(~late & (taken == 1), F.col("before") + 1)).withColumn("reason", F.when(late, "FULLTEXT_GLOBAL_TARGET_OR_RELATIVE_PRIORITY").otherwise(F.col("reason"))).select("journal_slug", "record_key", "ordinal", "reason")
+    marked = cut(marked.withColumn("at", F.struct("round", (-F.col("top_score")).alias("s"), (-F.col("top_percentile")).alias("p"), "journal_slug")))
+    taken, early = _until(marked, "at", F.col("reason") == "ABSTRACT_STRUCTURAL_REVIEW", p.target)
+    placed = early.select("journal_slug", "record_key", "reason").join(taken.select("journal_slug", "record_key", "ordinal"), ["journal_slug", "record_key"], "left")
+    late = marked.join(early.select("journal_slug", "record_key"), ["journal_slug", "record_key"], "left_anti").select("journal_slug", "record_key", F.lit("FULLTEXT_GLOBAL_TARGET_OR_RELATIVE_PRIORITY").alias("reason"), F.lit(None).cast("long").alias("ordinal"))
+    return placed.unionByName(late).select("journal_slug", "record_key", "ordinal", "reason")
 
 
 def first_shortlist(rows: DataFrame, target: int = 48, journal_caps: tuple = (4, 8, 2, 0), path_cap: int = 12, near: float = 0.72, batch: int = 100) -> DataFrame:
@@ -209,7 +218,6 @@ def first_shortlist(rows: DataFrame, target: int = 48, journal_caps: tuple = (4,
     Part of the reference's selection alone: category and path floors, topic caps, soft and hard passes,
     round robin and reserve backfill aren't built.
     """
-    from recordloom.plans.lineage import cut
     from recordloom.plans.policy import MODES
 
     caps = dict(zip(MODES, journal_caps, strict=True))

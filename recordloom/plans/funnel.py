@@ -71,6 +71,6 @@ def evaluated_edition(reviewed: DataFrame, texts: DataFrame, policy: EvaluationP
     read = audited.filter("text is not null").withColumn("editorial_score", score)
     turns = rank.round_robin(read, "primary_path", [F.desc("editorial_score"), F.lower("title_original"), F.col("record_key")], F.col("editorial_score"))
     cap = F.coalesce(F.try_element_at(weights(p.journal_caps), F.col("processing_mode")), F.lit(0))
-    placed = caps.featured(turns, "journal_slug", [F.col("round"), F.desc("lane_best"), F.col("primary_path")], cap, p.target)
+    placed = caps.featured(turns, "journal_slug", [F.col("round"), F.desc("lane_best"), F.col("primary_path")], cap, p.target, ["record_key"], max(p.journal_caps.values()))
     routed = placed.withColumn("editorial_route", F.when(F.col("ordinal").isNotNull(), "FEATURED").otherwise("EVIDENCE_RESERVE")).withColumnRenamed("ordinal", "featured_ordinal")
     return routed.drop("round", "lane_best").unionByName(limited, allowMissingColumns=True)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import period, text
-from recordloom.operators import caps, checks, classify, joins, merge, publish, select, signals
+from recordloom.operators import caps, checks, classify, identity, joins, merge, orders, publish, select, signals
 from recordloom.plans.policy import ReviewPolicy
 from recordloom.plans.table_queries import query
 
@@ -118,17 +118,23 @@ def reporting_audit(t) -> DataFrame:
 
 @query("""SELECT count(DISTINCT o_custkey) AS journals, count(DISTINCT (o_custkey, strftime(o_orderdate, '%Y-%m'))) AS periods, count(*) AS revisions, max(strftime(o_orderdate, '%Y-%m')) AS latest_month, count(DISTINCT o_custkey) FILTER (strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)) AS in_latest_month FROM orders""")
 def catalog_counts(t) -> DataFrame:
-    o = t("orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("m"))
-    last = o.agg(F.max("m").alias("latest_month"))
-    c = o.agg(F.count_distinct("o_custkey").alias("journals"), F.count_distinct("o_custkey", "m").alias("periods"), F.count(F.lit(1)).alias("revisions"))
-    newest = o.join(F.broadcast(last), F.col("m") == F.col("latest_month")).groupBy("latest_month").agg(F.count_distinct("o_custkey").alias("in_latest_month"))
-    return c.crossJoin(newest).select("journals", "periods", "revisions", "latest_month", "in_latest_month")  # one row beside one row
+    return publish.catalog_counts(t("orders").select(F.col("o_custkey").alias("journal"), F.date_format("o_orderdate", "yyyy-MM").alias("month")))
 
 
 @query("""SELECT p_brand, count(*) FILTER (p_size > 10) AS known, count(*) FILTER (p_size <= 10) AS unknown, round(count(*) FILTER (p_size > 10) / count(*), 6) AS fraction FROM part GROUP BY p_brand""")
 def metric_coverage(t) -> DataFrame:
-    known = F.count_if(F.col("p_size") > 10)
-    return t("part").groupBy("p_brand").agg(known.alias("known"), F.count_if(F.col("p_size") <= 10).alias("unknown"), F.round(known / F.count(F.lit(1)), 6).alias("fraction"))
+    return publish.coverage(t("part"), ["p_brand"], F.col("p_size") > 10)
+
+
+@query("SELECT count(*) AS providers, CAST(sum(p_size) AS BIGINT) AS p_size, CAST(sum(p_partkey % 7) AS BIGINT) AS articles FROM part")
+def provider_totals(t) -> DataFrame:
+    return publish.provider_totals(t("part").withColumn("articles", F.col("p_partkey") % 7), ["p_size", "articles"])
+
+
+@query("SELECT l_suppkey, CASE WHEN count(*) > 580 AND count(*) FILTER (l_returnflag = 'R' AND l_linenumber = 7) > 0 THEN 'primary' ELSE 'all' END AS default_role FROM lineitem GROUP BY l_suppkey")
+def default_role(t) -> DataFrame:
+    role = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), "primary").otherwise("editorial")
+    return publish.default_role(t("lineitem").select("l_suppkey", role.alias("curation_role")), ["l_suppkey"], many=580)
 
 
 @query("""
@@ -139,15 +145,87 @@ def ordered_fold(t) -> DataFrame:
     return merge.fold_delta(d, "l_orderkey", "l_linenumber").select("l_orderkey", F.coalesce(text.blank_to_null(F.col("flag")), F.lit("")).alias("flag"), F.array_join("urls", ",").alias("urls"))
 
 
-@query("""
-SELECT event_id, CAST(row_number() OVER (ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 ELSE 9 END, value DESC, event_id) AS INT) AS ordinal FROM events QUALIFY ordinal <= 300""")
+_ROUTED = ("INTEGRITY_REVIEW", "FETCH_CANDIDATE", "RESERVE", "CATALOG_ONLY", "OTHER")
+_PLACE_SQL = "CASE event_id % 5 WHEN 4 THEN 99 ELSE event_id % 5 END"
+
+
+def _ordered(t) -> DataFrame:
+    """Events as records with everything that an output order needs."""
+    k = F.col("event_id")
+    return t("events").select(
+        "event_id", _pick(_ROUTED, k).alias("route"), (k % 11).cast("int").alias("score"), F.concat(F.lit("J"), (k % 4).cast("string")).alias("journal"), F.date_format("ts", "yyyy-MM-dd").alias("publication_date"),
+        F.concat(F.lit("T"), (k % 3).cast("string")).alias("title_original"), F.lpad(k.cast("string"), 9, "0").alias("canonical_id"), F.lpad(k.cast("string"), 9, "0").alias("record_key"), (k % 11).cast("int").alias("prefetch_score"),
+        F.when(k % 6 > 0, (k % 6 * 15).cast("double")).alias("percentile"), _pick(("FETCH_CANDIDATE", "RESERVE"), k).alias("prefetch_route"), _pick(("FETCH_NOW", "HOLD_RESERVE", "CATALOG_ONLY"), k).alias("editorial_route"),
+        F.when(k % 3 == 0, (k % 1000 + 1).cast("int")).alias("selection_ordinal"), _pick(("FULLTEXT_NOW", "FULLTEXT_RESERVE", "NO_ABSTRACT"), k).alias("fulltext_route"), (k % 17).cast("int").alias("fulltext_priority_score"),
+        F.date_format("ts", "yyyy-MM").alias("period_end"), k.alias("revision"),
+    )
+
+
+def _in_order(t, order: list) -> DataFrame:
+    return orders.numbered(_ordered(t), order).select("event_id", "ordinal")
+
+
+@query(f"SELECT event_id, row_number() OVER (ORDER BY {_PLACE_SQL}, event_id % 11 DESC, event_id % 4, strftime(ts, '%Y-%m-%d'), event_id % 3, event_id) AS ordinal FROM events")
+def triage_order(t) -> DataFrame:
+    return _in_order(t, orders.triage_order())
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 5 > 2 THEN 99 ELSE event_id % 5 END, event_id % 11 DESC, strftime(ts, '%Y-%m-%d') DESC, event_id % 3, event_id) AS ordinal FROM events")
+def portfolio_order(t) -> DataFrame:
+    return _in_order(t, orders.portfolio_order())
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id % 2, CASE WHEN event_id % 6 = 0 THEN 50 ELSE event_id % 6 * 15 END DESC, event_id % 11 DESC, event_id % 4, event_id % 3, event_id) AS ordinal FROM events")
+def hold_order(t) -> DataFrame:
+    return _in_order(t, [*orders.hold_order(), "event_id"])
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id % 3, CASE WHEN event_id % 3 = 0 THEN event_id % 1000 + 1 ELSE 999999 END, event_id % 11 DESC, event_id % 3, event_id) AS ordinal FROM events")
 def audit_order(t) -> DataFrame:
-    from pyspark.sql import Window
+    return _in_order(t, orders.audit_order())
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id % 3, event_id % 17 DESC, event_id % 4, event_id) AS ordinal FROM events")
+def review_order(t) -> DataFrame:
+    return _in_order(t, [*orders.review_order(), "event_id"])
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY strftime(ts, '%Y-%m') DESC, event_id % 4 DESC, event_id DESC) AS ordinal FROM events")
+def publication_order(t) -> DataFrame:
+    return _in_order(t, orders.publication_order())
+
+
+@query(_TITLE_SQL + ", j AS (SELECT p_brand AS journal, count(*) FILTER (route = 'FETCH_CANDIDATE') AS f, count(*) FILTER (route = 'INTEGRITY_REVIEW') AS i FROM r GROUP BY p_brand) SELECT journal, row_number() OVER (ORDER BY f DESC, i DESC, lower(journal)) AS ordinal FROM j")
+def journal_order(t) -> DataFrame:
+    counted = publish.conditional_counts(_routed(t).withColumnRenamed("p_brand", "journal"), ["journal"], "route", orders.TRIAGE_ROUTES)
+    return orders.numbered(counted, orders.journal_order()).select("journal", "ordinal")
+
 
-    lane = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "signup", 1).otherwise(9)
-    order = ["lane", F.desc("value"), "event_id"]
-    top = t("events").select("event_id", "value", lane.alias("lane")).orderBy(*order).limit(300)  # the plan's ceiling
-    return top.select("event_id", F.row_number().over(Window.orderBy(*order)).alias("ordinal"))
+@query("""
+SELECT o_orderkey, o_orderkey % 4 = 0 OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 AS same FROM orders""")
+def fetched_identity(t) -> DataFrame:
+    """A record has three identifiers; a fetched text agrees in some of them, in other spellings."""
+    k = F.col("o_orderkey")
+    said = lambda pre, n: F.concat(F.lit(pre), F.when(k % n == 0, k).otherwise(-k - 1).cast("string"))
+    found = {"pmcid": said("pmc", 4), "pmid": said("", 5), "doi": F.concat(F.lit("https://doi.org/"), said("10.5/X", 7))}
+    wanted = {"pmcid": F.concat(F.lit("PMC"), k.cast("string")), "pmid": k.cast("string"), "doi": F.concat(F.lit("10.5/x"), k.cast("string"))}
+    return t("orders").select("o_orderkey", identity.same_record(found, wanted).alias("same"))
+
+
+@query("""
+SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'https://www.sciencedirect.com/science/article/pii/S' || c_custkey WHEN 1 THEN 'https://linkinghub.elsevier.com/retrieve/other/S' || c_custkey ELSE 'http://example.org/retrieve/pii/S' || c_custkey END AS link FROM customer""")
+def publisher_links(t) -> DataFrame:
+    link = F.concat(_pick(["https://LinkingHub.elsevier.com/retrieve/pii/S", "https://linkinghub.elsevier.com/retrieve/other/S", "http://example.org/retrieve/pii/S"], F.col("c_custkey")), F.col("c_custkey").cast("string"))
+    return t("customer").select("c_custkey", text.publisher_url(link, idna=False).alias("link"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE n_name END AS name, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE '' END AS publisher FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def filled_identities(t) -> DataFrame:
+    """What a registry's rows lack comes from what is known of them."""
+    c = t("customer").select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("name"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).alias("publisher"))
+    known = t("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("name"), F.lit("").alias("publisher"))
+    return merge.fill_missing(c, known, "c_nationkey", ["name", "publisher"]).select("c_custkey", "name", "publisher")
 
 
 @query("""
@@ -183,16 +261,17 @@ def violation_report(t) -> DataFrame:
 
 
 @query("""
-WITH v AS (SELECT doc_id, sha256(text) AS sha, strlen(text) AS bytes FROM documents)
-SELECT 'PAYLOAD_DIGEST' AS "check", CAST(doc_id AS VARCHAR) AS key FROM v WHERE doc_id % 10 = 1 UNION ALL SELECT 'PAYLOAD_SIZE', CAST(doc_id AS VARCHAR) FROM v WHERE doc_id % 10 = 1 OR doc_id % 10 = 2""")
+WITH v AS (SELECT DISTINCT sha256(text) AS name, min(doc_id) OVER (PARTITION BY text) AS k FROM documents), r AS (SELECT doc_id, sha256(text) AS name FROM documents WHERE doc_id % 9 <> 0),
+b AS (SELECT coalesce('r' || doc_id, v.name) AS key, doc_id, r.name AS claimed, v.name AS stored, k FROM r FULL JOIN (SELECT * FROM v WHERE k % 11 <> 0) v ON r.name = v.name)
+SELECT 'PAYLOAD_PRESENT' AS "check", key FROM b WHERE stored IS NULL UNION ALL SELECT 'PAYLOAD_CLAIMED', key FROM b WHERE doc_id IS NULL
+UNION ALL SELECT 'PAYLOAD_DIGEST', key FROM b WHERE stored IS NOT NULL AND k % 10 = 1 UNION ALL SELECT 'PAYLOAD_SIZE', key FROM b WHERE stored IS NOT NULL AND doc_id IS NOT NULL AND ((k % 10 = 1) <> (doc_id % 10 = 2))""")
 def payload_integrity(t) -> DataFrame:
-    """Vault names get the document's id, so that equal texts are told apart; some contents and sizes are altered."""
+    """Each text is stored once; some are absent, altered by a byte, not claimed or claimed with a byte too many."""
     d = t("documents").select("doc_id", F.col("text").cast("binary").alias("content"))
-    k = F.col("doc_id") % 10
-    stored = d.select("doc_id", F.sha2("content", 256).alias("name"), F.when(k == 1, F.concat(F.col("content"), F.lit("!").cast("binary"))).otherwise(F.col("content")).alias("content"))
-    receipts = d.select(F.col("doc_id").alias("id"), F.sha2("content", 256).alias("sha256"), (F.length("content") + F.when(k == 2, 1).otherwise(0)).cast("long").alias("bytes"))
-    both = receipts.join(stored, F.col("id") == F.col("doc_id"))
-    return checks.violations(both, F.col("id"), {"PAYLOAD_DIGEST": F.sha2("content", 256) == F.col("sha256"), "PAYLOAD_SIZE": F.length("content") == F.col("bytes")}).select("check", "key")
+    stored = d.groupBy(F.sha2("content", 256).alias("sha256")).agg(F.min("doc_id").alias("k"), F.min("content").alias("content")).filter("k % 11 <> 0")
+    altered = stored.select("sha256", F.when(F.col("k") % 10 == 1, F.concat("content", F.lit("!").cast("binary"))).otherwise(F.col("content")).alias("content"))
+    receipts = d.filter("doc_id % 9 <> 0").select(F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("record_key"), F.sha2("content", 256).alias("sha256"), (F.length("content") + F.when(F.col("doc_id") % 10 == 2, 1).otherwise(0)).cast("long").alias("bytes"))
+    return checks.payloads(receipts, altered).select("check", "key")
 
 
 @query("""
@@ -358,12 +437,9 @@ def registry_filter(t) -> DataFrame:
 
 @query("""SELECT c_custkey, CAST(least(c_custkey % 900, CASE c_custkey % 4 WHEN 3 THEN 0 ELSE 500 END) AS INT) AS budget, CASE WHEN c_custkey % 4 = 3 THEN 'NONE' WHEN c_custkey % 900 > 250 THEN 'LIMITED' ELSE 'INLINE_ALL' END AS projection, c_custkey % 4 = 3 AS suspended FROM customer""")
 def source_budget(t) -> DataFrame:
-    from recordloom.functions.rules import weights
-    from recordloom.plans.policy import MODES, ProcessingPolicy
+    from recordloom.plans.policy import MODES
 
     k = F.col("c_custkey")
-    mode = _pick(list(MODES), k)
-    n = (k % 900).cast("int")
-    limit = F.try_element_at(weights(ProcessingPolicy().source_limits_by_mode), mode)
-    shown = F.when(mode == "SUSPENDED", "NONE").when(n > 250, "LIMITED").otherwise("INLINE_ALL")
-    return t("customer").select("c_custkey", F.least(n, limit).alias("budget"), shown.alias("projection"), (mode == "SUSPENDED").alias("suspended"))
+    mode, n = _pick(list(MODES), k), (k % 900).cast("int")
+    shown, _, _ = caps.projection(n.cast("long"), F.when(mode == "SUSPENDED", 0).otherwise(250))
+    return t("customer").select("c_custkey", caps.source_budget(n, mode).alias("budget"), shown.alias("projection"), (~caps.load_allowed(mode)[0]).alias("suspended"))

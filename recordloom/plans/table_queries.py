@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import period, text
 from recordloom.functions.rules import first_match, matched, weighted_sum
-from recordloom.operators import caps, classify, identity, joins, merge, publish, rank, select
+from recordloom.operators import caps, classify, identity, joins, merge, orders, publish, rank, select
 from recordloom.plans.policy import ShortlistPolicy, TriagePolicy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,7 +102,7 @@ def period_overlap(t) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'doi:10.1/' || c_custkey WHEN c_custkey % 4 = 1 THEN 'pmid:' || c_custkey WHEN c_custkey % 4 = 2 THEN 'pmcid:PMC' || c_custkey ELSE 'fingerprint:' || sha256(c_name || '|' || c_nationkey) END AS canonical_id,
+SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'doi:10.1/' || c_custkey WHEN c_custkey % 4 = 1 THEN 'pmid:' || c_custkey WHEN c_custkey % 4 = 2 THEN 'pmcid:PMC' || c_custkey ELSE 'fingerprint:' || c_name || '|' || c_nationkey END AS canonical_id,
   concat_ws('|', c_mktsegment, c_nationkey, 1, c_custkey) AS record_key FROM customer""")
 def canonical_id(t) -> DataFrame:
     k = F.col("c_custkey")
@@ -175,11 +175,10 @@ def interleave(t) -> DataFrame:
 
 @query("""
 WITH r AS (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rn, max(o_totalprice) OVER (PARTITION BY o_orderpriority) AS best, o_orderpriority FROM orders)
-SELECT o_orderkey, CAST(row_number() OVER (ORDER BY rn, best DESC, o_orderpriority) AS INT) AS turn FROM r QUALIFY turn <= 120""")
+SELECT o_orderkey, row_number() OVER (ORDER BY rn, best DESC, o_orderpriority) AS turn FROM r""")
 def path_round_robin(t) -> DataFrame:
     r = rank.round_robin(t("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), "o_orderpriority", [F.desc("o_totalprice"), F.col("o_orderkey")], F.col("o_totalprice"))
-    top = r.orderBy("round", F.desc("lane_best"), "o_orderpriority").limit(120)  # the report's length: the full-text target
-    return top.select("o_orderkey", F.row_number().over(Window.orderBy("round", F.desc("lane_best"), "o_orderpriority")).alias("turn"))
+    return orders.numbered(r, ["round", F.desc("lane_best"), "o_orderpriority"], "turn").select("o_orderkey", "turn")
 
 
 @query("""
@@ -187,7 +186,7 @@ WITH c AS (SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (PARTIT
 n AS (SELECT *, CASE WHEN within THEN row_number() OVER (PARTITION BY within ORDER BY o_totalprice DESC, o_orderkey) END AS k FROM c)
 SELECT o_orderkey, CAST(CASE WHEN within AND k <= 36 THEN k ELSE 0 END AS INT) AS ordinal, CASE WHEN within AND k <= 36 THEN 'SELECTED' WHEN NOT within THEN 'GROUP_CAP' ELSE 'GLOBAL_TARGET' END AS reason FROM n""")
 def featured_cap(t) -> DataFrame:
-    return caps.featured(t("orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_custkey", [F.desc("o_totalprice"), F.col("o_orderkey")], 2, 36).select("o_orderkey", F.coalesce("ordinal", F.lit(0)).alias("ordinal"), "reason")
+    return caps.featured(t("orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_custkey", [F.desc("o_totalprice"), F.col("o_orderkey")], 2, 36, ["o_orderkey"]).select("o_orderkey", F.coalesce("ordinal", F.lit(0)).alias("ordinal"), "reason")
 
 
 @query("""
@@ -209,13 +208,15 @@ def bounded_index(t) -> DataFrame:
 
 
 def _document_aliases(t) -> DataFrame:
-    head = text.normalize_title_key(F.substring("text", 1, 60), ascii_only=True)
-    return t("documents").select("doc_id", "lang", "source", F.array(F.concat(F.lit("text:"), F.sha2("text", 256)), F.concat(F.lit("head:"), head)).alias("aliases"))
+    """A document's aliases: its whole text, and its source with its whole title (the first line) where that says anything."""
+    title = text.blank_to_null(text.normalize_title_key(F.split_part("text", F.lit("\n"), F.lit(1)), ascii_only=True))
+    named = F.concat(F.lit("title:"), title, F.lit("|"), F.coalesce("source", F.lit("")))
+    return t("documents").select("doc_id", "lang", "source", F.array_compact(F.array(F.concat(F.lit("text:"), F.sha2("text", 256)), named)).alias("aliases"))
 
 
 _ALIAS_SQL = """
-WITH RECURSIVE h AS (SELECT doc_id, lang, source, text, regexp_replace(lower(trim(regexp_replace(regexp_replace(substr(text, 1, 60), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), '[^a-z0-9]+', '', 'g') AS head FROM documents),
-a AS (SELECT doc_id, 'text:' || sha256(text) AS alias FROM h UNION SELECT doc_id, 'head:' || head FROM h),
+WITH RECURSIVE h AS (SELECT doc_id, lang, source, text, regexp_replace(lower(trim(regexp_replace(regexp_replace(split_part(text, chr(10), 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), '[^a-z0-9]+', '', 'g') AS title FROM documents),
+a AS (SELECT doc_id, 'text:' || sha256(text) AS alias FROM h UNION SELECT doc_id, 'title:' || title || '|' || coalesce(source, '') FROM h WHERE title <> ''),
 e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM a x JOIN (SELECT alias, min(doc_id) AS doc_id FROM a GROUP BY alias) y USING (alias) WHERE x.doc_id <> y.doc_id),
 ee AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, ee.b FROM r JOIN ee ON r.b = ee.a),
@@ -229,19 +230,29 @@ def dedup_components(t) -> DataFrame:
 
 
 @query(_ALIAS_SQL + """
-SELECT component, count(*) AS members, min_by(lang, doc_id) AS lang, array_to_string(list_sort(list_distinct(list(source))), ',') AS sources, CAST(max(length(text)) AS INT) AS longest FROM c JOIN documents USING (doc_id) GROUP BY component""")
+, m AS (SELECT component, doc_id, lang, source, CAST(doc_id % 7 AS INT) AS n, DATE '2026-01-01' + CAST(doc_id % 40 AS INT) AS d FROM c JOIN documents USING (doc_id))
+SELECT component, CAST(count(*) AS INT) AS members, min_by(doc_id, doc_id) AS idx, strftime(min(d), '%Y-%m-%d') AS publication_date, coalesce(min_by('10.5/' || doc_id, doc_id) FILTER (doc_id % 3 = 0), '') AS doi,
+  array_to_string(list_sort(list_distinct(list(coalesce(lang, '')))), ',') AS issns, array_to_string(list_sort(list_distinct(list('u' || doc_id % 5))), ',') AS urls, CAST(max(n) AS INT) AS authors, min_by(doc_id, (-n, doc_id)) AS authors_of FROM m GROUP BY component""")
 def survivor_merge(t) -> DataFrame:
-    """First member's scalars, united sources, the longest text: a fold over each component in input order."""
-    docs = t("documents").select("doc_id", "lang", "source", F.length("text").alias("chars"))
-    parts = identity.components(_document_aliases(t), "doc_id", "aliases")
-    rows = docs.join(parts, "doc_id").groupBy("component").agg(F.array_sort(F.collect_list(F.struct("doc_id", "lang", F.array("source").alias("sources"), "chars"))).alias("m"))
+    """Each component folded in input order: first scalars, the longest authors, united lists, the earliest of equally fine dates."""
+    k = F.col("doc_id")
+    author = F.transform(F.array_repeat(k.cast("string"), (k % 7).cast("int")), lambda x, i: F.concat(x, F.lit("-"), i.cast("string")))
+    none = {c: F.lit(None).cast("string").alias(c) for c in identity.FIRST_SCALARS if c != "doi"}
+    docs = t("documents").select(
+        k.alias("idx"), F.date_add(F.lit("2026-01-01").cast("date"), (k % 40).cast("int")).alias("publication_date"), F.lit("DAY").alias("publication_date_precision"), author.alias("authors"),
+        F.array(F.coalesce("lang", F.lit(""))).alias("issns"), F.array(F.concat(F.lit("u"), (k % 5).cast("string"))).alias("urls"), F.array(F.struct(F.lit("s").alias("source"), k.cast("string").alias("source_id"))).alias("source_records"),
+        F.when(k % 3 == 0, F.concat(F.lit("10.5/"), k.cast("string"))).otherwise("").alias("doi"), *none.values(),
+    )
+    parts = identity.components(_document_aliases(t).withColumnRenamed("doc_id", "idx"), "idx", "aliases")
+    made = identity.merge_survivors(docs.join(parts, "idx"))
+    owner = F.coalesce(F.split_part(F.try_element_at("authors", F.lit(1)), F.lit("-"), F.lit(1)).cast("long"), F.col("idx"))
+    return made.select("component", "members", "idx", F.date_format("publication_date", "yyyy-MM-dd").alias("publication_date"), F.coalesce("doi", F.lit("")).alias("doi"), F.array_join("issns", ",").alias("issns"), F.array_join("urls", ",").alias("urls"), F.size("authors").alias("authors"), owner.alias("authors_of"))
 
-    def fold(a: Column, b: Column) -> Column:
-        return F.struct(a["doc_id"].alias("doc_id"), F.coalesce(text.blank_to_null(a["lang"]), text.blank_to_null(b["lang"])).alias("lang"), F.array_sort(F.array_union(a["sources"], b["sources"])).alias("sources"), F.greatest(a["chars"], b["chars"]).alias("chars"))
 
-    s = F.aggregate(F.slice("m", F.lit(2), F.greatest(F.size("m") - 1, F.lit(0))), F.col("m")[0], fold)
-    made = rows.select("component", F.size("m").cast("long").alias("members"), s.alias("s"))
-    return made.select("component", "members", "s.lang", F.array_join("s.sources", ",").alias("sources"), F.col("s.chars").alias("longest"))
+@query("SELECT source, count(DISTINCT sha256(text)) AS n FROM documents WHERE source IS NOT NULL GROUP BY source")
+def ids_by_source(t) -> DataFrame:
+    d = t("documents").filter("source is not null").select(F.sha2("text", 256).alias("canonical_id"), F.array(F.struct("source")).alias("source_records"))
+    return identity.counts_by_source(d)
 
 
 @query("SELECT source, coalesce(nullif(lang, ''), 'unspecified') AS lang, count(*) AS n, count(DISTINCT doc_id) AS ids FROM documents GROUP BY ALL")
@@ -250,12 +261,11 @@ def source_counts(t) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT user_id, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'search' THEN 'PARTIAL' WHEN 'view' THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, value FROM events WHERE event_id % 7 = 0 OR event_type <> 'view')
+WITH s AS (SELECT user_id, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'search' THEN 'PARTIAL' WHEN 'view' THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, value FROM events)
 SELECT user_id, CASE WHEN bool_and(status = 'FAILED') THEN 'SOURCE_ACCESS_GAP' WHEN bool_or(status IN ('FAILED', 'PARTIAL')) THEN 'PARTIAL_SOURCE_COVERAGE' WHEN max(value) > 0 THEN 'COMPLETE' ELSE 'NO_MATCHING_ARTICLES' END AS run_status FROM s GROUP BY user_id""")
 def run_status(t) -> DataFrame:
     status = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type").isin("search", "view"), "PARTIAL").otherwise("SUCCESS")
-    checks = t("events").filter((F.col("event_id") % 7 == 0) | (F.col("event_type") != "view")).withColumn("status", status)
-    return publish.run_status(checks, ["user_id"], "status", F.col("value"))
+    return publish.run_status(t("events").withColumn("status", status), ["user_id"], "status", F.col("value"))
 
 
 @query("""
@@ -441,8 +451,8 @@ def root_items(t) -> DataFrame:
 SELECT e.event_id, m.event_id AS rep FROM events e JOIN (SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL) m USING (user_id, event_type)""")
 def first_match_lookup(t) -> DataFrame:
     e = t("events").select("event_id", "user_id", "event_type")
-    first = e.groupBy("user_id", "event_type").agg(F.min("event_id").alias("rep"))
-    return e.join(first, ["user_id", "event_type"]).select("event_id", "rep")
+    named = e.select("user_id", "event_type", F.col("event_id").alias("rep"))
+    return joins.lookup(e, named, ["user_id", "event_type"], "first", F.col("rep")).select("event_id", "rep")
 
 
 @query("""
