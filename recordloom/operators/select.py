@@ -21,8 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.rules import weights
+from recordloom.functions.text import filled
+from recordloom.operators.caps import top_per_group
+from recordloom.operators.orders import places
 from recordloom.plans.lineage import cut
-from recordloom.plans.policy import ReviewPolicy, ShortlistPolicy
+from recordloom.plans.policy import FirstShortlistPolicy, ReviewPolicy, ShortlistPolicy
 
 TURN = "journal_slug string, phase int, pass int, k1 double, k2 double, k3 double, record_key string, reason string, rejected array<struct<record_key:string,block:string>>"
 
@@ -207,49 +210,157 @@ def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> Dat
     return placed.unionByName(late).select("journal_slug", "record_key", "ordinal", "reason")
 
 
-def first_shortlist(rows: DataFrame, target: int = 48, journal_caps: tuple = (4, 8, 2, 0), path_cap: int = 12, near: float = 0.72, batch: int = 100) -> DataFrame:
-    """One greedy pass in order of place over all rows, under journal caps, path caps and near-duplicate titles.
+class _Shortlist:
+    """What has been taken across journals, and whether a row may still be."""
 
-    Rows (record_key, journal_slug, processing_mode, primary_path, tokens, place); ``place`` is anything that
-    can be ordered. Gives record_key and ordinal. A row that is blocked once stays so, as caps only fill and
-    titles are only added: so the ``batch`` best rows that what is taken doesn't block are played on the driver,
-    then the next best of all others, until the target is met or no row is left.
+    def __init__(self, policy: FirstShortlistPolicy) -> None:
+        self.p = policy
+        self.taken: dict = {}
+        self.journal: Counter = Counter()
+        self.path: Counter = Counter()
+        self.category: Counter = Counter()
+        self.topic: Counter = Counter()
+        self.titles: dict[str, list[frozenset]] = {}
 
-    Part of the reference's selection alone: category and path floors, topic caps, soft and hard passes,
-    round robin and reserve backfill aren't built.
+    def block(self, row, hard: bool) -> str | None:
+        """Why a row can't be taken; what blocks it once goes on to, as counts only rise and titles are only added."""
+        p, phase = self.p, 2 if hard else 1
+        tokens = frozenset(() if row.tokens is None else row.tokens)
+        if not row.fetchable:
+            return "NO_FETCHABLE_IDENTIFIER"
+        if any(_similar(tokens, t) >= p.near_duplicate for t in self.titles.get(row.journal_slug, ())):
+            return "NEAR_DUPLICATE_TITLE"
+        if self.topic[row.journal_slug, row.topic_signature] >= p.topic_cap:
+            return "TOPIC_SOFT_CAP"
+        if self.journal[row.journal_slug] >= p.journal_caps.get(row.processing_mode or "FULL", 0):
+            return "JOURNAL_FETCH_CAP"
+        if self.path[row.primary_path] >= p.paths.get(row.primary_path, (0, p.target, p.target))[phase]:
+            return "PATH_HARD_CAP" if hard else "PATH_SOFT_CAP"
+        if self.category[row.primary_category] >= p.categories.get(row.primary_category, (0, p.target, p.target))[phase]:
+            return "CATEGORY_HARD_CAP" if hard else "CATEGORY_SOFT_CAP"
+        return None
+
+    def take(self, row, reason: str) -> None:
+        self.taken[row.record_key] = reason
+        self.journal[row.journal_slug] += 1
+        self.path[row.primary_path] += 1
+        self.category[row.primary_category] += 1
+        self.topic[row.journal_slug, row.topic_signature] += 1
+        self.titles.setdefault(row.journal_slug, []).append(frozenset(row.tokens or ()))
+
+
+_SEEN = ("record_key", "journal_slug", "processing_mode", "primary_path", "primary_category", "topic_signature", "tokens", "fetchable")
+
+
+def _blocks(state: _Shortlist, hard: bool):
+    """A column of block reasons by the state as it is now: at most a target of rows, pickled anew for each job."""
+
+    @F.pandas_udf("string")
+    def why(*columns: pd.Series) -> pd.Series:
+        named = pd.DataFrame(dict(zip(_SEEN, columns, strict=True)))
+        return pd.Series([state.block(r, hard) for r in named.itertuples()], dtype=object)
+
+    return why(*_SEEN)
+
+
+def _in_turn(rows: DataFrame, pool: str, best: list[Column]) -> DataFrame:
+    """Rows with ``pool_place``: within a pool journals take turns, each best first, in the order of their best rows."""
+    key = F.struct(*best)
+    ranked = places(rows.withColumn("__key", key), [pool, "journal_slug"], ["__key"], "__round")
+    first = ranked.groupBy(F.col(pool).alias("__pool"), F.col("journal_slug").alias("__slug")).agg(F.min("__key").alias("__first"))
+    joined = ranked.join(first, F.col(pool).eqNullSafe(F.col("__pool")) & F.col("journal_slug").eqNullSafe(F.col("__slug")))
+    return joined.withColumn("pool_place", F.struct("__round", "__first")).drop("__key", "__round", "__first", "__pool", "__slug")
+
+
+class _Pools:
+    """The next rows of each pool that nothing blocks, fetched a few at a time from wherever they stand."""
+
+    def __init__(self, rows: DataFrame, pool: str, state: _Shortlist, batch: int) -> None:
+        self.rows, self.pool, self.state, self.batch = rows, pool, state, batch
+        self.held: dict[str, deque] = {}
+        self.more: set[str] | None = None  # pools that may have rows beyond those held; all of them before the first fetch
+        self.hard = False
+
+    def phase(self, hard: bool) -> None:
+        self.held, self.more, self.hard = {}, None, hard
+
+    def _fetch(self) -> None:
+        free = self.rows.filter(_blocks(self.state, self.hard).isNull())
+        best = top_per_group(free, [self.pool], [F.col("pool_place")], self.batch, rank="__n").select(self.pool, "__n", *(c for c in _SEEN if c != self.pool)).collect()
+        self.held = {}
+        for r in sorted(best, key=lambda r: r["__n"]):
+            self.held.setdefault(r[self.pool], deque()).append(r)
+        self.more = {k for k, v in self.held.items() if len(v) >= self.batch}
+
+    def take(self, name: str, reason: str) -> bool:
+        """Takes the pool's next row that isn't blocked; says whether there was one."""
+        while True:
+            queue = self.held.get(name, ())
+            while queue:
+                row = queue.popleft()
+                if row["record_key"] not in self.state.taken and self.state.block(row, self.hard) is None:
+                    self.state.take(row, reason)
+                    return True
+            if self.more is not None and name not in self.more:
+                return False
+            self._fetch()
+
+
+def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None, batch: int = 60) -> DataFrame:
+    """Every row with editorial_route (FETCH_NOW, HOLD_RESERVE, CATALOG_ONLY), ordinal, hold_ordinal, reason and block.
+
+    ``rows``: record_key, journal_slug, journal, processing_mode, route, primary_path, primary_category, score,
+    publication_date (a number), title, tokens, topic_signature, fetchable. Candidates fill the floors of the
+    categories, then those of the paths, then all paths in turn under soft caps and then under hard ones, until the
+    target is met; what is left is filled from the reserve. Within a category or path journals take turns.
+
+    The selection is sequential, its state no larger than the target. Rows stay where they are: each job drops those
+    that the state blocks and fetches the ``batch`` best of each pool, and more of a pool once those are used up. So
+    no row is left out, however many a hot journal blocks. Held rows obey caps by topic and journal that ranks express.
     """
-    from recordloom.plans.policy import MODES
-
-    caps = dict(zip(MODES, journal_caps, strict=True))
-    by_journal: Counter = Counter()
-    by_path: Counter = Counter()
-    titles: dict = {}
-    taken: dict = {}
-
-    def blocked(row, journal, mode, path, tokens) -> bool:
-        t = frozenset(() if tokens is None else tokens)
-        return row in taken or by_journal[journal] >= caps.get(mode, 0) or by_path[path] >= path_cap or any(_similar(t, x) >= near for x in titles.get(journal, ()))
-
-    def free():
-        # Made anew each round: a function is pickled once, with what was taken by then.
-        @F.pandas_udf("boolean")
-        def one(row: pd.Series, journal: pd.Series, mode: pd.Series, path: pd.Series, tokens: pd.Series) -> pd.Series:
-            return pd.Series([not blocked(*r) for r in zip(row, journal, mode, path, tokens, strict=True)], dtype=bool)
-
-        return one
-
-    seen = ("__row", "journal_slug", "processing_mode", "primary_path", "tokens")
-    # Written, so that each round finds the same rows under the same numbers.
-    held = cut(rows.select("record_key", *seen[1:], "place").withColumn("__row", F.monotonically_increasing_id()))
-    while len(taken) < target:
-        best = held.filter(free()(*seen)).orderBy("place", "__row").limit(batch).select("record_key", *seen).collect()
-        for r in best:
-            if len(taken) < target and not blocked(*(r[c] for c in seen)):
-                by_journal[r["journal_slug"]] += 1
-                by_path[r["primary_path"]] += 1
-                titles.setdefault(r["journal_slug"], []).append(frozenset(r["tokens"] or ()))
-                taken[r["__row"]] = r["record_key"]
-        if len(best) < batch:
-            break
-    kind = held.schema["record_key"].dataType.simpleString()
-    return rows.sparkSession.createDataFrame([(k, i) for i, k in enumerate(taken.values(), 1)], f"record_key {kind}, ordinal int")
+    p = policy or FirstShortlistPolicy()
+    state = _Shortlist(p)
+    places_of = {k: i for i, k in enumerate(p.paths)}
+    rank_of_path = F.coalesce(F.try_element_at(weights(places_of), F.col("primary_path")), F.lit(999))
+    best = [(-F.col("score")).alias("s"), (-F.col("publication_date")).alias("d"), F.lower(F.coalesce("journal", F.lit(""))).alias("j"), F.lower(F.coalesce("title", F.lit(""))).alias("t"), F.col("record_key").alias("k")]
+    known = F.col("primary_path").isin(*p.paths)
+    candidates = rows.filter(F.col("route").isin(*p.sources) & known)
+    by_category = _Pools(cut(_in_turn(candidates, "primary_category", [rank_of_path.alias("r"), *best])), "primary_category", state, batch)
+    by_path = _Pools(cut(_in_turn(candidates, "primary_path", best)), "primary_path", state, batch)
+    for name, (floor, _, _) in p.categories.items():
+        while state.category[name] < floor and by_category.take(name, f"CATEGORY_FLOOR:{name}"):
+            pass
+    for name, (floor, _, _) in p.paths.items():
+        while state.path[name] < floor and by_path.take(name, f"PATH_FLOOR:{name}"):
+            pass
+
+    def fill(pools: _Pools, reason: str) -> None:
+        moved = True
+        while moved and len(state.taken) < p.target:
+            moved = False
+            for name in p.paths:
+                if len(state.taken) < p.target:
+                    moved = pools.take(name, reason) or moved
+
+    fill(by_path, "BALANCED_SOFT_FILL")
+    by_path.phase(hard=True)
+    fill(by_path, "BALANCED_HARD_FILL")
+    if p.backfill and len(state.taken) < p.target:
+        spare = _Pools(cut(_in_turn(rows.filter((F.col("route") == "RESERVE") & known), "primary_path", best)), "primary_path", state, batch)
+        spare.phase(hard=True)
+        fill(spare, "PREFETCH_RESERVE_BACKFILL")
+
+    kind = rows.schema["record_key"].dataType.simpleString()
+    chosen = rows.sparkSession.createDataFrame([(k, i, why) for i, (k, why) in enumerate(state.taken.items(), 1)], f"record_key {kind}, ordinal int, reason string")
+    marked = rows.join(F.broadcast(chosen), "record_key", "left")
+    open_rows = marked.filter(F.col("ordinal").isNull() & F.col("route").isin("FETCH_CANDIDATE", "RESERVE"))
+    lane = F.when(F.col("route") == "RESERVE", len(places_of) + 1).otherwise(0) + F.when(known, rank_of_path).otherwise(len(places_of))
+    turns = _in_turn(open_rows.withColumn("lane", lane), "lane", best).withColumn("at", F.struct("lane", "pool_place"))
+    cap = F.coalesce(F.try_element_at(weights(p.hold_caps_by_mode), filled(F.col("processing_mode"), "FULL")), F.lit(0))
+    topical = top_per_group(turns, ["journal_slug", "topic_signature"], [F.col("at")], p.hold_topic_cap, rank="__t").drop("__t")
+    within = top_per_group(topical, ["journal_slug"], [F.col("at")], cap, most=max(p.hold_caps_by_mode.values()), rank="__j")
+    held = within.orderBy("at").limit(p.hold_target).select("record_key", F.row_number().over(Window.orderBy("at")).alias("hold_ordinal"))  # of the target's rows alone
+    out = marked.join(F.broadcast(cut(held)), "record_key", "left")
+    route = F.when(F.col("ordinal").isNotNull(), "FETCH_NOW").when(F.col("hold_ordinal").isNotNull(), "HOLD_RESERVE").otherwise("CATALOG_ONLY")
+    block = F.when(F.col("ordinal").isNull() & F.col("route").isin("FETCH_CANDIDATE", "RESERVE"), F.coalesce(_blocks(state, True), F.lit("FETCH_NOW_GLOBAL_TARGET")))
+    return out.withColumns({"editorial_route": route, "block": block})

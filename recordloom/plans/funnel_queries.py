@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import period, text
 from recordloom.operators import caps, checks, classify, identity, joins, merge, orders, publish, select, signals
-from recordloom.plans.policy import ReviewPolicy
+from recordloom.plans.policy import FirstShortlistPolicy, ReviewPolicy
 from recordloom.plans.table_queries import query
 
 #: Beginnings of titles, and the path, role and base score that each must get.
@@ -384,9 +384,15 @@ def review_selection(t) -> DataFrame:
 
 @query()
 def first_shortlist(t) -> DataFrame:
-    """The older selection over all documents, the longest first."""
-    place = F.struct(F.col("n_chars").isNull().alias("unknown"), (-F.col("n_chars")).alias("chars"), "doc_id")
-    return select.first_shortlist(_by_source(t).withColumn("place", place))
+    """The first selection over parts as records; a sequential model in the tests gives the same rows."""
+    r = _routed(t)
+    tokens = text.title_tokens(F.col("title_original"), ascii_only=True)
+    rows = r.select(
+        F.col("p_partkey").cast("string").alias("record_key"), F.col("p_brand").alias("journal_slug"), F.col("p_brand").alias("journal"), F.lit("TRIAGE").alias("processing_mode"), "route", "primary_path",
+        _pick(tuple(FirstShortlistPolicy().categories), F.col("p_partkey")).alias("primary_category"), F.col("raw_score").alias("score"), (F.col("p_partkey") % 31 + 20260701).alias("publication_date"), F.col("title_original").alias("title"),
+        tokens.alias("tokens"), text.topic_signature(tokens).alias("topic_signature"), (F.col("p_partkey") % 3 > 0).alias("fetchable"),
+    )
+    return select.first_shortlist(rows).select("record_key", "editorial_route", "ordinal", "hold_ordinal", "reason", "block")
 
 
 @query("""

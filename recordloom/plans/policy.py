@@ -114,6 +114,38 @@ class ShortlistPolicy(_Policy):
             raise PolicyError("bands must fall to a floor of zero")
 
 
+@dataclass(frozen=True)
+class FirstShortlistPolicy(_Policy):
+    """The first selection, across journals: floors, then soft and hard caps by journal, path, category and topic."""
+
+    target: int = 48
+    hold_target: int = 144
+    journal_caps: dict = _by_mode(4, 8, 2, 0)
+    hold_caps_by_mode: dict = _by_mode(12, 24, 4, 0)
+    near_duplicate: float = 0.72
+    signature_tokens: int = 4
+    topic_cap: int = 2
+    hold_topic_cap: int = 4
+    backfill: bool = True
+    sources: tuple = ("FETCH_CANDIDATE",)
+    #: Categories in order, with their floors, soft caps and hard caps.
+    categories: dict = field(default_factory=lambda: {
+        "clinical_medicine": (10, 14, 18), "interdisciplinary": (6, 10, 12), "sport_nutrition_fitness": (6, 8, 10), "llm_research": (5, 8, 10), "human_ai": (5, 6, 8),
+        "sport_science": (3, 4, 5), "chemistry": (0, 4, 5), "physics_astronomy": (0, 4, 5), "uncategorized": (0, 6, 8),
+    })
+    #: Paths in order, with their floors, soft caps and hard caps.
+    paths: dict = field(default_factory=lambda: {
+        "GUIDANCE": (2, 4, 4), "EVIDENCE_SYNTHESIS": (6, 10, 14), "RANDOMIZED_TRIAL": (6, 10, 14), "REPLICATION_VALIDATION": (4, 6, 8), "SAFETY_SIGNAL": (4, 7, 10), "RESOURCE_BENCHMARK": (4, 6, 10),
+        "PROSPECTIVE_LONGITUDINAL": (3, 5, 8), "OBSERVATIONAL_DESIGN": (2, 3, 6), "SURVEY": (1, 2, 4), "PROTOCOL": (0, 1, 2), "CASE_REPORT": (0, 1, 2),
+    })
+
+    def check(self) -> None:
+        super().check()
+        for name in ("categories", "paths"):
+            if any(not 0 <= floor <= soft <= hard for floor, soft, hard in getattr(self, name).values()):
+                raise PolicyError(f"{name}: floors can't pass soft caps, nor those hard caps")
+
+
 @dataclass(frozen=True)
 class ReviewPolicy(_Policy):
     """Priorities of abstracts for full texts."""
@@ -136,34 +168,35 @@ class ReviewPolicy(_Policy):
     })
 
 
-#: What each path's full text should report, and which of it is critical.
+#: What each path's full text should report.
 CHECKLISTS = {
-    "RANDOMIZED_TRIAL": "METHODS_SECTION RESULTS_SECTION RANDOMIZATION SAMPLE_SIZE PRIMARY_OUTCOME EFFECT_ESTIMATE REGISTRATION ALLOCATION_CONCEALMENT MASKING INTENTION_TO_TREAT ATTRITION_OR_MISSING LIMITATIONS".split(),
-    "EVIDENCE_SYNTHESIS": "METHODS_SECTION RESULTS_SECTION SEARCH_STRATEGY RISK_OF_BIAS_METHOD EFFECT_ESTIMATE HETEROGENEITY REGISTRATION LIMITATIONS".split(),
-    "PROSPECTIVE_LONGITUDINAL": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE FOLLOW_UP EFFECT_ESTIMATE CONFOUNDING_ADJUSTMENT ATTRITION_OR_MISSING LIMITATIONS".split(),
-    "OBSERVATIONAL_DESIGN": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE EFFECT_ESTIMATE CONFOUNDING_ADJUSTMENT ATTRITION_OR_MISSING LIMITATIONS".split(),
-    "REPLICATION_VALIDATION": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE EFFECT_ESTIMATE EXTERNAL_VALIDATION LIMITATIONS".split(),
-    "RESOURCE_BENCHMARK": "METHODS_SECTION RESULTS_SECTION DATA_OR_CODE_AVAILABILITY EXTERNAL_VALIDATION LIMITATIONS".split(),
-    "SAFETY_SIGNAL": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE EFFECT_ESTIMATE LIMITATIONS".split(),
-    "GUIDANCE": "METHODS_SECTION RECOMMENDATION_LANGUAGE CONFLICT_OF_INTEREST FUNDING".split(),
-    "SURVEY": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE LIMITATIONS".split(),
-    "PROTOCOL": "METHODS_SECTION REGISTRATION PRIMARY_OUTCOME".split(),
-    "CASE_REPORT": "RESULTS_SECTION LIMITATIONS".split(),
-    "DEFAULT": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE EFFECT_ESTIMATE LIMITATIONS".split(),
+    "RANDOMIZED_TRIAL": ("METHODS_SECTION", "RESULTS_SECTION", "RANDOMIZATION", "SAMPLE_SIZE", "PRIMARY_OUTCOME", "EFFECT_ESTIMATE", "REGISTRATION", "ALLOCATION_CONCEALMENT", "MASKING", "INTENTION_TO_TREAT", "ATTRITION_OR_MISSING", "LIMITATIONS"),
+    "EVIDENCE_SYNTHESIS": ("METHODS_SECTION", "RESULTS_SECTION", "SEARCH_STRATEGY", "RISK_OF_BIAS_METHOD", "EFFECT_ESTIMATE", "HETEROGENEITY", "REGISTRATION", "LIMITATIONS"),
+    "PROSPECTIVE_LONGITUDINAL": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "FOLLOW_UP", "EFFECT_ESTIMATE", "CONFOUNDING_ADJUSTMENT", "ATTRITION_OR_MISSING", "LIMITATIONS"),
+    "OBSERVATIONAL_DESIGN": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "EFFECT_ESTIMATE", "CONFOUNDING_ADJUSTMENT", "ATTRITION_OR_MISSING", "LIMITATIONS"),
+    "REPLICATION_VALIDATION": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "EFFECT_ESTIMATE", "EXTERNAL_VALIDATION", "LIMITATIONS"),
+    "RESOURCE_BENCHMARK": ("METHODS_SECTION", "RESULTS_SECTION", "DATA_OR_CODE_AVAILABILITY", "EXTERNAL_VALIDATION", "LIMITATIONS"),
+    "SAFETY_SIGNAL": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "EFFECT_ESTIMATE", "LIMITATIONS"),
+    "GUIDANCE": ("METHODS_SECTION", "RECOMMENDATION_LANGUAGE", "CONFLICT_OF_INTEREST", "FUNDING"),
+    "SURVEY": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "LIMITATIONS"),
+    "PROTOCOL": ("METHODS_SECTION", "REGISTRATION", "PRIMARY_OUTCOME"),
+    "CASE_REPORT": ("RESULTS_SECTION", "LIMITATIONS"),
+    "DEFAULT": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "EFFECT_ESTIMATE", "LIMITATIONS"),
 }
+#: Which of it is critical.
 CRITICAL = {
-    "RANDOMIZED_TRIAL": "METHODS_SECTION RESULTS_SECTION RANDOMIZATION SAMPLE_SIZE PRIMARY_OUTCOME EFFECT_ESTIMATE".split(),
-    "EVIDENCE_SYNTHESIS": "METHODS_SECTION RESULTS_SECTION SEARCH_STRATEGY RISK_OF_BIAS_METHOD".split(),
-    "PROSPECTIVE_LONGITUDINAL": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE FOLLOW_UP".split(),
-    "OBSERVATIONAL_DESIGN": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE CONFOUNDING_ADJUSTMENT".split(),
-    "REPLICATION_VALIDATION": "METHODS_SECTION RESULTS_SECTION EXTERNAL_VALIDATION".split(),
-    "RESOURCE_BENCHMARK": "METHODS_SECTION RESULTS_SECTION DATA_OR_CODE_AVAILABILITY".split(),
-    "SAFETY_SIGNAL": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE".split(),
-    "GUIDANCE": "METHODS_SECTION RECOMMENDATION_LANGUAGE CONFLICT_OF_INTEREST".split(),
-    "SURVEY": "METHODS_SECTION RESULTS_SECTION SAMPLE_SIZE".split(),
-    "PROTOCOL": "METHODS_SECTION REGISTRATION".split(),
-    "CASE_REPORT": "RESULTS_SECTION".split(),
-    "DEFAULT": "METHODS_SECTION RESULTS_SECTION".split(),
+    "RANDOMIZED_TRIAL": ("METHODS_SECTION", "RESULTS_SECTION", "RANDOMIZATION", "SAMPLE_SIZE", "PRIMARY_OUTCOME", "EFFECT_ESTIMATE"),
+    "EVIDENCE_SYNTHESIS": ("METHODS_SECTION", "RESULTS_SECTION", "SEARCH_STRATEGY", "RISK_OF_BIAS_METHOD"),
+    "PROSPECTIVE_LONGITUDINAL": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "FOLLOW_UP"),
+    "OBSERVATIONAL_DESIGN": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE", "CONFOUNDING_ADJUSTMENT"),
+    "REPLICATION_VALIDATION": ("METHODS_SECTION", "RESULTS_SECTION", "EXTERNAL_VALIDATION"),
+    "RESOURCE_BENCHMARK": ("METHODS_SECTION", "RESULTS_SECTION", "DATA_OR_CODE_AVAILABILITY"),
+    "SAFETY_SIGNAL": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE"),
+    "GUIDANCE": ("METHODS_SECTION", "RECOMMENDATION_LANGUAGE", "CONFLICT_OF_INTEREST"),
+    "SURVEY": ("METHODS_SECTION", "RESULTS_SECTION", "SAMPLE_SIZE"),
+    "PROTOCOL": ("METHODS_SECTION", "REGISTRATION"),
+    "CASE_REPORT": ("RESULTS_SECTION",),
+    "DEFAULT": ("METHODS_SECTION", "RESULTS_SECTION"),
 }
 
 

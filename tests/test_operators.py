@@ -261,21 +261,91 @@ def test_policies():
             bad()
 
 
-@pytest.mark.parametrize("batch", [1, 7, 1000])
-def test_first_shortlist_reaches_rows_behind_a_hot_journal(spark, batch):
-    rng = random.Random(4)
-    hot = 5200 if batch == 1000 else 60
-    rows = [(str(i), "hot", "FULL", "hot", [f"h{i}", f"g{i}"], i) for i in range(hot)]
-    rows += [(str(hot + i), rng.choice("abcdef"), rng.choice(["FULL", "SELECTIVE", "SUSPENDED", None]), rng.choice(["x", "y", "z", None]), rng.sample("pqrstu", 3) if i % 9 else None, hot + i) for i in range(80)]
-    modes = dict(zip(MODES, (4, 8, 2, 0), strict=True))
-    want, journals, paths, titles = [], {}, {}, {}
-    for key, j, m, p, t, _ in rows:
-        t = set(t or ())
-        near = any(t and x and len(t & x) / len(t | x) >= 0.72 for x in titles.get(j, []))
-        if len(want) < 20 and journals.get(j, 0) < modes.get(m, 0) and paths.get(p, 0) < 12 and not near:
-            want.append(key)
-            journals[j], paths[p] = journals.get(j, 0) + 1, paths.get(p, 0) + 1
-            titles.setdefault(j, []).append(t)
-    df = spark.createDataFrame(rows, "record_key string, journal_slug string, processing_mode string, primary_path string, tokens array<string>, place long")
-    got = [r["record_key"] for r in select.first_shortlist(df, target=20, batch=batch).orderBy("ordinal").collect()]
-    assert got == want and len(want) > 5
+def sequential_shortlist(rows, p):
+    """Who is taken, in order, by walking all rows one after the other for every turn."""
+    taken, counts = [], {}
+    n = lambda *k: counts.get(k, 0)
+    near = lambda a, b: len(a & b) / len(a | b) >= p.near_duplicate if a and b else False
+    best = lambda r: (-r["score"], -r["publication_date"], r["journal"].lower(), r["title"].lower(), r["record_key"])
+
+    def turns(pool, lead=lambda r: 0):
+        lanes = {}
+        for r in sorted(pool, key=lambda r: (lead(r), best(r))):
+            lanes.setdefault(r["journal_slug"], []).append(r)
+        order = sorted(lanes.values(), key=lambda v: (lead(v[0]), best(v[0])))
+        return [v[i] for i in range(max(map(len, order), default=0)) for v in order if i < len(v)]
+
+    def fits(r, k):
+        mode = p.journal_caps.get(r["processing_mode"] or "FULL", 0)
+        return (
+            r["fetchable"] and all(r is not x for x, _ in taken) and n("j", r["journal_slug"]) < mode and n("t", r["journal_slug"], r["topic_signature"]) < p.topic_cap
+            and n("p", r["primary_path"]) < p.paths[r["primary_path"]][k] and n("c", r["primary_category"]) < p.categories[r["primary_category"]][k]
+            and not any(x["journal_slug"] == r["journal_slug"] and near(set(r["tokens"]), set(x["tokens"])) for x, _ in taken)
+        )
+
+    def first(pool, k, why):
+        for r in pool:
+            if fits(r, k):
+                taken.append((r, why))
+                for key in (("j", r["journal_slug"]), ("t", r["journal_slug"], r["topic_signature"]), ("p", r["primary_path"]), ("c", r["primary_category"])):
+                    counts[key] = counts.get(key, 0) + 1
+                return True
+        return False
+
+    def fill(pools, k, why):
+        while len(taken) < p.target and sum(first(pools[x], k, why) for x in p.paths if len(taken) < p.target):
+            pass
+
+    order = list(p.paths)
+    sources = [r for r in rows if r["route"] in p.sources and r["primary_path"] in p.paths]
+    of = lambda pool: {x: turns([r for r in pool if r["primary_path"] == x]) for x in order}
+    for c, (floor, _, _) in p.categories.items():
+        pool = turns([r for r in sources if r["primary_category"] == c], lambda r: order.index(r["primary_path"]))
+        while n("c", c) < floor and first(pool, 1, f"CATEGORY_FLOOR:{c}"):
+            pass
+    pools = of(sources)
+    for x, (floor, _, _) in p.paths.items():
+        while n("p", x) < floor and first(pools[x], 1, f"PATH_FLOOR:{x}"):
+            pass
+    fill(pools, 1, "BALANCED_SOFT_FILL")
+    fill(pools, 2, "BALANCED_HARD_FILL")
+    spare = [r for r in rows if r["route"] == "RESERVE" and r["primary_path"] in p.paths]
+    fill(of(spare), 2, "PREFETCH_RESERVE_BACKFILL")
+    held, journal, topic = [], {}, {}
+    for route in ("FETCH_CANDIDATE", "RESERVE"):
+        left = [r for r in rows if r["route"] == route and all(r is not x for x, _ in taken)]
+        for r in [y for x in order for y in turns([r for r in left if r["primary_path"] == x])] + turns([r for r in left if r["primary_path"] not in p.paths]):
+            j, k = r["journal_slug"], (r["journal_slug"], r["topic_signature"])
+            if len(held) < p.hold_target and journal.get(j, 0) < p.hold_caps_by_mode.get(r["processing_mode"] or "FULL", 0) and topic.get(k, 0) < p.hold_topic_cap:
+                held.append(r["record_key"])
+                journal[j], topic[k] = journal.get(j, 0) + 1, topic.get(k, 0) + 1
+    return [(r["record_key"], why) for r, why in taken], held
+
+
+@pytest.mark.parametrize(("seed", "batch", "many"), [(1, 60, 0), (2, 2, 0), (3, 5, 600)])
+def test_first_shortlist_is_the_sequential_one(spark, seed, batch, many):
+    from recordloom.plans.policy import FirstShortlistPolicy
+
+    rng = random.Random(seed)
+    p = FirstShortlistPolicy()
+    if seed == 2:
+        p = FirstShortlistPolicy(target=300, hold_target=40)
+    rows = []
+    for i in range(many + 250):
+        hot = i < many
+        tokens = ["hot", "same", "title"] if hot else rng.sample("alpha beta gamma delta epsilon zeta eta theta".split(), 4)
+        rows.append({
+            "record_key": f"k{i:04}", "journal_slug": "hot" if hot else rng.choice("abcdefghij"), "processing_mode": "FULL" if hot else None, "route": "FETCH_CANDIDATE" if hot else rng.choice(["FETCH_CANDIDATE", "RESERVE", "CATALOG_ONLY"]),
+            "primary_path": rng.choice([*p.paths, "OTHER"]), "primary_category": rng.choice(list(p.categories)), "score": 100 if hot else rng.randint(60, 99), "publication_date": 20260800 + rng.randint(1, 28), "title": f"T{i % 50}",
+            "tokens": tokens, "topic_signature": "|".join(tokens[:2]), "fetchable": rng.random() < 0.9,
+        })
+    for r in rows:
+        r["processing_mode"], r["journal"] = r["processing_mode"] or {"a": "FULL", "b": "TRIAGE", "c": "INDEX_ONLY", "d": "SUSPENDED"}.get(r["journal_slug"]), r["journal_slug"].upper()
+    want, held = sequential_shortlist(rows, p)
+    df = spark.createDataFrame(rows, "record_key string, journal_slug string, journal string, processing_mode string, route string, primary_path string, primary_category string, score int, publication_date int, title string, tokens array<string>, topic_signature string, fetchable boolean")
+    got = select.first_shortlist(df, p, batch).collect()
+    assert [(r["record_key"], r["reason"]) for r in sorted((r for r in got if r["ordinal"]), key=lambda r: r["ordinal"])] == want and len(want) > 20
+    assert [r["record_key"] for r in sorted((r for r in got if r["hold_ordinal"]), key=lambda r: r["hold_ordinal"])] == held
+    assert len(got) == len(rows) and {r["editorial_route"] for r in got} == {"FETCH_NOW", "HOLD_RESERVE", "CATALOG_ONLY"}
+    assert all((r["block"] is not None) == (r["route"] != "CATALOG_ONLY" and not r["ordinal"]) for r in got)
+
