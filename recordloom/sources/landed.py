@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordloom.functions.text import blank_to_null, clean_text, date_from_parts, normalize_doi, normalize_issn, parse_loose_date
+from recordloom.functions.text import blank_to_null, clean_text, date_from_parts, normalize_doi, normalize_issn, parse_loose_date, strip_tags, unescape_entities
+from recordloom.operators import checks
 
+SLUG = r"^[a-z0-9]([a-z0-9-]{0,78}[a-z0-9])?$"
 S, A = T.StringType(), T.ArrayType(T.StringType())
 ARTICLE = T.StructType([
     *(T.StructField(n, S) for n in ("canonical_id", "title", "journal")), T.StructField("publication_date", T.DateType()), T.StructField("publication_date_precision", S),
@@ -78,10 +80,18 @@ def europe_pmc_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _tagged(c: Column, tag: str) -> Column:
+    """The text of an element of a fragment, without tags; entities stay."""
+    return strip_tags(F.regexp_extract(c, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1))
+
+
 def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of landed PubMed XML, one element a row, with the abstract's labelled sections joined by blank lines."""
-    whole = spark.read.format("binaryFile").load(path).select(F.decode("content", "UTF-8").alias("xml"))
-    one = whole.select(F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)<PubmedArticle[ >].*?</PubmedArticle>"), F.lit(0))).alias("x"))
+    """Articles of landed PubMed XML, one element a row, with the abstract's labelled sections joined by blank lines.
+
+    Files are read in splits, each row up to the end of an element, so that none is held whole.
+    """
+    parts = spark.read.option("lineSep", "</PubmedArticle>").text(path)
+    one = parts.select(F.concat(F.regexp_extract("value", r"(?s)<PubmedArticle[ >].*$", 0), F.lit("</PubmedArticle>")).alias("x")).filter("x like '<PubmedArticle%'")
     at = lambda p: F.try_element_at(F.xpath("x", F.lit(p)), F.lit(1))
     pmid, year = at("//MedlineCitation/PMID/text()"), at("//JournalIssue/PubDate/Year/text()")
     written = F.concat_ws(" ", year, at("//JournalIssue/PubDate/Month/text()"), at("//JournalIssue/PubDate/Day/text()"))
@@ -90,6 +100,10 @@ def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
     link = F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), pmid, F.lit("/"))
     sections = F.regexp_extract_all("x", F.lit(r"(?s)<AbstractText[^>]*>.*?</AbstractText>"), F.lit(0))
 
+    people = F.transform(F.regexp_extract_all("x", F.lit(r"(?s)<Author[ >].*?</Author>"), F.lit(0)), lambda a: F.coalesce(
+        blank_to_null(_tagged(a, "CollectiveName")), blank_to_null(F.trim(F.concat_ws(" ", F.coalesce(blank_to_null(_tagged(a, "ForeName")), _tagged(a, "Initials")), _tagged(a, "LastName")))),
+    ))
+
     def section(s: Column) -> Column:
         label = F.regexp_extract(s, r'Label="([^"]*)"', 1)
         text = F.trim(F.regexp_replace(F.regexp_replace(s, "<[^>]+>", " "), r"\s+", " "))
@@ -100,7 +114,8 @@ def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
         F.col("__d.date").alias("publication_date"), F.col("__d.precision").alias("publication_date_precision"),
         normalize_doi(at("//ArticleIdList/ArticleId[@IdType='doi']/text()")).alias("doi"), pmid.alias("pmid"), F.upper(at("//ArticleIdList/ArticleId[@IdType='pmc']/text()")).alias("pmcid"),
         F.array_compact(F.transform(F.xpath("x", F.lit("//Journal/ISSN/text()")), normalize_issn)).alias("issns"),
-        F.xpath("x", F.lit("//AuthorList/Author/LastName/text()")).alias("authors"), at("//PublicationTypeList/PublicationType/text()").alias("article_type"),
+        # Entities are decoded once for all names: a function of Python can't stand in a lambda.
+        F.filter(F.split(unescape_entities(F.array_join(F.array_compact(people), "\x1f")), "\x1f"), lambda v: v != "").alias("authors"), at("//PublicationTypeList/PublicationType/text()").alias("article_type"),
         F.array(link).alias("urls"), _record("pubmed", pmid, link).alias("source_records"),
         blank_to_null(F.array_join(F.transform(sections, section), "\n\n")).alias("abstract"),
     )
@@ -131,6 +146,51 @@ def accepted(rows: DataFrame, conditions: dict[str, Column]) -> tuple[DataFrame,
     return rows.filter(ok), rows.agg(F.count(F.lit(1)).alias("seen"), *(F.count_if(~F.coalesce(c, F.lit(False))).alias(f"fails_{n}") for n, c in conditions.items()))
 
 
+#: Titles of an issue's parts that aren't articles.
+FURNITURE = ("front cover", "inside front cover", "back cover", "inside back cover", "contents list")
+
+
+def surrogate_dated(works: DataFrame, journal: str, issn: str, publisher: str, prefix: str, source: str, furniture: tuple[str, ...] = FURNITURE) -> tuple[DataFrame, DataFrame]:
+    """(articles, counts): works of one journal whose day of creation stands for that of publication, closing on doubt.
+
+    ``works``: title, journal, doi, issns, publisher, prefix, type, created (an array of date parts). Only rows of the
+    very journal, publisher and prefix with a whole day count; an issue's furniture is told apart. Articles name the
+    surrogate as a source of its own.
+    """
+    low = F.lower(clean_text(F.col("title")))
+    day = F.when(F.size("created") >= 3, date_from_parts(F.get("created", F.lit(0)), F.get("created", F.lit(1)), F.get("created", F.lit(2))))
+    doi = normalize_doi(F.col("doi"))
+    kept, counts = accepted(works, {
+        "title": blank_to_null(low).isNotNull(), "journal": F.lower(clean_text(F.col("journal"))) == journal.casefold(), "furniture": ~low.isin(*furniture), "doi": doi.startswith(f"{prefix}/"),
+        "issn": F.array_contains(F.transform("issns", normalize_issn), issn), "publisher": F.col("publisher") == publisher, "prefix": F.col("prefix") == prefix, "type": F.col("type") == "journal-article", "created": day["date"].isNotNull(),
+    })
+    dated = kept.withColumns({"publication_date": day["date"], "publication_date_precision": F.lit("DAY"), "doi": doi, "article_type": F.when(low.startswith("correction:"), "Correction").otherwise("Journal Article")})
+    named = F.concat(_record("crossref", F.col("doi"), F.lit(None).cast("string")), _record(source, F.concat(F.col("doi"), F.lit("|crossref-created:"), F.date_format("publication_date", "yyyy-MM-dd")), F.lit(None).cast("string")))
+    return dated.withColumn("source_records", named), counts
+
+
+def journal_homes(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("slug",)) -> DataFrame:
+    """What journals' home pages say: name, ISSNs and whether the journal is wholly open access, which must be said before the ISSNs and not as a part."""
+    text = clean_text(F.col(html))
+    before = F.lower(F.regexp_extract(text, r"(?s)^(.*?)ISSN:", 1))
+    issn = lambda kind: normalize_issn(blank_to_null(F.regexp_extract(text, rf"(?i)([0-9]{{4}}-[0-9]{{3}}[0-9X])\s*\({kind}\)", 1)))
+    any_issn = normalize_issn(blank_to_null(F.regexp_extract(text, r"ISSN:\s*([0-9]{4}-[0-9]{3}[0-9Xx])", 1)))
+    name = clean_text(F.element_at(F.split(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), r"\|"), 1))
+    online, print_ = issn("online"), issn("print")
+    return pages.select(
+        *keep, blank_to_null(name).alias("name"), F.coalesce(online, print_, any_issn).alias("issn"), online.alias("online_issn"), print_.alias("print_issn"),
+        (before.contains("open access") & ~before.contains("contains open access")).alias("fully_open"),
+    )
+
+
+def month_snapshot(rows: DataFrame, label: str, year: int, month: int, most: int, order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(rows, counts) of a listing's month, which labels such as ``August 2026`` name: the first ``most``, and how many there were."""
+    date = parse_loose_date(F.concat_ws(" ", F.regexp_extract(label, r"(\d{4})", 1), F.regexp_extract(label, r"([A-Za-z]+)", 1)))
+    ours = rows.withColumn("publication_date", date["date"]).withColumn("publication_date_precision", date["precision"]).filter((F.year("publication_date") == year) & (F.month("publication_date") == month) & (F.col("publication_date_precision") == "MONTH"))
+    counts = ours.agg(F.count(F.lit(1)).alias("available"), F.least(F.count(F.lit(1)), F.lit(most).cast("long")).alias("accepted"), (F.count(F.lit(1)) > most).alias("truncated"))
+    return ours.orderBy(*order).limit(most), counts
+
+
 def nothing(spark: SparkSession) -> tuple[DataFrame, dict]:
     """The source that is never asked: no rows and a NOT_ATTEMPTED check."""
     return spark.createDataFrame([], ARTICLE), {"source": "radar_rss", "status": "NOT_ATTEMPTED", "accepted": 0}
@@ -145,6 +205,33 @@ def editions(spark: SparkSession, root: str) -> DataFrame:
     return told.filter(F.col("path").contains(F.concat(F.lit("/"), F.col("scope.journal_slug"), F.lit("/"))) & F.col("path").contains(F.format_string("/r%02d/", F.col("scope.revision"))))
 
 
+def registry_violations(journals: DataFrame, statuses: tuple[str, ...] = ("active", "planned", "retired")) -> DataFrame:
+    """Registry rows without a name, with an unsafe or repeated slug, an unknown status or empty categories."""
+    filled_in = lambda c: ~F.exists(F.coalesce(c, F.array().cast("array<string>")), lambda v: F.coalesce(v == "", F.lit(True)))
+    return checks.report([
+        checks.violations(journals, F.col("slug"), {"NAME": blank_to_null(F.trim("journal")).isNotNull(), "SLUG": F.col("slug").rlike(SLUG), "STATUS": F.coalesce("status", F.lit("active")).isin(*statuses), "CATEGORIES": filled_in(F.col("categories"))}),
+        checks.unique(journals, ["slug"], "SLUG_REPEATS"),
+    ])
+
+
+def provider_catalogs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(journals, violations) of catalogue files, one provider each: the journals with their file's provider and publisher,
+    and what is wrong: an unsafe or repeated provider, slugs, names or sources, a journal of another provider, a wrong count."""
+    item = "struct<slug: string, name: string, provider: string, publisher: string, sources: array<string>, categories: array<string>>"
+    files = spark.read.schema(f"provider string, publisher string, scope string, journal_count long, journals array<{item}>").option("multiLine", True).json(path).withColumn("provider", F.lower(F.trim("provider")))
+    j = files.select("provider", F.col("publisher").alias("__publisher"), F.explode("journals").alias("j"))
+    journals = j.select("provider", F.coalesce(blank_to_null(F.trim("j.publisher")), "__publisher").alias("publisher"), F.trim("j.name").alias("name"), F.lower(F.trim("j.slug")).alias("slug"), F.transform(F.coalesce("j.sources", F.array().cast("array<string>")), F.trim).alias("sources"), "j.categories")
+    given = j.select("provider", F.lower(F.trim("j.slug")).alias("slug"), F.lower(F.trim("j.provider")).alias("own"))
+    wrong = checks.report([
+        checks.violations(files, F.col("provider"), {"PROVIDER": F.col("provider").rlike(SLUG), "PUBLISHER": blank_to_null(F.col("publisher")).isNotNull(), "JOURNAL_COUNT": F.col("journal_count").isNull() | (F.col("journal_count") == F.size("journals"))}),
+        checks.unique(files, ["provider"], "PROVIDER_REPEATS"),
+        checks.violations(journals, F.col("slug"), {"SLUG": F.col("slug").rlike(SLUG), "NAME": blank_to_null(F.col("name")).isNotNull(), "SOURCES": ~F.exists("sources", lambda v: F.coalesce(v == "", F.lit(True)))}),
+        checks.violations(given, F.col("slug"), {"OTHER_PROVIDER": F.coalesce(blank_to_null(F.col("own")), "provider") == F.col("provider")}),
+        checks.unique(journals, ["provider", "slug"], "SLUG_REPEATS"),
+    ])
+    return journals, wrong
+
+
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """Journals: slug, name, ISSNs, categories, status, publisher, enabled and processing mode."""
     return spark.read.schema("slug string, journal string, issns array<string>, categories array<string>, status string, publisher string, enabled boolean, processing_mode string").json(path, multiLine=True)

@@ -228,6 +228,8 @@ def test_backfill_contract():
     assert merge.backfill_violations(base, good) == []
     assert merge.backfill_violations(base, good | {"start": dt.date(2026, 8, 16)}) == ["GAP_BETWEEN_WINDOWS"]
     assert merge.backfill_violations(base, good | {"status": "PARTIAL_SOURCE_COVERAGE"}) == ["DELTA_INCOMPLETE"]
+    assert merge.backfill_violations(base, good | {"start": dt.date(2026, 8, 6)}) == ["WINDOWS_OVERLAP"]
+    assert merge.backfill_violations(base | {"start": dt.date(2026, 8, 2), "kind": "range"}, good) == ["BASE_NOT_MONTHLY", "BASE_NOT_FROM_FIRST_DAY"]
 
 
 def test_search_index(spark):
@@ -248,6 +250,35 @@ def test_checks(spark):
     assert {r["check"] for r in checks.plan(plan, ("X",)).collect()} == {"PLANNED", "SOURCES", "DUPLICATE_KEY", "ORDINALS"}
 
 
+def test_stored_against_recomputed(spark):
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "source string, n long")
+    b = spark.createDataFrame([("x", 1), ("z", 3)], "source string, n long")
+    assert sorted((r["key"], r["detail"]) for r in checks.counters(a, b, ["source"]).collect()) == [("y", "2"), ("z", "3")]
+    runs, now = (spark.createDataFrame(r, "id string, run_status string") for r in ([("r", "COMPLETE"), ("s", "COMPLETE")], [("r", "COMPLETE"), ("s", "PARTIAL_SOURCE_COVERAGE")]))
+    assert [r["key"] for r in checks.stored_status(runs, now, "id").collect()] == ["s"]
+    declared, stored = (spark.createDataFrame(r, "path string, sha256 string, bytes long") for r in ([("a", "1", 1), ("b", "2", 2), ("c", "3", 3)], [("a", "1", 1), ("b", "x", 9)]))
+    assert sorted((r["check"], r["key"]) for r in checks.manifests(declared, stored).collect()) == [("FILE_DIGEST", "b"), ("FILE_PRESENT", "c"), ("FILE_SIZE", "b")]
+    columns = "edition_id string, publication_id string, journal_slug string, period_key string, revision int, article_count int, translated_article_count int"
+    m, e = spark.createDataFrame([("e", "p", "j", "k", 1, 5, 0), ("e", "q", "j", "k", 1, 5, 0)], columns), spark.createDataFrame([("e", "p", "j", "k", 2, 5, 0)], columns)
+    assert sorted((r["check"], r["key"]) for r in checks.publications(m, e).collect()) == [("EDITION_PRESENT", "q"), ("REVISION_DIFFERS", "p")]
+
+
+def test_translation_items(spark):
+    edition = spark.createDataFrame([("a", ["https://x.org/1"])], "canonical_id string, urls array<string>")
+    rows = [("a", "t", "s", "abstract", "https://X.org/1"), ("a", "t" * 501, "", "rumour", None), ("a", "t", "s", "ABSTRACT", "https://y.org/"), ("a", "t", "s", "TITLE_ONLY", None)]
+    items = spark.createDataFrame(rows, "canonical_id string, title_zh_tw string, summary_zh_tw string, basis string, source_url string")
+    assert sorted(r["check"] for r in checks.translation_items(items, edition).collect()) == ["BASIS", "SOURCE_MISSING", "SOURCE_NOT_BOUND", "SUMMARY", "TITLE"]
+    assert checks.binding({"edition_id": "e", "language": "zh-TW", "source_edition_sha256": "1", "request_binding_sha256": "2", "items": []}, "e", "1", "2") == []
+    assert checks.binding({"edition_id": "e", "language": "de", "item_count": 1}, "e", "1", "2") == ["LANGUAGE", "SOURCE_EDITION_SHA256", "REQUEST_BINDING_SHA256", "ITEM_COUNT"]
+
+
+def test_article_ids(spark):
+    none = (None, None, None)
+    rows = [("Some Title", dt.date(2026, 8, 1), *none, []), ("T", dt.date(2026, 8, 1), *none, [("tmlr_official_snapshot", " aB-1_ ")]), ("T", dt.date(2026, 8, 1), "https://doi.org/10.1/X", "5", None, []), ("T", dt.date(2026, 8, 1), None, " 5 ", "pmc1", []), ("T", dt.date(2026, 8, 1), "", "", "pmc1", [("tmlr_official_snapshot", "a b")])]
+    df = spark.createDataFrame(rows, "title string, publication_date date, doi string, pmid string, pmcid string, source_records array<struct<source: string, source_id: string>>")
+    assert [r["i"] for r in df.select(identity.article_id().alias("i")).collect()] == ["fingerprint:sometitle|2026-08-01", "openreview:aB-1_", "doi:10.1/x", "pmid:5", "pmcid:PMC1"]
+
+
 def test_required_lookup_fails(spark):
     left, right = spark.createDataFrame([("a",), ("b",)], "k string"), spark.createDataFrame([("a", 1)], "k string, v int")
     with pytest.raises(Exception, match="shortlist missing b"):

@@ -28,11 +28,55 @@ def test_europe_pmc_pages(spark, tmp_path):
 
 def test_pubmed_xml(spark, tmp_path):
     (tmp_path / "p.xml").write_text("""<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>5</PMID><Article><Journal><ISSN>1234-5678</ISSN><JournalIssue><PubDate><Year>2026</Year><Month>Aug</Month></PubDate></JournalIssue><Title>J</Title></Journal>
-    <ArticleTitle>Some <b>title</b></ArticleTitle><Abstract><AbstractText Label="METHODS">We did.</AbstractText><AbstractText>It worked.</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName></Author></AuthorList></Article></MedlineCitation>
+    <ArticleTitle>Some <b>title</b></ArticleTitle><Abstract><AbstractText Label="METHODS">We did.</AbstractText><AbstractText>It worked.</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><ForeName>Jo A</ForeName><Initials>JA</Initials></Author><Author ValidYN="Y"><LastName>Roe</LastName><Initials>R</Initials></Author><Author><CollectiveName>The &amp; Group</CollectiveName></Author></AuthorList></Article></MedlineCitation>
     <PubmedData><ArticleIdList><ArticleId IdType="doi">10.1/Z</ArticleId></ArticleIdList></PubmedData></PubmedArticle></PubmedArticleSet>""")
     (r,) = landed.pubmed_xml(spark, str(tmp_path)).collect()
     assert (r["pmid"], r["title"], r["doi"], r["publication_date"], r["publication_date_precision"]) == ("5", "Some title", "10.1/z", dt.date(2026, 8, 1), "MONTH")
-    assert r["abstract"] == "METHODS: We did.\n\nIt worked."
+    assert r["abstract"] == "METHODS: We did.\n\nIt worked." and r["authors"] == ["Jo A Doe", "R Roe", "The & Group"]
+
+
+def test_surrogate_dates_close_on_doubt(spark):
+    good = ("A title", "Chem J", "10.1039/X1", ["2041-6520"], "P", "10.1039", "journal-article", [2026, 8, 5])
+    bad = [("Front Cover", *good[1:]), (good[0], "Other", *good[2:]), (*good[:2], "10.2/x", *good[3:]), (*good[:7], [2026, 8]), (*good[:3], ["1234-5678"], *good[4:])]
+    df = spark.createDataFrame([good, *bad], "title string, journal string, doi string, issns array<string>, publisher string, prefix string, type string, created array<int>")
+    rows, counts = landed.surrogate_dated(df, "Chem J", "2041-6520", "P", "10.1039", "surrogate")
+    (r,) = rows.collect()
+    assert (r["publication_date"], r["doi"], [x["source"] for x in r["source_records"]]) == (dt.date(2026, 8, 5), "10.1039/x1", ["crossref", "surrogate"])
+    c = counts.first()
+    assert (c["seen"], c["fails_furniture"], c["fails_created"]) == (6, 1, 1)
+
+
+def test_journal_homes_and_months(spark):
+    page = "<html><title>My Journal | Press</title><body>Open access ISSN: 1234-5678 (Print), 8765-432X (Online)</body></html>"
+    df = spark.createDataFrame([("a", page), ("b", page.replace("Open access", "Contains open access"))], "slug string, html string")
+    a, b = landed.journal_homes(df).orderBy("slug").collect()
+    assert (a["name"], a["issn"], a["print_issn"], a["fully_open"], b["fully_open"]) == ("My Journal", "8765-432X", "1234-5678", True, False)
+    rows = spark.createDataFrame([(i, "August 2026" if i < 5 else "July 2026") for i in range(8)], "id int, label string")
+    kept, counts = landed.month_snapshot(rows, "label", 2026, 8, 3, [F.col("id")])
+    assert [r["id"] for r in kept.collect()] == [0, 1, 2] and tuple(counts.first()) == (5, 3, True)
+
+
+def test_catalogues(spark, tmp_path):
+    for name, provider, journals, n in (("a", "One", [{"slug": "x", "name": "X", "sources": ["s"]}, {"slug": "x", "name": "", "provider": "two"}], 3), ("b", "one", [{"slug": "Bad_slug", "name": "Y", "sources": [""]}], 1)):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"provider": provider, "publisher": "P", "journals": journals, "journal_count": n}))
+    journals, wrong = landed.provider_catalogs(spark, str(tmp_path))
+    assert journals.count() == 3 and {r["publisher"] for r in journals.collect()} == {"P"}
+    assert {r["check"] for r in wrong.collect()} == {"JOURNAL_COUNT", "PROVIDER_REPEATS", "SLUG", "NAME", "SOURCES", "OTHER_PROVIDER", "SLUG_REPEATS"}
+    reg = spark.createDataFrame([("a", "J", "active", ["c"]), ("a", "", "odd", [""])], "slug string, journal string, status string, categories array<string>")
+    assert sorted(r["check"] for r in landed.registry_violations(reg).collect()) == ["CATEGORIES", "NAME", "SLUG_REPEATS", "STATUS"]
+
+
+def test_batch_requests(tmp_path):
+    from recordloom.sources.requests import RequestError, batch_request
+
+    good = {"request_id": "r-1", "acquisition_start": "2026-08-01", "acquisition_end": "2026-08-14", "revision": 2, "journals": ["a", "b-2"], "max_records_by_journal": {"a": 10}, "policy_override_journals": ["a"], "provider": " Prov "}
+    at = tmp_path / "r.json"
+    at.write_text(json.dumps(good))
+    assert batch_request(at).provider == "prov" and batch_request(at).limits == {"a": 10}
+    for change in ({"acquisition_end": "2026-09-01"}, {"journals": ["a", "a"]}, {"journals": []}, {"revision": 0}, {"max_records_by_journal": {"a": 5001}}, {"policy_override_journals": ["b-2"]}, {"allow_planned_journals": ["z"]}, {"request_id": "a b"}, {"acquisition_start": "x"}, {"max_records_by_journal": {"a": True}}):
+        at.write_text(json.dumps(good | change))
+        with pytest.raises(RequestError):
+            batch_request(at)
 
 
 def test_html_cards(spark):
