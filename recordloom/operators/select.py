@@ -294,6 +294,9 @@ class _Pools:
 
     def take(self, name: str, reason: str) -> bool:
         """Takes the pool's next row that isn't blocked; says whether there was one."""
+        counts, caps = (self.state.path, self.state.p.paths) if self.pool == "primary_path" else (self.state.category, self.state.p.categories)
+        if counts[name] >= caps[name][2 if self.hard else 1]:
+            return False  # the cap blocks all of the pool: nothing need be fetched to see that
         while True:
             queue = self.held.get(name, ())
             while queue:
@@ -320,6 +323,7 @@ def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None,
     """
     p = policy or FirstShortlistPolicy()
     state = _Shortlist(p)
+    rows = cut(rows)  # each job reads them, none makes them anew
     places_of = {k: i for i, k in enumerate(p.paths)}
     rank_of_path = F.coalesce(F.try_element_at(weights(places_of), F.col("primary_path")), F.lit(999))
     best = [(-F.col("score")).alias("s"), (-F.col("publication_date")).alias("d"), F.lower(F.coalesce("journal", F.lit(""))).alias("j"), F.lower(F.coalesce("title", F.lit(""))).alias("t"), F.col("record_key").alias("k")]
