@@ -62,6 +62,13 @@ def test_the_sample_is_bounded(spark):
     assert 850 < n < 1150
 
 
+def test_toxicity_by_held_out_labels_of_the_larger_table(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    r = toxicity.op6_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").filter("held_out").collect()
+    found, toxic = [x for x in r if x["predicted"]], [x for x in r if x["toxic"]]
+    assert np.mean([x["toxic"] for x in found]) > 0.97 and np.mean([x["predicted"] for x in toxic]) > 0.88
+
+
 def test_isotonic_rises_and_pools():
     f, y = np.array([0.0, 1, 2, 3, 4, 5]), np.array([0, 1, 0, 0, 1, 1.0])
     at, rate = toxicity.Trees._isotonic(f, y)
