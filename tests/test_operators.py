@@ -263,6 +263,16 @@ def test_stored_against_recomputed(spark):
     assert sorted((r["check"], r["key"]) for r in checks.publications(m, e).collect()) == [("EDITION_PRESENT", "q"), ("REVISION_DIFFERS", "p")]
 
 
+def test_suspended_journals_and_provenance(spark):
+    df = caps.with_provenance(spark.createDataFrame([("FULL", 900), ("SUSPENDED", 900)], "mode string, n int"))
+    assert {(r["acquisition_level"], *(r[c] for c in caps.PROVENANCE)) for r in df.collect()} == {("BIBLIOGRAPHIC_METADATA", False, False, False)}
+    plain, forced = caps.load_allowed(F.col("mode")), caps.load_allowed(F.col("mode"), override=True)
+    got = df.select(plain[0].alias("a"), plain[1].alias("b"), forced[0].alias("c"), forced[1].alias("d"), caps.source_budget(F.col("n"), F.col("mode")).alias("e"), caps.source_budget(F.col("n"), F.col("mode"), override=True).alias("f")).collect()
+    assert [tuple(r) for r in got] == [(True, "FULL", True, "FULL", 500, 900), (False, "SUSPENDED", True, "FULL", 0, 900)]
+    shown = spark.range(1).select(*(F.struct(*caps.projection(F.lit(n).cast("long"), F.lit(limit))).alias(f"p{i}") for i, (n, limit) in enumerate([(5, 0), (5, 3), (3, 5)]))).first()
+    assert [tuple(x) for x in shown] == [("NONE", 0, 5), ("LIMITED", 3, 2), ("INLINE_ALL", 3, 0)]
+
+
 def test_translation_items(spark):
     edition = spark.createDataFrame([("a", ["https://x.org/1"])], "canonical_id string, urls array<string>")
     rows = [("a", "t", "s", "abstract", "https://X.org/1"), ("a", "t" * 501, "", "rumour", None), ("a", "t", "s", "ABSTRACT", "https://y.org/"), ("a", "t", "s", "TITLE_ONLY", None)]
