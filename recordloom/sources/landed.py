@@ -31,12 +31,28 @@ def _texts(c: Column) -> Column:
     return F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda v: blank_to_null(v).isNotNull())
 
 
+_DATE_PARTS = "struct<`date-parts`: array<array<int>>>"
+_WORK = (
+    "DOI: string, URL: string, type: string, title: array<string>, `container-title`: array<string>, ISSN: array<string>, author: array<struct<given: string, family: string, name: string>>, "
+    f"`published-online`: {_DATE_PARTS}, `published-print`: {_DATE_PARTS}, published: {_DATE_PARTS}, issued: {_DATE_PARTS}"
+)
+CROSSREF = f"message struct<items: array<struct<{_WORK}>>>"
+_RESULT = "id: string, pmid: string, pmcid: string, doi: string, title: string, authorString: string, pubType: string, firstPublicationDate: string, journalInfo: struct<journal: struct<title: string, issn: string, essn: string>>, journalTitle: string"
+EUROPE_PMC = f"resultList struct<result: array<struct<{_RESULT}>>>"
+
+
+def parsed(payloads: DataFrame, schema: str, payload: str = "payload") -> DataFrame:
+    """Pages that a table holds as JSON text, as their files would be read: for ``crossref_articles`` and ``europe_pmc_articles``."""
+    return payloads.select(F.from_json(payload, schema).alias("__page")).select("__page.*")
+
+
 def crossref_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of landed work-list pages. The date is the first of published-online, print, published and issued that is one."""
-    date = "struct<`date-parts`: array<array<int>>>"
-    work = f"DOI string, URL string, type string, title array<string>, `container-title` array<string>, ISSN array<string>, author array<struct<given: string, family: string, name: string>>, `published-online`: {date}, `published-print`: {date}, published: {date}, issued: {date}"
-    fields = ", ".join(x if ":" in x.split("<")[0] else x.replace(" ", ": ", 1) for x in _split(work))
-    pages = spark.read.schema(f"message struct<items: array<struct<{fields}>>>").json(path, multiLine=True)
+    """Articles of landed work-list pages."""
+    return crossref_articles(spark.read.schema(CROSSREF).json(path, multiLine=True))
+
+
+def crossref_articles(pages: DataFrame) -> DataFrame:
+    """Articles of pages of the ``CROSSREF`` schema. The date is the first of published-online, print, published and issued that is one."""
     w = pages.select(F.explode("message.items").alias("w")).select("w.*")
 
     def parts(name: str) -> Column:
@@ -53,21 +69,13 @@ def crossref_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _split(fields: str) -> list[str]:
-    """A schema's fields, cut at the commas that aren't inside brackets."""
-    out, depth, last = [], 0, 0
-    for i, c in enumerate(fields):
-        depth += (c == "<") - (c == ">")
-        if c == "," and not depth:
-            out.append(fields[last:i].strip())
-            last = i + 1
-    return [*out, fields[last:].strip()]
+def europe_pmc_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Articles of landed search pages."""
+    return europe_pmc_articles(spark.read.schema(EUROPE_PMC).json(path, multiLine=True))
 
 
-def europe_pmc_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of landed search pages; a record without a PMID takes its id for one."""
-    row = "id: string, pmid: string, pmcid: string, doi: string, title: string, authorString: string, pubType: string, firstPublicationDate: string, journalInfo: struct<journal: struct<title: string, issn: string, essn: string>>, journalTitle: string"
-    pages = spark.read.schema(f"resultList struct<result: array<struct<{row}>>>").json(path, multiLine=True)
+def europe_pmc_articles(pages: DataFrame) -> DataFrame:
+    """Articles of pages of the ``EUROPE_PMC`` schema; a record without a PMID takes its id for one."""
     r = pages.select(F.explode("resultList.result").alias("r")).select("r.*").withColumn("__d", parse_loose_date(F.col("firstPublicationDate"))).filter("__d is not null")
     link = F.concat(F.lit("https://europepmc.org/article/MED/"), F.coalesce("pmid", "id"))
     return r.select(
@@ -86,12 +94,17 @@ def _tagged(c: Column, tag: str) -> Column:
 
 
 def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of landed PubMed XML, one element a row, with the abstract's labelled sections joined by blank lines.
+    """Articles of landed PubMed XML, one element a row.
 
     Files are read in splits, each row up to the end of an element, so that none is held whole.
     """
     parts = spark.read.option("lineSep", "</PubmedArticle>").text(path)
-    one = parts.select(F.concat(F.regexp_extract("value", r"(?s)<PubmedArticle[ >].*$", 0), F.lit("</PubmedArticle>")).alias("x")).filter("x like '<PubmedArticle%'")
+    return pubmed_articles(parts.select(F.concat(F.regexp_extract("value", r"(?s)<PubmedArticle[ >].*$", 0), F.lit("</PubmedArticle>")).alias("x")))
+
+
+def pubmed_articles(elements: DataFrame, xml: str = "x") -> DataFrame:
+    """Articles of a column of PubmedArticle elements, with the abstract's labelled sections joined by blank lines; other rows go."""
+    one = elements.select(F.col(xml).alias("x")).filter("x like '<PubmedArticle%'")
     at = lambda p: F.try_element_at(F.xpath("x", F.lit(p)), F.lit(1))
     pmid, year = at("//MedlineCitation/PMID/text()"), at("//JournalIssue/PubDate/Year/text()")
     written = F.concat_ws(" ", year, at("//JournalIssue/PubDate/Month/text()"), at("//JournalIssue/PubDate/Day/text()"))
