@@ -86,6 +86,19 @@ def backfill_violations(base: dict, delta: dict) -> list[str]:
     return wrong
 
 
+def backfill_checks(pairs: DataFrame, key: Column) -> DataFrame:
+    """The same rules over many pairs of headers (base_journal, base_kind, base_start, base_end, base_revision, delta_journal,
+    delta_start, delta_end, delta_status, delta_revision), as rows (check, key, detail). A delta without a revision is the next one."""
+    from recordloom.operators.checks import violations
+
+    month = lambda c: F.trunc(c, "month")
+    return violations(pairs, key, {
+        "JOURNAL_DIFFERS": F.col("base_journal") == F.col("delta_journal"), "BASE_NOT_MONTHLY": F.coalesce("base_kind", F.lit("month")) == "month", "BASE_NOT_FROM_FIRST_DAY": F.dayofmonth("base_start") == 1,
+        "GAP_BETWEEN_WINDOWS": F.col("delta_start") <= F.date_add("base_end", 1), "WINDOWS_OVERLAP": F.col("delta_start") > F.col("base_end"), "MONTH_DIFFERS": month("base_start") == month("delta_end"),
+        "DELTA_INCOMPLETE": ~F.col("delta_status").isin("SOURCE_ACCESS_GAP", "PARTIAL_SOURCE_COVERAGE"), "REVISION_NOT_NEXT": F.coalesce("delta_revision", F.col("base_revision") + 1) == F.col("base_revision") + 1,
+    })
+
+
 def fill_missing(rows: DataFrame, known: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows with what they lack filled from what is known of their key; what they have stays."""
     from recordloom.operators.joins import small

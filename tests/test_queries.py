@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from recordloom.plans import funnel_queries, table_queries  # noqa: F401
+from recordloom.plans import funnel_queries, record_queries, table_queries  # noqa: F401
 from tests.compare import same
 
 SF = "/root/testdata/sf0.001"
