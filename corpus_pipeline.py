@@ -4,7 +4,8 @@ Toxicity, SimHash near-dedup and benchmark decontamination drop documents,
 secret scans redact texts, and the last stage encodes what is left. A stage
 works on all its predecessor kept. Decisions are joined to the documents by
 doc_id and a hash of the text, null-safe, so that documents with no doc_id and
-different texts under one are documents of their own.
+different texts under one are documents of their own. Columns beside those of
+documents are left out first, so none can clash.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     that repeat a doc_id and a text one stays. What goes is looked up, not what
     stays: while those names are few they are broadcast and no text is shuffled.
     """
+    docs = docs.select(*COLUMNS)
     kind = docs.schema["doc_id"].dataType
     name = F.struct(F.col("doc_id").isNull().alias("unknown"), F.coalesce("doc_id", F.lit("0").cast(kind)).alias("id"), F.xxhash64("text").alias("text"))
     found = simhash.near_duplicates(docs.select(name.alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("name")).agg(F.min(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
@@ -56,6 +58,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null and empty texts hold none; repeated rows share their fate. The names
     of those that do are broadcast while they are few, so no text is shuffled.
     """
+    docs = docs.select(*COLUMNS)
     bad = winnow.hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").filter("item_id is not null"))
     bad = small(cut(bad.select(F.col("doc_id").alias("d"), "t")), MAX_NAMES)
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_anti").select(*COLUMNS)
