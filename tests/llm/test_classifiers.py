@@ -118,3 +118,38 @@ def test_every_language_is_fitted(spark):
     assert model.languages == sorted(words)
     found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()}
     assert all(found[i] == lang for i, _, lang in rows)
+
+
+def test_additive_scores_are_sums_of_table_entries(spark):
+    """Each score again, one table entry after the other."""
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    model = quality.fit(sampling.labelled(docs, labels, "quality", F.lit(True), 300))
+    some = docs.limit(60).cache()
+    for r in quality.feature_rows(some).collect():
+        bins = [sum(float(v) >= edge for edge in edges) for v, edges in zip(r["x"], model.edges, strict=True)]
+        f = float(model.start) + sum(float(t[b]) for t, b in zip(model.tables, bins, strict=True))
+        for (i, j), t in zip(model.pairs, model.pair_tables, strict=True):
+            f += float(t[bins[i] * quality.COARSE // quality.BINS][bins[j] * quality.COARSE // quality.BINS])
+        got = {x["doc_id"]: x["score"] for x in quality.scored(some.filter(F.col("doc_id") == r["doc_id"]), model).collect()} if r["doc_id"] % 20 == 0 else {}
+        assert all(abs(v - 1 / (1 + np.exp(-f))) < 1e-9 for v in got.values())
+        assert abs(float(model.score(np.array([r["x"]]))[0]) - 1 / (1 + np.exp(-f))) < 1e-9
+
+
+def test_language_scores_are_cosines_of_plain_vectors(spark):
+    """Each prediction again: log counts by idf, and the cosine with every centroid, without matrices."""
+    docs = read(spark, "documents")
+    model = langid.fit(docs)
+    some = docs.filter("text is not null and length(text) between 1 and 3000").limit(25)
+    got = {r["doc_id"]: r for r in langid.predict(some, model).collect()}
+    for r in some.collect():
+        if not langid.has_letter(r["text"]):
+            continue
+        v = [float(np.log(1 + c)) * float(w) for c, w in zip(langid.counts(r["text"]), model.idf, strict=True)]
+        size = sum(x * x for x in v) ** 0.5
+        best = {}
+        for c, owner in zip(model.centroids, model.owner, strict=True):
+            cos = sum(x * float(y) for x, y in zip(v, c, strict=True) if x) / size / float(np.linalg.norm(c))
+            best[model.languages[owner]] = max(cos, best.get(model.languages[owner], -1.0))
+        top = max(best.values())
+        share = 1 / sum(np.exp(30 * (x - top)) for x in best.values())
+        assert abs(got[r["doc_id"]]["score"] - share) < 1e-3 and best[got[r["doc_id"]]["lang_pred"]] > top - 1e-5
