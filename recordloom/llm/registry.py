@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import bpe, chat, chunks, langid, lattice, quality, secrets, simhash, toxicity, winnow
+from recordloom.llm import bpe, chat, chunks, langid, lattice, mixing, quality, secrets, simhash, toxicity, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": secrets.op8_secrets,
         "op9_chat": chat.op9_chat,
         "op10_quality": quality.op10_quality,
+        "op11_mixing": mixing.op11_mixing,
     }
 
 
