@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import bpe, chat, chunks, langid, lattice, mixing, quality, secrets, simhash, toxicity, winnow
+from recordloom.llm import bpe, chat, chunks, divergence, langid, lattice, mixing, quality, secrets, simhash, toxicity, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat": chat.op9_chat,
         "op10_quality": quality.op10_quality,
         "op11_mixing": mixing.op11_mixing,
+        "op12_divergence": divergence.op12_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lattice": lattice.ORACLE, "op5_winnowing": winnow.ORACLE, "op9_chat": chat.ORACLE}
+    return {"op3_lattice": lattice.ORACLE, "op5_winnowing": winnow.ORACLE, "op9_chat": chat.ORACLE, "op12_divergence": divergence.ORACLE}
