@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import bpe, chat, chunks, divergence, langid, lattice, mixing, quality, secrets, simhash, toxicity, winnow
+from recordloom.llm import alignment, bpe, chat, chunks, divergence, langid, lattice, mixing, quality, secrets, simhash, toxicity, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality": quality.op10_quality,
         "op11_mixing": mixing.op11_mixing,
         "op12_divergence": divergence.op12_divergence,
+        "op13_alignment": alignment.op13_alignment,
     }
 
 
