@@ -12,18 +12,21 @@ escaped, so no text can hold a control string. The mask gives, for every turn,
 how many characters precede its text and how many of the text carry loss
 (assistant texts alone).
 
-A long conversation is folded and rendered in blocks of turns before its blocks
-are joined, so one conversation's events needn't meet in one task.
+Events are folded in blocks of TURNS turns and SEQS sequence numbers, and what
+a block leaves is events again: a whole message, or an edit or delta for the
+message that an earlier block opened. Those few are folded a second time by the
+same rule. So neither a conversation's events nor the deltas of one long turn
+need meet in one task; only a conversation's final messages do, as its string must.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.tables import table
 
-TURNS = 1024
+TURNS, SEQS = 256, 64
 OPEN, CLOSE = "<s>", "</s>"
 #: What is escaped, and the digit that stands for it behind a backslash; the backslash itself first.
 ESCAPES = (("\\", "0"), ("<", "1"), ("[", "2"), ("\n", "3"))
@@ -43,19 +46,34 @@ def unescape(text: Column) -> Column:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """A table of whole messages (conv_id, turn, role, text) as a log; null roles and texts are empty."""
-    return conversations.select(
-        "conv_id", "turn", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-    )
+    """A table of whole messages (conv_id, turn, role, text) as the log of how they came about; null roles and texts are empty.
+
+    By a hash, a message is streamed in deltas, or drafted and edited, or drafted
+    and regenerated in deltas, so no final text stands in the log as it is.
+    Messages of one turn follow one another by role and text.
+    """
+    said = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) - 1
+    event = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+    text, n = F.col("text"), F.length("text")
+    size = F.greatest(F.lit(16), F.ceil(n / 8)).cast("int")
+    pieces = F.filter(F.transform(F.sequence(F.lit(0), F.floor(n / size).cast("int")), lambda i: event("delta", F.substring(text, i * size + 1, size))), lambda e: e["text"] != "")
+    draft = [event("message", F.reverse("text")), event("delta", F.lit("?"))]
+    half = F.floor(n / 2).cast("int")
+    edited = F.array(*draft, event("edit", F.substring(text, F.lit(1), half)), event("delta", F.substring(text, half + 1, n)))
+    way = F.pmod(F.xxhash64("role", "text"), F.lit(3))
+    events = F.when(way == 0, F.concat(F.array(event("message", F.lit(""))), pieces)).when(way == 1, edited).otherwise(F.concat(F.array(*draft, event("regenerate", F.lit(""))), pieces))
+    each = said.withColumn("place", place).select("conv_id", "turn", "role", "place", F.posexplode(events).alias("at", "e"))
+    return each.select("conv_id", "turn", (F.col("place") * SEQS + F.col("at")).cast("long").alias("seq"), "e.kind", "role", "e.text")
 
 
 def _fold(events: Column) -> Column:
-    """Final messages (turn, role, text) of sorted events, in time that grows with the events alone.
+    """Sorted events (turn, kind, role, text) as fewer, in time that grows with the events alone.
 
-    An event opens a message if it says so, or comes first of its turn. Within a
-    message's events the last that isn't a delta replaces all before it, and the
-    deltas behind it are appended.
+    A message starts with an event that says so, or that comes first of its
+    turn. Of its events the last that isn't a delta replaces all before it, and
+    the deltas behind it are appended. Where the first doesn't say so, what is
+    left is an edit or delta for a message that may have started elsewhere.
     """
     at = F.sequence(F.lit(0), F.size(events) - 1)
 
@@ -68,15 +86,13 @@ def _fold(events: Column) -> Column:
 
     def message(start: Column, end: Column) -> Column:
         own = F.slice(events, start + 1, end - start)
-        last = F.array_max(F.transform(own, lambda e, i: F.when((i == 0) | ~e["kind"].eqNullSafe(F.lit("delta")), i)))
-        said = F.transform(F.slice(own, last + 1, F.size(own)), lambda e: e["text"])
+        last = F.coalesce(F.array_max(F.transform(own, lambda e, i: F.when(~e["kind"].eqNullSafe(F.lit("delta")), i))), F.lit(-1))
+        said = F.transform(F.slice(own, F.greatest(last, F.lit(0)) + 1, F.size(own)), lambda e: e["text"])
         first = F.get(events, start)
-        return F.struct(first["turn"].alias("turn"), first["role"].alias("role"), F.array_join(said, "").alias("text"))
+        kind = F.when(first["kind"].eqNullSafe(F.lit("message")), "message").when(last >= 0, "edit").otherwise("delta")
+        return F.struct(first["turn"].alias("turn"), kind.alias("kind"), first["role"].alias("role"), F.array_join(said, "").alias("text"))
 
-    # A log of whole messages alone needs no fold.
-    whole = F.forall(events, lambda e: e["kind"] == "message")
-    plain = F.transform(events, lambda e: F.struct(e["turn"].alias("turn"), e["role"].alias("role"), e["text"].alias("text")))
-    return F.when(whole, plain).otherwise(F.zip_with(starts, ends, message))
+    return F.zip_with(starts, ends, message)
 
 
 def format_log(events: DataFrame) -> DataFrame:
@@ -84,24 +100,26 @@ def format_log(events: DataFrame) -> DataFrame:
 
     Events sort by turn, seq, then kind, role and text, so ties have one order
     and repeated rows are repeated turns. Nulls sort first; a null text is
-    empty; a change before any message of its turn opens one. ``mask`` is an
-    array of (skip, loss), one a turn. Extra columns are ignored.
+    empty; a change before any message of its turn opens one. Texts of any
+    length count whole, and no events give no rows. ``mask`` is an array of
+    (skip, loss), one a turn. Extra columns are ignored.
     """
-    order = ("turn", "seq", "kind", "role", "text")
     clean = events.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.col("seq").cast("long").alias("seq"), "kind",
         *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")),
-    ).withColumn("block", F.floor(F.coalesce("turn", F.lit(-1)) / TURNS))
-    blocks = clean.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("events"))
-    messages = blocks.select("conv_id", "block", _fold(F.col("events")).alias("m"))
+    ).withColumn("later", F.floor(F.col("seq") / SEQS))
+    early = F.col("later").eqNullSafe(F.lit(0))
+    clean = clean.withColumn("block", F.struct(early.alias("early"), F.when(early, F.floor(F.col("turn") / TURNS)).otherwise(F.col("turn")).alias("turns"), "later"))
+    blocks = clean.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "seq", "kind", "role", "text"))).alias("events"))
+    parts = F.transform(_fold(F.col("events")), lambda e, i: F.struct(e["turn"].alias("turn"), F.col("block.later").alias("later"), i.alias("at"), *(e[c].alias(c) for c in ("kind", "role", "text"))))
+    joined = blocks.select("conv_id", parts.alias("parts")).groupBy("conv_id").agg(F.array_sort(F.flatten(F.collect_list("parts"))).alias("parts"))
+    messages = joined.select("conv_id", _fold(F.col("parts")).alias("m"))
     head = lambda x: F.concat(F.lit(OPEN), escape(x["role"], True), F.lit("\n"))
-    rendered = messages.select(
-        "conv_id", "block",
-        F.array_join(F.transform("m", lambda x: F.concat(head(x), escape(x["text"]), F.lit(CLOSE))), "").alias("said"),
+    return messages.select(
+        "conv_id",
+        F.array_join(F.transform("m", lambda x: F.concat(head(x), escape(x["text"]), F.lit(CLOSE))), "").alias("formatted"),
         F.transform("m", lambda x: F.struct(F.length(head(x)).alias("skip"), F.when(x["role"] == LOSS_ROLE, F.length(escape(x["text"]))).otherwise(0).alias("loss"))).alias("mask"),
     )
-    joined = rendered.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("block", "said", "mask"))).alias("b"))
-    return joined.select("conv_id", F.array_join(F.transform("b", lambda x: x["said"]), "").alias("formatted"), F.flatten(F.transform("b", lambda x: x["mask"])).alias("mask"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

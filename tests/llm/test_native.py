@@ -165,3 +165,20 @@ def test_chat_long_conversations_and_repeats(spark):
     assert got[1]["loss"] == [f"t\n{i}" for i in range(1, 3000, 2)]
     assert len(got[2]["turns"]) == 2 and [tuple(t) for t in got[None]["turns"]] == [("user", "")]
     assert chat.format_log(chat.events_of(df.limit(0))).count() == 0
+
+
+def test_the_query_s_log_must_be_folded(spark):
+    talk = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").filter("length(text) > 3")
+    log = chat.events_of(talk).collect()
+    assert {r["kind"] for r in log} == {"message", "delta", "edit", "regenerate"}
+    whole = {(r["conv_id"], r["turn"], r["text"]) for r in talk.collect()}
+    assert not whole & {(r["conv_id"], r["turn"], r["text"]) for r in log}  # no event holds a final text
+    got = {(r["conv_id"], t["text"]) for r in chat.read_back(chat.format_log(spark.createDataFrame(log))).collect() for t in r["turns"]}
+    assert got == {(c, t) for c, _, t in whole}
+
+
+def test_one_long_turn_is_folded_in_blocks(spark):
+    rows = [("c", 0, i, "delta" if i % 500 else ("message" if i == 0 else "edit"), "user", f"{i},") for i in range(2000)] + [("c", 1, i, "delta", "assistant", "z") for i in range(150)]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, seq long, kind string, role string, text string").repartition(5)
+    got = chat.read_back(chat.format_log(df)).first()
+    assert [tuple(t) for t in got["turns"]] == [("user", "".join(f"{i}," for i in range(1500, 2000))), ("assistant", "z" * 150)]
