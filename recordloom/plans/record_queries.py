@@ -6,6 +6,8 @@ knows the answer without any parsing, and the operators are held against it.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from recordloom.functions import text
 from recordloom.operators import checks, identity, joins, merge, publish, rank
 from recordloom.plans.funnel_queries import _pick, _sql_pick
 from recordloom.plans.table_queries import query
-from recordloom.sources import landed
+from recordloom.plans.lineage import cut, scratch
+from recordloom.sources import feeds, landed
 
 def _s(c: Column) -> Column:
     return c.cast("string")
@@ -350,3 +353,18 @@ SELECT journal_slug, period_key, CAST(revision AS INT) AS revision, position, to
 def search_index(t) -> DataFrame:
     a = t("orders").select(F.col("o_custkey").alias("journal_slug"), F.date_format("o_orderdate", "yyyy").alias("period_key"), F.month("o_orderdate").alias("revision"), F.col("o_orderkey").alias("position"))
     return publish.search_index(a, a, 2).select("journal_slug", "period_key", "revision", "position", "total")
+
+
+@query("""
+SELECT '10.5/o' || o_orderkey AS doi, o_orderpriority AS title, strftime(o_orderdate, '%Y-%m-%d') AS publication_date, 'DAY' AS publication_date_precision FROM orders
+WHERE o_orderdate >= DATE '1995-02-01' AND o_orderdate < DATE '1996-01-01'""")
+def feed_window(t) -> DataFrame:
+    """Orders land as pages of works in folders by month; a window of months is read back by the data source, and only its folders."""
+    orders, day = t("orders"), F.to_date("o_orderdate")
+    dated = F.struct(F.array(F.array(F.year(day), F.month(day), F.dayofmonth(day))).alias("date-parts"))
+    work = F.to_json(F.struct(F.concat(F.lit("10.5/O"), _s(F.col("o_orderkey"))).alias("DOI"), F.array("o_orderpriority").alias("title"), dated.alias("published")))
+    with scratch(orders.sparkSession, "feed") as folder:
+        feeds.land(orders.select(F.trunc(day, "month").alias("published"), work.alias("record")), folder, rows_a_page=1000)
+        rows = feeds.feed(orders.sparkSession, dt.date(1995, 1, 2), dt.date(1995, 12, 31), path=folder)
+        pages = rows.select(F.concat(F.lit('{"message":{"items":['), "record", F.lit("]}}")).alias("payload"))
+        return cut(landed.crossref_articles(landed.parsed(pages, landed.CROSSREF)).select("doi", "title", _s(F.col("publication_date")).alias("publication_date"), "publication_date_precision"))
