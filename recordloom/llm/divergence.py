@@ -20,24 +20,28 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.tables import table
 from recordloom.operators.joins import small
+from recordloom.operators.orders import numbered
 from recordloom.plans.lineage import cut
 
-#: Terms, once A-Z are lower-cased.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between terms, once A-Z are lower-cased; a term is a run of anything else.
+GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS, TERMS_SHOWN, UNIT, PRIOR = 30, 50, 1_000_000_000, 5
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that hold the term; a null term says that the group occurs.
+def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(groups, counts): (lang, source, g) of each group that occurs, and (g, term, n, docs): occurrences, and documents that hold the term.
 
-    A text's terms are sorted, so the first of each kind can be told from its
-    neighbour and one pass counts both.
+    A number stands for a group while its terms are counted. A text's terms are
+    sorted, so the first of each kind can be told from its neighbour and one
+    pass counts both.
     """
     filled = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    terms = F.array_sort(F.regexp_extract_all(F.translate("text", string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0)))
+    groups = cut(numbered(filled.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")), ["lang", "source"], "g").select("lang", "source", "g"))
+    lowered = F.when(F.col("text").rlike(r"[^\x00-\x7F]"), F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower("text"))
+    terms = F.sort_array(F.split(lowered, GAP, -1))
     marked = F.transform(F.array(terms), lambda s: F.transform(s, lambda t, i: F.struct(t.alias("term"), (~t.eqNullSafe(F.get(s, i - 1))).cast("long").alias("new"))))
-    each = filled.select("lang", "source", F.explode_outer(F.get(marked, F.lit(0))).alias("t"))
-    return each.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.count("t.term").alias("n"), F.coalesce(F.sum("t.new"), F.lit(0)).alias("docs"))
+    each = filled.join(small(groups), ["lang", "source"]).select("g", F.explode(F.get(marked, F.lit(0))).alias("t")).select("g", "t.term", "t.new").filter("term <> ''")
+    return groups, cut(each.groupBy("g", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("new").alias("docs")))
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -46,21 +50,17 @@ def _share(n: Column, total: Column, kept: Column) -> Column:
     return F.lit(1) + F.call_function("div", wide(n + PRIOR) * F.lit(UNIT).cast("decimal(10,0)"), wide(total + PRIOR * kept))
 
 
-def shares(counts: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
-    """(groups, dense): each (lang, source) that occurs, and each with every kept term of its language.
-
-    ``dense`` has lang, source, term, n (0 where the source never says it), p
-    (its share in the source) and q (its share in the language).
-    """
-    groups = cut(counts.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))).select("lang", "source")
-    kept = counts.filter("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("in_lang")).filter(F.col("docs") >= least_docs)
+def shares(groups: DataFrame, counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """Each group with every kept term of its language: lang, source, term, n (0 where the source never says it), p (its share in the source) and q (in the language)."""
+    of = small(groups)
+    kept = counts.join(of, "g").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("in_lang")).filter(F.col("docs") >= least_docs)
     kept = cut(kept.select("lang", "term", "in_lang"))
     of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("in_lang").alias("lang_total"))
-    said = counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
-    sized = groups.join(said.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(of_lang, "lang")
+    said = cut(counts.join(of, "g").join(small(kept.select("lang", "term")), ["lang", "term"], "left_semi").select("lang", "source", "term", "n"))
+    sized = groups.select("lang", "source").join(said.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(of_lang, "lang")
     dense = kept.join(small(cut(sized)), "lang").join(said, ["lang", "source", "term"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     p, q = _share(F.col("n"), F.coalesce("total", F.lit(0)), F.col("v")), _share(F.col("in_lang"), F.col("lang_total"), F.col("v"))
-    return groups, cut(dense.select("lang", "source", "term", "n", p.alias("p"), q.alias("q")))
+    return cut(dense.select("lang", "source", "term", "n", p.alias("p"), q.alias("q")))
 
 
 def pairs(groups: DataFrame, dense: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def pairs(groups: DataFrame, dense: DataFrame) -> DataFrame:
     half = mine.join(other, ["lang", "term"]).filter("source < item").groupBy("lang", "source", "item").agg(F.sum(F.abs(F.col("p") - F.col("r"))).alias("value"))
     half = cut(half)
     both = half.unionByName(half.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value"))
-    all_pairs = groups.join(groups.withColumnRenamed("source", "item"), "lang").filter("source <> item")
+    all_pairs = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang").filter("source <> item")
     return all_pairs.join(both, ["lang", "source", "item"], "left").withColumn("value", F.coalesce("value", F.lit(0)))
 
 
@@ -84,7 +84,8 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, shown: int = TERMS_SHOW
     item's bytes. Texts of any length count whole, an empty table gives no rows,
     and extra columns are ignored.
     """
-    groups, dense = shares(cut(term_counts(docs)), least_docs)
+    groups, counts = term_counts(docs)
+    dense = shares(groups, counts, least_docs)
     by = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     of_terms = dense.filter("n > 0 and p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     ranked = lambda df: df.withColumn("rank", F.row_number().over(by))

@@ -59,7 +59,8 @@ def test_odd_rows_and_no_rows(spark):
 
 
 def test_shares_are_exact_beyond_what_doubles_hold(spark):
-    counts = spark.createDataFrame([("en", "a", "x", 9_007_199_254_740_993, 40), ("en", "a", "y", 7, 40), ("en", "b", "x", 10**16 + 1, 40)], "lang string, source string, term string, n long, docs long")
-    got = {(r["source"], r["term"]): r["p"] for r in divergence.shares(counts)[1].collect()}
+    groups = spark.createDataFrame([("en", "a", 1), ("en", "b", 2)], "lang string, source string, g long")
+    counts = spark.createDataFrame([(1, "x", 9_007_199_254_740_993, 40), (1, "y", 7, 40), (2, "x", 10**16 + 1, 40)], "g long, term string, n long, docs long")
+    got = {(r["source"], r["term"]): r["p"] for r in divergence.shares(groups, counts).collect()}
     for s, c in (("a", {"x": 9_007_199_254_740_993, "y": 7}), ("b", {"x": 10**16 + 1, "y": 0})):
         assert all(got[s, t] == 1 + 10**9 * (c[t] + 5) // (sum(c.values()) + 10) for t in "xy")
