@@ -10,14 +10,12 @@ documents are left out first, so none can clash.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, secrets, simhash, toxicity, winnow
 from recordloom.operators.joins import small
-from recordloom.plans.lineage import checkpoint_folder, cut
+from recordloom.plans.lineage import cut, delete, scratch
 
 #: Names of documents that go (40 bytes each) are broadcast up to so many; beyond, both sides are shuffled.
 MAX_NAMES = 500_000
@@ -65,14 +63,20 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with the secrets found in its text replaced by a mark; a null text stays null, and n_chars follows the text."""
+    """Every document, with the secrets found in its text replaced by a mark; a null text stays null, and n_chars follows the text.
+
+    Repeated rows are each returned, and an empty table gives an empty one.
+    """
     found = secrets.scan(docs, keep=COLUMNS)
     text = secrets.redact(F.col("text"), F.col("spans"))
     return found.withColumn("text", F.when(F.col("text").isNotNull(), text)).withColumn("n_chars", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token count, and the digests of its ids and of what they decode to; a null text counts as empty."""
+    """Every document's token count, and the digests of its ids and of what they decode to; a null text counts as empty.
+
+    Repeated rows are each returned, and an empty table gives an empty one.
+    """
     return bpe.digests(docs)
 
 
@@ -88,26 +92,20 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for documents.
 
     What lies between is written to the shared folder, and deleted once the next
-    stage is written; what the last stage reads stays for its reader.
+    stage is written; the last stage's few columns are cut, so nothing stays.
     """
-    checkpoint_folder(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for k, (name, stage) in enumerate(STAGES):
-        made = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return made
-        made.write.parquet(at := f"{folder}/{k}-{name}")
-        if before:
-            _delete(spark, before)
-        docs, before = spark.read.parquet(at), at
+    with scratch(spark, "pipeline") as folder:
+        for k, (name, stage) in enumerate(STAGES):
+            made = stage(spark, docs, sf_dir)
+            if k == len(STAGES) - 1:
+                return cut(made)
+            made.write.parquet(at := f"{folder}/{k}-{name}")
+            if before:
+                delete(spark, before)
+            docs, before = spark.read.parquet(at), at
     return docs

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.operators.joins import small
 from recordloom.plans.lineage import cut
 
 #: Routes in the order in which they are shown.
@@ -13,6 +14,8 @@ TRIAGE_ROUTES = ("INTEGRITY_REVIEW", "FETCH_CANDIDATE", "RESERVE", "CATALOG_ONLY
 SHORTLIST_ROUTES = ("FETCH_NOW", "HOLD_RESERVE", "CATALOG_ONLY")
 REVIEW_ROUTES = ("FULLTEXT_NOW", "FULLTEXT_RESERVE", "NO_ABSTRACT")
 UNKNOWN, UNPLACED = 99, 999_999
+#: Groups beyond so many rows are numbered by ranges, not by a window in one task.
+LARGE_GROUP = 1_000_000
 
 
 def place_of(route: Column, routes: tuple[str, ...]) -> Column:
@@ -74,13 +77,21 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "ordinal") ->
     return joined.withColumn(name, F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).drop("__at", "__part", "__before")
 
 
-def places(df: DataFrame, group: list[str], order: list[Column | str], name: str) -> DataFrame:
-    """Every row with its place in its group, from 1; a group of any size is spread over tasks. Groups may be null."""
-    made = numbered(df, [*group, *order], "__ordinal")
-    first = cut(made.groupBy(*group).agg(F.min("__ordinal").alias("__first")))
-    keys = first.select(*(F.col(c).alias(f"__g{i}") for i, c in enumerate(group)), "__first")
-    same = F.lit(True)
-    for i, c in enumerate(group):
-        same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
-    joined = made.join(small(keys), same)
-    return joined.withColumn(name, (F.col("__ordinal") - F.col("__first") + 1).cast("int")).drop("__ordinal", "__first", *(f"__g{i}" for i in range(len(group))))
+def places(df: DataFrame, group: list[str], order: list[Column | str], name: str, most: int = LARGE_GROUP) -> DataFrame:
+    """Every row with its place in its group, from 1; groups may be null.
+
+    Groups are counted first. Those of up to ``most`` rows are numbered by a
+    window; larger ones are numbered by sorted ranges, spread over tasks. There
+    can be no more of those than rows / most, so their names are broadcast.
+    """
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    large = cut(df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most))
+    if not large.limit(1).count():
+        return df.withColumn(name, rank)
+    same = lambda c, i: F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    named = [F.col(c).alias(f"__g{i}") for i, c in enumerate(group)]
+    keys, on = F.broadcast(large.select(*named)), reduce(Column.__and__, (same(c, i) for i, c in enumerate(group)))
+    made = numbered(df.join(keys, on, "left_semi"), [*group, *order], "__ordinal")
+    first = F.broadcast(cut(made.groupBy(*group).agg(F.min("__ordinal").alias("__first"))).select(*named, "__first"))
+    spread = made.join(first, on).withColumn(name, (F.col("__ordinal") - F.col("__first") + 1).cast("int")).select(*df.columns, name)
+    return df.join(keys, on, "left_anti").withColumn(name, rank).unionByName(spread)

@@ -3,18 +3,16 @@
 Whether a record is admitted depends on its own journal alone: hard cap,
 near-duplicate titles and topic caps. Journals meet only in the order of turns
 and in the global target. So each journal is played through on its own as if
-there were no target, giving one row a turn; turns of all journals are then put
-in order by what was known at the turn, and the target cuts them: a top-k of the
-turns that took a row says where, so no task sees all turns.
-
-A task holds one journal's eligible rows, never the corpus': what a near-duplicate
-or topic cap rejects isn't known before, so a journal's rows can't be cut sooner.
-Time is linear in them, as a row is compared with no more titles than the cap.
+there were no target (``greedy``: by frontiers, so that no task holds a journal);
+what a journal has taken, no more than its cap, gives the key of each turn and,
+for every other row, the turn at which it came up and what blocked it then. The
+turns that took a row are put in order, and the target cuts them.
 """
 
 from __future__ import annotations
 
 from collections import Counter, deque
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -22,14 +20,13 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.rules import weights
 from recordloom.functions.text import filled
+from recordloom.operators import greedy
 from recordloom.operators.caps import top_per_group
+from recordloom.operators.joins import small
 from recordloom.operators.orders import places
 from recordloom.plans.lineage import cut
 from recordloom.plans.policy import FirstShortlistPolicy, ReviewPolicy, ShortlistPolicy
 
-TURN = "journal_slug string, phase int, pass int, k1 double, k2 double, k3 double, record_key string, reason string, rejected array<struct<record_key:string,block:string>>"
-
-
 def capture(percentile, unknown, policy: ShortlistPolicy):
     """The capture rate of a percentile's band."""
     chain = F.when(unknown, policy.unknown_rate)
@@ -58,74 +55,31 @@ def contexts(records: DataFrame, priors: DataFrame, policy: ShortlistPolicy | No
     return joined.withColumn("capture_rate", rate).withColumn("hard_cap", cap).withColumn("target", F.least("fetchable", cap, F.greatest("candidates", share)))
 
 
-def _similar(a: frozenset, b: frozenset) -> float:
-    return len(a & b) / len(a | b) if a and b else 0.0
+_HISTORY = "array<struct<phase:int,turn:int,held:int,pos:bigint,rest:bigint,key:string,tokens:array<string>,topic:string>>"
 
 
-class _Journal:
-    """One journal's state while it is played through."""
+def _mode(caps: dict, mode: str = "processing_mode") -> Column:
+    return F.coalesce(F.try_element_at(weights(caps), F.col(mode)), F.lit(0))
 
-    def __init__(self, cap: int, near: float) -> None:
-        self.cap, self.near = cap, near
-        self.titles: list[frozenset] = []
-        self.topics: Counter = Counter()
-        self.keys: set[str] = set()
 
-    def block(self, row, topic_cap: int, hard: bool) -> str | None:
-        if not row.fetchable:
-            return "NO_FETCHABLE_IDENTIFIER"
-        if len(self.titles) >= self.cap:
-            return "JOURNAL_FETCH_HARD_CAP"
-        if any(_similar(row.tokens, t) >= self.near for t in self.titles):
-            return "NEAR_DUPLICATE_TITLE"
-        if self.topics[row.topic_signature] >= topic_cap:
-            return "TOPIC_HARD_CAP" if hard else "TOPIC_SOFT_CAP"
-        return None
+def _count(hist: Column, keep) -> Column:
+    return F.size(F.filter(hist, keep))
 
-    def take(self, row) -> None:
-        self.titles.append(row.tokens)
-        self.topics[row.topic_signature] += 1
-        self.keys.add(row.record_key)
-
-
-def _play(policy: ShortlistPolicy):
-    independent = set(policy.independent)
-
-    def journal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(tokens=[frozenset(t) for t in pdf["tokens"]])
-        first = pdf.iloc[0]
-        mode, percentile = first["processing_mode"], float(first["percentile"])
-        state = _Journal(int(first["hard_cap"]), policy.near_duplicate)
-        soft, hard = policy.topic_soft_caps[mode], policy.topic_hard_caps[mode]
-        out: list[tuple] = []
-
-        def turns(phase: int, pool: deque, reason: str, topic_cap: int, keys, until: int | None = None) -> None:
-            k = 0
-            while pool and (until is None or len(state.titles) < until):
-                k += 1
-                key, rejected, got = keys(len(state.titles), len(pool)), [], None
-                while pool and got is None:
-                    row = pool.popleft()
-                    if row.record_key in state.keys:
-                        continue
-                    why = state.block(row, topic_cap, phase == 3)
-                    if why:
-                        rejected.append({"record_key": row.record_key, "block": why})
-                    else:
-                        state.take(row)
-                        got = row.record_key
-                out.append((first["journal_slug"], phase, k, *key, got, reason, rejected))
-
-        lanes = lambda rows: deque(rows.sort_values("turn").itertuples())
-        is_independent = pdf["route"].isin(independent)
-        candidates, target, fetchable = (max(1, int(first[c])) for c in ("candidates", "target", "fetchable_count"))
-        turns(1, lanes(pdf[is_independent]), "METRIC_INDEPENDENT_PREFETCH_CANDIDATE", soft, lambda held, _: (held / candidates, 0.0, 0.0))
-        turns(2, lanes(pdf[pdf["route"] == "RESERVE"]), "IMPACT_ADAPTIVE_TARGET", soft, lambda held, _: (-percentile, held / target, 0.0), int(first["target"]))
-        rest = deque(r for r in pdf.assign(__i=~is_independent).sort_values(["__i", "place"]).itertuples() if r.record_key not in state.keys)
-        turns(3, rest, "IMPACT_GLOBAL_BUDGET_FILL", hard, lambda held, left: (-percentile, held / fetchable, -float(left)))
-        return pd.DataFrame(out, columns=["journal_slug", "phase", "pass", "k1", "k2", "k3", "record_key", "reason", "rejected"])
-
-    return journal
+
+def _turn_key(phase: int, turn: Column, held: Column) -> Column:
+    """When a journal's turn comes: earlier phases first, then by what is known when it begins."""
+    of = lambda c: F.greatest(F.lit(1), F.col(c))
+    zero, hist = F.lit(0.0), F.col("hist")
+    if phase == 1:
+        keys = [held / of("candidates"), zero, zero]
+    elif phase == 2:
+        keys = [-F.col("percentile"), held / of("target"), zero]
+    else:
+        # What is left of the pool: all but those of the phases before, and but those up to the row that the turn before took.
+        last = F.coalesce(F.get(F.filter(hist, lambda h: (h["phase"] == 3) & (h["turn"] == turn - 1)), F.lit(0))["rest"], F.lit(0))
+        left = F.col("pool") - last - _count(hist, lambda h: (h["phase"] < 3) & (h["rest"] > last))
+        keys = [-F.col("percentile"), held / of("fetchable_count"), -left.cast("double")]
+    return F.struct(F.lit(phase).alias("phase"), turn.alias("turn"), *(k.cast("double").alias(f"k{i}") for i, k in enumerate(keys, 1)), F.col("g"))
 
 
 def diversified(records: DataFrame, context: DataFrame, policy: ShortlistPolicy | None = None) -> tuple[DataFrame, DataFrame]:
@@ -137,42 +91,69 @@ def diversified(records: DataFrame, context: DataFrame, policy: ShortlistPolicy
     and reason; ``blocks`` has the reasons of rows that came up and were not taken.
     """
     p = policy or ShortlistPolicy()
-    eligible = records.filter(F.col("route").isin(*p.eligible))
-    small = context.select("journal_slug", "percentile", "hard_cap", "candidates", "target", F.col("fetchable").alias("fetchable_count"))
-    turns = eligible.join(small, "journal_slug").groupBy("journal_slug").applyInPandas(_play(p), TURN)
-    turns = cut(turns.withColumn("at", F.struct("phase", "pass", "k1", "k2", "k3", "journal_slug")))
-    taken, kept = _until(turns, "at", F.col("record_key").isNotNull(), p.target)
-    selected = taken.select("record_key", "journal_slug", "ordinal", "reason")
-    blocks = kept.select(F.explode("rejected").alias("r")).select("r.record_key", "r.block").distinct()
-    return selected, blocks
-
-
-def _until(rows: DataFrame, at: str, taken: Column, target: int) -> tuple[DataFrame, DataFrame]:
-    """The first ``target`` taken rows in the order of ``at``, numbered, and all rows up to the last of them (all, where there are fewer)."""
-    first = rows.filter(taken).orderBy(at).limit(target)
-    numbered = cut(first.withColumn("ordinal", F.row_number().over(Window.orderBy(at)).cast("long")))  # of the target's rows alone
-    last = numbered.agg(F.max(at).alias("__last"), F.count(F.lit(1)).alias("__n"))
-    return numbered, rows.crossJoin(F.broadcast(last)).filter((F.col("__n") < target) | (F.col(at) <= F.col("__last"))).drop("__last", "__n")  # one row beside each
+    journals = context.select(F.col("journal_slug").alias("g"), "percentile", "hard_cap", "candidates", "target", F.col("fetchable").alias("fetchable_count"))
+    rows = records.filter(F.col("route").isin(*p.eligible)).select(
+        F.col("journal_slug").alias("g"), F.col("record_key").alias("key"), F.array_distinct("tokens").alias("tokens"), F.col("topic_signature").alias("topic"), F.col("turn").cast("long").alias("turn_place"),
+        "place", (~F.col("route").isin(*p.independent)).alias("later"), (F.col("route") == "RESERVE").alias("reserve"), "fetchable", _mode(p.topic_soft_caps).alias("soft"), _mode(p.topic_hard_caps).alias("hard"),
+    )
+    rows = rows.join(small(journals.select("g", "hard_cap", "target")), "g")
+    rows = cut(places(rows, ["g"], ["later", "place", "key"], "rest").withColumn("rest", F.col("rest").cast("long")))
+    pools = {1: (~F.col("later"), F.col("turn_place"), "soft", F.col("hard_cap")), 2: (F.col("reserve"), F.col("turn_place"), "soft", F.least("hard_cap", "target")), 3: (F.lit(True), F.col("rest"), "hard", F.col("hard_cap"))}
+    taken = rows.sparkSession.createDataFrame([], greedy.TAKEN)
+    for phase, (pool, pos, topics, stop) in pools.items():
+        playing = rows.filter(pool & F.col("fetchable")).select("g", "key", pos.alias("pos"), "rest", "tokens", "topic", F.col(topics).alias("topic_cap"), stop.alias("stop"))
+        taken = greedy.choose(playing, taken, phase, p.near_duplicate)
+
+    sizes = rows.groupBy("g").agg(F.max("rest").alias("pool"))
+    of = cut(journals.join(sizes, "g").join(greedy.histories(taken), "g", "left").withColumn("hist", F.coalesce("hist", F.array().cast(_HISTORY))))
+    reasons = F.element_at(F.array(*map(F.lit, ("METRIC_INDEPENDENT_PREFETCH_CANDIDATE", "IMPACT_ADAPTIVE_TARGET", "IMPACT_GLOBAL_BUDGET_FILL"))), F.col("h.phase"))
+    each = of.withColumn("h", F.explode("hist"))
+    at = F.when(F.col("h.phase") == 1, _turn_key(1, F.col("h.turn"), F.col("h.held"))).when(F.col("h.phase") == 2, _turn_key(2, F.col("h.turn"), F.col("h.held"))).otherwise(_turn_key(3, F.col("h.turn"), F.col("h.held")))
+    turns = cut(each.select(F.col("h.key").alias("record_key"), F.col("g").alias("journal_slug"), reasons.alias("reason"), at.alias("at")))
+    first = turns.orderBy("at").limit(p.target)
+    selected = cut(first.withColumn("ordinal", F.row_number().over(Window.orderBy("at")).cast("long")))  # of the target's rows alone
+    last = selected.agg(F.max("at").alias("__last"), F.count(F.lit(1)).alias("__n"))
+
+    known = rows.join(small(of.drop("hard_cap", "target"), greedy.MAX_STATES), "g").crossJoin(F.broadcast(last))  # one row beside each
+
+    def came_up(phase: int, pool: Column, pos: Column, topics: str) -> DataFrame:
+        """(key, block) of the pool's rows that came up in a turn before the target was met, and weren't taken."""
+        hist = F.col("hist")
+        earlier, own = lambda h: h["phase"] < phase, lambda h: h["phase"] == phase
+        turn = _count(hist, lambda h: own(h) & (h["pos"] < pos)) + 1
+        held = _count(hist, earlier) + turn - 1
+        gone = F.exists(hist, lambda h: (h["key"] == F.col("key")) & (own(h) | (earlier(h) & F.lit(phase == 3))))
+        up = known.filter(pool & ~gone).withColumn("t", turn).withColumn("h", held)
+        if phase == 2:
+            up = up.filter(F.col("h") < F.col("target"))
+        up = up.filter((F.col("__n") < p.target) | (_turn_key(phase, F.col("t"), F.col("h")) <= F.col("__last")))
+        before = F.filter(hist, lambda h: earlier(h) | (own(h) & (h["pos"] < pos)))
+        return up.withColumn("before", before).select("key", _block(F.col("before"), F.col(topics), phase == 3, p.near_duplicate).alias("block"))
+
+    came = [came_up(phase, pool, pos, topics) for phase, (pool, pos, topics, _) in pools.items()]
+    blocks = reduce(DataFrame.unionByName, came).filter("block is not null").select(F.col("key").alias("record_key"), "block").distinct()
+    return selected.select("record_key", "journal_slug", "ordinal", "reason"), blocks
+
+
+def _block(before: Column, topic_cap: Column, hard: bool, near: float) -> Column:
+    """Why what its journal held ``before`` blocks a row; null if nothing does."""
+    return (
+        F.when(~F.col("fetchable"), "NO_FETCHABLE_IDENTIFIER").when(F.size(before) >= F.col("hard_cap"), "JOURNAL_FETCH_HARD_CAP")
+        .when(F.exists(before, lambda h: greedy.similar(h["tokens"], F.col("tokens"), near)), "NEAR_DUPLICATE_TITLE")
+        .when(_count(before, lambda h: h["topic"].eqNullSafe(F.col("topic"))) >= topic_cap, "TOPIC_HARD_CAP" if hard else "TOPIC_SOFT_CAP")
+    )
 
 
 def final_blocks(records: DataFrame, selected: DataFrame, context: DataFrame, policy: ShortlistPolicy | None = None) -> DataFrame:
-    """(record_key, block) of eligible rows that weren't selected, against what was; else the global ceiling."""
+    """(record_key, block) of eligible rows that weren't selected, against what was, which is no more than the target; else the global ceiling."""
     p = policy or ShortlistPolicy()
-    eligible = records.filter(F.col("route").isin(*p.eligible))
-    small = context.select("journal_slug", "hard_cap")
-    marked = eligible.join(selected.select("record_key", "ordinal"), "record_key", "left").join(small, "journal_slug")
-
-    def journal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(tokens=[frozenset(t) for t in pdf["tokens"]])
-        mode = pdf.iloc[0]["processing_mode"]
-        state = _Journal(int(pdf.iloc[0]["hard_cap"]), p.near_duplicate)
-        for r in pdf[pdf["ordinal"].notna()].sort_values("ordinal").itertuples():
-            state.take(r)
-        left = pdf[pdf["ordinal"].isna()]
-        out = [(r.record_key, state.block(r, p.topic_hard_caps[mode], True) or "GLOBAL_MONTHLY_SOFT_CEILING") for r in left.itertuples()]
-        return pd.DataFrame(out, columns=["record_key", "block"], dtype=object)
-
-    return marked.groupBy("journal_slug").applyInPandas(journal, "record_key string, block string")
+    rows = records.filter(F.col("route").isin(*p.eligible)).select("journal_slug", "record_key", F.array_distinct("tokens").alias("tokens"), F.col("topic_signature").alias("topic"), "fetchable", _mode(p.topic_hard_caps).alias("hard"))
+    chosen = F.broadcast(selected.select("record_key", F.lit(True).alias("__in")))
+    marked = rows.join(chosen, "record_key", "left")
+    held = cut(marked.filter("__in").groupBy("journal_slug").agg(F.collect_list(F.struct("tokens", "topic")).alias("before")))
+    left = marked.filter("__in is null").join(small(context.select("journal_slug", "hard_cap")), "journal_slug").join(F.broadcast(held), "journal_slug", "left")
+    left = left.withColumn("before", F.coalesce("before", F.array().cast("array<struct<tokens:array<string>,topic:string>>")))
+    return left.select("record_key", F.coalesce(_block(F.col("before"), F.col("hard"), True, p.near_duplicate), F.lit("GLOBAL_MONTHLY_SOFT_CEILING")).alias("block"))
 
 
 def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> DataFrame:
@@ -183,31 +164,24 @@ def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> Dat
     turn; rows after the target have the target as their reason.
     """
     p = policy or ReviewPolicy()
-    w = Window.partitionBy("journal_slug")
-    best = w.orderBy(F.desc("score"), F.desc("percentile"), F.desc("prefetch_score"), F.lower("title"), "record_key")
-    ranked = rows.withColumn("round", F.row_number().over(best)).withColumn("top_score", F.first("score").over(best)).withColumn("top_percentile", F.first("percentile").over(best))
-
-    def journal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("round")
-        cap, titles, why = p.journal_caps.get(pdf.iloc[0]["processing_mode"], 0), [], []
-        for r in pdf.itertuples():
-            t = frozenset(r.tokens)
-            if len(titles) >= cap:
-                why.append("JOURNAL_FULLTEXT_CAP")
-            elif any(_similar(t, x) >= p.near_duplicate for x in titles):
-                why.append("NEAR_DUPLICATE_ABSTRACT_CANDIDATE")
-            else:
-                titles.append(t)
-                why.append("ABSTRACT_STRUCTURAL_REVIEW")
-        out = [(r.journal_slug, r.record_key, r.round, r.top_score, r.top_percentile, w) for r, w in zip(pdf.itertuples(), why, strict=True)]
-        return pd.DataFrame(out, columns=["journal_slug", "record_key", "round", "top_score", "top_percentile", "reason"])
-
-    marked = ranked.select("journal_slug", "record_key", "processing_mode", "round", "top_score", "top_percentile", "tokens").groupBy("journal_slug").applyInPandas(journal, "journal_slug string, record_key string, round int, top_score double, top_percentile double, reason string")
-    marked = cut(marked.withColumn("at", F.struct("round", (-F.col("top_score")).alias("s"), (-F.col("top_percentile")).alias("p"), "journal_slug")))
-    taken, early = _until(marked, "at", F.col("reason") == "ABSTRACT_STRUCTURAL_REVIEW", p.target)
-    placed = early.select("journal_slug", "record_key", "reason").join(taken.select("journal_slug", "record_key", "ordinal"), ["journal_slug", "record_key"], "left")
-    late = marked.join(early.select("journal_slug", "record_key"), ["journal_slug", "record_key"], "left_anti").select("journal_slug", "record_key", F.lit("FULLTEXT_GLOBAL_TARGET_OR_RELATIVE_PRIORITY").alias("reason"), F.lit(None).cast("long").alias("ordinal"))
-    return placed.unionByName(late).select("journal_slug", "record_key", "ordinal", "reason")
+    best = [F.desc("score"), F.desc("percentile"), F.desc("prefetch_score"), F.lower("title"), F.col("record_key")]
+    named = rows.select(F.col("journal_slug").alias("g"), F.col("record_key"), "score", "percentile", "prefetch_score", "title", F.array_distinct("tokens").alias("tokens"), _mode(p.journal_caps).alias("stop"))
+    ranked = cut(places(named, ["g"], best, "round").select("g", F.col("record_key").alias("key"), F.col("round").cast("long").alias("pos"), "tokens", "stop", "score", "percentile"))
+    playing = ranked.select("g", "key", "pos", F.col("pos").alias("rest"), "tokens", F.lit("").alias("topic"), F.lit((1 << 31) - 1).alias("topic_cap"), "stop")
+    taken = greedy.choose(playing, ranked.sparkSession.createDataFrame([], greedy.TAKEN), 1, p.near_duplicate)
+    of = ranked.filter("pos = 1").select("g", F.col("score").alias("top_score"), F.col("percentile").alias("top_percentile")).join(greedy.histories(taken), "g", "left").withColumn("hist", F.coalesce("hist", F.array().cast(_HISTORY)))
+    known = ranked.join(small(cut(of), greedy.MAX_STATES), "g")
+    before = F.filter("hist", lambda h: h["pos"] < F.col("pos"))
+    reason = F.when(F.exists("hist", lambda h: h["pos"] == F.col("pos")), "ABSTRACT_STRUCTURAL_REVIEW").when(F.size(before) >= F.col("stop"), "JOURNAL_FULLTEXT_CAP").otherwise("NEAR_DUPLICATE_ABSTRACT_CANDIDATE")
+    at = F.struct(F.col("pos").alias("round"), (-F.col("top_score")).alias("s"), (-F.col("top_percentile")).alias("p"), "g")
+    marked = cut(known.select(F.col("g").alias("journal_slug"), F.col("key").alias("record_key"), reason.alias("reason"), at.alias("at")))
+    first = marked.filter("reason = 'ABSTRACT_STRUCTURAL_REVIEW'").orderBy("at").limit(p.target)
+    chosen = cut(first.withColumn("ordinal", F.row_number().over(Window.orderBy("at")).cast("long")))  # of the target's rows alone
+    last = chosen.agg(F.max("at").alias("__last"), F.count(F.lit(1)).alias("__n"))
+    late = (F.col("__n") >= p.target) & (F.col("at") > F.col("__last"))
+    ordinals = F.broadcast(chosen.select("at", "ordinal"))
+    out = marked.crossJoin(F.broadcast(last)).withColumn("reason", F.when(late, "FULLTEXT_GLOBAL_TARGET_OR_RELATIVE_PRIORITY").otherwise(F.col("reason")))  # one row beside each
+    return out.join(ordinals, "at", "left").select("journal_slug", "record_key", "ordinal", "reason")
 
 
 class _Shortlist:
@@ -228,7 +202,7 @@ class _Shortlist:
         tokens = frozenset(() if row.tokens is None else row.tokens)
         if not row.fetchable:
             return "NO_FETCHABLE_IDENTIFIER"
-        if any(_similar(tokens, t) >= p.near_duplicate for t in self.titles.get(row.journal_slug, ())):
+        if any(greedy.jaccard(tokens, t) >= p.near_duplicate for t in self.titles.get(row.journal_slug, ())):
             return "NEAR_DUPLICATE_TITLE"
         if self.topic[row.journal_slug, row.topic_signature] >= p.topic_cap:
             return "TOPIC_SOFT_CAP"
