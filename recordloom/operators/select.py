@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections import Counter, deque
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,126 +184,195 @@ def review_selection(rows: DataFrame, policy: ReviewPolicy | None = None) -> Dat
 
 
 class _Shortlist:
-    """What has been taken across journals, and whether a row may still be."""
+    """What has been taken across journals, and whether a row may still be; every attempt at a pool is noted."""
 
     def __init__(self, policy: FirstShortlistPolicy) -> None:
         self.p = policy
-        self.taken: dict = {}
-        self.journal: Counter = Counter()
-        self.path: Counter = Counter()
-        self.category: Counter = Counter()
-        self.topic: Counter = Counter()
+        self.taken: dict = {}  # record_key -> (row, reason), in order
+        self.journal, self.path, self.category, self.topic = Counter(), Counter(), Counter(), Counter()
         self.titles: dict[str, list[frozenset]] = {}
+        self.attempts: dict[tuple[str, str], dict[tuple[bool, int], int]] = {}
 
-    def block(self, row, hard: bool) -> str | None:
-        """Why a row can't be taken; what blocks it once goes on to, as counts only rise and titles are only added."""
+    def cap(self, row) -> int:
+        return self.p.journal_caps.get(row.processing_mode or "FULL", 0)
+
+    def closed(self, kind: str, hard: bool) -> list[str]:
+        counts, caps = (self.path, self.p.paths) if kind == "primary_path" else (self.category, self.p.categories)
+        return [x for x, limits in caps.items() if counts[x] >= limits[2 if hard else 1]]
+
+    def capped(self, row, hard: bool) -> bool:
+        """Whether counts alone block the row, and so all rows of its journal, topic, path and category."""
         p, phase = self.p, 2 if hard else 1
-        tokens = frozenset(() if row.tokens is None else row.tokens)
-        if not row.fetchable:
-            return "NO_FETCHABLE_IDENTIFIER"
-        if any(greedy.jaccard(tokens, t) >= p.near_duplicate for t in self.titles.get(row.journal_slug, ())):
-            return "NEAR_DUPLICATE_TITLE"
-        if self.topic[row.journal_slug, row.topic_signature] >= p.topic_cap:
-            return "TOPIC_SOFT_CAP"
-        if self.journal[row.journal_slug] >= p.journal_caps.get(row.processing_mode or "FULL", 0):
-            return "JOURNAL_FETCH_CAP"
-        if self.path[row.primary_path] >= p.paths.get(row.primary_path, (0, p.target, p.target))[phase]:
-            return "PATH_HARD_CAP" if hard else "PATH_SOFT_CAP"
-        if self.category[row.primary_category] >= p.categories.get(row.primary_category, (0, p.target, p.target))[phase]:
-            return "CATEGORY_HARD_CAP" if hard else "CATEGORY_SOFT_CAP"
-        return None
+        limit = lambda caps, x: caps.get(x, (0, p.target, p.target))[phase]
+        return (
+            self.topic[row.journal_slug, row.topic_signature] >= p.topic_cap or self.journal[row.journal_slug] >= self.cap(row)
+            or self.path[row.primary_path] >= limit(p.paths, row.primary_path) or self.category[row.primary_category] >= limit(p.categories, row.primary_category)
+        )
+
+    def free(self, row, hard: bool) -> bool:
+        """What blocks a row once goes on to, as counts only rise and titles are only added."""
+        tokens = frozenset(row.tokens or ())
+        return row.record_key not in self.taken and not self.capped(row, hard) and not any(greedy.jaccard(tokens, t) >= self.p.near_duplicate for t in self.titles.get(row.journal_slug, ()))
 
     def take(self, row, reason: str) -> None:
-        self.taken[row.record_key] = reason
+        self.taken[row.record_key] = (row, reason)
         self.journal[row.journal_slug] += 1
         self.path[row.primary_path] += 1
         self.category[row.primary_category] += 1
         self.topic[row.journal_slug, row.topic_signature] += 1
         self.titles.setdefault(row.journal_slug, []).append(frozenset(row.tokens or ()))
 
+    def note(self, pool: str, name: str, hard: bool, before: int, reach: int) -> None:
+        seen = self.attempts.setdefault((pool, name), {})
+        seen[hard, before] = max(reach, seen.get((hard, before), 0))
 
-_SEEN = ("record_key", "journal_slug", "processing_mode", "primary_path", "primary_category", "topic_signature", "tokens", "fetchable")
 
+_SEEN = ("record_key", "journal_slug", "processing_mode", "primary_path", "primary_category", "topic_signature", "tokens")
+#: Beyond any place in a pool: an attempt that took nothing went through all of it.
+_ALL = 1 << 62
 
-def _blocks(state: _Shortlist, hard: bool):
-    """A column of block reasons by the state as it is now: at most a target of rows, pickled anew for each job."""
 
-    @F.pandas_udf("string")
-    def why(*columns: pd.Series) -> pd.Series:
-        named = pd.DataFrame(dict(zip(_SEEN, columns, strict=True)))
-        return pd.Series([state.block(r, hard) for r in named.itertuples()], dtype=object)
-
-    return why(*_SEEN)
+def _in_turn(rows: DataFrame, pool: str, best: list[Column], name: str) -> DataFrame:
+    """Rows with their place in their pool: journals take turns, each best first, in the order of their best rows."""
+    ranked = places(rows.withColumn("__key", F.struct(*best)), [pool, "journal_slug"], ["__key"], "__round")
+    first = ranked.groupBy(F.col(pool).alias("__pool"), F.col("journal_slug").alias("__slug")).agg(F.min("__key").alias("__first"))
+    joined = ranked.join(small(first), F.col(pool).eqNullSafe(F.col("__pool")) & F.col("journal_slug").eqNullSafe(F.col("__slug")))
+    return places(joined, [pool], ["__round", "__first"], name).drop("__key", "__round", "__first", "__pool", "__slug")
 
 
-def _in_turn(rows: DataFrame, pool: str, best: list[Column]) -> DataFrame:
-    """Rows with ``pool_place``: within a pool journals take turns, each best first, in the order of their best rows."""
-    key = F.struct(*best)
-    ranked = places(rows.withColumn("__key", key), [pool, "journal_slug"], ["__key"], "__round")
-    first = ranked.groupBy(F.col(pool).alias("__pool"), F.col("journal_slug").alias("__slug")).agg(F.min("__key").alias("__first"))
-    joined = ranked.join(first, F.col(pool).eqNullSafe(F.col("__pool")) & F.col("journal_slug").eqNullSafe(F.col("__slug")))
-    return joined.withColumn("pool_place", F.struct("__round", "__first")).drop("__key", "__round", "__first", "__pool", "__slug")
+def _taken_rows(rows: DataFrame, state: _Shortlist) -> DataFrame:
+    """(journal_slug, hist): what each journal has had taken, in order; no more than the target in all."""
+    said = [(r.journal_slug, k, list(r.tokens or ()), r.topic_signature) for k, (r, _) in enumerate(state.taken.values())]
+    df = rows.sparkSession.createDataFrame(said, "journal_slug string, k int, tokens array<string>, topic string")
+    return F.broadcast(df.groupBy("journal_slug").agg(F.array_sort(F.collect_list(F.struct("k", "tokens", "topic"))).alias("hist")))
 
 
 class _Pools:
-    """The next rows of each pool that nothing blocks, fetched a few at a time from wherever they stand."""
+    """The rows of each pool that may be next, in order: of every cell (journal, topic, path, category) the first few.
+
+    Counts block a cell as a whole, so only near copies of what was taken can
+    use up a cell's rows while it is open. A row that is the last known of its
+    cell, journal or pool is marked; only when the play passes such a row and
+    what it stands for is still open, all pools are fetched once more, without
+    what is blocked by then.
+    """
 
-    def __init__(self, rows: DataFrame, pool: str, state: _Shortlist, batch: int) -> None:
-        self.rows, self.pool, self.state, self.batch = rows, pool, state, batch
-        self.held: dict[str, deque] = {}
-        self.more: set[str] | None = None  # pools that may have rows beyond those held; all of them before the first fetch
+    def __init__(self, rows: DataFrame, pool: str, at: str, state: _Shortlist, batch: int) -> None:
+        self.rows, self.pool, self.at, self.state = rows.filter(F.col(at).isNotNull() & F.col("fetchable")), pool, at, state
+        self.batch, self.a_journal, self.a_cell = batch, max(2, batch // 8), max(1, min(batch // 4, state.p.topic_cap + 4))
+        self.held: dict[str, deque] | None = None
         self.hard = False
 
     def phase(self, hard: bool) -> None:
-        self.held, self.more, self.hard = {}, None, hard
+        self.held, self.hard = None, hard
 
     def _fetch(self) -> None:
-        free = self.rows.filter(_blocks(self.state, self.hard).isNull())
-        best = top_per_group(free, [self.pool], [F.col("pool_place")], self.batch, rank="__n").select(self.pool, "__n", *(c for c in _SEEN if c != self.pool)).collect()
+        free, p = self.rows, self.state.p
+        if self.state.taken:
+            free = free.join(_taken_rows(self.rows, self.state), "journal_slug", "left").withColumn("hist", F.coalesce("hist", F.array().cast("array<struct<k:int,tokens:array<string>,topic:string>>")))
+            free = free.filter((F.size("hist") < _mode(p.journal_caps, "mode")) & ~greedy.blocked(F.col("hist"), F.col("tokens"), F.col("topic_signature"), p.near_duplicate, F.lit(p.topic_cap)))
+            free = free.filter(~F.col("primary_path").isin(self.state.closed("primary_path", self.hard)) & ~F.col("primary_category").isin(self.state.closed("primary_category", self.hard)) & ~F.col("record_key").isin(list(self.state.taken)))
+        cells = top_per_group(free, ["journal_slug", "topic_signature", "primary_path", "primary_category"], [F.col(self.at)], self.a_cell, rank="__c")
+        journals = top_per_group(cells, [self.pool, "journal_slug"], [F.col(self.at)], self.a_journal, rank="__j")
+        best = top_per_group(journals, [self.pool], [F.col(self.at)], self.batch, rank="__n")
+        marks = (F.col("__c") == self.a_cell).alias("cell_ends"), (F.col("__j") == self.a_journal).alias("journal_ends"), (F.col("__n") == self.batch).alias("pool_ends")
         self.held = {}
-        for r in sorted(best, key=lambda r: r["__n"]):
+        for r in sorted(best.select(F.col(self.at).alias("at"), *_SEEN, *marks).collect(), key=lambda r: r["at"]):
             self.held.setdefault(r[self.pool], deque()).append(r)
-        self.more = {k for k, v in self.held.items() if len(v) >= self.batch}
+
+    def _hides(self, row) -> bool:
+        """Whether rows that aren't known may be free behind this one."""
+        journal_open = self.state.journal[row.journal_slug] < self.state.cap(row)
+        return row.pool_ends or (row.journal_ends and journal_open) or (row.cell_ends and not self.state.capped(row, self.hard))
 
     def take(self, name: str, reason: str) -> bool:
         """Takes the pool's next row that isn't blocked; says whether there was one."""
-        counts, caps = (self.state.path, self.state.p.paths) if self.pool == "primary_path" else (self.state.category, self.state.p.categories)
-        if counts[name] >= caps[name][2 if self.hard else 1]:
-            return False  # the cap blocks all of the pool: nothing need be fetched to see that
-        while True:
-            queue = self.held.get(name, ())
-            while queue:
-                row = queue.popleft()
-                if row["record_key"] not in self.state.taken and self.state.block(row, self.hard) is None:
-                    self.state.take(row, reason)
-                    return True
-            if self.more is not None and name not in self.more:
-                return False
-            self._fetch()
-
-
-def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None, batch: int = 60) -> DataFrame:
-    """Every row with editorial_route (FETCH_NOW, HOLD_RESERVE, CATALOG_ONLY), ordinal, hold_ordinal, reason and block.
+        before, reach = len(self.state.taken), _ALL
+        while name not in self.state.closed(self.pool, self.hard):
+            if self.held is None:
+                self._fetch()
+            queue = self.held.get(name)
+            if not queue:
+                break
+            row = queue.popleft()
+            if self.state.free(row, self.hard):
+                self.state.take(row, reason)
+                reach = row.at
+            if self._hides(row):
+                self.held = None
+            if reach != _ALL:
+                break
+        self.state.note(self.at, name, self.hard, before, reach)
+        return reach != _ALL
+
+
+def _reasons(rows: DataFrame, state: _Shortlist) -> Column:
+    """What blocked each row, at every attempt that came to it and at the end; ``rows`` has ``hist`` and the attempts of its pools."""
+    p = state.p
+    order = list(state.taken.values())
+
+    def full(kind: str, caps: dict, phase: int) -> Column:
+        """How many rows had been taken when a path or category was full; null if never."""
+        seen, at = Counter(), {x: 0 for x, limits in caps.items() if limits[phase] == 0}
+        for k, (r, _) in enumerate(order, 1):
+            seen[r[kind]] += 1
+            if seen[r[kind]] == caps.get(r[kind], (0, p.target, p.target))[phase]:
+                at[r[kind]] = k
+        return F.try_element_at(weights(at), F.col(kind)) if at else F.lit(None).cast("int")
+
+    hist, nth = F.col("hist"), lambda found, n: F.get(found, n - 1)["k"] + 1
+    near = nth(F.filter(hist, lambda h: greedy.similar(h["tokens"], F.array_distinct(F.coalesce("tokens", F.array().cast("array<string>"))), p.near_duplicate)), F.lit(1))
+    topic = nth(F.filter(hist, lambda h: h["topic"].eqNullSafe(F.col("topic_signature"))), F.lit(p.topic_cap))
+    cap = _mode(p.journal_caps, "mode")
+    journal = F.when(cap == 0, 0).otherwise(nth(hist, F.greatest(cap, F.lit(1))))
+    since = F.struct(near.alias("near"), topic.alias("topic"), journal.alias("journal"), *(full(kind, caps, n).alias(f"{word}_{n}") for kind, caps, word in (("primary_path", p.paths, "path"), ("primary_category", p.categories, "category")) for n in (1, 2)))
+
+    def reason(s: Column, hard: Column, k: Column) -> Column:
+        by = lambda c: s[c] <= k
+        chain = F.when(by("near"), "NEAR_DUPLICATE_TITLE").when(by("topic"), "TOPIC_SOFT_CAP").when(by("journal"), "JOURNAL_FETCH_CAP")
+        for word in ("path", "category"):
+            chain = chain.when(~hard & by(f"{word}_1"), f"{word.upper()}_SOFT_CAP").when(hard & by(f"{word}_2"), f"{word.upper()}_HARD_CAP")
+        return chain
+
+    def of_row(s: Column) -> Column:
+        came = F.array_compact(F.transform("attempts", lambda a: reason(s, a["hard"], a["k"])))
+        at_end = F.coalesce(reason(s, F.lit(True), F.lit(len(order))), F.lit("FETCH_NOW_GLOBAL_TARGET"))
+        return F.array_sort(F.array_distinct(F.concat(came, F.array(at_end))))
+
+    found = F.get(F.transform(F.array(since), of_row), F.lit(0))
+    return F.when(~F.coalesce("fetchable", F.lit(False)), F.array(F.lit("NO_FETCHABLE_IDENTIFIER"))).otherwise(found)
+
+
+def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None, batch: int = 240) -> DataFrame:
+    """Every row with editorial_route (FETCH_NOW, HOLD_RESERVE, CATALOG_ONLY), ordinal, hold_ordinal, reason and blocks.
 
     ``rows``: record_key, journal_slug, journal, processing_mode, route, primary_path, primary_category, score,
     publication_date (a number), title, tokens, topic_signature, fetchable. Candidates fill the floors of the
     categories, then those of the paths, then all paths in turn under soft caps and then under hard ones, until the
     target is met; what is left is filled from the reserve. Within a category or path journals take turns.
 
-    The selection is sequential, its state no larger than the target. Rows stay where they are: each job drops those
-    that the state blocks and fetches the ``batch`` best of each pool, and more of a pool once those are used up. So
-    no row is left out, however many a hot journal blocks. Held rows obey caps by topic and journal that ranks express.
+    The selection is sequential, its state no larger than the target; it is played on a frontier of rows that a job a
+    pass fetches (``_Pools``), and no row is left out of what that job reads. ``blocks`` has what blocked a row each time
+    that a pass came to it, worked out where the row stands from the attempts and what was taken by then. Held rows obey
+    caps by topic and journal that ranks express.
     """
     p = policy or FirstShortlistPolicy()
     state = _Shortlist(p)
-    rows = cut(rows)  # each job reads them, none makes them anew
     places_of = {k: i for i, k in enumerate(p.paths)}
     rank_of_path = F.coalesce(F.try_element_at(weights(places_of), F.col("primary_path")), F.lit(999))
     best = [(-F.col("score")).alias("s"), (-F.col("publication_date")).alias("d"), F.lower(F.coalesce("journal", F.lit(""))).alias("j"), F.lower(F.coalesce("title", F.lit(""))).alias("t"), F.col("record_key").alias("k")]
     known = F.col("primary_path").isin(*p.paths)
-    candidates = rows.filter(F.col("route").isin(*p.sources) & known)
-    by_category = _Pools(cut(_in_turn(candidates, "primary_category", [rank_of_path.alias("r"), *best])), "primary_category", state, batch)
-    by_path = _Pools(cut(_in_turn(candidates, "primary_path", best)), "primary_path", state, batch)
+    pooled = known & F.col("route").isin(*p.sources, "RESERVE")
+    # A candidate is in the pools of its category and its path, a reserve row in that of its path.
+    lane = F.when(F.col("route").isin(*p.sources), F.concat(F.lit("c:"), "primary_path")).otherwise(F.concat(F.lit("r:"), "primary_path"))
+    in_pools = cut(rows.filter(pooled).withColumn("mode", filled(F.col("processing_mode"), "FULL")).withColumn("__lane", lane))
+    by_path = _in_turn(in_pools, "__lane", best, "__place")
+    categories = _in_turn(in_pools.filter(F.col("route").isin(*p.sources)).select("record_key", "journal_slug", "primary_path", "primary_category", "score", "publication_date", "journal", "title"), "primary_category", [rank_of_path.alias("r"), *best], "in_category")
+    placed = by_path.join(categories.select("record_key", "in_category"), "record_key", "left")
+    placed = placed.withColumn("in_path", F.when(F.col("route").isin(*p.sources), F.col("__place"))).withColumn("in_reserve", F.when(F.col("route") == "RESERVE", F.col("__place")))
+    placed = cut(placed.select(*_SEEN, "mode", "route", "fetchable", "in_category", "in_path", "in_reserve"))
+
+    by_category, by_path = _Pools(placed, "primary_category", "in_category", state, batch), _Pools(placed, "primary_path", "in_path", state, batch)
     for name, (floor, _, _) in p.categories.items():
         while state.category[name] < floor and by_category.take(name, f"CATEGORY_FLOOR:{name}"):
             pass
@@ -324,21 +392,33 @@ def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None,
     by_path.phase(hard=True)
     fill(by_path, "BALANCED_HARD_FILL")
     if p.backfill and len(state.taken) < p.target:
-        spare = _Pools(cut(_in_turn(rows.filter((F.col("route") == "RESERVE") & known), "primary_path", best)), "primary_path", state, batch)
+        spare = _Pools(placed, "primary_path", "in_reserve", state, batch)
         spare.phase(hard=True)
         fill(spare, "PREFETCH_RESERVE_BACKFILL")
 
-    kind = rows.schema["record_key"].dataType.simpleString()
-    chosen = rows.sparkSession.createDataFrame([(k, i, why) for i, (k, why) in enumerate(state.taken.items(), 1)], f"record_key {kind}, ordinal int, reason string")
+    spark, kind = rows.sparkSession, rows.schema["record_key"].dataType.simpleString()
+    chosen = spark.createDataFrame([(k, i, why) for i, (k, (_, why)) in enumerate(state.taken.items(), 1)], f"record_key {kind}, ordinal int, reason string")
     marked = rows.join(F.broadcast(chosen), "record_key", "left")
     open_rows = marked.filter(F.col("ordinal").isNull() & F.col("route").isin("FETCH_CANDIDATE", "RESERVE"))
     lane = F.when(F.col("route") == "RESERVE", len(places_of) + 1).otherwise(0) + F.when(known, rank_of_path).otherwise(len(places_of))
-    turns = _in_turn(open_rows.withColumn("lane", lane), "lane", best).withColumn("at", F.struct("lane", "pool_place"))
     cap = F.coalesce(F.try_element_at(weights(p.hold_caps_by_mode), filled(F.col("processing_mode"), "FULL")), F.lit(0))
+    turns = _in_turn(open_rows.withColumn("lane", lane).withColumn("__cap", cap), "lane", best, "__place").withColumn("at", F.struct("lane", "__place"))
     topical = top_per_group(turns, ["journal_slug", "topic_signature"], [F.col("at")], p.hold_topic_cap, rank="__t").drop("__t")
-    within = top_per_group(topical, ["journal_slug"], [F.col("at")], cap, most=max(p.hold_caps_by_mode.values()), rank="__j")
+    within = top_per_group(topical, ["journal_slug"], [F.col("at")], F.col("__cap"), most=max(p.hold_caps_by_mode.values()), rank="__j")
     held = within.orderBy("at").limit(p.hold_target).select("record_key", F.row_number().over(Window.orderBy("at")).alias("hold_ordinal"))  # of the target's rows alone
-    out = marked.join(F.broadcast(cut(held)), "record_key", "left")
+
+    # No more attempts than pools and what the target lets them take.
+    tried = [(pool, name, [(hard, k, reach) for (hard, k), reach in seen.items()]) for (pool, name), seen in state.attempts.items()]
+    tried = spark.createDataFrame(tried, "pool string, name string, tried array<struct<hard:boolean,k:int,reach:bigint>>")
+    reached = placed.join(_taken_rows(placed, state), "journal_slug", "left").withColumn("hist", F.coalesce("hist", F.array().cast("array<struct<k:int,tokens:array<string>,topic:string>>"))).withColumn("attempts", F.array().cast("array<struct<hard:boolean,k:int,reach:bigint>>"))
+    for at, of in (("in_category", "primary_category"), ("in_path", "primary_path"), ("in_reserve", "primary_path")):
+        own = F.broadcast(tried.filter(F.col("pool") == at).select(F.col("name").alias(of), "tried"))
+        more = F.filter(F.coalesce("tried", F.array().cast("array<struct<hard:boolean,k:int,reach:bigint>>")), lambda a: a["reach"] > F.col("__at"))
+        reached = reached.withColumn("__at", F.coalesce(at, F.lit(_ALL))).join(own, of, "left").withColumn("attempts", F.concat("attempts", more)).drop("tried", "__at")
+    others = marked.filter(F.col("route").isin("FETCH_CANDIDATE", "RESERVE") & ~F.coalesce(pooled, F.lit(False)))
+    others = others.join(_taken_rows(rows, state), "journal_slug", "left").withColumn("mode", filled(F.col("processing_mode"), "FULL")).withColumn("hist", F.coalesce("hist", F.array().cast("array<struct<k:int,tokens:array<string>,topic:string>>"))).withColumn("attempts", F.array().cast("array<struct<hard:boolean,k:int,reach:bigint>>"))
+    why = reached.select("record_key", _reasons(reached, state).alias("blocks")).unionByName(others.select("record_key", _reasons(others, state).alias("blocks")))
+    out = marked.join(F.broadcast(cut(held)), "record_key", "left").join(why, "record_key", "left")
     route = F.when(F.col("ordinal").isNotNull(), "FETCH_NOW").when(F.col("hold_ordinal").isNotNull(), "HOLD_RESERVE").otherwise("CATALOG_ONLY")
-    block = F.when(F.col("ordinal").isNull() & F.col("route").isin("FETCH_CANDIDATE", "RESERVE"), F.coalesce(_blocks(state, True), F.lit("FETCH_NOW_GLOBAL_TARGET")))
-    return out.withColumns({"editorial_route": route, "block": block})
+    blocks = F.when(F.col("ordinal").isNull() & F.col("route").isin("FETCH_CANDIDATE", "RESERVE"), F.col("blocks"))
+    return out.withColumns({"editorial_route": route, "blocks": blocks})

@@ -392,7 +392,7 @@ def first_shortlist(t) -> DataFrame:
         _pick(tuple(FirstShortlistPolicy().categories), F.col("p_partkey")).alias("primary_category"), F.col("raw_score").alias("score"), (F.col("p_partkey") % 31 + 20260701).alias("publication_date"), F.col("title_original").alias("title"),
         tokens.alias("tokens"), text.topic_signature(tokens).alias("topic_signature"), (F.col("p_partkey") % 3 > 0).alias("fetchable"),
     )
-    return select.first_shortlist(rows).select("record_key", "editorial_route", "ordinal", "hold_ordinal", "reason", "block")
+    return select.first_shortlist(rows).select("record_key", "editorial_route", "ordinal", "hold_ordinal", "reason", F.array_join("blocks", "|").alias("block"))
 
 
 @query("""
