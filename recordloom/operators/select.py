@@ -358,6 +358,7 @@ def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None,
     """
     p = policy or FirstShortlistPolicy()
     state = _Shortlist(p)
+    rows = cut(rows)  # every job reads them, none makes them anew
     places_of = {k: i for i, k in enumerate(p.paths)}
     rank_of_path = F.coalesce(F.try_element_at(weights(places_of), F.col("primary_path")), F.lit(999))
     best = [(-F.col("score")).alias("s"), (-F.col("publication_date")).alias("d"), F.lower(F.coalesce("journal", F.lit(""))).alias("j"), F.lower(F.coalesce("title", F.lit(""))).alias("t"), F.col("record_key").alias("k")]
@@ -365,7 +366,7 @@ def first_shortlist(rows: DataFrame, policy: FirstShortlistPolicy | None = None,
     pooled = known & F.col("route").isin(*p.sources, "RESERVE")
     # A candidate is in the pools of its category and its path, a reserve row in that of its path.
     lane = F.when(F.col("route").isin(*p.sources), F.concat(F.lit("c:"), "primary_path")).otherwise(F.concat(F.lit("r:"), "primary_path"))
-    in_pools = cut(rows.filter(pooled).withColumn("mode", filled(F.col("processing_mode"), "FULL")).withColumn("__lane", lane))
+    in_pools = rows.filter(pooled).withColumn("mode", filled(F.col("processing_mode"), "FULL")).withColumn("__lane", lane)
     by_path = _in_turn(in_pools, "__lane", best, "__place")
     categories = _in_turn(in_pools.filter(F.col("route").isin(*p.sources)).select("record_key", "journal_slug", "primary_path", "primary_category", "score", "publication_date", "journal", "title"), "primary_category", [rank_of_path.alias("r"), *best], "in_category")
     placed = by_path.join(categories.select("record_key", "in_category"), "record_key", "left")
