@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.period import interval
 from recordloom.functions.text import blank_to_null, normalize_doi, normalize_name, normalize_title_key
 from recordloom.operators.graph import connected_components
+from recordloom.operators.joins import small
+from recordloom.plans.lineage import cut
 
 #: The source whose ids are OpenReview's.
 SNAPSHOT = "tmlr_official_snapshot"
@@ -66,49 +70,92 @@ def _rank(precision: Column) -> Column:
     return F.when(F.upper(precision) == "DAY", 3).when(F.upper(precision) == "MONTH", 2).when(F.upper(precision) == "YEAR", 1).otherwise(0)
 
 
-def prefer_other_date(date: Column, precision: Column, other: Column, other_precision: Column) -> Column:
-    """Finer precision wins if both may mean one day; at equal precision the earlier date."""
-    a, b = interval(date, precision)
-    c, d = interval(other, other_precision)
-    mine, its = _rank(precision), _rank(other_precision)
-    together = F.coalesce((a <= d) & (c <= b), F.lit(False))
-    return F.when(together & (mine != its), its > mine).when(mine == its, other < date).otherwise(F.lit(False))
-
+#: Members of a component whose places agree but for so many bits are compared together.
+BLOCK_BITS = 16
 
-def prefer_other_date_simple(date: Column, precision: Column, other: Column, other_precision: Column) -> Column:
-    """The older rule: the earlier date wins, of equal dates the finer one."""
-    return (other < date) | ((other == date) & (_rank(other_precision) > _rank(precision)))
 
+def _settled_dates(dated: DataFrame, by: str) -> DataFrame:
+    """(by, date, precision): what remains of a component's dates (by, at, date, precision), taken in the order of ``at``.
 
-def merge_survivors(members: DataFrame, by: str = "component", order: str = "idx", rule=prefer_other_date) -> DataFrame:
-    """One row for each component: the members folded in input order.
+    At equal precision the earlier date stays; a finer one wins if both may mean
+    one day; anything else changes nothing. So precision only rises, and while
+    it stays the date is a running minimum. Each round finds, for every
+    component, the first finer date that meets the minimum before it; there can
+    be no more rounds than precisions. Minima run over blocks of places first
+    and over the blocks after that, so no task holds a component.
+    """
+    rows = cut(dated.select(by, F.col("at").cast("long").alias("at"), "date", "precision", _rank(F.col("precision")).alias("rank")).withColumn("block", F.shiftright("at", BLOCK_BITS)))
+    entry = F.struct("date", "precision", "rank", "at")
+    now = cut(rows.groupBy(by).agg(F.min_by(entry, F.col("at")).alias("e")))
+    done: list[DataFrame] = []
+    while True:
+        same = (F.col("rank") == F.col("e.rank")) & (F.col("at") > F.col("e.at"))
+        known = rows.join(small(now), by)
+        lows = known.filter(same & F.col("date").isNotNull()).groupBy(by, "block").agg(F.min(F.struct("date", "at", "precision")).alias("low"))
+        before = Window.partitionBy(by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        # Blocks without a date of the component's precision have a row too, so that each knows what came before it.
+        blocks = known.select(by, "block").distinct().join(lows, [by, "block"], "left").withColumn("earlier", F.min("low.date").over(before)).select(by, "block", "earlier")
+        within = Window.partitionBy(by, "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        running = known.join(blocks, [by, "block"]).withColumn("least", F.least("e.date", "earlier", F.min(F.when(same, F.col("date"))).over(within)))
+        (a, b), (c, d) = interval(F.col("least"), F.col("e.precision")), interval(F.col("date"), F.col("precision"))
+        finer = (F.col("rank") > F.col("e.rank")) & (F.col("at") > F.col("e.at")) & F.col("e.date").isNotNull() & (a <= d) & (c <= b)
+        risen = running.filter(finer).groupBy(by).agg(F.min_by(entry, F.col("at")).alias("e"))
+        low = lows.groupBy(by).agg(F.min("low").alias("low"))
+        went = cut(now.select(by, F.col("e").alias("was")).join(risen, by, "left").join(low, by, "left"))
+        kept = F.coalesce(F.col("low.date") < F.col("was.date"), F.lit(False))
+        done.append(went.filter("e is null").select(by, F.when(kept, F.col("low.date")).otherwise(F.col("was.date")).alias("date"), F.when(kept, F.col("low.precision")).otherwise(F.col("was.precision")).alias("precision")))
+        now = went.filter("e is not null").select(by, "e")
+        if not now.limit(1).count():
+            return reduce(DataFrame.unionByName, done)
+
+
+def _earliest_dates(dated: DataFrame, by: str) -> DataFrame:
+    """The older rule: the earliest date, of equal ones the finest; a component whose first date is missing keeps none."""
+    first = F.min_by(F.struct("date", "precision"), F.col("at")).alias("first")
+    least = F.min(F.when(F.col("date").isNotNull(), F.struct("date", (-_rank(F.col("precision"))).alias("r"), "at", "precision"))).alias("least")
+    made = dated.groupBy(by).agg(first, least)
+    known = F.col("first.date").isNotNull()
+    return made.select(by, F.when(known, F.col("least.date")).alias("date"), F.when(known, F.col("least.precision")).otherwise(F.col("first.precision")).alias("precision"))
+
+
+DATE_RULES = {"finer": _settled_dates, "earliest": _earliest_dates}
+
+
+def merge_survivors(members: DataFrame, by: str = "component", order: str = "idx", rule: str = "finer") -> DataFrame:
+    """One row for each component: what folding its members in input order would leave.
 
     The first member is the target: its scalars stay if they aren't empty, the
     longest author list wins (the earlier of equals), sets of ISSNs and links
     are united and sorted, source records keep their first order, and dates
-    follow ``rule``. The fold isn't associative, so it runs over the sorted
-    members of a component.
+    follow ``rule``. Every part is a partial aggregate (the first value that
+    isn't empty, the longest list, the first place of each record) or a running
+    minimum, so no array holds a component's members. ``order`` is a whole
+    number, different for each member.
     """
-    fields = [c for c in members.columns if c != by]
-    rest = [c for c in fields if c != order]
-    rows = members.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(order, *rest))).alias("m"))
-
-    def merge(t: Column, o: Column) -> Column:
-        swap = rule(t["publication_date"], t["publication_date_precision"], o["publication_date"], o["publication_date_precision"])
-        new = {
-            "publication_date": F.when(swap, o["publication_date"]).otherwise(t["publication_date"]),
-            "publication_date_precision": F.when(swap, o["publication_date_precision"]).otherwise(t["publication_date_precision"]),
-            "authors": F.when(F.size(o["authors"]) > F.size(t["authors"]), o["authors"]).otherwise(t["authors"]),
-            "issns": F.array_sort(F.array_union(t["issns"], o["issns"])),
-            "urls": F.array_sort(F.array_union(t["urls"], o["urls"])),
-            "source_records": F.array_distinct(F.concat(t["source_records"], o["source_records"])),
-        }
-        for c in FIRST_SCALARS:
-            new[c] = F.coalesce(blank_to_null(t[c]), blank_to_null(o[c]))
-        return F.struct(*(new.get(c, t[c]).alias(c) for c in (order, *rest)))
-
-    folded = F.aggregate(F.slice("m", F.lit(2), F.greatest(F.size("m") - 1, F.lit(0))), F.col("m")[0], merge)
-    return rows.select(by, folded.alias("s"), F.size("m").alias("members")).select(by, "members", "s.*")
+    rest = [c for c in members.columns if c not in (by, order)]
+    dates, sets = ("publication_date", "publication_date_precision"), ("issns", "urls")
+    at = F.col(order)
+    first = {c: F.min_by(c, at) for c in rest if c not in (*dates, *sets, "authors", "source_records")}
+    for c in FIRST_SCALARS:
+        # A record that nothing is merged into stays as it is.
+        first[c] = F.coalesce(F.min_by(blank_to_null(F.col(c)), F.when(blank_to_null(F.col(c)).isNotNull(), at)), F.when(F.count(F.lit(1)) == 1, F.min(c)))
+    # Equal lists meet once in each task; what remains is no larger than the lists that differ.
+    united = {c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.coalesce(c, F.array().cast("array<string>")))))) for c in sets}
+    longest = F.min_by("authors", F.struct((-F.size(F.coalesce("authors", F.array().cast("array<string>")))).alias("n"), at.alias("at")))
+    span = F.struct(F.col(dates[0]).alias("date"), F.col(dates[1]).alias("precision"))
+    whole = members.groupBy(by).agg(
+        F.count(F.lit(1)).cast("int").alias("members"), F.min(order).alias(order), longest.alias("authors"), *(c.alias(n) for n, c in (first | united).items()), F.min_by(span, at).alias("__first"),
+        (F.min(span).eqNullSafe(F.max(span))).alias("__one"),
+    )
+    whole = cut(whole)
+    dated = members.select(by, at.alias("at"), F.col(dates[0]).alias("date"), F.col(dates[1]).alias("precision")).join(whole.filter("not __one").select(by), by, "left_semi")
+    settled = DATE_RULES[rule](dated, by).select(by, F.struct("date", "precision").alias("__settled"))
+    each = members.select(by, at.alias("at"), F.posexplode("source_records").alias("pos", "record")).groupBy(by, "record").agg(F.min(F.struct("at", "pos")).alias("at"))
+    records = each.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "record"))), lambda r: r["record"]).alias("source_records"))
+    joined = whole.join(settled, by, "left").join(records, by, "left").withColumn("__date", F.coalesce("__settled", "__first"))
+    none = F.array().cast(members.schema["source_records"].dataType)
+    made = {dates[0]: F.col("__date.date"), dates[1]: F.col("__date.precision"), "source_records": F.coalesce("source_records", none)}
+    return joined.select(by, "members", *(made.get(c, F.col(c)).alias(c) for c in members.columns if c != by))
 
 
 def deduplicate(articles: DataFrame, order: str = "idx") -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import period, text
 from recordloom.functions.rules import first_match, matched, weighted_sum
-from recordloom.operators import caps, classify, identity, joins, merge, orders, publish, rank, select
+from recordloom.operators import caps, classify, identity, incremental, joins, merge, orders, publish, rank, select
+from recordloom.plans.lineage import cut, scratch
 from recordloom.plans.policy import ShortlistPolicy, TriagePolicy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +230,17 @@ def dedup_components(t) -> DataFrame:
     return identity.components(_document_aliases(t), "doc_id", "aliases").select("doc_id", "component")
 
 
+@query(_ALIAS_SQL + "SELECT doc_id, component FROM c")
+def incremental_components(t) -> DataFrame:
+    """The same components from a store that takes the documents in three batches, the longest first."""
+    rows = _document_aliases(t).join(t("documents").select("doc_id", "n_chars"), "doc_id")
+    with scratch(rows.sparkSession, "components") as folder:
+        store = incremental.Components(rows.sparkSession, folder)
+        for n, part in enumerate((F.col("n_chars") > 2000, F.col("n_chars").between(500, 2000), F.coalesce(F.col("n_chars") < 500, F.lit(True)))):
+            store.add(rows.filter(part), n, "doc_id")
+        return cut(store.labels().select(F.col("record").alias("doc_id"), "component"))
+
+
 @query(_ALIAS_SQL + """
 , m AS (SELECT component, doc_id, lang, source, CAST(doc_id % 7 AS INT) AS n, DATE '2026-01-01' + CAST(doc_id % 40 AS INT) AS d FROM c JOIN documents USING (doc_id))
 SELECT component, CAST(count(*) AS INT) AS members, min_by(doc_id, doc_id) AS idx, strftime(min(d), '%Y-%m-%d') AS publication_date, coalesce(min_by('10.5/' || doc_id, doc_id) FILTER (doc_id % 3 = 0), '') AS doi,

@@ -35,6 +35,56 @@ def test_transitive_chain_and_dates(spark):
     assert r[0]["publication_date"] == dt.date(2026, 8, 13) and r[0]["publication_date_precision"] == "DAY"
 
 
+def folded(members, rule):
+    """A component's members one after the other, as (date, precision, authors, issns, urls, records, doi, title, idx)."""
+    rank = lambda p: {"DAY": 3, "MONTH": 2, "YEAR": 1}.get((p or "").upper(), 0)
+
+    def span(d, p):
+        if d is None or not rank(p):
+            return None
+        return {3: (d, d), 2: (d.replace(day=1), (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)), 1: (d.replace(month=1, day=1), d.replace(month=12, day=31))}[rank(p)]
+
+    def swaps(d, p, e, q):
+        if d is None or e is None:
+            return False
+        if rule == "earliest":
+            return e < d or (e == d and rank(q) > rank(p))
+        a, b = span(d, p), span(e, q)
+        if a and b and a[0] <= b[1] and b[0] <= a[1] and rank(p) != rank(q):
+            return rank(q) > rank(p)
+        return rank(p) == rank(q) and e < d
+
+    first, *rest = sorted(members)
+    out = list(first)
+    if not rest:
+        return (*first[:4], sorted({*first[4]}), sorted({*first[5]}), list(dict.fromkeys(first[6])), *first[7:])
+    for m in rest:
+        if swaps(out[1], out[2], m[1], m[2]):
+            out[1:3] = m[1:3]
+        if len(m[3]) > len(out[3]):
+            out[3] = m[3]
+        for i in (4, 5):
+            out[i] = sorted({*out[i], *m[i]})
+        out[6] = out[6] + [r for r in dict.fromkeys(m[6]) if r not in out[6]]
+        out[7] = out[7] or m[7]
+    return (*out[:4], sorted({*out[4]}), sorted({*out[5]}), list(dict.fromkeys(out[6])), out[7] or None, out[8])
+
+
+@pytest.mark.parametrize(("rule", "seed"), [("finer", 1), ("finer", 2), ("earliest", 3)])
+def test_survivors_are_those_of_the_fold(spark, rule, seed, monkeypatch):
+    monkeypatch.setattr(identity, "BLOCK_BITS", (16, 3)[seed % 2])
+    rng = random.Random(seed)
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(0, 120, 3)] + [dt.date(2025, 6, 2), None]
+    parts = {}
+    for c in range(60):
+        for i in rng.sample(range(200), rng.choice([1, 2, 3, 12, 60])):
+            parts.setdefault(c, []).append((i, rng.choice(days), rng.choice(["DAY", "day", "MONTH", "MONTH", "YEAR", "YEAR", "", None]), [f"a{k}" for k in range(rng.randint(0, 4))] and [f"{i}-{k}" for k in range(rng.randint(0, 4))], [rng.choice("xyz")], [rng.choice("uvw") for _ in range(2)], [(rng.choice("st"), rng.choice("12"), "u") for _ in range(rng.randint(0, 3))], rng.choice(["", None, "10.1/a", "10.1/b"]), f"T{i}"))
+    none = {c: F.lit(None).cast("string") for c in identity.FIRST_SCALARS if c != "doi"}
+    df = spark.createDataFrame([(c, *m) for c, ms in parts.items() for m in ms], "component long, idx long, publication_date date, publication_date_precision string, authors array<string>, issns array<string>, urls array<string>, source_records array<struct<source:string,source_id:string,url:string>>, doi string, title string").withColumns(none)
+    got = {r["component"]: (r["idx"], r["publication_date"], r["publication_date_precision"], r["authors"], r["issns"], r["urls"], [tuple(x) for x in r["source_records"]], r["doi"], r["title"]) for r in identity.merge_survivors(df, rule=rule).collect()}
+    assert got == {c: folded(ms, rule) for c, ms in parts.items()}
+
+
 @pytest.mark.parametrize("least", [graph.LEAST_HUB, 2])
 def test_components_are_union_finds(spark, monkeypatch, least):
     monkeypatch.setattr(graph, "LEAST_HUB", least)
