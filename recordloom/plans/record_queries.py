@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import text
-from recordloom.operators import checks, identity, joins, merge, publish, rank
+from recordloom.operators import checks, coverage, identity, intervals, joins, merge, publish, rank
 from recordloom.plans.funnel_queries import _pick, _sql_pick
 from recordloom.plans.table_queries import query
 from recordloom.plans.lineage import cut, scratch
@@ -368,3 +368,59 @@ def feed_window(t) -> DataFrame:
         rows = feeds.feed(orders.sparkSession, dt.date(1995, 1, 2), dt.date(1995, 12, 31), path=folder)
         pages = rows.select(F.concat(F.lit('{"message":{"items":['), "record", F.lit("]}}")).alias("payload"))
         return cut(landed.crossref_articles(landed.parsed(pages, landed.CROSSREF)).select("doi", "title", _s(F.col("publication_date")).alias("publication_date"), "publication_date_precision"))
+
+
+_WINDOWS_SQL = """
+WITH w AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INT) AS e FROM orders),
+o AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY o_custkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS opens FROM w),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY o_custkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS n FROM o),
+i AS (SELECT o_custkey, min(s) AS s, max(e) AS e, count(*) AS windows FROM n GROUP BY o_custkey, n.n)
+"""
+
+
+def _covered(t) -> DataFrame:
+    """Islands of the windows that orders open: from their day on, as long as their key says."""
+    day = F.to_date("o_orderdate")
+    windows = t("orders").select("o_custkey", day.alias("start"), F.date_add(day, (F.col("o_orderkey") % 90).cast("int")).alias("end"))
+    return coverage.islands(windows, ["o_custkey"])
+
+
+@query(_WINDOWS_SQL + """
+, g AS (SELECT o_custkey, s, lag(e) OVER (PARTITION BY o_custkey ORDER BY s) AS before FROM i)
+SELECT i.o_custkey, strftime(i.s, '%Y-%m-%d') AS "start", strftime(i.e, '%Y-%m-%d') AS "end", i.windows, CAST(coalesce(i.s - g.before - 1, 0) AS INT) AS gap_before FROM i JOIN g ON i.o_custkey = g.o_custkey AND i.s = g.s""")
+def coverage_islands(t) -> DataFrame:
+    covered = _covered(t)
+    open_days = coverage.gaps(covered, ["o_custkey"]).select("o_custkey", F.date_add("end", 1).alias("start"), F.col("days").alias("gap_before"))
+    return covered.join(open_days, ["o_custkey", "start"], "left").select("o_custkey", _s(F.col("start")).alias("start"), _s(F.col("end")).alias("end"), "windows", F.coalesce("gap_before", F.lit(0)).alias("gap_before"))
+
+
+@query(_WINDOWS_SQL + """
+, d AS (SELECT o_custkey, unnest(generate_series(s, e, INTERVAL 1 DAY)) AS day FROM i),
+m AS (SELECT o_custkey, date_trunc('month', day) AS month, count(*) AS days FROM d GROUP BY 1, 2)
+SELECT o_custkey, strftime(month, '%Y-%m-%d') AS month, CAST(days AS INT) AS days, CASE WHEN days = day(last_day(month)) THEN 'COMPLETE' ELSE 'PARTIAL' END AS flag FROM m""")
+def coverage_months(t) -> DataFrame:
+    return coverage.months(_covered(t), ["o_custkey"]).withColumn("month", _s(F.col("month")))
+
+
+@query(_WINDOWS_SQL + """
+, d AS (SELECT o_custkey, unnest(generate_series(s, e, INTERVAL 1 DAY)) AS day FROM i),
+m AS (SELECT o_custkey, count(*) AS days FROM d WHERE date_trunc('month', day) = DATE '1995-05-01' GROUP BY 1)
+SELECT c_custkey AS o_custkey, c_mktsegment, CAST(coalesce(days, 0) AS INT) AS days, CASE WHEN days IS NULL THEN 'NONE' WHEN days = 31 THEN 'COMPLETE' ELSE 'PARTIAL' END AS flag FROM customer LEFT JOIN m ON o_custkey = c_custkey""")
+def registry_months(t) -> DataFrame:
+    registry = t("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return coverage.registry_months(registry, _covered(t), "o_custkey", "1995-05-01")
+
+
+@query("""
+WITH a AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 3 AS p FROM orders),
+b AS (SELECT o_orderkey, CASE p WHEN 0 THEN d WHEN 1 THEN date_trunc('month', d) ELSE date_trunc('year', d) END AS s, CASE p WHEN 0 THEN d WHEN 1 THEN last_day(d) ELSE make_date(year(d), 12, 31) END AS e FROM a),
+x AS (SELECT s_suppkey, DATE '1995-01-01' + CAST(s_suppkey * 37 % 2400 AS INT) AS s, DATE '1995-01-01' + CAST(s_suppkey * 37 % 2400 + CASE WHEN s_suppkey % 5 = 0 THEN 900 ELSE s_suppkey % 40 END AS INT) AS e FROM supplier)
+SELECT s_suppkey, count(*) AS articles, min(o_orderkey) AS first_article, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM b JOIN x ON b.s <= x.e AND x.s <= b.e GROUP BY s_suppkey""")
+def edition_matches(t) -> DataFrame:
+    """Articles dated by day, month or year against editions of days to years, by bins of mixed width."""
+    k = F.col("s_suppkey")
+    articles = t("orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), _pick(("DAY", "MONTH", "YEAR"), F.col("o_orderkey")).alias("precision"))
+    start = F.date_add(F.lit("1995-01-01").cast("date"), (k * 37 % 2400).cast("int"))
+    editions = t("supplier").select("s_suppkey", start.alias("opens"), F.date_add(start, F.when(k % 5 == 0, 900).otherwise(k % 40).cast("int")).alias("closes"))
+    met = intervals.dated_in(articles, editions, "day", "precision", "opens", "closes")
+    return met.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("articles"), F.min("o_orderkey").alias("first_article"), F.sum("o_orderkey").alias("keys"))
