@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import text
-from recordloom.operators import checks, coverage, identity, intervals, joins, merge, publish, rank
+from recordloom.operators import checks, coverage, hashtree, identity, intervals, joins, merge, publish, rank
 from recordloom.plans.funnel_queries import _pick, _sql_pick
 from recordloom.plans.table_queries import query
 from recordloom.plans.lineage import cut, scratch
-from recordloom.sources import feeds, landed
+from recordloom.sources import feeds, landed, sinks
 
 def _s(c: Column) -> Column:
     return c.cast("string")
@@ -424,3 +424,27 @@ def edition_matches(t) -> DataFrame:
     editions = t("supplier").select("s_suppkey", start.alias("opens"), F.date_add(start, F.when(k % 5 == 0, 900).otherwise(k % 40).cast("int")).alias("closes"))
     met = intervals.dated_in(articles, editions, "day", "precision", "opens", "closes")
     return met.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("articles"), F.min("o_orderkey").alias("first_article"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("""
+WITH b AS (SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderkey % 50 <> 3), a AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 40 = 0 THEN 'later' ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 60 <> 7)
+SELECT o_orderkey, CASE WHEN b.o_custkey IS NULL THEN 'ADDED' WHEN a.o_custkey IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM b FULL JOIN a USING (o_orderkey) WHERE b.o_custkey IS NULL OR a.o_custkey IS NULL OR a.o_orderpriority <> b.o_orderpriority""")
+def snapshot_changes(t) -> DataFrame:
+    """What differs between two snapshots of the orders, found by descending two trees of digests."""
+    k = F.col("o_orderkey")
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    after = orders.filter(k % 60 != 7).withColumn("o_orderpriority", F.when(k % 40 == 0, "later").otherwise(F.col("o_orderpriority")))
+    return hashtree.changed(orders.filter(k % 50 != 3), after, ["o_orderkey"]).select("o_orderkey", "change")
+
+
+@query("""
+WITH p AS (SELECT sha256(html) AS sha256, max(strlen(html)) AS bytes, bool_or(page_id % 3 = 0) AS before FROM pages WHERE html IS NOT NULL GROUP BY 1)
+SELECT sha256, CAST(bytes AS BIGINT) AS bytes, NOT before AS stored FROM p""")
+def vault_growth(t) -> DataFrame:
+    """A vault that holds a third of the pages is given all of them: what the second call says of each, and the vault holds each once."""
+    pages = t("pages").select("page_id", F.col("html").cast("binary").alias("content"))
+    with scratch(pages.sparkSession, "vault") as folder:
+        sinks.store_payloads(pages.filter("page_id % 3 = 0"), folder)
+        said = sinks.store_payloads(pages, folder)
+        held = pages.sparkSession.read.parquet(folder).groupBy("sha256").agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes"))
+        return cut(held.filter("n = 1").join(said.select("sha256", "stored"), "sha256").select("sha256", "bytes", "stored"))

@@ -1,10 +1,13 @@
 import datetime as dt
 import hashlib
 import json
+import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordloom.operators import hashtree
 from recordloom.sources import landed, sinks
 from recordloom.streaming.backfill import merge_stream
 
@@ -97,6 +100,52 @@ def test_immutable_snapshots(spark, tmp_path):
         sinks.write_immutable(df.limit(4), at)
 
 
+def test_snapshots_are_proven_and_broken_ones_recovered(spark, tmp_path):
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"), F.when(F.col("id") % 9 > 0, F.lit("x")).alias("w"))
+    at = f"{tmp_path}/s"
+    assert sinks.write_immutable(df, at, ("v",), ("k",)) == "WRITTEN" and sinks.write_immutable(df.repartition(5), at, ("v",), ("k",)) == "UNCHANGED"
+    assert sinks.verify_snapshot(spark, at, ("k",)).collect() == []
+    other = df.withColumn("w", F.when(F.col("k") == 77, "y").otherwise(F.col("w")))
+    (leaf,) = hashtree.changed(df, other, ["k"]).collect()
+    assert (leaf["k"], leaf["change"]) == (77, "CHANGED")
+    with pytest.raises(sinks.Conflict, match=f"key ranges {leaf['prefix']}$"):
+        sinks.write_immutable(other, at, ("v",), ("k",))
+    # Equal sums aren't equal rows: two values that change places.
+    swapped = df.withColumn("w", F.when(F.col("k") == 9, "x").when(F.col("k") == 10, None).otherwise(F.col("w")))
+    assert {r["k"] for r in hashtree.changed(df, swapped, ["k"]).collect()} == {9, 10}
+    shutil.rmtree(f"{at}/_tree")
+    assert sinks.write_immutable(df, at, ("v",), ("k",)) == "RECOVERED" and sinks.write_immutable(df, at, ("v",), ("k",)) == "UNCHANGED"
+    one = next(p for p in sorted((tmp_path / "s").rglob("*.parquet")) if "_tree" not in str(p))
+    one.rename(one.with_name("part-renamed.parquet"))
+    assert {r["check"] for r in sinks.verify_snapshot(spark, at, ("k",)).collect()} == {"FILE_MISSING", "FILE_ADDED"}
+    one.with_name("part-renamed.parquet").unlink()
+    spark.catalog.refreshByPath(at)
+    assert {r["check"] for r in sinks.verify_snapshot(spark, at, ("k",)).collect()} == {"FILE_MISSING", "ROWS_DIFFER"}
+    os.remove(f"{at}/_SUCCESS")
+    assert sinks.write_immutable(df, at, ("v",), ("k",)) == "RECOVERED" and spark.read.parquet(at).count() == 500
+
+
+def test_trees_of_repeats_nulls_and_nothing(spark):
+    some = spark.createDataFrame([("a", 1), ("a", 1), (None, None)], "k string, v int")
+    once = hashtree.tree(some, ["k"])
+    assert hashtree.root(once) == hashtree.root(hashtree.tree(some.repartition(3), ["k"])) != hashtree.root(hashtree.tree(some.distinct(), ["k"]))
+    assert once.filter("prefix = ''").first()["rows"] == 3
+    none = some.limit(0)
+    assert hashtree.root(hashtree.tree(none, ["k"])) == hashtree.root(hashtree.tree(none, ["v"]))
+    assert {r["change"] for r in hashtree.changed(none, some, ["k"]).collect()} == {"ADDED"}
+
+
+def test_a_vault_takes_only_what_is_new(spark, tmp_path):
+    df = spark.createDataFrame([(bytearray(b"a"),), (bytearray(b"b"),), (bytearray(b"a"),), (None,)], "content binary")
+    at = str(tmp_path / "v")
+    assert {(r["bytes"], r["stored"]) for r in sinks.store_payloads(df, at).collect()} == {(1, True)}
+    again = sinks.store_payloads(df.union(spark.createDataFrame([(bytearray(b"ccc"),)], "content binary")), at).collect()
+    assert sorted((r["bytes"], r["stored"]) for r in again) == [(1, False), (1, False), (3, True)]
+    assert spark.read.parquet(at).count() == 3
+    (r,) = [r for r in again if r["stored"]]
+    assert r["sha256"] == hashlib.sha256(b"ccc").hexdigest()
+
+
 def test_vault(spark, tmp_path):
     digest = hashlib.sha256(b"abc").hexdigest()
     (tmp_path / f"{digest}.txt").write_bytes(b"abc")
