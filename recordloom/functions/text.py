@@ -36,6 +36,11 @@ def _folded(s: pd.Series) -> pd.Series:
     return s.map(lambda v: unicodedata.normalize("NFKC", v).casefold(), na_action="ignore")
 
 
+def folded_nfkc(c: Column) -> Column:
+    """NFKC, then case folding, and nothing else."""
+    return _folded(c)
+
+
 @F.pandas_udf(T.StringType())
 def _split_folded(s: pd.Series) -> pd.Series:
     """NFKD, then case folding; marks stay as characters of their own."""

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import period, text
-from recordloom.operators import caps, checks, classify, identity, joins, merge, orders, publish, select, signals
+from recordloom.operators import caps, checks, classify, identity, joins, merge, orders, publish, select, signals, textindex, waves
+from recordloom.plans.lineage import cut, scratch
 from recordloom.plans.policy import FirstShortlistPolicy, ReviewPolicy
 from recordloom.plans.table_queries import query
 
@@ -449,3 +450,72 @@ def source_budget(t) -> DataFrame:
     mode, n = _pick(list(MODES), k), (k % 900).cast("int")
     shown, _, _ = caps.projection(n.cast("long"), F.when(mode == "SUSPENDED", 0).otherwise(250))
     return t("customer").select("c_custkey", caps.source_budget(n, mode).alias("budget"), shown.alias("projection"), (~caps.load_allowed(mode)[0]).alias("suspended"))
+
+
+@query("""
+SELECT p_partkey, p_name FROM part WHERE contains(lower(concat_ws(' ', p_name, p_type)), 'st') AND p_size >= 10 ORDER BY p_retailprice DESC, p_partkey LIMIT 50 OFFSET 20""")
+def indexed_page(t) -> DataFrame:
+    """The page of ``filter_page`` with a needle too short for trigrams: the index's texts are looked through."""
+    return _indexed(t, "ST", {"p_size": 10})
+
+
+@query("""
+SELECT p_partkey, p_name FROM part WHERE contains(lower(concat_ws(' ', p_name, p_type)), 'g econ') ORDER BY p_retailprice DESC, p_partkey LIMIT 50""")
+def indexed_search(t) -> DataFrame:
+    """A page of what holds a needle, by posting lists and a look at the candidates alone."""
+    return _indexed(t, "g ECON", {}, offset=0)
+
+
+def _indexed(t, needle: str, least: dict, offset: int = 20) -> DataFrame:
+    part = t("part")
+    with scratch(part.sparkSession, "index") as folder:
+        textindex.build(part, ["p_name", "p_type"], ["p_partkey"], folder)
+        found = textindex.search(part.sparkSession, folder, needle)
+        return cut(publish.filter_page(found, least=least, order=[F.desc("p_retailprice"), F.col("p_partkey")], offset=offset, limit=50).select("p_partkey", "p_name"))
+
+
+_WAVES_SQL = """
+WITH p AS (SELECT c_custkey AS k, row_number() OVER (ORDER BY c_custkey) AS o, c_custkey % 2 = 0 AS pm, c_custkey % 3 <> 1 AS doi FROM customer),
+a AS (SELECT *, pm AS ask1 FROM p), b AS (SELECT *, ask1 AND k % 5 < 2 AS got1 FROM a),
+c AS (SELECT *, NOT got1 AND doi AS able2 FROM b), d AS (SELECT *, able2 AND sum(CASE WHEN able2 THEN 1 ELSE 0 END) OVER (ORDER BY o) <= 40 AS ask2 FROM c),
+e AS (SELECT *, ask2 AND k % 7 < 3 AS got2, ask2 AND k % 7 = 3 AS failed2 FROM d)
+"""
+
+
+@query(_WAVES_SQL + """
+SELECT k AS record_key, CASE WHEN got1 OR got2 THEN 'ABSTRACT_ACQUIRED' WHEN NOT ask1 AND NOT able2 THEN 'SKIPPED_NO_IDENTIFIER' WHEN failed2 THEN 'ACQUISITION_INCONCLUSIVE' ELSE 'RECORD_NOT_FOUND' END AS status, CASE WHEN got1 THEN 'ONE' WHEN got2 THEN 'TWO' END AS source FROM e""")
+def fallback_receipts(t) -> DataFrame:
+    """Customers as a plan over two sources, the second with a budget."""
+    return _waves(t)[0].select("record_key", "status", "source")
+
+
+@query(_WAVES_SQL + """
+SELECT 1 AS wave, 'ONE' AS source, count(*) FILTER (ask1) AS asked, count(*) FILTER (got1) AS found, CAST(0 AS BIGINT) AS deferred FROM e UNION ALL SELECT 2, 'TWO', count(*) FILTER (ask2), count(*) FILTER (got2), count(*) FILTER (able2 AND NOT ask2) FROM e""")
+def fallback_requests(t) -> DataFrame:
+    """How many requests each wave cost."""
+    return waves.requests(_waves(t)[1])
+
+
+def _waves(t) -> tuple[DataFrame, DataFrame]:
+    k = F.col("record_key")
+    plan = t("customer").select(F.col("c_custkey").alias("record_key"), F.col("c_custkey").alias("ordinal"), F.when(F.col("c_custkey") % 2 == 0, "pm").alias("pmid"), F.when(F.col("c_custkey") % 3 != 1, "10.5/x").alias("doi"))
+    one = waves.Source("ONE", F.col("pmid").isNotNull(), lambda asked: asked.filter(k % 5 < 2).select("record_key", F.lit("FOUND").alias("status"), F.lit("text").alias("payload")))
+    two = waves.Source("TWO", F.col("doi").isNotNull(), lambda asked: asked.filter(k % 7 <= 3).select("record_key", F.when(k % 7 < 3, "FOUND").otherwise("FAILED").alias("status"), F.lit("text").alias("payload")), budget=40)
+    return waves.fetch(plan, [one, two], waves.ABSTRACT_STATES, "SKIPPED_NO_IDENTIFIER")
+
+
+@query("""
+WITH x AS (SELECT l_orderkey, 'u' || l_partkey || '-' || l_linenumber AS url, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 2 ELSE 3 END AS r, CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END AS v FROM lineitem WHERE l_linenumber <> 4)
+SELECT l_orderkey AS record_key, min_by(url, (r, v, url)) AS url, CAST(min_by(r, (r, v, url)) AS INT) AS content FROM x GROUP BY l_orderkey""")
+def best_links(t) -> DataFrame:
+    """One full-text link an order: XML before text before PDF, the version of record first; other types are none."""
+    flag = F.col("l_returnflag")
+    links = t("lineitem").select(F.col("l_orderkey").alias("record_key"), F.concat(F.lit("u"), "l_partkey", F.lit("-"), "l_linenumber").alias("url"), F.when(F.col("l_linenumber") == 4, "text/html").when(flag == "A", "TEXT/xml").when(flag == "N", "text/plain").otherwise("application/pdf").alias("content_type"), F.when(F.col("l_linestatus") == "O", "VOR").otherwise("am").alias("content_version"))
+    rank = F.when(F.lower("content_type") == "text/xml", 0).when(F.col("content_type") == "text/plain", 2).otherwise(3)
+    return waves.best_links(links).select("record_key", "url", rank.alias("content"))
+
+
+@query("""SELECT p_partkey, 'BIBLIOGRAPHIC_METADATA' AS acquisition_level, FALSE AS full_text_requested, FALSE AS full_text_fetched, FALSE AS evidence_evaluated FROM part""")
+def provenance_flags(t) -> DataFrame:
+    """Every record with the constant flags of what was not done."""
+    return caps.with_provenance(t("part").select("p_partkey"))
