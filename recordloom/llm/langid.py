@@ -18,6 +18,11 @@ from pyspark.sql import types as T
 
 from recordloom.llm.sampling import _STEPS, fold
 from recordloom.llm.tables import map_texts, table
+from recordloom.operators.joins import small
+from recordloom.plans.lineage import cut
+
+#: Texts that are fitted in all languages together, at the most.
+MOST_ROWS = 50_000
 
 #: Hashed bins; training texts taken for a language; centroids for each.
 BINS, SAMPLE, CENTROIDS = 4096, 400, 3
@@ -100,19 +105,19 @@ class Model:
         return self.languages[k], float(1 / share.sum()), bool(cos[k] < self.least[k])
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
+def fit(docs: DataFrame, sample: int = SAMPLE, most: int = MOST_ROWS) -> Model | None:
     """A model from documents with a language; None where there are none.
 
     Every language that occurs is fitted. Of each at most about ``sample`` texts
-    are taken, by a hash of doc_id, and their counts alone reach the driver:
-    sample x languages rows of non-empty bins.
+    are taken, by a hash of doc_id, and of all together about ``most``: where
+    languages are many, each gives fewer, one at least; the ``most`` most frequent
+    ones give any. The sample's counts alone reach the driver.
     """
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    n = known.groupBy("lang").count().collect()
-    if not n:
-        return None
-    limits = F.create_map(*(x for r in n for x in (F.lit(r["lang"]), F.lit(int(_STEPS * min(1.0, sample / r["count"]))))))
-    some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_STEPS)) < F.coalesce(limits[F.col("lang")], F.lit(0)))
+    sizes = cut(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most))
+    each = max(1, min(sample, most // max(1, sizes.count())))
+    shares = sizes.select("lang", F.least(F.lit(_STEPS), F.floor(F.lit(float(_STEPS) * each) / F.col("n")).cast("long")).alias("share"))
+    some = known.join(small(shares), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(_STEPS)) < F.col("share"))
 
     # Of rows that share an id one is taken, so the sample is bounded in rows.
     some = some.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("row")).select("lang", "row.text")

@@ -153,3 +153,11 @@ def test_language_scores_are_cosines_of_plain_vectors(spark):
         top = max(best.values())
         share = 1 / sum(np.exp(30 * (x - top)) for x in best.values())
         assert abs(got[r["doc_id"]]["score"] - share) < 1e-3 and best[got[r["doc_id"]]["lang_pred"]] > top - 1e-5
+
+
+def test_the_fitted_sample_is_bounded_over_all_languages(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 9} text and more of it", f"l{i % 40:02}" if i % 7 else "zz") for i in range(1500)], "doc_id long, text string, lang string")
+    assert len(langid.fit(docs, most=120).languages) > 20  # three texts a language on average
+    few = langid.fit(docs, most=5)
+    assert 1 <= len(few.languages) <= 5 and "zz" in few.languages
+    assert len(langid.fit(docs).languages) == 41
