@@ -13,7 +13,7 @@ from recordloom.functions import period, text
 from recordloom.operators import caps, checks, classify, identity, joins, merge, orders, publish, select, signals, textindex, waves
 from recordloom.plans.lineage import cut, scratch
 from recordloom.plans.policy import FirstShortlistPolicy, ReviewPolicy
-from recordloom.plans.table_queries import query
+from recordloom.plans.table_queries import _TOKENS_SQL, query
 
 #: Beginnings of titles, and the path, role and base score that each must get.
 TITLES = (
@@ -377,9 +377,25 @@ def _by_source(t) -> DataFrame:
     return t("documents").select(F.coalesce("source", F.lit("")).alias("journal_slug"), F.col("doc_id").cast("string").alias("record_key"), F.lit("FULL").alias("processing_mode"), F.col("n_chars").cast("double").alias("score"), F.lit(50.0).alias("percentile"), F.lit(0).alias("prefetch_score"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), tokens.alias("tokens"), F.coalesce("lang", F.lit("")).alias("primary_path"), "doc_id", "n_chars")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE d AS (SELECT coalesce(source, '') AS g, CAST(doc_id AS VARCHAR) AS k, CAST(n_chars AS DOUBLE) AS score, split_part(text, chr(10), 1) AS title, list_distinct({_TOKENS_SQL}) AS tok FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY score DESC, lower(title), k) AS round FROM d),
+s(g, n, pos, titles) AS (
+  SELECT DISTINCT g, 0, CAST(0 AS BIGINT), CAST([] AS VARCHAR[][]) FROM r
+  UNION ALL
+  SELECT g, n + 1, round, list_append(titles, tok) FROM (
+    SELECT s.g, s.n, s.titles, r.round, r.tok, row_number() OVER (PARTITION BY s.g ORDER BY r.round) AS i FROM s JOIN r ON r.g = s.g AND r.round > s.pos
+    WHERE s.n < 20 AND len(list_filter(s.titles, lambda x: len(x) > 0 AND len(r.tok) > 0 AND len(list_intersect(x, r.tok)) / len(list_distinct(list_concat(x, r.tok))) >= 0.85)) = 0
+  ) WHERE i = 1),
+t AS (SELECT g, pos FROM s WHERE n > 0), top AS (SELECT g, max(score) AS best FROM r GROUP BY g),
+o AS (SELECT r.g, r.k, r.round, top.best, row_number() OVER (ORDER BY r.round, top.best DESC, r.g) AS ordinal FROM r JOIN t ON t.g = r.g AND t.pos = r.round JOIN top ON top.g = r.g),
+last AS (SELECT round, best, g, (SELECT count(*) FROM o) AS n FROM o WHERE ordinal = (SELECT least(120, max(ordinal)) FROM o)),
+m AS (SELECT r.g, r.k, r.round, o.ordinal, (SELECT count(*) FROM t WHERE t.g = r.g AND t.pos < r.round) AS held,
+  (SELECT n FROM last) >= 120 AND (r.round, -top.best, r.g) > (SELECT (round, -best, g) FROM last) AS late FROM r JOIN top ON top.g = r.g LEFT JOIN o ON o.g = r.g AND o.k = r.k)
+SELECT g AS journal_slug, k AS record_key, CAST(CASE WHEN late THEN 0 ELSE coalesce(ordinal, 0) END AS BIGINT) AS ordinal,
+  CASE WHEN late THEN 'FULLTEXT_GLOBAL_TARGET_OR_RELATIVE_PRIORITY' WHEN ordinal IS NOT NULL THEN 'ABSTRACT_STRUCTURAL_REVIEW' WHEN held >= 20 THEN 'JOURNAL_FULLTEXT_CAP' ELSE 'NEAR_DUPLICATE_ABSTRACT_CANDIDATE' END AS reason FROM m""")
 def review_selection(t) -> DataFrame:
-    """Turns over sources, best first; a unit test pins a small case."""
+    """Turns over sources, best first; the SQL takes one row of each source a step."""
     return select.review_selection(_by_source(t), ReviewPolicy()).withColumn("ordinal", F.coalesce("ordinal", F.lit(0)))
 
 
