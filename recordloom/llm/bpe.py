@@ -186,7 +186,8 @@ def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None
 
     Adds n_tokens, ids_sha256 (of decimal ids joined by one space) and
     decoded_sha256 (of the decoded bytes). Null counts as empty. Rows that
-    repeat are each returned; extra columns are ignored.
+    repeat are each returned; an empty table gives an empty one, texts of any
+    length count whole, and extra columns are ignored.
     """
 
     def make():

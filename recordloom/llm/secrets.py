@@ -143,7 +143,9 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     battery's discoveries, by start and then kind, comma-joined; offsets are
     code points, ends exclusive. A discovery that a fixed form's match covers
     isn't named again. Null and empty texts have no spans. Repeated rows are
-    each returned; extra columns are ignored.
+    each returned, an empty table gives an empty one, texts of any length are
+    read whole, spans that start together are in the order of their kinds, and
+    extra columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     long_enough = lambda x: F.length(F.regexp_extract(x["said"], ASSIGN, 1)) >= LEAST_SECRET
@@ -171,7 +173,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """A text with each span of ``spans`` (as scan() names them) replaced by a mark; spans that overlap are one."""
+    """A text with each span of ``spans`` (as scan() names them) replaced by a mark; spans that overlap are one, and a null text or null spans give null."""
     pairs = F.array_sort(F.transform(F.filter(F.split(spans, ","), lambda s: s != ""), lambda s: F.struct(F.split(s, ":")[1].cast("int").alias("start"), F.split(s, ":")[2].cast("int").alias("end"))))
     done = _running(F.transform(pairs, lambda s: s["end"]), F.lit(0), lambda at, end: F.greatest(at, end))
     characters = F.split(text, "")

@@ -113,7 +113,8 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, words: int = WORDS, seed:
     fingerprint zero and links like any other. Equal fingerprints are one
     class, so exact copies cost one row in the index. Repeated rows are each
     returned; a null doc_id is never a component's smallest unless all are
-    null. Extra columns are ignored.
+    null. Texts of any length count whole, an empty table gives an empty one,
+    and extra columns are ignored.
     """
     fps = cut(fingerprints(docs, words, seed))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))

@@ -153,25 +153,33 @@ def tallies(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         )
         same = said.join(F.broadcast(wanted.select("said", "items")), F.col("words") == F.col("said"), "left").filter("span is null or items is not null")
         return _tally(same.select("doc_id", "t", F.col("span").isNull().cast("long").alias("rows"), "n_words", "span", "items"))
-    every = docs.select(
-        "doc_id", F.xxhash64("text").alias("t"), F.lit(1).cast("long").alias("rows"), F.size(_words(F.col("text"))).cast("long").alias("n_words"),
-        F.lit(None).cast("struct<i:int,n:int>").alias("span"), F.lit(None).cast("array<string>").alias("items"),
-    )
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    # Beyond the bounds, fingerprints of all sizes leave the one stage that reads a text as rows of their own, and a row
+    # of size 0 stands for the text. Its keys are hashes that nothing else has, so no join gathers those rows.
+    wide = max((s + _reach(s) for s in sizes), default=0)
+    some = F.col("i") < 0
     for s in sizes:
-        # Selected fingerprints alone meet first: by broadcast where they are few, else spread over SALTS tasks each.
-        one = at.filter(F.col(f"f{s}") != 0).select("doc_id", "t", "i", F.col(f"f{s}").alias("f"), F.slice("w", F.col("i") + 1, s + _reach(s)).alias("w"))
-        if found[s][0] <= MAX_PRINTS:
-            near = one.join(F.broadcast(prints[s]), F.col("f") == F.col(f"p{s}"), "left_semi")
-        else:
-            near = one.withColumn("salt", F.pmod(F.xxhash64("doc_id", "i"), F.lit(SALTS))).join(prints[s].select(F.col(f"p{s}").alias("f"), salts), ["f", "salt"], "left_semi")
-        starts = F.explode(F.sequence(F.lit(0), F.least(F.lit(_reach(s)), F.size("w") - s)))
-        spans = near.select("doc_id", "t", F.col("i").alias("from"), "w", starts.alias("i"))
-        said = spans.select("doc_id", "t", F.struct((F.col("from") + F.col("i")).alias("i"), F.lit(s).alias("n")).alias("span"), _said(s).alias("said"), F.pmod(F.xxhash64("doc_id", "from"), F.lit(SALTS)).alias("salt"))
-        there = wanted.filter(F.col("size") == s).select("said", "items", salts)
-        same = said.join(there, ["said", "salt"])
-        every = every.unionByName(same.select("doc_id", "t", F.lit(0).cast("long").alias("rows"), F.lit(None).cast("long").alias("n_words"), "span", "items"))
-    return _tally(every)
+        some = some | (F.col(f"f{s}") != 0)
+    # Only the words that a window can reach leave the stage that reads a text, never the text with each of them.
+    rows = at.filter(some).select("doc_id", "t", "i", F.size("w").cast("long").alias("n_words"), *(f"f{s}" for s in sizes), F.slice("w", F.greatest(F.col("i"), F.lit(0)) + 1, wide).alias("w"))
+    every = [F.struct(F.lit(0).alias("size"), F.when(F.col("i") < 0, F.xxhash64("doc_id", "t")).otherwise(0).alias("f")), *(F.struct(F.lit(s).alias("size"), F.when(F.col("i") >= 0, F.col(f"f{s}")).otherwise(0).alias("f")) for s in sizes)]
+    one = rows.withColumn("x", F.explode(F.array(*every))).filter("(x.size = 0 and i < 0) or (x.size > 0 and x.f <> 0)").select("doc_id", "t", "i", "n_words", "x.size", "x.f", "w")
+    # Selected fingerprints alone meet first: by broadcast where they are few, else spread over SALTS tasks each.
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    own_salt = F.pmod(F.xxhash64("doc_id", "i"), F.lit(SALTS))
+    known = wanted.select("size", "f").distinct()
+    if sum(n for n, _ in found.values()) <= MAX_PRINTS:
+        near = one.join(F.broadcast(known.withColumn("known", F.lit(True))), ["size", "f"], "left")
+    else:
+        near = one.withColumn("salt", own_salt).join(known.select("size", "f", salts, F.lit(True).alias("known")), ["size", "f", "salt"], "left").drop("salt")
+    near = near.filter("size = 0 or known")
+    reach = F.col("size") - F.least(F.lit(GRAM), F.col("size"))
+    starts = F.when(F.col("size") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.least(reach, F.size("w") - F.col("size"))))
+    spans = near.withColumn("o", F.explode(starts)).select(
+        "doc_id", "t", "n_words", "size", F.when(F.col("size") > 0, F.struct((F.col("i") + F.col("o")).alias("i"), F.col("size").alias("n"))).alias("span"),
+        F.when(F.col("size") == 0, F.concat(F.lit("\x00"), F.hex("f"))).otherwise(F.array_join(F.slice("w", F.col("o") + 1, F.col("size")), " ")).alias("said"), own_salt.alias("salt"),
+    )
+    same = spans.join(wanted.select("said", "items", salts), ["said", "salt"], "left").filter("size = 0 or items is not null")
+    return _tally(same.select("doc_id", "t", (F.col("size") == 0).cast("long").alias("rows"), F.when(F.col("size") == 0, F.col("n_words")).alias("n_words"), "span", "items"))
 
 
 def _covered(spans: Column) -> Column:
@@ -195,6 +203,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     hits, and an empty benchmark hits nothing. Repeated rows are each returned;
     rows that share a doc_id but not a text are kept apart. Extra columns are
     ignored, and a null item_id can't be named, so such items are skipped.
+    Texts of any length count whole; an empty table gives an empty one.
     """
     found = tallies(docs.select("doc_id", "text"), benchmark.select("item_id", "text").filter("item_id is not null"), window)
     n_hit = _covered(F.col("spans"))

@@ -74,6 +74,17 @@ def test_texts_select_few_fingerprints_and_every_shared_window_meets_one(spark):
     assert all(got[i] >= 10 for i in range(53)) and got[53] == 0
 
 
+@pytest.mark.parametrize("prints", [winnow.MAX_PRINTS, 0])
+def test_beyond_the_broadcast_bound_texts_are_read_once(spark, monkeypatch, tmp_path, prints):
+    monkeypatch.setattr(winnow, "MAX_BROADCAST", 0)
+    monkeypatch.setattr(winnow, "MAX_PRINTS", prints)
+    cases.documents(spark).select("doc_id", "text").coalesce(1).write.parquet(f"{tmp_path}/d")
+    items = spark.createDataFrame([(n, " ".join(cases.PROSE.split()[:n])) for n in range(1, 12)], "item_id long, text string")
+    made = winnow.tallies(spark.read.parquet(f"{tmp_path}/d"), items)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+
+
 def test_winnowing_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["contaminated"] for r in winnow.decontaminate(cases.documents(spark), none).collect()} == {False}
