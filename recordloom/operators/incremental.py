@@ -28,15 +28,15 @@ from recordloom.plans.lineage import cut
 BUCKETS = 256
 
 
-def _bucket(c: str) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
+def _bucket(c: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
 class Components:
-    """A store of components at a folder that all executors share. Records are whole numbers."""
+    """A store of components at a folder that all executors share. Records are whole numbers; ``buckets`` stays what it was when the store began."""
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets or BUCKETS
 
     def _done(self) -> list[int]:
         """The batches in force, in order."""
@@ -63,7 +63,7 @@ class Components:
         return self._rooted(self._read("records", "record long, component long")).select("record", "component")
 
     def _write(self, rows: DataFrame, name: str, key: str, batch: int) -> None:
-        rows.withColumn("bucket", _bucket(key)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch={batch}")
+        rows.withColumn("bucket", _bucket(key, self.buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch={batch}")
 
     def add(self, records: DataFrame, batch: int, record: str = "record", aliases: str = "aliases") -> bool:
         """Takes in records with an array of aliases; says whether the batch was new.
@@ -75,7 +75,7 @@ class Components:
             return False
         given = cut(records.filter(F.col(record).isNotNull()).select(F.col(record).cast("long").alias("record"), F.explode_outer(aliases).alias("alias")).distinct())
         # No more numbers than there are buckets.
-        touched = {c: [r[0] for r in given.filter(f"{c} is not null").select(_bucket(c)).distinct().collect()] for c in ("record", "alias")}
+        touched = {c: [r[0] for r in given.filter(f"{c} is not null").select(_bucket(c, self.buckets)).distinct().collect()] for c in ("record", "alias")}
         known = self._rooted(self._read("records", "record long, component long", touched["record"]).join(given.select("record").distinct(), "record", "left_semi"))
         held = self._rooted(self._read("aliases", "alias string, component long", touched["alias"]).join(given.select("alias").distinct(), "alias", "left_semi")).groupBy("alias").agg(F.min("component").alias("component"))
         known, said = cut(known), given.filter("alias is not null")

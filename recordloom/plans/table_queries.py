@@ -235,7 +235,7 @@ def incremental_components(t) -> DataFrame:
     """The same components from a store that takes the documents in three batches, the longest first."""
     rows = _document_aliases(t).join(t("documents").select("doc_id", "n_chars"), "doc_id")
     with scratch(rows.sparkSession, "components") as folder:
-        store = incremental.Components(rows.sparkSession, folder)
+        store = incremental.Components(rows.sparkSession, folder, buckets=8)
         for n, part in enumerate((F.col("n_chars") > 2000, F.col("n_chars").between(500, 2000), F.coalesce(F.col("n_chars") < 500, F.lit(True)))):
             store.add(rows.filter(part), n, "doc_id")
         return cut(store.labels().select(F.col("record").alias("doc_id"), "component"))
