@@ -9,6 +9,8 @@ that a pair shares the later of their first ones counts, so pairs come once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,17 @@ def dated_in(articles: DataFrame, editions: DataFrame, date: str, precision: str
     """Articles, dated by day, month or year, beside every edition whose period their date may fall in."""
     a, b = interval(F.col(date), F.col(precision))
     return overlap_join(articles.withColumns({"__from": a, "__to": b}), editions, ("__from", "__to"), (start, end)).drop("__from", "__to")
+
+
+def dated_totals(articles: DataFrame, editions: DataFrame, date: str, precision: str, start: str, end: str, totals: dict[str, tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """Every edition that articles may fall in, beside what they come to: for each name an aggregate of articles, and how two of its values make one.
+
+    Articles meet as one row a period that they may mean, and editions as one a
+    period, so no pair of an article and an edition is made: there are no more
+    meetings than pairs of different periods.
+    """
+    a, b = interval(F.col(date), F.col(precision))
+    meant = articles.withColumns({"__from": a, "__to": b}).filter("__from <= __to").groupBy("__from", "__to").agg(*(each.alias(n) for n, (each, _) in totals.items()))
+    periods = editions.select(F.col(start).alias("__opens"), F.col(end).alias("__closes")).distinct()
+    met = overlap_join(meant, periods, ("__from", "__to"), ("__opens", "__closes")).groupBy("__opens", "__closes").agg(*(merge(n).alias(n) for n, (_, merge) in totals.items()))
+    return editions.join(met, (F.col(start) == F.col("__opens")) & (F.col(end) == F.col("__closes"))).drop("__opens", "__closes")

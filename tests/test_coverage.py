@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from recordloom.operators import coverage, intervals, joins
+from recordloom.plans import record_queries, table_queries  # noqa: F401
 
 DAY = dt.timedelta(days=1)
 FIRST = dt.date(2026, 1, 1)
@@ -46,3 +47,31 @@ def test_overlap_join_is_the_plain_condition(spark, monkeypatch):
     assert made.columns == ["i", "a", "b", "j", "c", "d"]
     widest = intervals._listed(y, "c", "d", "y").groupBy("j").count().agg(F.max("count")).first()[0]
     assert widest <= 2 * len(intervals.WIDTHS)
+
+
+def test_totals_of_editions_meet_by_period_and_never_by_row(spark, monkeypatch):
+    rng = random.Random(8)
+    articles = [(i, rng.choice([None, FIRST, FIRST + DAY * rng.randrange(60)]), rng.choice(["DAY", "MONTH", "YEAR", "ODD"])) for i in range(300)]
+    editions = [(i % 90, s := FIRST + DAY * rng.randrange(50), s + DAY * rng.choice([-1, 0, 6, 400])) for i in range(100)] + [(900, None, FIRST), (901, FIRST - DAY * 900, FIRST - DAY * 800)]
+    x, y = spark.createDataFrame(articles, "i int, day date, kind string"), spark.createDataFrame(editions, "j int, c date, d date")
+    met, rows = intervals.overlap_join, []
+    monkeypatch.setattr(intervals, "overlap_join", lambda a, b, *ends: rows.append((a.count(), b.count())) or met(a, b, *ends))
+    totals = {"n": (F.count(F.lit(1)), F.sum), "first": (F.min("i"), F.min), "keys": (F.sum("i"), F.sum)}
+    made = intervals.dated_totals(x, y, "day", "kind", "c", "d", totals)
+    assert made.columns == ["j", "c", "d", "n", "first", "keys"]
+    pairs = intervals.dated_in(x, y, "day", "kind", "c", "d").groupBy("j", "c", "d", "i").count().collect()
+    copies, want = {}, {}
+    for j, c, d in editions:
+        copies[j, c, d] = copies.get((j, c, d), 0) + 1
+    for p in pairs:
+        n, first, keys = want.get((p["j"], p["c"], p["d"]), (0, 10**6, 0))
+        want[p["j"], p["c"], p["d"]] = (n + 1, min(first, p["i"]), keys + p["i"])
+    assert sorted(tuple(r) for r in made.collect()) == sorted((*e, *t) for e, t in want.items() for _ in range(copies[e]))
+    assert rows[0][0] <= 60 + 12 + 1 and rows[0][1] == len({e[1:] for e in editions})
+
+
+def test_edition_matches_makes_no_pair_of_an_article_and_an_edition(spark, monkeypatch):
+    met, rows = intervals.overlap_join, []
+    monkeypatch.setattr(intervals, "overlap_join", lambda a, b, *ends: rows.append((a.count(), a.select("__from", "__to").distinct().count())) or met(a, b, *ends))
+    table_queries.QUERIES["edition_matches"](spark, "/root/testdata/sf0.001").count()
+    assert rows[0][0] == rows[0][1]
