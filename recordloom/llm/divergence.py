@@ -1,9 +1,10 @@
 r"""Source divergence audit: which sources of a language speak unlike it, and in which terms.
 
-All of it is relational. Terms are exploded and counted by language, source and
-term; a language keeps the terms that enough of its documents hold; its sources
-are joined to those terms, so that a term a source never says counts as zero;
-shares are integers, smoothed and exact; and pairs of sources meet term by term.
+Terms are cut out and counted in each task over arrays of bytes; all else is
+relational. Counts are grouped by language, source and term; a language keeps the
+terms that enough of its documents hold; its sources are joined to those terms,
+so that a term a source never says counts as zero; shares are integers, smoothed
+and exact; and pairs of sources meet term by term.
 
 Counts are pre-aggregated in each task, so a term or source with a third of all
 words is a few rows a task when it is shuffled. Sources are joined to their
@@ -13,8 +14,11 @@ language's terms by broadcast while they are few, and pairs are dealt by
 
 from __future__ import annotations
 
-import string
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,25 +27,69 @@ from recordloom.operators.joins import small
 from recordloom.operators.orders import numbered
 from recordloom.plans.lineage import cut
 
-#: What stands between terms, once A-Z are lower-cased; a term is a run of anything else.
-GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Each byte as it stands in a term, A-Z lower-cased; 0 for what stands between terms.
+LOWERED = np.array([c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0 for c in range(256)], np.uint8)
+#: Bytes of text whose terms are counted at once.
+SLICE = 8_000_000
 LEAST_DOCS, TERMS_SHOWN, UNIT, PRIOR = 30, 50, 1_000_000_000, 5
 
 
+def _terms(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The terms of texts in order: each one's text, by place, and the term itself.
+
+    What a term may hold is told byte by byte: all else is ASCII, so no
+    character of more bytes is cut.
+    """
+    texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    lowered, ends = LOWERED[data], ends - ends[0]
+    within = lowered != 0
+    first = within.copy()
+    first[1:] &= ~within[:-1]
+    # A text begins a term whatever the one before it ends with.
+    begins = ends[:-1][ends[:-1] < len(data)]
+    first[begins] = within[begins]
+    said = lowered[within]
+    starts = np.append(np.flatnonzero(first[within]), len(said)).astype(np.int64)
+    terms = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(said)])
+    return np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(np.flatnonzero(first), ends))), terms.dictionary_encode()
+
+
+def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(g, term, n, docs) of a batch (g, text) without nulls."""
+    groups, of = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+    doc, terms = _terms(batch.column(1))
+    code, many = terms.indices.to_numpy().astype(np.int64), max(1, len(terms.dictionary))
+    each = np.unique(doc * many + code)
+    met, docs = np.unique(of[each // many] * many + each % many, return_counts=True)
+    n = np.unique(of[doc] * many + code, return_counts=True)[1]
+    term = terms.dictionary.take(pa.array(met % many)).cast(pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(groups[met // many], pa.int64()), term, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], names=["g", "term", "n", "docs"])
+
+
+def _slices(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of no more than ``most`` bytes of text, or of one text."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, counts): (lang, source, g) of each group that occurs, and (g, term, n, docs): occurrences, and documents that hold the term.
 
-    A number stands for a group while its terms are counted. A text's terms are
-    sorted, so the first of each kind can be told from its neighbour and one
-    pass counts both.
+    A number stands for a group while its terms are counted: in each task over
+    arrays of some MB of text, then by one grouping of what these leave.
     """
     filled = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
     groups = cut(numbered(filled.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")), ["lang", "source"], "g").select("lang", "source", "g"))
-    lowered = F.when(F.col("text").rlike(r"[^\x00-\x7F]"), F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower("text"))
-    terms = F.sort_array(F.split(lowered, GAP, -1))
-    marked = F.transform(F.array(terms), lambda s: F.transform(s, lambda t, i: F.struct(t.alias("term"), (~t.eqNullSafe(F.get(s, i - 1))).cast("long").alias("new"))))
-    each = filled.join(small(groups), ["lang", "source"]).select("g", F.explode(F.get(marked, F.lit(0))).alias("t")).select("g", "t.term", "t.new").filter("term <> ''")
-    return groups, cut(each.groupBy("g", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("new").alias("docs")))
+    texts = filled.join(small(groups), ["lang", "source"]).select(F.col("g").cast("long").alias("g"), "text")
+    each = texts.mapInArrow(lambda batches: map(_counted, _slices(batches, SLICE)), "g long, term string, n long, docs long")
+    return groups, cut(each.groupBy("g", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:

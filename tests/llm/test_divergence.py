@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -64,3 +65,30 @@ def test_shares_are_exact_beyond_what_doubles_hold(spark):
     got = {(r["source"], r["term"]): r["p"] for r in divergence.shares(groups, counts).collect()}
     for s, c in (("a", {"x": 9_007_199_254_740_993, "y": 7}), ("b", {"x": 10**16 + 1, "y": 0})):
         assert all(got[s, t] == 1 + 10**9 * (c[t] + 5) // (sum(c.values()) + 10) for t in "xy")
+
+
+def test_terms_of_a_task_are_counted_without_a_row_each(spark, monkeypatch):
+    rng = random.Random(9)
+    pieces = ["Ab", "ab", "É", "é", "漢字", "😀", " ", "-", "1", "\x00", "\x7f", "{", "@", "[", "`", "x" * 300]
+    texts = ["", "a", "A", "b ", " b", *("".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(300)), "", "a"]
+    groups = [rng.choice([3, 8, 11]) for _ in texts]
+    n, docs = Counter(), Counter()
+    for g, t in zip(groups, texts, strict=True):
+        said = TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        n.update((g, w) for w in said)
+        docs.update((g, w) for w in set(said))
+    batch = pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(texts)], names=["g", "text"])
+    for most in (1, 500, divergence.SLICE):
+        got, seen, rows = Counter(), Counter(), 0
+        for part in divergence._slices([batch.slice(0, 100), batch.slice(100), batch.slice(0, 0)], most):
+            rows += part.num_rows
+            for g, term, a, b in zip(*(c.to_pylist() for c in divergence._counted(part).columns), strict=True):
+                got[g, term] += a
+                seen[g, term] += b
+        assert (got, seen, rows) == (n, docs, len(texts))
+    plans = []
+    cut = divergence.cut
+    monkeypatch.setattr(divergence, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    counts = divergence.term_counts(spark.createDataFrame([("a b A", "en", "s"), ("a", "en", "s")], "text string, lang string, source string"))[1]
+    assert sorted((r["term"], r["n"], r["docs"]) for r in counts.collect()) == [("a", 3, 2), ("b", 1, 1)]
+    assert any("MapInArrow" in p for p in plans) and not any("Generate" in p for p in plans)
