@@ -54,12 +54,34 @@ def missing(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 
 def either_key(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], left_id: str, right_id: str) -> DataFrame:
-    """(left_id, right_id) that agree in any of the key pairs: a union of equi-joins, not a nested loop."""
-    found = None
-    for a, b in pairs:
-        one = left.filter(F.col(a).isNotNull()).join(right.filter(F.col(b).isNotNull()), F.col(a) == F.col(b)).select(left_id, right_id)
-        found = one if found is None else found.unionByName(one)
-    return found.distinct()
+    """(left_id, right_id) that agree in any of the key pairs, each once: a union of equi-joins, not a nested loop.
+
+    Two rows meet in the first key pair in which they agree and in no later one.
+    Pairs of ids that one row each has are therefore different, and leave the
+    join as they are made; only pairs with an id of several rows are gathered,
+    to be told apart. So no task holds pairs, of which there may be as many as
+    both sides' rows multiplied.
+    """
+    x, y = _by_rows(left, left_id, [a for a, _ in pairs], "__x"), _by_rows(right, right_id, [b for _, b in pairs], "__y")
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        found, before = None, F.lit(False)
+        for i in range(len(pairs)):
+            agree = F.col(f"__x{i}") == F.col(f"__y{i}")
+            one = x.filter(F.col(f"__x{i}").isNotNull()).join(y.filter(F.col(f"__y{i}").isNotNull()), agree & ~before).select("__x", "__y")
+            found, before = one if found is None else found.unionByName(one), before | F.coalesce(agree, F.lit(False))
+        return found
+
+    single = met(x.filter("not __xmany"), y.filter("not __ymany"))
+    shared = met(x.filter("__xmany"), y).unionByName(met(x.filter("not __xmany"), y.filter("__ymany"))).distinct()
+    return single.unionByName(shared).select(F.col("__x").alias(left_id), F.col("__y").alias(right_id))
+
+
+def _by_rows(df: DataFrame, key: str, columns: list[str], name: str) -> DataFrame:
+    """Different rows of an id and columns (``name``, and ``name`` with a number), and whether the id has several."""
+    rows = df.select(F.col(key).alias(name), *(F.col(c).alias(f"{name}{i}") for i, c in enumerate(columns))).distinct()
+    several = rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(name).alias("__id"))
+    return rows.join(several, F.col(name).eqNullSafe(F.col("__id")), "left").withColumn(f"{name}many", F.col("__id").isNotNull()).drop("__id")
 
 
 def published_providers(providers: DataFrame, editions: DataFrame, core: DataFrame, slug: str = "slug") -> DataFrame:

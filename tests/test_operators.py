@@ -519,3 +519,19 @@ def test_first_shortlist_is_the_sequential_one(spark, seed, batch, many, monkeyp
     assert {r["record_key"]: set(r["blocks"]) for r in got if r["blocks"] is not None} == blocks
     assert len(fetches) <= (2000 if batch == 2 else 6)  # a job a pass, and one more where near copies use up a cell
 
+
+
+def test_pairs_by_either_key_are_gathered_for_ids_of_several_rows_alone(spark, monkeypatch):
+    rng = random.Random(11)
+    some = lambda n, ids: [(rng.randrange(ids), rng.choice([None, *range(6)]), rng.choice([None, "a", "b"])) for _ in range(n)]
+    for left, right in ((some(60, 40), some(80, 50)), ([(i, i % 5, "a") for i in range(30)], [(i, i % 5, "b" if i % 3 else "a") for i in range(30)] * 2)):
+        x, y = spark.createDataFrame(left, "l int, a int, b string"), spark.createDataFrame(right, "r int, c int, d string")
+        made = joins.either_key(x, y, [("a", "c"), ("b", "d")], "l", "r")
+        want = sorted({(i, j) for i, a, b in left for j, c, d in right if (a is not None and a == c) or (b is not None and b == d)})
+        assert made.columns == ["l", "r"] and sorted(tuple(r) for r in made.collect()) == want
+    # Here each id has one row, so the grouping of pairs at the end gets none.
+    gathered = []
+    distinct = type(x).distinct
+    monkeypatch.setattr(type(x), "distinct", lambda df: (gathered.append(df.count()) if df.columns == ["__x", "__y"] else None) or distinct(df))
+    joins.either_key(x, y, [("a", "c"), ("b", "d")], "l", "r")
+    assert gathered == [0]
