@@ -102,10 +102,28 @@ def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
     return pubmed_articles(parts.select(F.concat(F.regexp_extract("value", r"(?s)<PubmedArticle[ >].*$", 0), F.lit("</PubmedArticle>")).alias("x")))
 
 
+#: Paths of an article's element of which the first value counts.
+PUBMED_PATHS = (
+    "//MedlineCitation/PMID/text()", "//JournalIssue/PubDate/Year/text()", "//JournalIssue/PubDate/Month/text()", "//JournalIssue/PubDate/Day/text()", "//JournalIssue/PubDate/MedlineDate/text()",
+    "//ArticleDate/Year/text()", "//ArticleDate/Month/text()", "//ArticleDate/Day/text()", "//Journal/Title/text()", "//Journal/ISSN/text()",
+    "//ArticleIdList/ArticleId[@IdType='doi']/text()", "//ArticleIdList/ArticleId[@IdType='pmc']/text()", "//PublicationTypeList/PublicationType/text()",
+)
+#: What no text of XML can hold, as a path's literal.
+_BETWEEN = '"\x1f"'
+
+
 def pubmed_articles(elements: DataFrame, xml: str = "x") -> DataFrame:
     """Articles of a column of PubmedArticle elements, with the abstract's labelled sections joined by blank lines; other rows go."""
     one = elements.select(F.col(xml).alias("x")).filter("x like '<PubmedArticle%'")
-    at = lambda p: F.try_element_at(F.xpath("x", F.lit(p)), F.lit(1))
+    # Each function of paths parses the text anew, so one evaluation gives all values, one after the other: of nodes a string takes the first. A text node is never empty.
+    values = [*PUBMED_PATHS, "//Article/ArticleTitle", "count(//Journal/ISSN/text())", "count(//Article/ArticleTitle)"]
+    one = one.select("x", F.split(F.xpath_string("x", F.lit(f"concat({f', {_BETWEEN}, '.join(values)})")), "\x1f").alias("__v"))
+    value = lambda p: F.get("__v", F.lit(values.index(p)))
+    at = lambda p: blank_to_null(value(p))
+    many = lambda p: F.xpath("x", F.lit(p))
+    n_issns, n_titles, title = (value(p) for p in ("count(//Journal/ISSN/text())", "count(//Article/ArticleTitle)", "//Article/ArticleTitle"))
+    issns = F.when(n_issns.cast("double") > 1, many("//Journal/ISSN/text()")).otherwise(F.array_compact(F.array(at("//Journal/ISSN/text()"))))
+    title = F.when(n_titles.cast("double") > 1, F.array_join(many("//Article/ArticleTitle//text()"), "")).otherwise(title)
     pmid, year = at("//MedlineCitation/PMID/text()"), at("//JournalIssue/PubDate/Year/text()")
     written = F.concat_ws(" ", year, at("//JournalIssue/PubDate/Month/text()"), at("//JournalIssue/PubDate/Day/text()"))
     day = date_from_parts(at("//ArticleDate/Year/text()").cast("int"), at("//ArticleDate/Month/text()").cast("int"), at("//ArticleDate/Day/text()").cast("int"))
@@ -123,10 +141,10 @@ def pubmed_articles(elements: DataFrame, xml: str = "x") -> DataFrame:
         return F.when(label != "", F.concat(label, F.lit(": "), text)).otherwise(text)
 
     return one.withColumn("__d", parsed).select(
-        clean_text(F.array_join(F.xpath("x", F.lit("//Article/ArticleTitle//text()")), "")).alias("title"), clean_text(at("//Journal/Title/text()")).alias("journal"),
+        clean_text(title).alias("title"), clean_text(at("//Journal/Title/text()")).alias("journal"),
         F.col("__d.date").alias("publication_date"), F.col("__d.precision").alias("publication_date_precision"),
         normalize_doi(at("//ArticleIdList/ArticleId[@IdType='doi']/text()")).alias("doi"), pmid.alias("pmid"), F.upper(at("//ArticleIdList/ArticleId[@IdType='pmc']/text()")).alias("pmcid"),
-        F.array_compact(F.transform(F.xpath("x", F.lit("//Journal/ISSN/text()")), normalize_issn)).alias("issns"),
+        F.array_compact(F.transform(issns, normalize_issn)).alias("issns"),
         # Entities are decoded once for all names: a function of Python can't stand in a lambda.
         F.filter(F.split(unescape_entities(F.array_join(F.array_compact(people), "\x1f")), "\x1f"), lambda v: v != "").alias("authors"), at("//PublicationTypeList/PublicationType/text()").alias("article_type"),
         F.array(link).alias("urls"), _record("pubmed", pmid, link).alias("source_records"),

@@ -166,3 +166,22 @@ def test_streamed_backfill(spark, tmp_path):
         q = merge_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), base, str(tmp_path / "out"), str(tmp_path / "cp"), "id", "idx")
         q.awaitTermination(60)
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out" / "snapshot=000000")).select("id", "name").collect())) == [("1", "a"), ("2", "b")]
+
+
+def test_pubmed_articles_are_parsed_once_and_dealt_over_all_cores(spark, monkeypatch):
+    from recordloom.plans import record_queries
+
+    def whole(journal="", title="<ArticleTitle>T</ArticleTitle>"):
+        return f"<PubmedArticle><MedlineCitation><PMID>1</PMID><Article><Journal>{journal}</Journal>{title}</Article></MedlineCitation></PubmedArticle>"
+
+    cases = [
+        (whole(), "T", "", []), (whole("<Title>J</Title><ISSN>1234-5678</ISSN>"), "T", "J", ["1234-5678"]), (whole("<ISSN>1234-5678</ISSN><ISSN>bad</ISSN><ISSN>2234-567x</ISSN>"), "T", "", ["1234-5678", "2234-567X"]),
+        (whole(title=""), "", "", []), (whole(title="<ArticleTitle>a <i>b</i></ArticleTitle><ArticleTitle>c</ArticleTitle>"), "a bc", "", []), (whole("<Title>x<![CDATA[ & y]]></Title>", "<ArticleTitle>a<![CDATA[b]]>c</ArticleTitle>"), "abc", "x & y", []),
+    ]
+    made = landed.pubmed_articles(spark.createDataFrame([(c[0],) for c in cases], "x string"))
+    assert [(r["title"], r["journal"], r["issns"], r["pmid"], r["doi"]) for r in made.collect()] == [(*c[1:], "1", None) for c in cases]
+    # Two of the paths stand in branches for rows of several titles or ISSNs alone.
+    xpath, paths = F.xpath, []
+    monkeypatch.setattr(F, "xpath", lambda x, p: paths.append(p) or xpath(x, p))
+    rows = record_queries.pubmed_articles(lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
+    assert len(paths) <= 2 and "RepartitionByExpression" in rows._jdf.queryExecution().optimizedPlan().toString()
