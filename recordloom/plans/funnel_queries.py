@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import period, text
 from recordloom.operators import caps, checks, classify, identity, joins, merge, orders, publish, select, signals, textindex, waves
-from recordloom.plans.lineage import cut, scratch
+from recordloom.plans.lineage import cut, scratch, spread
 from recordloom.plans.policy import FirstShortlistPolicy, ReviewPolicy
 from recordloom.plans.table_queries import _TOKENS_SQL, query
 
@@ -35,7 +35,7 @@ def _sql_pick(values, k: str) -> str:
 
 def _titled(t) -> DataFrame:
     k = F.col("p_partkey")
-    return t("part").select(
+    return spread(t("part").select("p_partkey", "p_brand", "p_size", "p_name"), "p_partkey").select(
         "p_partkey", "p_brand", "p_size", F.concat_ws(" ", _pick([x[0] for x in TITLES], k), F.lower("p_name")).alias("title_original"),
         F.when(k % 3 == 0, F.concat(F.lit("10.5555/"), k.cast("string"))).alias("doi"), F.when(k % 5 == 0, k.cast("string")).alias("pmid"), F.when(k % 7 == 0, F.concat(F.lit("PMC"), k.cast("string"))).alias("pmcid"),
     )
@@ -66,7 +66,7 @@ def triage_summary(t) -> DataFrame:
 
 @query(_TITLE_SQL + """SELECT p_brand, count(*) AS n, string_agg(p_partkey || '=' || primary_path, ',' ORDER BY raw_score, p_partkey) AS items FROM r WHERE route = 'FETCH_CANDIDATE' GROUP BY p_brand""")
 def edition_artifacts(t) -> DataFrame:
-    g = publish.grouped_items(_routed(t).filter("route = 'FETCH_CANDIDATE'"), ["p_brand"], ["raw_score", "p_partkey"], ["primary_path"])
+    g = publish.grouped_items(_routed(t), ["p_brand"], ["raw_score", "p_partkey"], ["primary_path"], where=F.col("route") == "FETCH_CANDIDATE")
     return g.select("p_brand", "n", F.array_join(F.transform("items", lambda x: F.concat_ws("=", x["p_partkey"], x["primary_path"])), ",").alias("items"))
 
 

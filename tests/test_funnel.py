@@ -62,3 +62,15 @@ def test_small_things(spark):
     assert [r[0] for r in spark.createDataFrame([("7",), ("70",), ("x",), (None,)], "v string").select(bounded_int(F.col("v"), 1, 10)).collect()] == [7, None, None, None]
     rows, check = landed.nothing(spark)
     assert rows.count() == 0 and check["status"] == "NOT_ATTEMPTED"
+
+
+def test_titles_are_classified_once_and_over_all_cores(spark):
+    from recordloom.operators import publish
+    from recordloom.plans import table_queries
+
+    for name in ("edition_artifacts", "title_paths", "triage_summary"):
+        plan = table_queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" in plan and not [line for line in plan.splitlines() if "Filter" in line.split("(")[0] and "RLIKE" in line]
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("a", 3, None), ("b", 1, "z")], "g string, at int, v string")
+    made = publish.grouped_items(rows, ["g"], ["at"], ["v"], where=F.col("v").isin("x", "y"))
+    assert [(r["g"], r["n"], [tuple(i) for i in r["items"]]) for r in made.collect()] == [("a", 2, [(1, "y"), (2, "x")])]
