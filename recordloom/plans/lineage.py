@@ -41,7 +41,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """``df`` dealt over all cores by a key, before work that costs much a row: files of few row groups would leave it to as many tasks."""
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def delete(spark: SparkSession, path: str) -> None:
