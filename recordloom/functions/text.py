@@ -99,7 +99,11 @@ def normalize_name(c: Column, ascii_only: bool = False) -> Column:
 
 def normalize_title_key(c: Column, ascii_only: bool = False) -> Column:
     """Only a-z and 0-9 of a title, marks dropped from their letters. ``ascii_only`` keeps to built-in functions."""
-    return F.regexp_replace(F.lower(strip_tags(c)) if ascii_only else _split_folded(clean_text(c)), "[^a-z0-9]+", "")
+    if ascii_only:  # spaces go in any case, so they needn't collapse first
+        folded = F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " "))
+    else:
+        folded = _split_folded(clean_text(c))
+    return F.regexp_replace(folded, "[^a-z0-9]+", "")
 
 
 def slugify(c: Column) -> Column:

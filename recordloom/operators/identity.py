@@ -53,6 +53,15 @@ def aliases() -> Column:
     return F.array_compact(F.array(title, *named))
 
 
+#: An alias of more characters stands by its digest.
+LONG_ALIAS = 80
+
+
+def short_alias(alias: Column) -> Column:
+    """``alias``, or its SHA-256 if it is long: what is shuffled and kept doesn't grow with a title that is a whole text."""
+    return F.when(F.length(alias) > LONG_ALIAS, F.concat(F.lit("sha256:"), F.sha2(alias, 256))).otherwise(alias)
+
+
 def components(records: DataFrame, record: str, alias: str) -> DataFrame:
     """(record, component): records that share aliases, directly or through others.
 

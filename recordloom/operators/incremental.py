@@ -63,7 +63,8 @@ class Components:
         return self._rooted(self._read("records", "record long, component long")).select("record", "component")
 
     def _write(self, rows: DataFrame, name: str, key: str, batch: int) -> None:
-        rows.withColumn("bucket", _bucket(key, self.buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch={batch}")
+        # Tasks by size, not one a bucket: a bucket of many rows is written by several.
+        rows.withColumn("bucket", _bucket(key, self.buckets)).hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch={batch}")
 
     def add(self, records: DataFrame, batch: int, record: str = "record", aliases: str = "aliases") -> bool:
         """Takes in records with an array of aliases; says whether the batch was new.
@@ -78,15 +79,17 @@ class Components:
         touched = {c: [r[0] for r in given.filter(f"{c} is not null").select(_bucket(c, self.buckets)).distinct().collect()] for c in ("record", "alias")}
         known = self._rooted(self._read("records", "record long, component long", touched["record"]).join(given.select("record").distinct(), "record", "left_semi"))
         held = self._rooted(self._read("aliases", "alias string, component long", touched["alias"]).join(given.select("alias").distinct(), "alias", "left_semi")).groupBy("alias").agg(F.min("component").alias("component"))
-        known, said = cut(known), given.filter("alias is not null")
-        first = said.groupBy("alias").agg(F.min("record").alias("first")).join(held, "alias", "left").withColumn("to", F.coalesce("component", "first"))
-        edges = said.join(first, "alias").select(F.col("record").alias("a"), F.col("to").alias("b")).unionByName(known.select(F.col("record").alias("a"), F.col("component").alias("b")))
+        known, held, said = cut(known), cut(held), given.filter("alias is not null")
+        first = cut(said.groupBy("alias").agg(F.min("record").alias("first"), F.count(F.lit(1)).alias("n")).join(held, "alias", "left"))
+        shared = first.filter("n > 1 or component is not null").select("alias", F.coalesce("component", "first").alias("to"))
+        edges = said.join(shared, "alias").select(F.col("record").alias("a"), F.col("to").alias("b")).unionByName(known.select(F.col("record").alias("a"), F.col("component").alias("b")))
         # An alias may name several components of the store only if a batch joined them, and then they share a root.
         linked = cut(connected_components(edges))
         label = lambda df, c: df.join(linked.select(F.col("node").alias(c), F.col("component").alias("now")), c, "left").withColumn("now", F.coalesce("now", c))
         fresh = label(given.select("record").distinct().join(known.select("record"), "record", "left_anti"), "record")
         self._write(fresh.select("record", F.col("now").alias("component")), "records", "record", batch)
-        self._write(label(said, "record").select("alias", F.col("now").alias("component")).distinct(), "aliases", "alias", batch)
+        # The roots rename what an alias has been given before, so only new ones are written.
+        self._write(label(first.filter("component is null"), "first").select("alias", F.col("now").alias("component")), "aliases", "alias", batch)
         old = held.select("component").unionByName(known.select("component")).distinct()
         moved = cut(label(old, "component").filter("now <> component").select("component", F.col("now").alias("root")))
         kept = self.roots().join(moved.select(F.col("component").alias("root"), F.col("root").alias("newer")), "root", "left").select("component", F.coalesce("newer", "root").alias("root"))

@@ -210,9 +210,11 @@ def bounded_index(t) -> DataFrame:
 
 def _document_aliases(t) -> DataFrame:
     """A document's aliases: its whole text, and its source with its whole title (the first line) where that says anything."""
-    title = text.blank_to_null(text.normalize_title_key(F.split_part("text", F.lit("\n"), F.lit(1)), ascii_only=True))
-    named = F.concat(F.lit("title:"), title, F.lit("|"), F.coalesce("source", F.lit("")))
-    return t("documents").select("doc_id", "lang", "source", F.array_compact(F.array(F.concat(F.lit("text:"), F.sha2("text", 256)), named)).alias("aliases"))
+    title = text.normalize_title_key(F.substring_index("text", "\n", 1), ascii_only=True)
+    # Columns of their own, so that each is worked out once however often it is named.
+    docs = t("documents").select("doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("digest"), title.alias("title"))
+    docs = docs.withColumn("named", F.concat(F.lit("title:"), text.blank_to_null(F.col("title")), F.lit("|"), F.coalesce("source", F.lit(""))))
+    return docs.select("doc_id", "lang", "source", "n_chars", F.array_compact(F.array(F.concat(F.lit("text:"), "digest"), identity.short_alias(F.col("named")))).alias("aliases"))
 
 
 _ALIAS_SQL = """
@@ -233,7 +235,8 @@ def dedup_components(t) -> DataFrame:
 @query(_ALIAS_SQL + "SELECT doc_id, component FROM c")
 def incremental_components(t) -> DataFrame:
     """The same components from a store that takes the documents in three batches, the longest first."""
-    rows = _document_aliases(t).join(t("documents").select("doc_id", "n_chars"), "doc_id")
+    # Texts are read once; the batches are told apart by rows of a few hundred bytes.
+    rows = cut(_document_aliases(t).select("doc_id", "n_chars", "aliases"))
     with scratch(rows.sparkSession, "components") as folder:
         store = incremental.Components(rows.sparkSession, folder, buckets=8)
         for n, part in enumerate((F.col("n_chars") > 2000, F.col("n_chars").between(500, 2000), F.coalesce(F.col("n_chars") < 500, F.lit(True)))):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators import incremental
+from recordloom.plans import table_queries
 
 SCHEMA = "record long, aliases array<string>"
 
@@ -66,3 +67,30 @@ def test_a_stream_keeps_the_store(spark, tmp_path, monkeypatch):
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
     assert incremental.add_stream(stream, store, f"{tmp_path}/at").trigger(availableNow=True).start().awaitTermination(200)
     assert {r["record"]: r["component"] for r in store.labels().collect()} == {10 * n + i: i for n in range(3) for i in range(3)}
+
+
+def test_held_aliases_are_not_written_again(spark, tmp_path):
+    store = incremental.Components(spark, f"file://{tmp_path}/s", buckets=4)
+    store.add(spark.createDataFrame([(5, ["a", "b"]), (7, ["c"])], SCHEMA), 0)
+    store.add(spark.createDataFrame([(6, ["a", "c", "d"]), (1, ["c"])], SCHEMA), 1)
+    assert sorted(r["alias"] for r in store._read("aliases", "alias string, component long").collect()) == ["a", "b", "c", "d"]
+    # What was held goes by its newest name all the same.
+    store.add(spark.createDataFrame([(9, ["b"])], SCHEMA), 2)
+    assert {r["record"]: r["component"] for r in store.labels().collect()} == dict.fromkeys((1, 5, 6, 7, 9), 1)
+
+
+def test_the_query_reads_each_text_once_and_keeps_no_long_alias(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    words = " ".join(f"word{i}" for i in range(400))
+    texts = [("One title\nx", 10), ("one TITLE\ny", 900), (words, 3000), (words.upper(), 700), (words + " more", 3000), (None, None), ("One title\nx", 2500)]
+    docs = spark.createDataFrame([(i, s, "en", "s", n) for i, (s, n) in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").withColumn("text", seen("text"))
+    got = {r["doc_id"]: r["component"] for r in table_queries.incremental_components(lambda name: docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 0}
+    assert read.value == len(texts)
+    assert table_queries._document_aliases(lambda name: docs).select(F.explode("aliases").alias("a")).agg(F.max(F.length("a"))).first()[0] <= 80
