@@ -4,7 +4,8 @@ Each round applies a large-star and a small-star step (Kiveris et al., 2014)
 as a grouped minimum and an equi-join. Minima are pre-aggregated before the
 shuffle. A hub's edges would all meet in one task of the join, so the nodes of
 the highest degrees are joined by broadcast instead: those with more than
-1/HUBS of all edge ends, of which there can be no more than HUBS. Rounds are cut
+1/HUBS of all edge ends, of which there can be no more than HUBS. No other minima
+are broadcast, however small Spark takes them to be. Rounds are cut
 by checkpoint(); nothing but two numbers a round reaches the driver.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.operators.joins import shuffled
 from recordloom.plans.lineage import cut
 
 MAX_ROUNDS, HUBS, LEAST_HUB = 60, 50_000, 1000
@@ -24,7 +26,7 @@ def _with_lowest(ends: DataFrame, edges: int) -> DataFrame:
     low = ends.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"), F.count(F.lit(1)).alias("n"))
     hub = F.col("n") > max(LEAST_HUB, 2 * edges // HUBS)
     hubs = F.broadcast(low.filter(hub).select("u", "m"))
-    plain = ends.join(hubs.select("u"), "u", "left_anti").join(low.filter(~hub).select("u", "m"), "u")
+    plain = ends.join(hubs.select("u"), "u", "left_anti").join(shuffled(low.filter(~hub).select("u", "m")), "u")
     return ends.join(hubs, "u").unionByName(plain)
 
 
@@ -38,7 +40,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     # Links that lead to a part's smallest node leave no node with many smaller neighbours here.
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 

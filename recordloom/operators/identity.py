@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordloom.functions.period import interval
 from recordloom.functions.text import blank_to_null, normalize_doi, normalize_name, normalize_title_key
 from recordloom.operators.graph import connected_components
-from recordloom.operators.joins import small
+from recordloom.operators.joins import shuffled, small
 from recordloom.plans.lineage import cut
 
 #: The source whose ids are OpenReview's.
@@ -66,13 +66,15 @@ def components(records: DataFrame, record: str, alias: str) -> DataFrame:
     """(record, component): records that share aliases, directly or through others.
 
     ``alias`` is an array column. An alias links every record to the first that
-    has it, so a common alias gives a star, not pairs.
+    has it, so a common alias gives a star, not pairs. Aliases are made once and
+    cut. Only explode_outer does that: for explode() Spark asks first, with all
+    that makes them, which arrays are empty.
     """
-    held = records.select(F.col(record).alias("r"), F.explode(alias).alias("alias")).distinct()
+    held = cut(records.select(F.col(record).alias("r"), F.explode_outer(alias).alias("alias")).filter("alias is not null").distinct())
     first = held.groupBy("alias").agg(F.min("r").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("alias", "first")
-    edges = held.join(first, "alias").filter("r <> first").select(F.col("r").alias("a"), F.col("first").alias("b"))
+    edges = held.join(shuffled(first), "alias").filter("r <> first").select(F.col("r").alias("a"), F.col("first").alias("b"))
     linked = connected_components(edges)
-    return records.select(F.col(record)).join(linked.withColumnRenamed("node", record), record, "left").withColumn("component", F.coalesce("component", record))
+    return records.select(F.col(record)).join(shuffled(linked.withColumnRenamed("node", record)), record, "left").withColumn("component", F.coalesce("component", record))
 
 
 def _rank(precision: Column) -> Column:
@@ -103,14 +105,14 @@ def _settled_dates(dated: DataFrame, by: str) -> DataFrame:
         lows = known.filter(same & F.col("date").isNotNull()).groupBy(by, "block").agg(F.min(F.struct("date", "at", "precision")).alias("low"))
         before = Window.partitionBy(by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
         # Blocks without a date of the component's precision have a row too, so that each knows what came before it.
-        blocks = known.select(by, "block").distinct().join(lows, [by, "block"], "left").withColumn("earlier", F.min("low.date").over(before)).select(by, "block", "earlier")
+        blocks = known.select(by, "block").distinct().join(shuffled(lows), [by, "block"], "left").withColumn("earlier", F.min("low.date").over(before)).select(by, "block", "earlier")
         within = Window.partitionBy(by, "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-        running = known.join(blocks, [by, "block"]).withColumn("least", F.least("e.date", "earlier", F.min(F.when(same, F.col("date"))).over(within)))
+        running = known.join(shuffled(blocks), [by, "block"]).withColumn("least", F.least("e.date", "earlier", F.min(F.when(same, F.col("date"))).over(within)))
         (a, b), (c, d) = interval(F.col("least"), F.col("e.precision")), interval(F.col("date"), F.col("precision"))
         finer = (F.col("rank") > F.col("e.rank")) & (F.col("at") > F.col("e.at")) & F.col("e.date").isNotNull() & (a <= d) & (c <= b)
         risen = running.filter(finer).groupBy(by).agg(F.min_by(entry, F.col("at")).alias("e"))
         low = lows.groupBy(by).agg(F.min("low").alias("low"))
-        went = cut(now.select(by, F.col("e").alias("was")).join(risen, by, "left").join(low, by, "left"))
+        went = cut(now.select(by, F.col("e").alias("was")).join(shuffled(risen), by, "left").join(shuffled(low), by, "left"))
         kept = F.coalesce(F.col("low.date") < F.col("was.date"), F.lit(False))
         done.append(went.filter("e is null").select(by, F.when(kept, F.col("low.date")).otherwise(F.col("was.date")).alias("date"), F.when(kept, F.col("low.precision")).otherwise(F.col("was.precision")).alias("precision")))
         now = went.filter("e is not null").select(by, "e")
@@ -157,11 +159,11 @@ def merge_survivors(members: DataFrame, by: str = "component", order: str = "idx
         (F.min(span).eqNullSafe(F.max(span))).alias("__one"),
     )
     whole = cut(whole)
-    dated = members.select(by, at.alias("at"), F.col(dates[0]).alias("date"), F.col(dates[1]).alias("precision")).join(whole.filter("not __one").select(by), by, "left_semi")
+    dated = members.select(by, at.alias("at"), F.col(dates[0]).alias("date"), F.col(dates[1]).alias("precision")).join(shuffled(whole.filter("not __one").select(by)), by, "left_semi")
     settled = DATE_RULES[rule](dated, by).select(by, F.struct("date", "precision").alias("__settled"))
     each = members.select(by, at.alias("at"), F.posexplode("source_records").alias("pos", "record")).groupBy(by, "record").agg(F.min(F.struct("at", "pos")).alias("at"))
     records = each.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "record"))), lambda r: r["record"]).alias("source_records"))
-    joined = whole.join(settled, by, "left").join(records, by, "left").withColumn("__date", F.coalesce("__settled", "__first"))
+    joined = whole.join(shuffled(settled), by, "left").join(shuffled(records), by, "left").withColumn("__date", F.coalesce("__settled", "__first"))
     none = F.array().cast(members.schema["source_records"].dataType)
     made = {dates[0]: F.col("__date.date"), dates[1]: F.col("__date.precision"), "source_records": F.coalesce("source_records", none)}
     return joined.select(by, "members", *(made.get(c, F.col(c)).alias(c) for c in members.columns if c != by))
@@ -171,7 +173,7 @@ def deduplicate(articles: DataFrame, order: str = "idx") -> DataFrame:
     """Articles resolved: one survivor a component, newest first (equal ones in input order)."""
     marked = articles.withColumn("__alias", aliases())
     parts = components(marked, order, "__alias")
-    merged = merge_survivors(articles.join(parts, order), "component", order)
+    merged = merge_survivors(articles.join(shuffled(parts), order), "component", order)
     return merged.orderBy(F.desc("publication_date"), F.desc(normalize_name(F.col("title"))), order)
 
 

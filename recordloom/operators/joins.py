@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 MAX_BROADCAST = 100_000
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, marked to be joined by shuffling both sides.
+
+    Spark guesses sizes from those of files. Rows that are made from a key of a
+    few bits are far larger, and would be gathered on the driver for a broadcast.
+    """
+    return df.hint("merge")
+
+
 def small(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
-    """``df``, marked for broadcast if it has no more than ``most`` rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """``df``, marked for broadcast if it has no more than ``most`` rows, else for a shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else shuffled(df)
 
 
 def hot_join(left: DataFrame, right: DataFrame, on: str, weight: str, most: int = 10_000, least: int = 200) -> DataFrame:

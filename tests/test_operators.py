@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import caps, checks, classify, graph, greedy, identity, joins, merge, orders, publish, rank, select, signals
 from recordloom.operators.graph import connected_components
+from recordloom.plans import record_queries
 from recordloom.plans.policy import MODES, EvaluationPolicy, PolicyError, ReviewPolicy, ShortlistPolicy, TriagePolicy
 
 ARTICLE = (
@@ -535,3 +536,29 @@ def test_pairs_by_either_key_are_gathered_for_ids_of_several_rows_alone(spark, m
     monkeypatch.setattr(type(x), "distinct", lambda df: (gathered.append(df.count()) if df.columns == ["__x", "__y"] else None) or distinct(df))
     joins.either_key(x, y, [("a", "c"), ("b", "d")], "l", "r")
     assert gathered == [0]
+
+
+def test_resolution_gathers_no_table_on_the_driver(spark, monkeypatch):
+    seen, linked = [], identity.connected_components
+    monkeypatch.setattr(identity, "connected_components", lambda edges: seen.append(edges) or linked(edges))
+    df = record_queries._articles(lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
+    for made in (identity.deduplicate(df), seen[0]):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    # The aliases' Python functions ran before, once.
+    assert "EvalPython" not in plan
+
+
+def test_component_rounds_broadcast_hubs_alone(spark, monkeypatch):
+    plans, write = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    assert connected_components(spark.range(9).selectExpr("id a", "id + 1 b")).agg(F.max("component")).first()[0] == 0
+    # A large star meets hubs thrice by broadcast (once for each direction of an edge to leave them out) and the rest once; the small star's join comes on top.
+    assert len(plans) > 1 and all(0 < p.count("BroadcastHashJoin") == 3 * (p.count("SortMergeJoin") - 1) for p in plans[1:])
+
+
+def test_lookup_beyond_the_bound_is_shuffled(spark):
+    left, right = spark.range(10), spark.range(5)
+    for most, kind in ((5, "BroadcastHashJoin"), (4, "SortMergeJoin")):
+        joined = left.join(joins.small(right, most), "id")
+        assert kind in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 5
